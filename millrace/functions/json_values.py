@@ -27,8 +27,8 @@ def _is_container_text(text: Column) -> Column:
     return text.startswith("{") | text.startswith("[")
 
 
-def _is_container(value: Column) -> Column:
-    return F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
+def _is_string(value: Column) -> Column:
+    return F.to_json(value).startswith('"')
 
 
 class ParsedJson:
@@ -72,19 +72,24 @@ class ParsedJson:
         else:
             text = F.get_json_object(F.col(self.data), json_path(identifier))
         return F.when(
-            _is_container_text(text), F.when(~_is_container(self._variant(identifier)), text)
+            _is_container_text(text), F.when(_is_string(self._variant(identifier)), text)
         ).otherwise(text)
 
-    def array_text(self, parsed: str, identifier: str) -> Column:
-        """Elements of an array as JSON text, one after the other; NULL if not an array."""
+    def array_parts(self, parsed: str, identifier: str) -> Column:
+        """Elements of an array as JSON text; NULL if the value is not an array."""
         if identifier in self.struct_leaves:
             value = self._leaf(parsed, identifier)
         else:
             value = self._variant(identifier)
-        parts = F.transform(
+        return F.transform(
             F.try_variant_get(value, "$", "array<variant>"), lambda e: F.to_json(e)
         )
-        # A VARIANT object sorts its keys; the text of nested elements keeps the document's.
+
+    def array_text(self, parts: Column, identifier: str) -> Column:
+        """Elements one after the other, nested ones with their keys as the document has them.
+
+        A VARIANT object sorts its keys, so arrays that hold containers are read again.
+        """
         as_written = F.from_json(
             F.get_json_object(F.col(self.data), json_path(identifier)), "array<string>"
         )
@@ -92,10 +97,9 @@ class ParsedJson:
             parts, as_written,
             lambda part, raw: F.when(_is_container_text(part), raw).otherwise(part),
         )
-        joined = F.when(
-            F.exists(parts, _is_container_text), F.concat_ws("", in_order)
-        ).otherwise(F.concat_ws("", parts))
-        return F.when(parts.isNotNull(), joined)
+        return F.when(F.exists(parts, _is_container_text), F.concat_ws("", in_order)).when(
+            parts.isNotNull(), F.concat_ws("", parts)
+        )
 
 
 def split_leaves(identifiers: Iterable[str]) -> tuple[list[str], list[str]]:

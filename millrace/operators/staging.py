@@ -73,15 +73,21 @@ def typed_columns(
     columns = source_columns(dictionary)
     parsed = ParsedJson(RAW_DATA, {c.identifier: c.data_type == "array" for c in columns})
 
+    parts = {
+        c.identifier: f"_parts{i}" for i, c in enumerate(columns) if c.data_type == "array"
+    }
+
     def value(spec: ColumnSpec) -> Column:
         if spec.data_type == "array":
-            return parsed.array_text("_parsed", spec.identifier)
+            return parsed.array_text(F.col(parts[spec.identifier]), spec.identifier)
         spark_type = SPARK_TYPES.get(spec.data_type, "string")
         return scalar_value(
             parsed.scalar("_parsed", spec.identifier), spec.data_type, spark_type, on_error
         )
 
-    return raw.withColumn("_parsed", parsed.column()).select(
+    rows = raw.withColumn("_parsed", parsed.column())
+    rows = rows.withColumns({name: parsed.array_parts("_parsed", i) for i, name in parts.items()})
+    return rows.select(
         *[value(c).alias(c.name) for c in columns],
         F.lit(str(execution_date)).cast("date").alias("execution_date"),
         F.col(RAW_ID).alias("ab_id"),

@@ -7,7 +7,7 @@ follows is columns again.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,57 +22,66 @@ def project_files(spark: SparkSession, root: str, file_name: str) -> DataFrame:
     )
 
 
-def _load(text: str | None):
-    import yaml
+def _parser(extract: Callable, columns: list[str]) -> Callable:
+    """A ``mapInPandas`` function over ``extract(project, content)`` rows.
 
-    try:
-        return yaml.load(text or "", Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
-    except yaml.YAMLError:
-        return None
+    Built from nested functions throughout, so it travels to the executors by value and the
+    package need not be installed there.
+    """
 
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import yaml
 
-def _text(value) -> str:
-    """A flag as text; a nested value as JSON whose leaves are text."""
-    if isinstance(value, (dict, list)):
-        return json.dumps(_leaves_as_text(value), ensure_ascii=False)
-    return str(value)
+        loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        for batch in batches:
+            rows = []
+            for project, text in zip(batch["project"], batch["content"]):
+                try:
+                    content = yaml.load(text or "", Loader=loader)
+                except yaml.YAMLError:
+                    continue
+                if isinstance(content, dict):
+                    rows.extend(extract(project, content))
+            yield pd.DataFrame(rows, columns=columns)
 
+    return parse
 
-def _leaves_as_text(value):
-    if isinstance(value, dict):
-        return {str(k): _leaves_as_text(v) for k, v in value.items()}
-    if isinstance(value, list):
-        return [_leaves_as_text(v) for v in value]
-    return str(value)
 
+def _flag_rows() -> Callable:
+    def text(value) -> str:
+        if isinstance(value, (dict, list)):
+            return json.dumps(leaves(value), ensure_ascii=False)
+        return str(value)
 
-def _flag_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for project, text in zip(batch["project"], batch["content"]):
-            content = _load(text)
-            for ord_, (key, flags) in enumerate(content.items() if isinstance(content, dict) else ()):
-                values = {str(k): _text(v) for k, v in flags.items()} if isinstance(flags, dict) else {}
-                rows.append((project, ord_, str(key), values))
-        yield pd.DataFrame(rows, columns=["project", "ord", "config_key", "vars"])
+    def leaves(value):
+        if isinstance(value, dict):
+            return {str(k): leaves(v) for k, v in value.items()}
+        if isinstance(value, list):
+            return [leaves(v) for v in value]
+        return str(value)
 
+    def extract(project: str, content: dict):
+        for position, (key, flags) in enumerate(content.items()):
+            flags = flags if isinstance(flags, dict) else {}
+            yield project, position, str(key), {str(k): text(v) for k, v in flags.items()}
 
-def _package_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for project, text in zip(batch["project"], batch["content"]):
-            content = _load(text)
-            listed = content.get("packages") if isinstance(content, dict) else None
-            for entry in listed or ():
-                if isinstance(entry, dict) and "package" in entry and "version" in entry:
-                    rows.append((project, str(entry["package"]), str(entry["version"])))
-        yield pd.DataFrame(rows, columns=["project", "package", "version"])
+    return extract
+
+
+def _package_rows() -> Callable:
+    def extract(project: str, content: dict):
+        for entry in content.get("packages") or ():
+            if isinstance(entry, dict) and "package" in entry and "version" in entry:
+                yield project, str(entry["package"]), str(entry["version"])
+
+    return extract
 
 
 def project_configs(files: DataFrame) -> DataFrame:
     """Every top-level entry of every flag file: project, position, key and flag map."""
     return files.select("project", "content").mapInPandas(
-        _flag_rows, "project string, ord int, config_key string, vars map<string,string>"
+        _parser(_flag_rows(), ["project", "ord", "config_key", "vars"]),
+        "project string, ord int, config_key string, vars map<string,string>",
     )
 
 
@@ -84,5 +93,6 @@ def project_flags(configs: DataFrame) -> DataFrame:
 def project_packages(files: DataFrame) -> DataFrame:
     """Packages that name both a package and a version."""
     return files.select("project", "content").mapInPandas(
-        _package_rows, "project string, package string, version string"
+        _parser(_package_rows(), ["project", "package", "version"]),
+        "project string, package string, version string",
     )

@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 
 from millrace.functions.types import ColumnSpec as C
 from millrace.sources import documents
-from millrace.sources.landing import TYPED_TIME, as_raw_landing
+from millrace.sources.landing import TYPED_TIME, as_raw_landing, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows become JSON documents, read with all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def text(*parts: str | Column) -> Column:
     """Pieces of text and columns as one text."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -29,7 +34,7 @@ EVENT_COLUMNS = [C("k", "k", "integer")]
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "events")
+    df = wide_table(spark, sf_dir, "events")
     return as_raw_landing(df, F.col("event_id"), F.col("ts"), F.col("props"))
 
 
@@ -70,7 +75,7 @@ def order_payload(df: DataFrame) -> Column:
 
 def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order landed on its day and once more, unchanged, on the next."""
-    df = table(spark, sf_dir, "orders")
+    df = wide_table(spark, sf_dir, "orders")
     copies = df.withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
     return as_raw_landing(
         copies,
@@ -91,7 +96,7 @@ CHANGED_ORDER_COLUMNS = [
 
 def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change data: every order as placed and, 40 days on, with its final status."""
-    df = table(spark, sf_dir, "orders").withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
+    df = wide_table(spark, sf_dir, "orders").withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
     at = F.col("o_orderdate") + F.make_dt_interval(F.col("n") * 40)
     payload = text(
         '{"orderKey": ', df.o_orderkey, ', "orderStatus": "',
@@ -117,7 +122,7 @@ LINE_COLUMNS = [
 
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as change data; keys repeat, each time with another ship date."""
-    df = table(spark, sf_dir, "lineitem")
+    df = wide_table(spark, sf_dir, "lineitem")
     payload = text(
         '{"orderKey": ', df.l_orderkey, ', "lineNumber": ', df.l_linenumber,
         ', "partKey": ', df.l_partkey, ', "suppKey": ', df.l_suppkey,
@@ -142,7 +147,7 @@ USER_COLUMNS = [
 
 def landed_user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as changes of their user: few keys, many rows each."""
-    df = table(spark, sf_dir, "events")
+    df = wide_table(spark, sf_dir, "events")
     payload = text(
         '{"userId": ', df.user_id, ', "eventType": "', df.event_type, '", "value": ', df.value,
         ', "_ab_cdc_cursor": ', df.event_id, ', "_ab_cdc_updated_at": "', df.ts, '"}',
@@ -157,7 +162,7 @@ DOCUMENT_COLUMNS = [
 
 def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole document texts as payloads; exact copies are copies of a payload."""
-    df = table(spark, sf_dir, "documents")
+    df = wide_table(spark, sf_dir, "documents")
     payload = F.to_json(F.struct("text", "lang", F.col("n_chars").alias("nChars")))
     return as_raw_landing(df, F.col("doc_id"), F.timestamp_seconds("doc_id"), payload)
 
@@ -171,7 +176,7 @@ TURN_COLUMNS = [
 
 
 def landed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "conversations")
+    df = wide_table(spark, sf_dir, "conversations")
     at = F.timestamp_seconds(F.col("turn") * 60)
     payload = F.to_json(F.struct(
         F.col("conv_id").alias("convId"), "turn", "role", "text",
@@ -204,7 +209,7 @@ def typed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def connection_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One exported connection per part: two streams, nested property schemas."""
-    p = table(spark, sf_dir, "part")
+    p = wide_table(spark, sf_dir, "part")
     namespace_format = (
         F.when(F.col("p_size") % 3 == 0, F.lit('"namespaceFormat": "ns_${SOURCE_NAMESPACE}", '))
         .when(F.col("p_size") % 3 == 1, F.lit('"namespaceFormat": "landing", '))
@@ -331,7 +336,7 @@ def manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         members(F.col("p_size"), node).alias("nodes"),
         F.when(F.col("p_size") % 4 > 0, members(F.col("p_size") % 4, source)).alias("sources"),
     ))
-    p = table(spark, sf_dir, "part")
+    p = wide_table(spark, sf_dir, "part")
     return p.select(text("prj_", p.p_partkey).alias("project"), document.alias("document"))
 
 
@@ -377,7 +382,7 @@ LISTING_SQL = """
 
 def flag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flag file per customer, with a second entry that is never in force."""
-    c = table(spark, sf_dir, "customer")
+    c = wide_table(spark, sf_dir, "customer")
     project = text("prj_", c.c_custkey)
     prefix = F.when(c.c_mktsegment == "BUILDING", F.lit("K8S_SECRETS")).otherwise("API_SECRETS")
     owner = F.when(c.c_acctbal >= 0, text("  DAG_OWNER: '", c.c_mktsegment, "'\n")).otherwise("")
@@ -394,7 +399,7 @@ def flag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def package_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+    c = wide_table(spark, sf_dir, "customer")
     content = text(
         "packages:\n  - package: org/utils\n    version: 1.1.", c.c_nationkey,
         '\n  - package: org/monitor\n    version: [">=0.10.0", "<0.11.0"]\n'
