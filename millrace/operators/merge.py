@@ -9,10 +9,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.staging import latest_by
-from millrace.session import shared_folder
+from millrace.session import shared_folder, stored
 
 MONTH = "_month"
 
+# Keys are broadcast up to this many bytes, an allowance per key included.
+BROADCAST_BYTES = 256 << 20
+BYTES_PER_KEY = 64
+
+
+def require_distinct(source: DataFrame, key: str) -> None:
+    """Raise if a key comes twice. Reads the key column only, reduced before its shuffle."""
+    twice = (
+        source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+        .where("n > 1").take(1)
+    )
+    if twice:
+        raise ValueError(f"merge: duplicate source key {twice[0][0]}")
+
 
 def distinct_source(
     source: DataFrame, key: str, on_duplicate: str, order_by: Sequence[str] = ()
@@ -24,26 +38,23 @@ def distinct_source(
     """
     if on_duplicate == "trust":
         return source
-    keyed, keyless = source.where(F.col(key).isNotNull()), source.where(F.col(key).isNull())
-    if on_duplicate == "latest":
-        if not order_by:
-            raise ValueError("on_duplicate='latest' needs order_by")
-        return latest_by(keyed, [key], [F.col(c) for c in order_by]).unionByName(keyless)
-    if on_duplicate != "fail":
+    if on_duplicate == "fail":
+        require_distinct(source, key)
+        return source
+    if on_duplicate != "latest":
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
-    rest = [c for c in source.columns if c != key]
-    # The aggregate is partitioned and sorted as the join that follows wants it.
-    counted = keyed.groupBy(key).agg(
-        F.count("*").alias("_n"), F.any_value(F.struct(*rest)).alias("_row")
-    )
-    message = F.concat(F.lit("merge: duplicate source key "), F.col(key).cast("string"))
-    single = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.lit(True))
-    return (
-        counted.where(single)
-        .select(*[F.col(key) if c == key else F.col("_row").getField(c).alias(c)
-                  for c in source.columns])
-        .unionByName(keyless)
-    )
+    if not order_by:
+        raise ValueError("on_duplicate='latest' needs order_by")
+    keyed, keyless = source.where(F.col(key).isNotNull()), source.where(F.col(key).isNull())
+    return latest_by(keyed, [key], [F.col(c) for c in order_by]).unionByName(keyless)
+
+
+def _keys(source: DataFrame, key: str) -> DataFrame:
+    """The keys of a stored source, broadcast if they measure small, joined by shuffle if not."""
+    keys = source.where(F.col(key).isNotNull()).select(key)
+    width = F.octet_length(F.col(key).cast("string")) + BYTES_PER_KEY
+    measured = keys.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(keys) if measured <= BROADCAST_BYTES else keys
 
 
 def merge(
@@ -56,19 +67,16 @@ def merge(
     """The target after a merge: matched rows replaced, all others kept, the rest inserted.
 
     A NULL key matches nothing. Keyless rows stay out of the join, where they would all meet
-    in one partition.
+    in one partition. Both sides are read more than once, so give it stored tables.
     """
     source = distinct_source(source, key, on_duplicate, order_by)
-    return (
-        _unmatched(target, source, key)
-        .unionByName(source.select(*target.columns))
-    )
+    return _unmatched(target, source, key).unionByName(source.select(*target.columns))
 
 
 def _unmatched(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     keyed = target.where(F.col(key).isNotNull())
-    kept = keyed.join(source.where(F.col(key).isNotNull()).select(key), key, "left_anti")
-    return kept.select(*target.columns).unionByName(target.where(F.col(key).isNull()))
+    kept = keyed.join(_keys(source, key), key, "left_anti").select(*target.columns)
+    return kept.unionByName(target.where(F.col(key).isNull()))
 
 
 def month_of(column: str) -> Column:
@@ -124,24 +132,25 @@ def merge_into_months(
     publishing is finished by calling ``publish_months`` with that folder again.
     """
     spark = source.sparkSession
-    if full_refresh or not table_exists(spark, path):
-        first = distinct_source(source, key, on_duplicate, order_by)
-        staged = shared_folder(spark, "full-refresh")
-        write_months(first, staged, field)
-        existing = [] if not table_exists(spark, path) else _months(read_months(spark, path))
-        return publish_months(spark, staged, path, existing)
-
-    batch_path = shared_folder(spark, "merge-batch")
-    distinct_source(source, key, on_duplicate, order_by).withColumn(
-        MONTH, month_of(field)
-    ).write.parquet(batch_path)
-    batch = spark.read.parquet(batch_path)
-    target = read_months(spark, path)
+    exists = table_exists(spark, path)
+    if not exists and on_duplicate == "trust":
+        write_months(source, path, field)
+        return _months(read_months(spark, path))
+    batch = stored(source.withColumn(MONTH, month_of(field)), "merge-batch")
+    batch = distinct_source(batch, key, on_duplicate, order_by)
+    if on_duplicate == "latest":
+        batch = stored(batch, "merge-batch")
 
-    touched = target.select(key, MONTH).join(batch.select(key), key, "left_semi")
+    staged = shared_folder(spark, "merge-months")
+    if full_refresh or not exists:
+        write_months(batch.drop(MONTH), staged, field)
+        replaced = _months(read_months(spark, path)) if exists else []
+        return publish_months(spark, staged, path, replaced)
+
+    target = read_months(spark, path)
+    touched = target.select(key, MONTH).join(_keys(batch, key), key, "left_semi")
     months = sorted(set(_months(touched)) | set(_months(batch)))
     affected = target.where(F.col(MONTH).isin(months))
-    staged = shared_folder(spark, "merge-months")
     rewritten = _unmatched(affected, batch, key).unionByName(batch)
     write_months(rewritten.drop(MONTH), staged, field)
     return publish_months(spark, staged, path, months)

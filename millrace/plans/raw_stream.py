@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.types import ColumnSpec
 from millrace.operators import dictionary as d
 from millrace.operators.merge import merge_into_months
-from millrace.operators.staging import stage
+from millrace.operators.staging import CDC_MARK, stage
 
 
 def stream_dictionary(connections: DataFrame, connection_id: str, stream: str) -> list[ColumnSpec]:
@@ -32,7 +32,12 @@ def load_stream(
     on_error: str = "fail",
     on_duplicate: str = "fail",
 ) -> list[str]:
-    """Stage one run of a stream and merge it into its month partitions."""
+    """Stage one run of a stream and merge it into its month partitions.
+
+    Change data is staged as one row per key, so it needs no check for duplicates.
+    """
+    if any(c.name == CDC_MARK for c in dictionary):
+        on_duplicate = "trust"
     staged = stage(
         raw, dictionary, execution_date,
         incremental=incremental and not full_refresh, date_from=date_from, on_error=on_error,

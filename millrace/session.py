@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -16,9 +16,17 @@ RESULT_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# A join side is broadcast on its measured size only. Before it runs, the size of a side
+# that opens documents or parses JSON is guessed from its files, and the guess can be far off.
+JOIN_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+}
+
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    for key, value in RESULT_SETTINGS.items():
+    for key, value in (RESULT_SETTINGS | JOIN_SETTINGS).items():
         spark.conf.set(key, value)
     return spark
 
@@ -36,3 +44,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="run-")
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows from a table written to the shared folder.
+
+    Cuts the lineage for what is used more than once, and outlives any executor.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import configs, merge, registry as registry_ops
 from millrace.operators.staging import stage, typed_view
 from millrace.plans import raw_stream, schema_docs
-from millrace.session import shared_folder
+from millrace.session import shared_folder, stored
 from workload import inputs
 from workload.registered import query
 
@@ -38,8 +38,8 @@ FIRST, SECOND = "1998-01-01", "1998-03-01"
 @query("merge_by_key", CHANGED_SQL + CHANGED_COLUMNS_SQL + " FROM merged")
 def merge_by_key(spark, sf_dir):
     raw, columns = inputs.changed_orders(spark, sf_dir), inputs.CHANGED_ORDER_COLUMNS
-    target = stage(raw, columns, FIRST)
-    source = stage(raw, columns, SECOND, incremental=True)
+    target = stored(stage(raw, columns, FIRST), "merge-target")
+    source = stored(stage(raw, columns, SECOND, incremental=True), "merge-source")
     return merge.merge(target, source)
 
 
