@@ -37,12 +37,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     Only a local master may fall back to a temporary folder: on a cluster a folder of the
     driver's machine is invisible to the executors.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
