@@ -75,8 +75,10 @@ def rename_key(entries: Column, old: Column, new: Column) -> Column:
 
 def rename_project_file(projects: DataFrame, old: Column, new: Column) -> DataFrame:
     """Project files: name and profile are replaced, the old name's model section moves."""
-    return projects.select(
-        new.alias("name"), new.alias("profile"), rename_key(F.col("models"), old, new).alias("models")
+    rows = projects.select("models", old.alias("_old"), new.alias("_new"))
+    return rows.select(
+        F.col("_new").alias("name"), F.col("_new").alias("profile"),
+        rename_key(F.col("models"), F.col("_old"), F.col("_new")).alias("models"),
     )
 
 

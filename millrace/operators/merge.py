@@ -49,12 +49,16 @@ def distinct_source(
     return latest_by(keyed, [key], [F.col(c) for c in order_by]).unionByName(keyless)
 
 
-def _keys(source: DataFrame, key: str) -> DataFrame:
-    """The keys of a stored source, broadcast if they measure small, joined by shuffle if not."""
-    keys = source.where(F.col(key).isNotNull()).select(key)
+def _few_keys(source: DataFrame, key: str) -> bool:
+    """Whether the keys of a stored source measure small enough to broadcast."""
     width = F.octet_length(F.col(key).cast("string")) + BYTES_PER_KEY
-    measured = keys.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(keys) if measured <= BROADCAST_BYTES else keys
+    return (source.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def _keys(source: DataFrame, key: str, few: bool) -> DataFrame:
+    """The keys of a source: broadcast if they are few, joined by shuffle if not."""
+    keys = source.where(F.col(key).isNotNull()).select(key)
+    return F.broadcast(keys) if few else keys
 
 
 def merge(
@@ -70,12 +74,13 @@ def merge(
     in one partition. Both sides are read more than once, so give it stored tables.
     """
     source = distinct_source(source, key, on_duplicate, order_by)
-    return _unmatched(target, source, key).unionByName(source.select(*target.columns))
+    unmatched = _unmatched(target, source, key, _few_keys(source, key))
+    return unmatched.unionByName(source.select(*target.columns))
 
 
-def _unmatched(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def _unmatched(target: DataFrame, source: DataFrame, key: str, few: bool) -> DataFrame:
     keyed = target.where(F.col(key).isNotNull())
-    kept = keyed.join(_keys(source, key), key, "left_anti").select(*target.columns)
+    kept = keyed.join(_keys(source, key, few), key, "left_anti").select(*target.columns)
     return kept.unionByName(target.where(F.col(key).isNull()))
 
 
@@ -83,20 +88,17 @@ def month_of(column: str) -> Column:
     return F.date_format(F.col(column), "yyyy-MM")
 
 
-def write_months(df: DataFrame, path: str, field: str, mode: str = "errorifexists") -> None:
-    """A table partitioned by month.
+def write_months(df: DataFrame, path: str, field: str, gather: bool = True) -> None:
+    """A new table partitioned by month.
 
-    Rebalancing by month writes few files per month and still splits a month that holds a
-    large part of the rows.
+    ``gather`` brings the rows of a month together first, so that tasks which hold all months
+    do not write a file for each; a month that holds a large part of the rows is still split.
+    Rows that lie in one month, or come month by month, need no such shuffle.
     """
-    (
-        df.withColumn(MONTH, month_of(field))
-        .hint("rebalance", MONTH)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+    dated = df.withColumn(MONTH, month_of(field))
+    if gather:
+        dated = dated.hint("rebalance", MONTH)
+    dated.write.mode("errorifexists").partitionBy(MONTH).parquet(path)
 
 
 def read_months(spark: SparkSession, path: str) -> DataFrame:
@@ -124,17 +126,19 @@ def merge_into_months(
     full_refresh: bool = False,
     on_duplicate: str = "fail",
     order_by: Sequence[str] = (),
+    one_month: bool = False,
 ) -> list[str]:
     """Merge a batch into a table partitioned by month; returns the months written.
 
     Only months that receive rows or lose a matched one are rewritten. Their new content is
     complete in the shared folder before the table changes, so a run that dies while
     publishing is finished by calling ``publish_months`` with that folder again.
+    ``one_month`` says that the batch lies within one month and need not be gathered.
     """
     spark = source.sparkSession
     exists = table_exists(spark, path)
     if not exists and on_duplicate == "trust":
-        write_months(source, path, field)
+        write_months(source, path, field, gather=not one_month)
         return _months(read_months(spark, path))
     batch = stored(source.withColumn(MONTH, month_of(field)), "merge-batch")
     batch = distinct_source(batch, key, on_duplicate, order_by)
@@ -143,16 +147,18 @@ def merge_into_months(
 
     staged = shared_folder(spark, "merge-months")
     if full_refresh or not exists:
-        write_months(batch.drop(MONTH), staged, field)
+        write_months(batch.drop(MONTH), staged, field, gather=not one_month)
         replaced = _months(read_months(spark, path)) if exists else []
         return publish_months(spark, staged, path, replaced)
 
     target = read_months(spark, path)
-    touched = target.select(key, MONTH).join(_keys(batch, key), key, "left_semi")
+    few = _few_keys(batch, key)
+    touched = target.select(key, MONTH).join(_keys(batch, key, few), key, "left_semi")
     months = sorted(set(_months(touched)) | set(_months(batch)))
     affected = target.where(F.col(MONTH).isin(months))
-    rewritten = _unmatched(affected, batch, key).unionByName(batch)
-    write_months(rewritten.drop(MONTH), staged, field)
+    rewritten = _unmatched(affected, batch, key, few).unionByName(batch)
+    # A broadcast join leaves the table's rows in their files, month by month.
+    write_months(rewritten.drop(MONTH), staged, field, gather=not (few and one_month))
     return publish_months(spark, staged, path, months)
 
 

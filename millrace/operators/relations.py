@@ -27,10 +27,14 @@ def relations_per_schema(nodes: DataFrame) -> DataFrame:
 
 
 def listed_relations(listing: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Catalog entries that are relations of the project, matched by schema and name."""
+    """Catalog entries that are relations of the project, matched by schema and name.
+
+    Owned names are made distinct in the partitioning the join needs anyway, so a name that
+    many projects share reaches the join once.
+    """
     owned = project_relations(nodes).select(
         F.col("schema").alias("table_schema"), F.col("relation").alias("table_name")
-    )
+    ).distinct()
     return listing.join(owned, ["table_schema", "table_name"], "left_semi")
 
 

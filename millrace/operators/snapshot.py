@@ -30,17 +30,19 @@ def snapshot(
 
     A key changed if one of the ``check`` columns differs, or if its ``updated_at`` is later
     than the open version's start. Closed versions never enter the join; keys that left the
-    source stay open.
+    source stay open. The source has one row per key; a row without a key matches nothing and
+    stays out of the join, where all such rows would meet in one partition.
     """
     if bool(check) == bool(updated_at):
         raise ValueError("give either check columns or updated_at")
     columns = source.columns
-    closed = history.where(F.col(VALID_TO).isNotNull())
+    keyless = F.col(key).isNull()
+    settled = history.where(F.col(VALID_TO).isNotNull() | keyless)
     started = F.col(updated_at) if updated_at else F.lit(str(at))
-    old = history.where(F.col(VALID_TO).isNull()).select(
+    old = history.where(F.col(VALID_TO).isNull() & ~keyless).select(
         F.col(key), F.struct(*columns, VALID_FROM).alias("old")
     )
-    new = source.select(
+    new = source.where(~keyless).select(
         F.col(key), F.struct(*columns, started.cast("timestamp").alias(VALID_FROM)).alias("new")
     )
     pairs = old.join(new, key, "full")
@@ -64,4 +66,8 @@ def snapshot(
         .otherwise(F.array(version("old", never)))
     )
     current = pairs.select(F.explode(versions).alias("v")).select("v.*")
-    return closed.select(*columns, VALID_FROM, VALID_TO).unionByName(current)
+    return (
+        settled.select(*columns, VALID_FROM, VALID_TO)
+        .unionByName(current)
+        .unionByName(first_snapshot(source.where(keyless), started))
+    )

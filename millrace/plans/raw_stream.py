@@ -44,5 +44,5 @@ def load_stream(
     )
     return merge_into_months(
         staged, path, full_refresh=full_refresh, on_duplicate=on_duplicate,
-        order_by=("ab_emitted_at", "ab_id"),
+        order_by=("ab_emitted_at", "ab_id"), one_month=True,
     )

@@ -90,6 +90,12 @@ def project_flags(configs: DataFrame) -> DataFrame:
     return configs.where("ord = 0").select("project", "config_key", "vars")
 
 
+def project_profiles(files: DataFrame) -> DataFrame:
+    """Every profile of every profile file, with its settings as text."""
+    return project_configs(files).select("project", F.col("config_key").alias("profile"),
+                                         F.col("vars").alias("settings"))
+
+
 def project_packages(files: DataFrame) -> DataFrame:
     """Packages that name both a package and a version."""
     return files.select("project", "content").mapInPandas(

@@ -111,6 +111,15 @@ def test_single_documents_are_read_like_lists(spark):
     assert documents.connections(df).first().connectionId == "c1"
 
 
+def test_documents_in_files(spark, tmp_path):
+    for i in range(3):
+        document = {"connections": [connection(connectionId=f"c{i}")]}
+        (tmp_path / f"{i}.json").write_text(json.dumps(document, indent=2))
+    files = documents.document_files(spark, str(tmp_path))
+    found = documents.connections(files).select("connectionId").collect()
+    assert sorted(r[0] for r in found) == ["c0", "c1", "c2"]
+
+
 def test_connection_lists(spark):
     many = catalog(spark, connection(), connection(connectionId="c2"), connection(connectionId="c3"))
     assert d.connections_of(many, ["c1", "c3"]).count() == 2

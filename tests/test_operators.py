@@ -74,6 +74,13 @@ def test_snapshot_by_check(spark):
         snapshot.snapshot(old, source, "id")
 
 
+def test_rows_without_a_key_never_match(spark):
+    old = history(spark, [(None, "a", "2024-01-01", None), (1, "a", "2024-01-01", None)])
+    source = spark.createDataFrame([(None, "a"), (1, "a")], "id long, v string")
+    got = snapshot.snapshot(old, source, "id", check=["v"], at="2024-02-01 00:00:00")
+    assert sorted(str(r.id) for r in got.collect()) == ["1", "None", "None"]
+
+
 RECORD = {"dbt_project_name": "p", "dbt_project_version": "1", "dbt_project_owner": "o",
           "dbt_project_endpoint_link": "l"}
 

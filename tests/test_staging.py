@@ -158,7 +158,7 @@ def test_a_month_that_loses_all_rows_is_emptied(spark):
 def test_publishing_again_is_harmless(spark):
     path, staged = shared_folder(spark, "t"), shared_folder(spark, "s")
     m.merge_into_months(table(spark, OLD), path)
-    m.write_months(table(spark, [(9, "z", "2024-01-09")]), staged, "execution_date")
+    m.write_months(table(spark, [(9, "z", "2024-01-09")]), staged, "execution_date", gather=False)
     for _ in range(2):
         m.publish_months(spark, staged, path, ["2024-01", "2024-02"])
     assert values(m.read_months(spark, path), "unique_id") == [(9,)]
@@ -192,3 +192,22 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.index("partial_max_by") > plan.index("Exchange")
     assert newest.count() == 20_001
     assert newest.where(F.col(RAW_DATA) == "{}").first()[RAW_ID] == "29997"
+
+
+def test_months_prune(spark):
+    path = shared_folder(spark, "t")
+    m.merge_into_months(table(spark, OLD), path)
+    one = m.read_months(spark, path).where(F.col("_month") == "2024-02")
+    text = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_month" in text and "_month#" in text
+    assert one.count() == 1
+
+
+def test_landed_day_bounds_reach_the_files(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw(spark, CHANGES).write.parquet(path)
+    from millrace.sources.landing import raw_landing
+
+    plan = stage(raw_landing(spark, path), CDC, "2024-01-03", incremental=True)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(_airbyte_emitted_at," in text

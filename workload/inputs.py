@@ -398,6 +398,16 @@ def flag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(project.alias("project"), content.alias("content"))
 
 
+def profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = wide_table(spark, sf_dir, "customer")
+    project = text("prj_", c.c_custkey)
+    content = text(
+        project, ":\n  target: dev\n  outputs:\n    dev:\n      type: bigquery\n"
+        "      dataset: set_", c.c_nationkey, "\n      threads: 35\n",
+    )
+    return c.select(project.alias("project"), content.alias("content"))
+
+
 def package_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = wide_table(spark, sf_dir, "customer")
     content = text(

@@ -132,6 +132,18 @@ def project_flags_scan(spark, sf_dir):
     )
 
 
+@query("project_profiles_scan", """
+    SELECT 'prj_' || c_custkey AS project, 'prj_' || c_custkey AS profile, 'dev' AS target,
+           'set_' || c_nationkey AS dataset
+    FROM customer""")
+def project_profiles_scan(spark, sf_dir):
+    profiles = projects.project_profiles(inputs.profile_files(spark, sf_dir))
+    return profiles.select(
+        "project", "profile", F.col("settings")["target"].alias("target"),
+        F.get_json_object(F.col("settings")["outputs"], "$.dev.dataset").alias("dataset"),
+    )
+
+
 @query("project_packages_scan", """
     SELECT 'prj_' || c_custkey AS project, package, version
     FROM customer, LATERAL (VALUES

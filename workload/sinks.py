@@ -247,3 +247,21 @@ def owner_update(spark, sf_dir):
 def project_rename(spark, sf_dir):
     new = F.concat(F.lit("shop_"), F.substring_index("project", "_", -1))
     return _shown(configs.rename(inputs.project_vars(spark, sf_dir), F.col("project"), new))
+
+
+@query("project_file_rename", """
+    SELECT 'shop_' || c_custkey AS name, 'shop_' || c_custkey AS profile,
+           c_mktsegment AS own_models, c_name AS meta
+    FROM customer""")
+def project_file_rename(spark, sf_dir):
+    c = inputs.table(spark, sf_dir, "customer")
+    old, new = inputs.text("prj_", c.c_custkey), inputs.text("shop_", c.c_custkey)
+    files = c.select(
+        old.alias("name"), new.alias("new_name"),
+        F.create_map(old, c.c_mktsegment, F.lit("+meta"), c.c_name).alias("models"),
+    )
+    renamed = configs.rename_project_file(files, F.col("name"), F.col("new_name"))
+    return renamed.select(
+        "name", "profile", F.col("models")[F.col("name")].alias("own_models"),
+        F.col("models")["+meta"].alias("meta"),
+    )
