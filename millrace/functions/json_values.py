@@ -178,11 +178,31 @@ def scalar_value(text: Column, data_type: str, spark_type: str, on_error: str =
     return cast_value(text, spark_type, on_error)
 
 
+# Date directives of the warehouse and Spark's letters for them.
+DATE_DIRECTIVES = {
+    "%Y": "yyyy", "%y": "yy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss",
+    "%j": "DDD", "%b": "MMM", "%B": "MMMM", "%F": "yyyy-MM-dd", "%T": "HH:mm:ss",
+}
+
+
+def date_pattern(date_format: str) -> str:
+    """Spark's pattern for a format in either notation."""
+    if "%" not in date_format:
+        return date_format
+    pattern = re.sub(
+        "%.", lambda m: DATE_DIRECTIVES.get(m.group(), m.group()),
+        re.sub("(?<!%)[A-Za-z]+", lambda m: f"'{m.group()}'", date_format),
+    )
+    if "%" in pattern:
+        raise ValueError(f"unknown directive in date format {date_format!r}")
+    return pattern
+
+
 def partition_date(data: Column, identifier: str, date_format: str | None = None) -> Column:
     """Partition date read from a field of the payload, by a format or as a timestamp."""
     text = F.get_json_object(data, json_path(identifier))
     if date_format:
-        return F.to_date(text, date_format)
+        return F.to_date(text, date_pattern(date_format))
     return text.cast("timestamp")
 
 

@@ -71,6 +71,15 @@ def read_source(
     return spark.table(source_name(source, table, target, model_uses_ml))
 
 
+def write_sample(df: DataFrame, source: str, table: str, target: Target) -> None:
+    """Store a sample as the table a test target reads for a source table."""
+    if not target.sampled:
+        raise ValueError(f"target {target.name} does not read samples")
+    dataset = quoted(f"{target.dataset}_{source}")
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {dataset}")
+    df.write.mode("overwrite").saveAsTable(source_name(source, table, target))
+
+
 def repeatable_sample(df: DataFrame, keys: list[str], fraction: float) -> DataFrame:
     """Rows whose key digest falls into the given share of all digests.
 

@@ -247,10 +247,11 @@ def test_source_redirect(spark):
     for target in (resolver.Target("bigquery", "prod", "proj", "branch"),
                    resolver.Target("snowflake", "test", "proj", "branch")):
         assert resolver.source_name("src", "t", target) == "`src`.`t`"
-    spark.sql("CREATE DATABASE IF NOT EXISTS branch_src")
-    spark.sql("CREATE OR REPLACE VIEW branch_src.t AS SELECT 7 AS x")
-    assert resolver.read_source(spark, "src", "t", test).first().x == 7
+    resolver.write_sample(spark.range(3), "src", "t", test)
+    assert resolver.read_source(spark, "src", "t", test).count() == 3
     spark.sql("DROP DATABASE branch_src CASCADE")
+    with pytest.raises(ValueError):
+        resolver.write_sample(spark.range(3), "src", "t", target)
 
 
 def test_samples_of_two_tables_still_join(spark):

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from millrace import session
 from millrace.functions.types import ColumnSpec
 from millrace.operators import configs, projects, quality, registry, snapshot, validation
+from millrace.plans.registry import change_registry
 from millrace.sources import projects as files
+from millrace.sources.registry import read_registry
 
 HOUR = datetime.timedelta(hours=1)
 AT = datetime.datetime(2024, 1, 10)
@@ -102,6 +104,15 @@ def test_registry_round_trip(spark):
         registry.insert(df, {k: v for k, v in RECORD.items() if k != "dbt_project_owner"})
 
 
+def test_stored_registry(spark, tmp_path):
+    folder, name = str(tmp_path), "data_catalog_metadata"
+    for _ in range(2):
+        change_registry(spark, folder, name, lambda df: registry.insert(df, RECORD, now=AT))
+    left = change_registry(spark, folder, name, lambda df: registry.delete(df, 1))
+    assert [r.id for r in left.collect()] == [2]
+    assert read_registry(spark, folder, "user_groups").count() == 0
+
+
 FLAGS = """
 API_SECRETS_DBT_PRJ_SHOP:
   DAG_OWNER: 'me'

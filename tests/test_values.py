@@ -177,3 +177,18 @@ def test_quote_ident(spark):
     df = spark.createDataFrame([(v,) for v in values], "n string")
     for row in df.select("n", names.quote_ident(F.col("n"), ["select"]).alias("q")).collect():
         assert row.q == values[row.n]
+
+
+@pytest.mark.parametrize("date_format, text", [
+    ("%Y%m%d", "20240203"), ("%d/%m/%Y", "03/02/2024"), ("yyyy-MM-dd", "2024-02-03"),
+    ("%Y-%m-%dT%H:%M:%S", "2024-02-03T04:05:06"), ("%F", "2024-02-03"),
+])
+def test_partition_date(spark, date_format, text):
+    df = spark.createDataFrame([(json.dumps({"a": {"day": text}}),)], "d string")
+    value = df.select(json_values.partition_date(F.col("d"), "a.day", date_format)).first()[0]
+    assert str(value) == "2024-02-03"
+
+
+def test_unknown_date_directives():
+    with pytest.raises(ValueError):
+        json_values.date_pattern("%Q")
