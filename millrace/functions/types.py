@@ -31,13 +31,17 @@ SPARK_TYPES = {
 
 @dataclass(frozen=True)
 class ColumnSpec:
-    """One line of a column dictionary."""
+    """One line of a column dictionary.
+
+    ``key_position`` orders the columns of a key, which need not be the order of the table.
+    """
 
     name: str
     identifier: str
     data_type: str
     description: str = ""
     is_key: bool = False
+    key_position: int = 0
 
 
 def dictionary_type(source_type: Column, identifier: Column, date_names: bool = False) -> Column:

@@ -183,6 +183,7 @@ def stream_columns(
         dictionary_type(F.col("leaf.source_type"), identifier, date_names).alias("data_type"),
         F.col("leaf.description").alias("description"),
         F.array_contains("primary_key", identifier).alias("is_key"),
+        F.array_position("primary_key", identifier).cast("int").alias("key_position"),
     )
 
 
@@ -196,6 +197,7 @@ def with_metadata_columns(columns: DataFrame, streams: DataFrame) -> DataFrame:
                 F.lit(after_all + i).alias("ord"), F.lit(n).alias("name"),
                 F.lit(ident).alias("identifier"), F.lit(dtype).alias("data_type"),
                 F.lit(text).alias("description"), F.lit(False).alias("is_key"),
+                F.lit(0).alias("key_position"),
             )
             for i, (n, ident, dtype, text) in enumerate(METADATA_COLUMNS)
         ]
@@ -208,7 +210,7 @@ def column_specs(columns: DataFrame) -> list[ColumnSpec]:
     """The dictionary of one stream, for building its projection. As wide as the table, no
     longer than a select list."""
     rows = columns.orderBy("ord").select(
-        "name", "identifier", "data_type", "description", "is_key"
+        "name", "identifier", "data_type", "description", "is_key", "key_position"
     )
     return [ColumnSpec(**row.asDict()) for row in rows.collect()]
 

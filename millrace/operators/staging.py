@@ -56,14 +56,17 @@ def landing_window(
 
 
 def source_columns(dictionary: Sequence[ColumnSpec]) -> list[ColumnSpec]:
+    """Columns read from the payload. Of two lines under one name the later one counts, in
+    the place of the first."""
     own = {UNIQUE_ID, *METADATA}
-    return [c for c in dictionary if c.name not in own]
+    return list({c.name: c for c in dictionary if c.name not in own}.values())
 
 
 def key_columns(dictionary: Sequence[ColumnSpec]) -> list[str]:
-    """Names of the key: the declared one, or the whole row where none is declared."""
+    """Names of the key: the declared one in its own order, or else the whole row."""
     columns = source_columns(dictionary)
-    return [c.name for c in columns if c.is_key] or [c.name for c in columns]
+    declared = sorted((c for c in columns if c.is_key), key=lambda c: c.key_position)
+    return [c.name for c in declared or columns]
 
 
 def typed_columns(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.types import ColumnSpec
 from millrace.operators import dictionary as d
 from millrace.operators import manifest, relations
+from millrace.operators.staging import key_columns
 from millrace.plans import cleanup, raw_stream, schema_docs
 from millrace.session import shared_folder
 from millrace.sources import documents, resolver
@@ -127,10 +128,18 @@ def test_connection_lists(spark):
 
 def test_column_specs_end_with_metadata(spark):
     specs = raw_stream.stream_dictionary(catalog(spark, connection()), "c1", "Order Lines")
-    assert specs[0] == ColumnSpec("id", "id", "integer", "", True)
+    assert specs[0] == ColumnSpec("id", "id", "integer", "", True, 1)
     assert [s.name for s in specs[-4:]] == ["execution_date", "ab_id", "ab_emitted_at", "unique_id"]
 
 
+def test_the_key_keeps_its_own_order(spark):
+    over = connection()
+    over["syncCatalog"]["streams"][0]["config"]["primaryKey"] = [["orderDate"], ["id"]]
+    specs = raw_stream.stream_dictionary(catalog(spark, over), "c1", "Order Lines")
+    assert key_columns(specs) == ["order_date", "id"]
+    assert key_columns([ColumnSpec("b", "b", "string"), ColumnSpec("a", "a", "string")]) == ["b", "a"]
+
+
 def destinations(spark):
     text = json.dumps({"destinations": [{
         "destinationId": "d1", "workspaceId": "w1", "destinationDefinitionId": "f1",

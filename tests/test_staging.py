@@ -211,3 +211,11 @@ def test_landed_day_bounds_reach_the_files(spark, tmp_path):
     plan = stage(raw_landing(spark, path), CDC, "2024-01-03", incremental=True)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(_airbyte_emitted_at," in text
+
+
+def test_one_name_is_one_column(spark):
+    df = raw(spark, [("1", "2024-01-01", '{"orderId": 1, "order_id": 2, "x": 3}')])
+    lines = [C("order_id", "orderId", "string"), C("x", "x", "integer"), C("order_id", "order_id", "integer")]
+    staged = stage(df, lines, "2024-01-01", key=["order_id"])
+    assert staged.columns[:2] == ["order_id", "x"]
+    assert values(staged, "order_id", "x", "unique_id") == [(2, 3, 2)]

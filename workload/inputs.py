@@ -234,7 +234,7 @@ def connection_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         '{"type": "string"}]}, '
         '"either": {"anyOf": [{"type": "string"}, {"type": "integer"}]}, '
         '"tags": {"type": "array"}, "mixed": {"type": ["string", "integer"]}, "bare": {}}}}, '
-        '"config": {"primaryKey": [["PartKey"], ["retailPrice"]]}}, '
+        '"config": {"primaryKey": [["retailPrice"], ["PartKey"]]}}, '
         '{"stream": {"name": "', F.initcap("p_type"), 'Stock", "jsonSchema": {"properties": {'
         '"_id": {"type": "string"}, "stockLevel": {"type": ["integer", "null"]}}}}, '
         '"config": {}}]}}]}',

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from millrace.operators import dictionary, projects, registry as registry_ops, relations
 from millrace.sources import documents
 from workload import inputs

@@ -62,9 +62,9 @@ def typed_payload_columns(spark, sf_dir):
 @query("staged_from_catalog", """
     SELECT p_partkey AS part_key, CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(38,9)) AS retail_price,
            'Brand ' || p_size AS detail_maker_brand,
-           md5(p_partkey || '-' || regexp_replace(regexp_replace(
-             CAST(CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(38,9)) AS VARCHAR), '0+$', ''), '\\.$', ''))
-             AS unique_id
+           md5(regexp_replace(regexp_replace(
+             CAST(CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(38,9)) AS VARCHAR), '0+$', ''), '\\.$', '')
+             || '-' || p_partkey) AS unique_id
     FROM part""")
 def staged_from_catalog(spark, sf_dir):
     """A stream staged by the dictionary its own catalog entry yields."""

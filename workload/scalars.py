@@ -10,8 +10,6 @@ from millrace.operators.relations import qualified, relation_type
 from workload import inputs
 from workload.registered import query
 
-IDENTIFIER_SQL = "'  _' || replace(initcap_name, ' ', '') || '.' || p_brand || ' ' || p_type"
-
 
 @query("standard_names", f"""
     WITH i AS (SELECT p_partkey, '__' || p_brand || 'Id.' || p_name || ' ' || p_type || 'X2Go' AS identifier

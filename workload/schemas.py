@@ -12,7 +12,7 @@ from workload.registered import query
 @query("catalog_streams", inputs.CATALOG_SQL + """
     SELECT DISTINCT "connectionId", stream, lower(replace(p_brand, '#', '_')) || '_' AS prefix,
            CASE WHEN s = 1 THEN lower(p_type) END AS namespace,
-           CASE WHEN s = 1 THEN 'PartKey,retailPrice' ELSE '' END AS primary_key
+           CASE WHEN s = 1 THEN 'retailPrice,PartKey' ELSE '' END AS primary_key
     FROM leaves""")
 def catalog_streams(spark, sf_dir):
     return dictionary.streams(inputs.connections(spark, sf_dir)).select(
@@ -24,7 +24,8 @@ def catalog_streams(spark, sf_dir):
 @query("raw_dictionary", inputs.CATALOG_SQL + f"""
     SELECT "connectionId", stream, CAST(ord AS INTEGER) AS ord,
            {inputs.sql_standard_name("identifier")} AS name, identifier,
-           kind AS data_type, description, s = 1 AND ord < 2 AS is_key
+           kind AS data_type, description, s = 1 AND ord < 2 AS is_key,
+           CAST(CASE WHEN s = 1 AND ord < 2 THEN 2 - ord ELSE 0 END AS INTEGER) AS key_position
     FROM leaves""")
 def raw_dictionary(spark, sf_dir):
     return dictionary.stream_columns(dictionary.streams(inputs.connections(spark, sf_dir)))
@@ -34,7 +35,8 @@ def raw_dictionary(spark, sf_dir):
     SELECT "connectionId", stream, CAST(ord AS INTEGER) AS ord,
            {inputs.sql_standard_name("identifier")} AS name, identifier,
            CASE WHEN kind = 'string' AND lower(identifier) LIKE '%date%' THEN 'timestamp' ELSE kind END
-             AS data_type, description, s = 1 AND ord < 2 AS is_key
+             AS data_type, description, s = 1 AND ord < 2 AS is_key,
+           CAST(CASE WHEN s = 1 AND ord < 2 THEN 2 - ord ELSE 0 END AS INTEGER) AS key_position
     FROM leaves""")
 def typed_dictionary(spark, sf_dir):
     return dictionary.stream_columns(
