@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from millrace.llm.common import ORACLES, QUERIES
 
 from millrace.llm import (  # noqa: E402,F401  each module registers its query
-    mixing, toxicity, exact_dedup, warc, language, sharding,
+    mixing, toxicity, exact_dedup, warc, language, jaccard_join, quality, sharding, pieces,
 )
 
 # Executors need no copy of this folder: what tasks run is sent along with them.

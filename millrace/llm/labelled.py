@@ -29,6 +29,12 @@ def with_label(docs: DataFrame, labels: DataFrame, name: str, how: str = "left")
     return docs.select("doc_id", "text").join(known, "doc_id", how)
 
 
+def sampled(rows: DataFrame, about: int) -> DataFrame:
+    """All rows, or by a hash of doc_id and text about so many of them."""
+    share = min(1.0, about / max(1, rows.count()))
+    return rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
+
+
 def with_margins(
     docs: DataFrame, scorer: Callable[[], Callable[[pa.RecordBatch], np.ndarray]], name: str,
 ) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import query, table
-from millrace.llm.labelled import fold, probability, sigmoid_fit, with_label, with_margins
+from millrace.llm.labelled import fold, probability, sampled, sigmoid_fit, with_label, with_margins
 from millrace.llm.tokens import KINDS, slices, text_column
 from millrace.session import stored
 
@@ -38,7 +38,7 @@ BINS = 4_194_301
 DISCOUNT = 0.75
 #: What is left of the shortest contexts goes to so many bytes alike.
 SYMBOLS = 64
-#: Labelled texts on which the probability is fitted, at most (the models read all of them).
+#: About so many labelled texts the probability is fitted on (the models read all of them).
 FIT_ROWS = 8_000
 THRESHOLD = 0.7
 #: Below so many held distinct sequences a task goes on adding up before it hands them over.
@@ -247,9 +247,8 @@ def with_toxicity(docs: DataFrame, corpus: DataFrame, labels: DataFrame, train:
         return docs.withColumn("toxicity", F.lit(0.0))
     slope, offset = 1.0, 0.0
     if halves is not None:
-        unseen = (
-            with_label(corpus.where(train & (fold("doc_id", 8) % 2 == 1)), labels, "toxic", "inner")
-            .orderBy(F.xxhash64("doc_id")).limit(FIT_ROWS)
+        unseen = sampled(
+            with_label(corpus.where(train & (fold("doc_id", 8) % 2 == 1)), labels, "toxic", "inner"), FIT_ROWS
         )
         fitted = with_difference(unseen.select("text", "label"), halves, "margin").select("margin", "label").toArrow()
         margin, label = fitted.column("margin").to_numpy(), fitted.column("label").to_numpy()
