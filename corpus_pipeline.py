@@ -1,30 +1,49 @@
-"""From raw documents to token ids: toxic texts go, copies go, sources are mixed, texts encoded.
+"""From raw documents to token ids.
 
-Each stage gets the rows that the one before it kept, written as Parquet and read again.
+Toxic texts go, copies go, near copies go, sources are mixed, texts are encoded. Each stage gets the rows
+that the one before it kept, written as Parquet and read again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, mixing
+from millrace.llm import exact_dedup, jaccard_join, mixing, pieces, toxicity
 from millrace.llm.common import table
 from millrace.session import stored
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that score below the threshold of the toxicity operator."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: the one with the largest doc_id."""
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of texts that share 80 of 100 shingles of five words: the smallest doc_id."""
+    return jaccard_join.keep_first(docs, 5, 80)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same rows, in the order in which the sources take turns."""
+    """The same rows, written in the order in which the sources take turns."""
     return mixing.in_mix_order(docs)
 
 
-STAGES = [("exact dedup", exact), ("mixing", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same rows with the ids of their texts."""
+    return pieces.with_ids(docs, pieces.vocabulary())
+
+
+STAGES = [
+    ("toxicity", drop_toxic), ("exact dedup", drop_copies), ("n-gram Jaccard join", drop_near_copies),
+    ("mixing", mix), ("pieces", encode),
+]
 
-#: Learned scores and token ids have no SQL twin.
+#: Learned scores and piece ids have no SQL twin.
 ORACLE_SQL = None
 
 
