@@ -50,7 +50,8 @@ def vocabulary(path: str = MODEL) -> dict:
             special.append(i)
         else:
             pieces[text], scores[text] = i, loaded.get_score(i)
-    return {"pieces": pieces, "scores": scores, "bytes": of_byte, "special": special}
+    key = hashlib.sha256(repr(sorted(pieces.items())).encode()).hexdigest()
+    return {"pieces": pieces, "scores": scores, "bytes": of_byte, "special": special, "key": key}
 
 
 class Codec(dict):
@@ -217,15 +218,15 @@ class Codec(dict):
         return self.shown[at].tobytes()[1:]
 
 
-def _codec(shared) -> Codec:
+def _codec(shared, key: str) -> Codec:
     """One codec for all tasks of a worker: what it remembers serves the next task, too."""
     import pyspark
 
     kept = pyspark.__dict__.setdefault("_piece_codecs", {})
-    if shared._id not in kept:
+    if key not in kept:
         kept.clear()
-        kept[shared._id] = Codec(shared.value)
-    return kept[shared._id]
+        kept[key] = Codec(shared.value)
+    return kept[key]
 
 
 def _encoded(batch: pa.RecordBatch, codec: Codec) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -238,10 +239,10 @@ def _encoded(batch: pa.RecordBatch, codec: Codec) -> Iterator[tuple[int, int, li
 def with_ids(docs: DataFrame, found: dict, name: str = "ids") -> DataFrame:
     """``docs`` with the ids of their texts, array<int>; a column of that name is replaced."""
     columns = [c for c in docs.columns if c != name]
-    shared = docs.sparkSession.sparkContext.broadcast(found)
+    shared, key = docs.sparkSession.sparkContext.broadcast(found), found["key"]
 
     def encode(batches):
-        codec = _codec(shared)
+        codec = _codec(shared, key)
         for batch in batches:
             for low, high, packed in _encoded(batch, codec):
                 offsets = np.concatenate(([0], np.cumsum([len(p) // 4 for p in packed]))).astype(np.int32)
@@ -256,10 +257,10 @@ def with_ids(docs: DataFrame, found: dict, name: str = "ids") -> DataFrame:
 def with_text(encoded: DataFrame, found: dict, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """``encoded`` with the texts of its ids; NULL ids have an empty one."""
     columns = [c for c in encoded.columns if c != name]
-    shared = encoded.sparkSession.sparkContext.broadcast(found)
+    shared, key = encoded.sparkSession.sparkContext.broadcast(found), found["key"]
 
     def decode(batches):
-        codec = _codec(shared)
+        codec = _codec(shared, key)
         for batch in batches:
             at = batch.schema.get_field_index(ids)
             for low in range(0, len(batch), 256):
@@ -277,10 +278,10 @@ def digests(docs: DataFrame, found: dict) -> DataFrame:
     ``round_trip``: the ids read as the text again, NULL as empty. The vocabulary writes a
     blank as U+2581, so a text's own U+2581 reads as a blank.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(found)
+    shared, key = docs.sparkSession.sparkContext.broadcast(found), found["key"]
 
     def digest(batches):
-        codec = _codec(shared)
+        codec = _codec(shared, key)
         for batch in batches:
             texts = batch.column(1)
             for low, high, packed in _encoded(batch, codec):

@@ -80,10 +80,11 @@ def shard(
     ``shard`` is the prefix of bits, empty if all fits into one; behind a key's own 128 bits a
     dot and bits of the row's digest follow, behind those a number sign and the run of equal
     rows, depth counting the bits. NULL in a key column reads as an empty text. The
-    shards of an empty table are none. Column names of ``docs`` may not begin with ``_`` or ``shard``.
+    shards of an empty table are none. Columns of the four names are replaced; no other may begin with
+    an underscore.
     """
-    columns = docs.columns
-    sized = docs.withColumn("_bytes", size)
+    columns = [c for c in docs.columns if c not in ("shard", "shard_depth", "shard_bytes", "shard_rows")]
+    sized = docs.select(*columns, size.alias("_bytes"))
     total = sized.agg(F.sum("_bytes")).first()[0] or 0
     depth = min(BITS, ceil(log2(max(1.0, total / limit))) + SPARE_BITS)
     digests = [key_bits(key), digest_bits(F.md5(F.to_json(F.struct(*columns))))]
@@ -102,9 +103,9 @@ def shard(
                 F.min("_bits").alias("low"), F.max("_bits").alias("high"),
             )
             directory = stored(_directory(cells, limit), "shard-directory")
-            fits = directory.where("shard IS NOT NULL").select("_path", "_cell", "shard.*")
+            fits = directory.where("shard IS NOT NULL").select("_path", "_cell", "shard.*").withColumnRenamed("prefix", "_prefix")
             done.append(placed.join(fits, ["_path", "_cell"]).select(
-                *columns, F.concat("_path", "prefix").alias("shard"),
+                *columns, F.concat("_path", "_prefix").alias("shard"),
                 (F.col("shard_depth") + before).alias("shard_depth"), "shard_bytes", "shard_rows",
             ))
             over = directory.where("shard IS NULL")
@@ -116,7 +117,7 @@ def shard(
                     F.lit(BITS), _common_bits("low", "high") + _bits_for(F.col("bytes"), limit)
                 ).cast("int").alias("_deep"),
             )
-            spent = over.where(F.col("_to") == BITS).select("_path", "_cell", "bytes")
+            spent = over.where(F.col("_to") == BITS).select("_path", "_cell", F.col("bytes").alias("_over"))
             if deeper.isEmpty():
                 break
             # a cell that has spent its bits waits at its last bit until the others have, too
@@ -129,7 +130,7 @@ def shard(
         rows = placed.join(spent, ["_path", "_cell"]).select(
             *columns, "_bytes", F.concat("_path", "_cell", F.lit(".")).alias("_path"),
             F.lit(0).alias("_from"),
-            F.least(F.lit(BITS), _bits_for(F.col("bytes"), limit)).alias("_to"),
+            F.least(F.lit(BITS), _bits_for(F.col("_over"), limit)).alias("_to"),
         )
     done.append(_runs(rows, columns, limit))
     return _union(done)
@@ -160,8 +161,13 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder for each shard, each written by one task: its size is under the limit."""
-    named = sharded.withColumn("shard", F.concat(F.lit("b"), "shard"))
+    """One folder for each shard, each written by one task: its size is under the limit.
+
+    Folders are named by the shard's bits, behind ``b``; long names end in the MD5 of the whole.
+    """
+    long = F.concat(F.substring("shard", 1, 96), F.lit("-"), F.md5("shard"))
+    name = F.concat(F.lit("b"), F.when(F.length("shard") > 128, long).otherwise(F.col("shard")))
+    named = sharded.withColumn("shard", name)
     named.repartition("shard").write.partitionBy("shard").parquet(path)
 
 
