@@ -171,15 +171,15 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
 
 def base32(hex_digest: Column) -> Column:
-    """A SHA-1 in hex as upper-case base 32."""
+    """A SHA-1 in hex as upper-case base 32, digit by digit."""
     bits = F.concat(*[
         F.lpad(F.conv(F.substring(hex_digest, at, 10), 16, 2), 40, "0") for at in range(1, 41, 10)
     ])
-    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    return F.concat(*[
-        F.substring(F.lit(alphabet), F.conv(F.substring(bits, at, 5), 2, 10).cast("int") + 1, 1)
-        for at in range(1, 161, 5)
-    ])
+    fives = F.regexp_extract_all(bits, F.lit("[01]{5}"), F.lit(0))
+    alphabet = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+    return F.array_join(F.transform(
+        fives, lambda five: F.substring(alphabet, F.conv(five, 2, 10).cast("int") + 1, 1)
+    ), "")
 
 
 def with_roles(pages: DataFrame, smallest: int = 0) -> DataFrame:
