@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm.common import equal, query, table, with_group
+from millrace.session import stored
 
 LOW, HIGH = 512, 4096
 #: A cut falls behind a sentence's end; the second branch takes the rest, or HIGH characters.
@@ -67,10 +68,11 @@ def exact_groups(
     recipes = recipes.withColumn("variants", F.lit(None).cast("array<struct<pos:int,variant:int>>"))
     if not ambiguous.isEmpty():
         recipes = _with_variants(recipes, texts, ambiguous, hashed)
-    rows = (
+    rows = stored(
         recipes.withColumn("variants", F.coalesce("variants", F.array()))
         .groupBy("doc_id", "_sha", "recipe", "variants")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        .agg(F.count(F.lit(1)).alias("copies")),
+        "recipes",
     )
     grouped = with_group(
         rows, ["recipe", "variants"], ["doc_id"],
