@@ -9,10 +9,12 @@ agree in a whole word: that word, with its place, is the join key.
 How many words there are depends on the size, so sizes are cut into bands. A set takes part in the
 band of its own size, and in the next one if a set from there could still be similar.
 
-Equal words only say which sets to look at. What a chain of them ties together is compared in
-blocks: first full sketches, whose distance must stay within the bound, then the shingles
-themselves. Pairs that are connected already are not compared, and a block returns the
-links that connect, at most one for each text, never its pairs.
+Equal words only say which sets to look at. The pairs that a word ties together, if it is the word
+of few sets, must pass the bound on a second sketch, of one size for all. Where many sets have
+a word, no pairs are made: they are tied in a chain. What all ties hold together is compared
+in blocks, first by full sketches, then by the shingles themselves. Pairs that are connected
+already are not compared, and a block returns the links that connect, at most one for each
+text, never its pairs.
 
 Shingles are 64-bit hashes of their words; sets are the same when their size and 128 bits of
 their hashes are.
@@ -36,6 +38,10 @@ from millrace.session import stored
 
 #: Each band's sizes go up to about this many times its smallest.
 BAND = 1.6
+#: Sets that share a word are paired up to so many, and tied in a chain beyond.
+PAIRED = 16
+#: 64-bit words of the second sketch.
+PLAIN_WORDS = 16
 #: Texts of one block; two blocks are compared in one task.
 BLOCK = 1024
 #: So many rows of two numbers are broadcast at most, more are shuffled.
@@ -94,18 +100,51 @@ def sketch(shingles: np.ndarray, count: int, seed: int) -> np.ndarray:
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, one, two: size and marks of each row's set."""
+    """doc_id, n, one, two, plain: size, marks and second sketch of each row's set."""
 
     def describe(batches):
         for batch in batches:
-            facts = [(len(s), *_marks(s)) for s in _sets(batch, width)]
-            n, one, two = zip(*facts) if facts else ((), (), ())
+            facts = [(len(s), *_marks(s), sketch(s, PLAIN_WORDS, 1)) for s in _sets(batch, width)]
+            n, one, two, plain = zip(*facts) if facts else ((), (), (), ())
+            flat = np.concatenate(plain).view(np.int64) if facts else np.zeros(0, np.int64)
+            ends = np.arange(len(facts) + 1, dtype=np.int32) * PLAIN_WORDS
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64())],
-                ["doc_id", "n", "one", "two"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                ["doc_id", "n", "one", "two", "plain"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, n long, one long, two long")
+    return docs.select("doc_id", "text").mapInArrow(
+        describe, "doc_id long, n long, one long, two long, plain array<long>"
+    )
+
+
+def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of sets, by their first mark, that may be linked or chain sets that may be.
+
+    A word's rows are two numbers each. Each set has many words, so that even the words
+    of a group with a third of all sets are a small part of the rows, on as many tasks as words.
+    """
+    by_word = Window.partitionBy("key")
+    before = by_word.orderBy("one").rowsBetween(1 - PAIRED, -1)
+    shared = (
+        entries.repartition(F.col("key")).dropDuplicates(["key", "one"])
+        .withColumn("many", F.count(F.lit(1)).over(by_word)).where("many > 1")
+        .withColumn("before", F.collect_list("one").over(before))
+        .withColumn("chained", F.col("many") > PAIRED)
+    )
+    pairs = shared.select(
+        F.explode(F.when(F.col("chained"), F.slice("before", -1, 1)).otherwise(F.col("before"))).alias("a"),
+        F.col("one").alias("b"), "chained",
+    ).distinct()
+    facts = described.where("n > 0").select("one", "n", "plain").distinct()
+    side = lambda name: facts.select(*[F.col(c).alias(d) for c, d in zip(facts.columns, (name, f"n_{name}", f"plain_{name}"))])
+    apart = F.aggregate(
+        F.zip_with("plain_a", "plain_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
+    )
+    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    near = (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)) & (small * 100 >= large * percent)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(F.col("chained") | near).select("a", "b")
 
 
 def _entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -234,11 +273,7 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     """
     described = stored(_described(docs, width), "shingle-sets")
     real = described.where("n > 0 AND doc_id IS NOT NULL")
-    by_key = Window.partitionBy("key").orderBy("one")
-    tied = (
-        _entries(docs, width, percent).withColumn("a", F.lag("one").over(by_key))
-        .where("a <> one").select("a", F.col("one").alias("b")).distinct()
-    )
+    tied = _ties(_entries(docs, width, percent), described, percent)
     candidates = components(tied)
     classes = real.groupBy("n", "one", "two").agg(F.min("doc_id").alias("doc_id"))
     chosen = stored(
