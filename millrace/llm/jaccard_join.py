@@ -4,17 +4,18 @@ A text is the set of its shingles. For sets of sizes a and b, a Jaccard similari
 means that at most (a + b)(1 - t) / (1 + t) shingles lie in one set only. Each shingle
 flips one bit of a sketch, so shingles of both sets cancel out and two sketches differ in no more
 bits than that. A sketch has one 64-bit word more than shingles may differ, hence linked sets
-agree in a whole word: that word, with its place, is the join key.
+agree in a whole word: that word, with its place, is the join key. Words into which no shingle
+falls are alike in all sets, so a sketch has some more words than that, and as long as fewer
+than these are empty, linked sets agree in one that is not; empty words are left out then.
 
 How many words there are depends on the size, so sizes are cut into bands. A set takes part in the
 band of its own size, and in the next one if a set from there could still be similar.
 
-Equal words only say which sets to look at. The pairs that a word ties together, if it is the word
-of few sets, must pass the bound on a second sketch, of one size for all. Where many sets have
-a word, no pairs are made: they are tied in a chain. What all ties hold together is compared
-in blocks, first by full sketches, then by the shingles themselves. Pairs that are connected
-already are not compared, and a block returns the links that connect, at most one for each
-text, never its pairs.
+Equal words only say which sets to look at. Pairs of sets with a word in common must keep the bound
+on a second sketch, of one size for all. Where many sets have a word, no pairs are made: they
+meet in blocks, and a block returns ties that connect what keeps the bound, at most one for
+each set. What the ties connect is compared in blocks again, now by the shingles themselves.
+Pairs that are connected already are not compared, and again only links that connect come out.
 
 Shingles are 64-bit hashes of their words; sets are the same when their size and 128 bits of
 their hashes are.
@@ -38,7 +39,7 @@ from millrace.session import stored
 
 #: Each band's sizes go up to about this many times its smallest.
 BAND = 1.6
-#: Sets that share a word are paired up to so many, and tied in a chain beyond.
+#: Sets that share a word are paired up to so many, and compared in blocks beyond.
 PAIRED = 16
 #: 64-bit words of the second sketch.
 PLAIN_WORDS = 16
@@ -78,8 +79,8 @@ def differing(total: int, percent: int) -> int:
     return total * (100 - percent) // (100 + percent)
 
 
-def bands(size: int, percent: int) -> list[tuple[int, int]]:
-    """(smallest size of the band, words of its sketches) for each band that a set takes part in."""
+def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
+    """(smallest size, words of a sketch, spare words) of each band that a set takes part in."""
     low, high = 1, 1
     while high < size:
         low, high = high + 1, max(high + 1, int(high * BAND))
@@ -87,16 +88,24 @@ def bands(size: int, percent: int) -> list[tuple[int, int]]:
     upper = (high + 1, max(high + 1, int(high * BAND)))
     if size * 100 >= percent * upper[0]:
         found.append(upper)
-    return [(low, differing(2 * high, percent) + 1) for low, high in found]
+    return [(low, *_words_for(low, high, percent)) for low, high in found]
 
 
-def sketch(shingles: np.ndarray, count: int, seed: int) -> np.ndarray:
-    """``count`` words of 64 bits, one of which each shingle flips."""
+def _words_for(low: int, high: int, percent: int) -> tuple[int, int]:
+    """So many words that linked sets agree in one more than are spare."""
+    needed = differing(2 * high, percent) + 1
+    smallest = max(1.0, low * percent / 100)
+    spare = 1 + int(2 * needed * np.exp(-smallest / needed))
+    return needed + spare, spare
+
+
+def sketch(shingles: np.ndarray, count: int, seed: int, with_filled: bool = False):
+    """``count`` words of 64 bits, one of which each shingle flips; and which of them it fell into."""
     spread = mix(shingles + np.uint64(seed))
-    place = (spread >> np.uint64(6)) % np.uint64(count)
+    place = ((spread >> np.uint64(6)) % np.uint64(count)).astype(np.int64)
     out = np.zeros(count, np.uint64)
-    np.bitwise_xor.at(out, place.astype(np.int64), np.uint64(1) << (spread & np.uint64(63)))
-    return out
+    np.bitwise_xor.at(out, place, np.uint64(1) << (spread & np.uint64(63)))
+    return (out, np.bincount(place, minlength=count) > 0) if with_filled else out
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
@@ -120,10 +129,10 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of sets, by their first mark, that may be linked or chain sets that may be.
+    """(a, b): ties between sets, by their first mark, that connect all sets which may be linked.
 
-    A word's rows are two numbers each. Each set has many words, so that even the words
-    of a group with a third of all sets are a small part of the rows, on as many tasks as words.
+    A word's rows are two numbers each, and a set has many words: even the words of a group with a
+    third of all sets are a small part of the rows each.
     """
     by_word = Window.partitionBy("key")
     before = by_word.orderBy("one").rowsBetween(1 - PAIRED, -1)
@@ -131,12 +140,9 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
         entries.repartition(F.col("key")).dropDuplicates(["key", "one"])
         .withColumn("many", F.count(F.lit(1)).over(by_word)).where("many > 1")
         .withColumn("before", F.collect_list("one").over(before))
-        .withColumn("chained", F.col("many") > PAIRED)
+        .withColumn("before", F.when(F.col("many") <= PAIRED, F.col("before")))
     )
-    pairs = shared.select(
-        F.explode(F.when(F.col("chained"), F.slice("before", -1, 1)).otherwise(F.col("before"))).alias("a"),
-        F.col("one").alias("b"), "chained",
-    ).distinct()
+    shared = stored(shared, "shared-words")
     facts = described.where("n > 0").select("one", "n", "plain").distinct()
     side = lambda name: facts.select(*[F.col(c).alias(d) for c, d in zip(facts.columns, (name, f"n_{name}", f"plain_{name}"))])
     apart = F.aggregate(
@@ -144,7 +150,46 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     )
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     near = (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)) & (small * 100 >= large * percent)
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(F.col("chained") | near).select("a", "b")
+    pairs = shared.select(F.explode("before").alias("a"), F.col("one").alias("b")).distinct()
+    few = pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b")
+    crowded = shared.where("before IS NULL").select(
+        "key", "one", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks")
+    )
+    many = _in_blocks(crowded.join(facts, "one"), "key", "one", ["n", "plain"], crowded.count() // BLOCK)
+
+    def tie(frame: pd.DataFrame) -> pd.DataFrame:
+        return _connected(
+            frame, "key", "one",
+            lambda part: (part["n"].to_numpy(), np.stack(part["plain"].to_numpy()).view(np.uint64), None), percent,
+        )
+
+    return few.unionByName(many.applyInPandas(tie, "a long, b long"))
+
+
+def _in_blocks(rows: DataFrame, group: str, key: str, columns: list[str], buckets: int):
+    """Rows grouped so that any two rows of a ``group`` meet in a task, of two blocks at most.
+
+    ``blocks`` is the number of blocks of a row's group; groups of one block share tasks.
+    """
+    placed = rows.withColumn("split", F.col("blocks") > 1).withColumn(
+        "bucket", F.when(F.col("split"), F.col(group)).otherwise(F.pmod(F.xxhash64(group), F.lit(max(1, buckets))))
+    ).withColumn("side", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"))
+    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        group, key, *columns, "side", "split", "bucket",
+        F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
+    ).groupBy("split", "bucket", "low", "high")
+
+
+def _connected(frame: pd.DataFrame, group: str, key: str, described, percent: int) -> pd.DataFrame:
+    """(a, b): what ``connect`` finds in each group of a task's rows."""
+    pairs = []
+    crossed = frame["low"].iloc[0] != frame["high"].iloc[0]
+    for _, part in frame.groupby(group, sort=False):
+        if len(part) > 1:
+            ids = part[key].to_numpy()
+            found = connect(*described(part), part["side"].to_numpy(), crossed, percent)
+            pairs += [(ids[i], ids[j]) for i, j in found]
+    return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
 
 
 def _entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -161,10 +206,13 @@ def _entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 if two in known:
                     continue
                 known.add(two)
-                for low, count in bands(len(shingles), percent):
+                for low, count, spare in bands(len(shingles), percent):
+                    own, filled = sketch(shingles, count, low, True)
                     place = np.arange(count, dtype=np.uint64) + np.uint64(low << 32)
-                    keys.append(mix(sketch(shingles, count, low) + mix(place)))
-                    marks.append(np.full(count, one, np.int64))
+                    if count - filled.sum() <= spare:
+                        own, place = own[filled], place[filled]
+                    keys.append(mix(own + mix(place)))
+                    marks.append(np.full(len(own), one, np.int64))
                     held += count
                 if held > 1 << 16:
                     yield _pairs(keys, marks)
@@ -181,20 +229,19 @@ def _pairs(keys: list[np.ndarray], marks: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def connect(
-    sets: list[np.ndarray], side: np.ndarray, crossed: bool, percent: int,
+    size: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray] | None, side: np.ndarray,
+    crossed: bool, percent: int,
 ) -> list[tuple[int, int]]:
-    """Links (i, j) that connect all sets which links connect, as few as needed.
+    """Pairs (i, j) that connect all sets which near pairs connect, as few as needed.
 
+    Near are pairs whose sketches keep the bound and, if ``sets`` are given, that are similar.
     With ``crossed`` only sets of different sides are compared.
     """
-    size = np.array([len(s) for s in sets])
     order = np.argsort(size, kind="stable")
-    size, side = size[order], side[order]
-    count = differing(2 * int(size[-1]), percent) // 16 + 4
-    sketches = np.stack([sketch(sets[i], count, 0) for i in order])
-    group, found = np.arange(len(sets)), []
+    size, side, sketches = size[order], side[order], sketches[order]
+    group, found = np.arange(len(size)), []
     ends = np.searchsorted(size * percent, size * 100, "right")
-    for i in range(len(sets)):
+    for i in range(len(size)):
         span = slice(i + 1, ends[i])
         open_ = group[span] != group[i]
         if crossed:
@@ -204,7 +251,7 @@ def connect(
             continue
         apart = np.bitwise_count(sketches[near] ^ sketches[i]).sum(axis=1, dtype=np.int64)
         for j in near[apart * (100 + percent) <= (size[near] + size[i]) * (100 - percent)]:
-            if group[j] != group[i] and _similar(sets[order[i]], sets[order[j]], percent):
+            if group[j] != group[i] and (sets is None or _similar(sets[order[i]], sets[order[j]], percent)):
                 found.append((int(order[i]), int(order[j])))
                 group[group == group[j]] = group[i]
     return found
@@ -220,12 +267,6 @@ def _links(docs: DataFrame, chosen: DataFrame, width: int, percent: int) -> Data
     """(a, b): links among the chosen texts (doc_id, component), enough to connect them."""
     small = chosen.count()
     sizes = chosen.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    buckets = max(1, small // BLOCK)
-    placed = (
-        chosen.join(sizes, "component")
-        .withColumn("bucket", F.when(F.col("blocks") > 1, F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(buckets))))
-        .withColumn("side", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    )
     wanted = chosen.select("doc_id", "one", "two")
     texts = docs.select("doc_id", "text").join(
         F.broadcast(wanted.select("doc_id")) if small <= BROADCAST_ROWS else wanted.select("doc_id"),
@@ -243,23 +284,19 @@ def _links(docs: DataFrame, chosen: DataFrame, width: int, percent: int) -> Data
             )
 
     held = texts.mapInArrow(sets, "doc_id long, one long, two long, shingles binary")
-    rows = held.join(placed, ["doc_id", "one", "two"]).dropDuplicates(["doc_id", "one", "two"])
-    other = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", "doc_id", "shingles", "side", (F.col("blocks") > 1).alias("split"), "bucket",
-        F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
-    )
+    rows = held.join(chosen.join(sizes, "component"), ["doc_id", "one", "two"]).dropDuplicates(["doc_id", "one", "two"])
+    blocks = _in_blocks(rows, "component", "doc_id", ["shingles"], small // BLOCK)
+
+    def described(part: pd.DataFrame):
+        found = [np.frombuffer(b, np.uint64) for b in part["shingles"]]
+        size = np.array([len(s) for s in found])
+        words_ = differing(2 * int(size.max()), percent) // 16 + 4
+        return size, np.stack([sketch(s, words_, 0) for s in found]), found
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        pairs = []
-        crossed = frame["low"].iloc[0] != frame["high"].iloc[0]
-        for _, part in frame.groupby("component", sort=False):
-            if len(part) < 2:
-                continue
-            ids, found = part["doc_id"].to_numpy(), [np.frombuffer(b, np.uint64) for b in part["shingles"]]
-            pairs += [(ids[i], ids[j]) for i, j in connect(found, part["side"].to_numpy(), crossed, percent)]
-        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
-
-    return other.groupBy("split", "bucket", "low", "high").applyInPandas(compare, "a long, b long")
+        return _connected(frame, "component", "doc_id", described, percent)
+
+    return blocks.applyInPandas(compare, "a long, b long")
 
 
 def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
