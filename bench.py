@@ -19,7 +19,7 @@ HEADLINES = (
     "latest_change_per_user", "typed_projection", "merge_by_key", "merge_into_months",
     "month_partitions", "unique_test", "test_report", "source_freshness", "monitored_metrics",
     "snapshot_by_check", "raw_dictionary", "typed_source_tables", "landing_format_chain",
-    "task_totals", "drop_plan", "project_flags_scan", "config_override",
+    "task_totals", "drop_plan", "config_override", "orphaned_access",
 )
 
 

@@ -34,21 +34,22 @@ def _is_string(value: Column) -> Column:
 class ParsedJson:
     """The leaves a dictionary asks for, read from a JSON text column in a single parse.
 
-    The parse target is a struct with one string per scalar leaf and one VARIANT per array
-    leaf. Leaves a struct cannot hold, such as ``b`` next to ``b.c`` or names that differ in
-    case only, are read by path instead.
+    The parse target is a struct with one VARIANT per leaf, which keeps numbers of up to 38
+    digits exact where text would go through a double. Leaves a struct cannot hold, such as
+    ``b`` next to ``b.c`` or names that differ in case only, are read by path instead.
     """
 
     def __init__(self, data: str, leaves: Mapping[str, bool]):
         """``leaves`` maps identifier -> whether it is read as an array."""
         self.data = data
         self.struct_leaves, self.path_leaves = split_leaves(leaves)
-        self.schema = struct_schema({k: leaves[k] for k in self.struct_leaves})
+        self.schema = struct_schema(self.struct_leaves)
 
-    def column(self) -> Column:
-        if not self.schema.fields:
-            return F.lit(None).cast("struct<_none:string>")
-        return F.from_json(F.col(self.data), self.schema)
+    def column(self, on_error: str = "fail") -> Column:
+        """The parsed leaves; with ``fail`` a text that is no JSON object is an error."""
+        schema = self.schema if self.schema.fields else T.StructType([T.StructField("_none", T.VariantType())])
+        mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
+        return F.from_json(F.col(self.data), schema, {"mode": mode})
 
     def _leaf(self, parsed: str, identifier: str) -> Column:
         value = F.col(parsed)
@@ -64,31 +65,31 @@ class ParsedJson:
     def scalar(self, parsed: str, identifier: str) -> Column:
         """Text of a scalar; NULL for a missing path, a JSON null, an object or an array.
 
-        Only text that opens like a container needs a second look at the row, to tell a
-        container from a string that holds JSON.
+        Only text that opens like a container needs a second look, to tell a container from a
+        string that holds JSON.
         """
+        value = self._value(parsed, identifier)
+        text = F.try_variant_get(value, "$", "string")
+        return F.when(_is_container_text(text), F.when(_is_string(value), text)).otherwise(text)
+
+    def _value(self, parsed: str, identifier: str) -> Column:
         if identifier in self.struct_leaves:
-            text = self._leaf(parsed, identifier)
-        else:
-            text = F.get_json_object(F.col(self.data), json_path(identifier))
-        return F.when(
-            _is_container_text(text), F.when(_is_string(self._variant(identifier)), text)
-        ).otherwise(text)
+            return self._leaf(parsed, identifier)
+        return self._variant(identifier)
 
     def array_parts(self, parsed: str, identifier: str) -> Column:
         """Elements of an array as JSON text; NULL if the value is not an array."""
-        if identifier in self.struct_leaves:
-            value = self._leaf(parsed, identifier)
-        else:
-            value = self._variant(identifier)
         return F.transform(
-            F.try_variant_get(value, "$", "array<variant>"), lambda e: F.to_json(e)
+            F.try_variant_get(self._value(parsed, identifier), "$", "array<variant>"),
+            lambda e: F.to_json(e),
         )
 
     def array_text(self, parts: Column, identifier: str) -> Column:
         """Elements one after the other, nested ones with their keys as the document has them.
 
-        A VARIANT object sorts its keys, so arrays that hold containers are read again.
+        A VARIANT object sorts its keys, so arrays that hold containers are read again; numbers
+        inside these are written as a double prints them. Others keep up to 38 digits and lose
+        zeros at the end.
         """
         as_written = F.from_json(
             F.get_json_object(F.col(self.data), json_path(identifier)), "array<string>"
@@ -129,14 +130,14 @@ def split_leaves(identifiers: Iterable[str]) -> tuple[list[str], list[str]]:
     return fits, rest
 
 
-def struct_schema(leaves: Mapping[str, bool]) -> T.StructType:
+def struct_schema(leaves: Iterable[str]) -> T.StructType:
     tree: dict = {}
-    for identifier, is_array in leaves.items():
+    for identifier in leaves:
         *parents, leaf = identifier.split(".")
         node = tree
         for step in parents:
             node = node.setdefault(step, {})
-        node[leaf] = T.VariantType() if is_array else T.StringType()
+        node[leaf] = T.VariantType()
 
     def build(node: dict) -> T.StructType:
         return T.StructType(

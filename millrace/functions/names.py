@@ -64,12 +64,16 @@ def raw_dataset(namespace_format: Column, default: Column) -> Column:
 
 
 def typed_dataset(namespace_format: Column, namespace: Column, default: Column) -> Column:
-    """Dataset of a typed landing table: the format with the stream's namespace filled in."""
+    """Dataset of a typed landing table: the format with the stream's namespace filled in.
+
+    A connection without a format lands in its destination's dataset.
+    """
     has_namespace = F.coalesce(namespace, F.lit("")) != ""
-    return F.when(
+    filled = F.when(
         has_namespace,
         F.replace(namespace_format, F.lit(NAMESPACE_PLACEHOLDER), namespace),
-    ).otherwise(F.coalesce(namespace_format, default))
+    ).otherwise(namespace_format)
+    return F.coalesce(filled, default)
 
 
 def target_schema(branch: Column, prefix: str) -> Column:

@@ -75,7 +75,7 @@ def landing_format(image_tag: Column) -> Column:
     release = F.transform(F.split(part(2), r"\."), lambda n: n.cast("decimal(38,0)"))
     padded = F.concat(release, F.array_repeat(F.lit(0).cast("decimal(38,0)"), 3))
     last_v1 = F.array(*[F.lit(n).cast("decimal(38,0)") for n in LAST_V1_RELEASE])
-    head, rest = F.slice(padded, 1, 3), F.slice(padded, 4, 1000)
+    head, rest = F.slice(padded, 1, 3), F.slice(padded, F.lit(4), F.size(padded))
     longer = F.exists(rest, lambda n: n > 0)
     # Equal release numbers: later only as a post-release or a local build of the final one.
     after_final = (part(3) == "") & ((part(4) != "") | ((part(5) == "") & (part(6) != "")))

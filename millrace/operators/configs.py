@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # The key pattern of a configuration and the flags that hold its project's name.
 KEY_INFIX = "_DBT_PRJ_"
@@ -19,15 +20,21 @@ def as_text(vars: Column) -> Column:
 def override(configs: DataFrame, overrides: DataFrame) -> DataFrame:
     """Configurations after an update: a given key replaces that key whole, others stay.
 
-    New keys only join projects that exist.
+    New keys only join projects that exist. A project that is given something has all of its
+    flags written as text; the others stay as they are.
     """
     known = configs.select("project").distinct()
     given = overrides.join(known, "project", "left_semi").select(
         "project", "config_key", F.col("vars").alias("_given"), F.lit(True).alias("_replaced")
     )
-    return configs.join(given, ["project", "config_key"], "full").select(
+    updated = given.select("project").distinct().withColumn("_updated", F.lit(True))
+    merged = configs.join(given, ["project", "config_key"], "full").select(
         "project", "config_key",
-        as_text(F.when(F.col("_replaced"), F.col("_given")).otherwise(F.col("vars"))).alias("vars"),
+        F.when(F.col("_replaced"), F.col("_given")).otherwise(F.col("vars")).alias("vars"),
+    )
+    return merged.join(updated, "project", "left").select(
+        "project", "config_key",
+        F.when(F.col("_updated"), as_text(F.col("vars"))).otherwise(F.col("vars")).alias("vars"),
     )
 
 
@@ -45,7 +52,9 @@ def set_owner(configs: DataFrame, project: Column, owner: Column) -> DataFrame:
 def rename(configs: DataFrame, old: str | Column, new: str | Column) -> DataFrame:
     """Configurations of one project, or of each row's own, under a new project name.
 
-    The key keeps its prefix. A row whose key does not belong to the old name is an error.
+    The first key that belongs to the old name, in order of the keys, keeps its prefix and
+    is renamed together with the flags that hold the name; a project's other keys stay as they
+    are. A project without such a key is an error.
     """
     names = [
         (F.lit(n) if isinstance(n, str) else n).alias(alias)
@@ -54,17 +63,32 @@ def rename(configs: DataFrame, old: str | Column, new: str | Column) -> DataFram
     rows = configs.select("project", "config_key", "vars", *names)
     old, new, key = F.col("_old"), F.col("_new"), F.col("config_key")
     suffix = F.concat(F.lit(KEY_INFIX), F.upper(old))
+    # a project has a handful of keys
+    first = F.min(F.when(F.endswith(key, suffix), key)).over(Window.partitionBy("project"))
+    own = F.coalesce(key == F.col("_first"), F.lit(False))
+    fault = F.raise_error(F.concat(F.lit("no configuration key for project "), old))
     prefix = F.substring_index(key, KEY_INFIX, 1)
-    renamed = F.when(
-        F.endswith(key, suffix), F.concat(prefix, F.lit(KEY_INFIX), F.upper(new))
-    ).otherwise(F.raise_error(F.concat(F.lit("no configuration key for project "), old)))
     values = F.transform_values(
         "vars",
         lambda k, v: F.when(k.isin(*NAMED_FLAGS), F.replace(v, old, new)).otherwise(v),
     )
-    return rows.select(
+    return rows.withColumn("_first", first).select(
         F.when(F.col("project") == old, new).otherwise(F.col("project")).alias("project"),
-        renamed.alias("config_key"), values.alias("vars"),
+        F.when(F.col("_first").isNull(), fault)
+        .when(own, F.concat(prefix, F.lit(KEY_INFIX), F.upper(new))).otherwise(key).alias("config_key"),
+        F.when(own, values).otherwise(F.col("vars")).alias("vars"),
+    )
+
+
+def rename_profiles(profiles: DataFrame, old: Column, new: Column) -> DataFrame:
+    """Profile files: the profile under the old name moves to the new one, others stay.
+
+    ``profiles`` holds the project and a map of its profiles.
+    """
+    rows = profiles.select("project", "profiles", old.alias("_old"), new.alias("_new"))
+    return rows.select(
+        F.when(F.col("project") == F.col("_old"), F.col("_new")).otherwise(F.col("project")).alias("project"),
+        rename_key(F.col("profiles"), F.col("_old"), F.col("_new")).alias("profiles"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import names
 from millrace.functions.types import ColumnSpec, dictionary_type, single_type
+from millrace.session import looked_up
 from millrace.sources.landing import RAW_DATA, RAW_ID, RAW_TIME, TYPED_TIME
 
 PROPERTY = "type string, airbyte_type string, anyOf array<string>, properties string, description string"
@@ -139,23 +140,33 @@ def _opened(entry: Column) -> Column:
     return F.when(entry["inner"].isNull(), F.array(entry)).otherwise(children)
 
 
+def _nesting(text: Column) -> Column:
+    """How deep the objects of a JSON text lie in one another; braces in strings do not count."""
+    strings = r'"(?:[^"\\]++|\\.)*+"'
+    braces = F.split(F.regexp_replace(text, strings + "|[^{}]", ""), "")
+    return F.aggregate(
+        braces,
+        F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")),
+        lambda s, b: F.when(
+            b == "{", F.struct((s["at"] + 1).alias("at"), F.greatest(s["most"], s["at"] + 1).alias("most"))
+        ).when(b == "}", F.struct((s["at"] - 1).alias("at"), s["most"].alias("most"))).otherwise(s),
+        lambda s: s["most"],
+    )
+
+
 def flattened_properties(properties: Column) -> Column:
     """Leaves of a property schema, in document order, with dotted identifiers.
 
-    Each round opens one level. A document cannot nest deeper than the number of times it
-    says ``properties``, so that many rounds always suffice, and rounds after the last open
-    entry do nothing.
+    Each round opens one level, which is two levels of braces: the properties, and each one's
+    schema. So half the depth of the document in rounds always suffices.
     """
     top = F.flatten(
         F.transform(
             _properties(properties), lambda p: _top_level(p["name"], p["schema"], p["kind"])
         )
     )
-    mark = '"properties"'
-    without = F.length(F.replace(properties, F.lit(mark), F.lit("")))
-    deepest = (F.length(properties) - without) / len(mark)
     return F.aggregate(
-        F.sequence(F.lit(0), deepest.cast("int")),
+        F.sequence(F.lit(0), (_nesting(properties) / 2).cast("int")),
         top,
         lambda entries, _: F.when(
             F.exists(entries, lambda e: e["inner"].isNotNull()),
@@ -188,13 +199,12 @@ def stream_columns(
 
 
 def with_metadata_columns(columns: DataFrame, streams: DataFrame) -> DataFrame:
-    """Raw staging tables end with four columns of their own."""
+    """Raw staging tables end with four columns of their own, a section behind the properties."""
     keep = [c for c in columns.columns if c in streams.columns]
-    after_all = 1_000_000_000  # above any position a property can have
     lines = F.array(
         *[
             F.struct(
-                F.lit(after_all + i).alias("ord"), F.lit(n).alias("name"),
+                F.lit(1).alias("section"), F.lit(i).alias("ord"), F.lit(n).alias("name"),
                 F.lit(ident).alias("identifier"), F.lit(dtype).alias("data_type"),
                 F.lit(text).alias("description"), F.lit(False).alias("is_key"),
                 F.lit(0).alias("key_position"),
@@ -203,13 +213,14 @@ def with_metadata_columns(columns: DataFrame, streams: DataFrame) -> DataFrame:
         ]
     )
     own = streams.select(*keep, F.explode(lines).alias("c")).select(*keep, "c.*")
-    return columns.unionByName(own)
+    return columns.withColumn("section", F.lit(0)).unionByName(own)
 
 
 def column_specs(columns: DataFrame) -> list[ColumnSpec]:
     """The dictionary of one stream, for building its projection. As wide as the table, no
     longer than a select list."""
-    rows = columns.orderBy("ord").select(
+    order = [c for c in ("section", "ord") if c in columns.columns]
+    rows = columns.orderBy(*order).select(
         "name", "identifier", "data_type", "description", "is_key", "key_position"
     )
     return [ColumnSpec(**row.asDict()) for row in rows.collect()]
@@ -222,8 +233,7 @@ def connections_of(connections: DataFrame, connection_ids: Sequence[str]) -> Dat
 def with_destination(connections: DataFrame, destinations: DataFrame, workspace_id: str | None = None) -> DataFrame:
     """Connections with their destination's settings, optionally of one workspace.
 
-    No broadcast is forced: the optimizer picks one when the destinations measure small, and
-    splits a skewed partition when they do not.
+    Destinations that measure small are broadcast, so that the connections stay where they are.
     """
     if workspace_id is not None:
         destinations = destinations.where(F.col("workspaceId") == workspace_id)
@@ -233,7 +243,7 @@ def with_destination(connections: DataFrame, destinations: DataFrame, workspace_
         F.col("connectionConfiguration.database").alias("warehouse_database"),
         F.col("connectionConfiguration.dataset_id").alias("dataset_id"),
     )
-    return connections.join(settings, "destinationId")
+    return connections.join(looked_up(settings), "destinationId")
 
 
 def raw_sources(streams: DataFrame, destinations: DataFrame) -> DataFrame:
@@ -297,10 +307,13 @@ def landing_formats(connections: DataFrame, destinations: DataFrame, definitions
     """Landing format of every connection; NULL where a link of the chain is missing."""
     from millrace.functions.types import landing_format
 
+    tags = looked_up(definitions.select("destinationDefinitionId", "dockerImageTag"))
+    formats = (
+        destinations.select("destinationId", "destinationDefinitionId")
+        .join(tags, "destinationDefinitionId", "left")
+        .select("destinationId", landing_format(F.col("dockerImageTag")).alias("init_version"))
+    )
     return (
         connections.select("connectionId", "destinationId")
-        .join(destinations.select("destinationId", "destinationDefinitionId"), "destinationId", "left")
-        .join(definitions.select("destinationDefinitionId", "dockerImageTag"),
-              "destinationDefinitionId", "left")
-        .select("connectionId", landing_format(F.col("dockerImageTag")).alias("init_version"))
+        .join(looked_up(formats), "destinationId", "left").select("connectionId", "init_version")
     )

@@ -41,13 +41,19 @@ def item_counts(manifests: DataFrame) -> DataFrame:
 
 
 def counts_by_type(nodes: DataFrame) -> DataFrame:
-    """Items of each type over all projects, from one row per node."""
-    return (
+    """Items of each type over all projects, from one row per node; 0 for a type without any."""
+    kinds = [i[:-1] for i in ITEM_SECTIONS]
+    counted = (
         nodes.where(
             (F.coalesce("package_name", F.lit("")) != MONITORING_PACKAGE)
-            & F.col("resource_type").isin([i[:-1] for i in ITEM_SECTIONS])
+            & F.col("resource_type").isin(kinds)
             & ((F.col("resource_type") == "source") == (F.col("section") == "sources"))
         )
         .groupBy("resource_type")
         .agg(F.count("*").alias("n_items"))
     )
+    # five rows, one for each type
+    every = nodes.sparkSession.createDataFrame([(k,) for k in kinds], "resource_type string")
+    return F.broadcast(every).join(counted, "resource_type", "left").select(
+        "resource_type", F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items")
+    )

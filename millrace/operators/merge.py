@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.staging import latest_by
-from millrace.session import shared_folder, stored
+from millrace.session import folder_names, remove_folder, shared_folder, stored
 
 MONTH = "_month"
+# Fixed value: Spark's folder for rows without a partition value.
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 # Keys are broadcast up to this many bytes, an allowance per key included.
 BROADCAST_BYTES = 256 << 20
@@ -74,6 +76,8 @@ def merge(
     in one partition. Both sides are read more than once, so give it stored tables.
     """
     source = distinct_source(source, key, on_duplicate, order_by)
+    if on_duplicate == "latest":
+        source = stored(source, "merge-source")  # its keys are measured, joined and its rows added
     unmatched = _unmatched(target, source, key, _few_keys(source, key))
     return unmatched.unionByName(source.select(*target.columns))
 
@@ -127,19 +131,17 @@ def merge_into_months(
     on_duplicate: str = "fail",
     order_by: Sequence[str] = (),
     one_month: bool = False,
-) -> list[str]:
+) -> list[str | None]:
     """Merge a batch into a table partitioned by month; returns the months written.
 
     Only months that receive rows or lose a matched one are rewritten. Their new content is
     complete in the shared folder before the table changes, so a run that dies while
-    publishing is finished by calling ``publish_months`` with that folder again.
+    publishing is finished by calling ``publish_months`` with that folder again; one that dies
+    earlier, a first load too, is simply run again. Rows without a date form a month of their own.
     ``one_month`` says that the batch lies within one month and need not be gathered.
     """
     spark = source.sparkSession
     exists = table_exists(spark, path)
-    if not exists and on_duplicate == "trust":
-        write_months(source, path, field, gather=not one_month)
-        return _months(read_months(spark, path))
     batch = stored(source.withColumn(MONTH, month_of(field)), "merge-batch")
     batch = distinct_source(batch, key, on_duplicate, order_by)
     if on_duplicate == "latest":
@@ -148,39 +150,58 @@ def merge_into_months(
     staged = shared_folder(spark, "merge-months")
     if full_refresh or not exists:
         write_months(batch.drop(MONTH), staged, field, gather=not one_month)
-        replaced = _months(read_months(spark, path)) if exists else []
-        return publish_months(spark, staged, path, replaced)
+        return _finish(spark, staged, path, months_of(spark, path))
 
     target = read_months(spark, path)
     few = _few_keys(batch, key)
     touched = target.select(key, MONTH).join(_keys(batch, key, few), key, "left_semi")
-    months = sorted(set(_months(touched)) | set(_months(batch)))
-    affected = target.where(F.col(MONTH).isin(months))
+    months = _in_order(set(_months(touched)) | set(_months(batch)))
+    named = F.coalesce(F.col(MONTH).isin([m for m in months if m is not None]), F.lit(False))
+    affected = target.where(named | F.col(MONTH).isNull() if None in months else named)
     rewritten = _unmatched(affected, batch, key, few).unionByName(batch)
-    # A broadcast join leaves the table's rows in their files, month by month.
-    write_months(rewritten.drop(MONTH), staged, field, gather=not (few and one_month))
-    return publish_months(spark, staged, path, months)
+    write_months(rewritten.drop(MONTH), staged, field)
+    return _finish(spark, staged, path, months)
+
+
+def _finish(spark: SparkSession, staged: str, path: str, months: Sequence[str | None]) -> list[str | None]:
+    """Publish, and clear the staged copy once that has succeeded."""
+    published = publish_months(spark, staged, path, months)
+    remove_folder(spark, staged)
+    return published
+
 
+def months_of(spark: SparkSession, path: str) -> list[str | None]:
+    """Months of a stored table, from the names of its folders."""
+    named = [n.removeprefix(f"{MONTH}=") for n in folder_names(spark, path) if n.startswith(f"{MONTH}=")]
+    return _in_order({None if n == NO_MONTH else n for n in named})
 
-def publish_months(spark: SparkSession, staged: str, path: str, months: Sequence[str]) -> list[str]:
+
+def publish_months(
+    spark: SparkSession, staged: str, path: str, months: Sequence[str | None]
+) -> list[str | None]:
     """Put staged months in place of the table's; safe to repeat.
 
     A month of ``months`` that has no staged rows is emptied.
     """
-    rows = read_months(spark, staged)
-    present = set(_months(rows))
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
-    emptied = sorted(set(months) - present)
+    present = set(months_of(spark, staged))
+    if present:
+        (
+            read_months(spark, staged).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH)
+            .parquet(path)
+        )
+    emptied = _in_order(set(months) - present)
     if emptied:
-        nothing = spark.createDataFrame([], rows.drop(MONTH).schema)
+        nothing = read_months(spark, path).drop(MONTH).limit(0)
         for month in emptied:
-            nothing.write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
-    return sorted(present | set(emptied))
+            nothing.write.mode("overwrite").parquet(f"{path}/{MONTH}={month or NO_MONTH}")
+    return _in_order(present | set(emptied))
+
+
+def _in_order(months: set) -> list:
+    """Months in order, the one of rows without a date first."""
+    return sorted(months, key=lambda m: (m is not None, m or ""))
 
 
 def _months(df: DataFrame) -> list[str]:

@@ -70,7 +70,13 @@ def last_commits(commits: DataFrame) -> DataFrame:
     return commits.groupBy("project").agg(newest.alias("m")).select("project", "m.*")
 
 
-def project_info(flags: DataFrame, customer: str, domain: str) -> DataFrame:
+def project_info(flags: DataFrame, dated: DataFrame, customer: str, domain: str) -> DataFrame:
+    """What is known of each project: flags with their defaults, dates, path and links.
+
+    ``dated`` holds project, repo_path and the two dates, as ``with_dates`` gives them; a project
+    that it lacks has none.
+    """
+    flags = flags.join(dated.select("project", "repo_path", "created_at", "last_modified"), "project", "left")
     quality, docs = flag("DATA_QUALITY", "False"), flag("DBT_DOCS_ENABLED", "True")
     project = F.col("project")
     return flags.select(
@@ -79,6 +85,7 @@ def project_info(flags: DataFrame, customer: str, domain: str) -> DataFrame:
         flag("AIRBYTE_CONNECTION_ID").alias("airbyte_id"),
         flag("AIRBYTE_WORKSPACE_ID").alias("airbyte_workspace"),
         flag("DAG_ID", default_dag()).alias("airflow_dag_name"),
+        "repo_path", "created_at", "last_modified",
         quality.alias("data_quality_enabled"),
         docs.alias("dbt_docs_enabled"),
         flag("PROJECT_LEVEL").alias("dbt_project_level"),

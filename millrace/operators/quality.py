@@ -116,21 +116,38 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+COLUMN_METRICS = ("null_count", "min", "max")
+
+
+def _number(df: DataFrame, column: str, value: Column) -> Column:
+    """A value as a number: instants and days in seconds, truth as 0 and 1, text if it is one."""
+    kind = df.schema[column].dataType.typeName()
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_seconds(value.cast("timestamp")).cast("double")
+    return value.try_cast("double") if kind in ("string", "varchar", "char") else value.cast("double")
+
+
 def monitored_metrics(
     df: DataFrame, time_filter: str, columns: Mapping[str, Sequence[str]] | Sequence[str]
 ) -> DataFrame:
     """Daily metrics of a monitored table: rows, freshness, and per column NULLs, min, max.
 
+    A mapping lists the metrics wanted of each column; a plain list of columns wants all. The
+    least and greatest text that is no number has no value. Integers are exact up to 2^53.
     One aggregate by day; a busy day is reduced in every task before the shuffle.
     """
-    columns = list(columns)
+    wanted = dict(columns) if isinstance(columns, Mapping) else dict.fromkeys(columns, COLUMN_METRICS)
+    unknown = {m for metrics in wanted.values() for m in metrics} - set(COLUMN_METRICS)
+    if unknown:
+        raise ValueError(f"unknown metrics: {', '.join(sorted(unknown))}")
+    columns = list(wanted)
     aggs = [F.count("*").alias("row_count"), F.max(time_filter).alias("latest")]
     for i, c in enumerate(columns):
         col = F.col(f"`{c}`")
         aggs += [
             F.count(F.when(col.isNull(), 1)).alias(f"nulls{i}"),
-            F.min(col).cast("double").alias(f"min{i}"),
-            F.max(col).cast("double").alias(f"max{i}"),
+            _number(df, c, F.min(col)).alias(f"min{i}"),
+            _number(df, c, F.max(col)).alias(f"max{i}"),
         ]
     daily = df.groupBy(F.to_date(time_filter).alias("day")).agg(*aggs)
 
@@ -146,9 +163,6 @@ def monitored_metrics(
         line(None, "freshness", day_end - F.unix_timestamp(F.col("latest").cast("timestamp"))),
     ]
     for i, c in enumerate(columns):
-        lines += [
-            line(c, "null_count", F.col(f"nulls{i}")),
-            line(c, "min", F.col(f"min{i}")),
-            line(c, "max", F.col(f"max{i}")),
-        ]
+        values = {"null_count": f"nulls{i}", "min": f"min{i}", "max": f"max{i}"}
+        lines += [line(c, m, F.col(values[m])) for m in COLUMN_METRICS if m in wanted[c]]
     return daily.select("day", F.explode(F.array(*lines)).alias("m")).select("day", "m.*")

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import looked_up
+
 # The columns of both registries, of user groups and of resource access.
 METADATA_SCHEMA = (
     "id int, avatars_url string, dbt_project_name string, dbt_project_version string, "
@@ -78,11 +80,15 @@ def delete(registry: DataFrame, record_id: int) -> DataFrame:
 
 
 def orphaned_access(access: DataFrame, groups: DataFrame, registry: DataFrame) -> DataFrame:
-    """Access rows whose group or resource does not exist."""
+    """Access rows whose group or resource does not exist.
+
+    Both are looked up; access rows, of which one group may hold a large part, stay in place
+    while the ids measure small.
+    """
     group, resource = groups.select("group_id"), registry.select(F.col("id").alias("resource_id"))
     flagged = (
-        access.join(group.withColumn("_group", F.lit(True)), "group_id", "left")
-        .join(resource.withColumn("_resource", F.lit(True)), "resource_id", "left")
+        access.join(looked_up(group.withColumn("_group", F.lit(True))), "group_id", "left")
+        .join(looked_up(resource.withColumn("_resource", F.lit(True))), "resource_id", "left")
     )
     return flagged.where(F.col("_group").isNull() | F.col("_resource").isNull()).select(
         "access_id", "group_id", "resource_id", "access_type",

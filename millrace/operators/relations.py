@@ -10,6 +10,18 @@ from millrace.functions.names import quote_ident
 # Resource types that own a relation, and catalog types with a drop command.
 RELATION_TYPES = ("model", "seed", "snapshot")
 DROPPABLE = {"BASE TABLE": "TABLE", "VIEW": "VIEW"}
+# Words that no plain name may be in the dialects that quote by need.
+RESERVED = (
+    "all", "analyse", "analyze", "and", "any", "array", "as", "asc", "asymmetric", "both", "case",
+    "cast", "check", "collate", "column", "constraint", "create", "current_date", "current_role",
+    "current_time", "current_timestamp", "current_user", "default", "deferrable", "desc",
+    "distinct", "do", "else", "end", "except", "false", "fetch", "for", "foreign", "from", "grant",
+    "group", "having", "in", "initially", "intersect", "into", "join", "lateral", "leading",
+    "limit", "localtime", "localtimestamp", "not", "null", "offset", "on", "only", "or", "order",
+    "placing", "primary", "references", "returning", "select", "session_user", "some", "symmetric",
+    "table", "then", "to", "trailing", "true", "union", "unique", "user", "using", "variadic",
+    "view", "when", "where", "window", "with",
+)
 DIALECTS = ("bigquery", "snowflake", "redshift", "postgres", "fabric", "spark")
 
 
@@ -27,15 +39,16 @@ def relations_per_schema(nodes: DataFrame) -> DataFrame:
 
 
 def listed_relations(listing: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Catalog entries that are relations of the project, matched by schema and name.
+    """Catalog entries that are relations of the project, matched by database, schema and name.
 
     Owned names are made distinct in the partitioning the join needs anyway, so a name that
     many projects share reaches the join once.
     """
     owned = project_relations(nodes).select(
-        F.col("schema").alias("table_schema"), F.col("relation").alias("table_name")
+        F.col("database").alias("table_catalog"), F.col("schema").alias("table_schema"),
+        F.col("relation").alias("table_name"),
     ).distinct()
-    return listing.join(owned, ["table_schema", "table_name"], "left_semi")
+    return listing.join(owned, ["table_catalog", "table_schema", "table_name"], "left_semi")
 
 
 def relation_type(table_type: Column) -> Column:
@@ -60,7 +73,7 @@ def qualified(dialect: str, *parts: Column) -> Column:
     if dialect == "spark":
         tick = F.lit("`")
         return dotted([F.concat(tick, F.replace(p, tick, F.lit("``")), tick) for p in parts])
-    return dotted([quote_ident(p) for p in parts])
+    return dotted([quote_ident(p, RESERVED) for p in parts])
 
 
 def drop_plan(

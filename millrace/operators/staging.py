@@ -25,12 +25,15 @@ def latest_by(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> Dat
     """One row per key, the greatest in ``order``; NULLs order last and NULL keys are one key.
 
     As an aggregate rather than a ranked window: each task reduces its own rows before the
-    shuffle, so a key that holds a large part of the data costs one row per task.
+    shuffle, so a key that holds a large part of the data costs one row per task. The aggregate
+    sorts, led by eight bytes of hash: keys that begin alike are compared to their end only
+    where they are equal, or share a hash.
     """
     rest = [c for c in df.columns if c not in key]
+    keys = [F.col(f"`{c}`") for c in key]
     newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*order))
     return (
-        df.groupBy(*[F.col(f"`{c}`") for c in key])
+        df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
         .agg(newest.alias("_newest"))
         .select(*[
             F.col(f"`{c}`") if c in key else F.col("_newest").getField(c).alias(c)
@@ -88,7 +91,7 @@ def typed_columns(
             parsed.scalar("_parsed", spec.identifier), spec.data_type, spark_type, on_error
         )
 
-    rows = raw.withColumn("_parsed", parsed.column())
+    rows = raw.withColumn("_parsed", parsed.column(on_error))
     rows = rows.withColumns({name: parsed.array_parts("_parsed", i) for i, name in parts.items()})
     return rows.select(
         *[value(c).alias(c.name) for c in columns],

@@ -24,7 +24,25 @@ LENGTHS = {
     "package": (1, 255),
     "version": (1, 16),
     "branch_name": (1, 255),
+    "gcp_project_id": (1, 255),
+    "gcp_project_region": (1, 255),
+    "gcp_project_sa_email": (1, 255),
+    "snowflake_db": (1, 255),
+    "snowflake_schema": (1, 255),
+    "snowflake_warehouse": (1, 255),
+    "snowflake_role": (1, 255),
+    "redshift_database": (1, 255),
+    "redshift_schema": (1, 255),
+    "fabric_database": (1, 255),
+    "fabric_schema": (1, 255),
+    "network": (1, 255),
+    "subnetwork": (1, 255),
+    "privatenodes_ip_range": (1, 255),
+    "services_secondary_range_name": (1, 255),
+    "cluster_secondary_range_name": (1, 255),
 }
+# Pod names by operator: the cluster operator of the cloud allows longer ones.
+POD_NAME, POD_LENGTH, LONG_POD_LENGTH, LONG_POD_OPERATOR = "dbt_k8s_pod_name", 68, 255, "gke"
 REQUIRED = (
     "dbt_project_name", "dbt_project_owner", "project_level", "workload_platform", "branch_name",
 )
@@ -38,8 +56,11 @@ def valid_project_name(value: Column) -> Column:
     return value.rlike(PROJECT_NAME)
 
 
-def broken_rules(columns: list[str]) -> Column:
-    """Names of the fields at fault, in column order; an optional field may be absent."""
+def broken_rules(columns: list[str], operator: str | None = None) -> Column:
+    """Names of the fields at fault, in column order; an optional field may be absent.
+
+    With ``operator`` the requests are for that operator, and one that names another is at fault.
+    """
     faults = []
     for c in columns:
         value = F.col(f"`{c}`")
@@ -49,6 +70,11 @@ def broken_rules(columns: list[str]) -> Column:
         if c in LENGTHS:
             low, high = LENGTHS[c]
             fault = fault | ~F.length(value).between(low, high)
+        if c == POD_NAME:
+            high = LONG_POD_LENGTH if operator == LONG_POD_OPERATOR else POD_LENGTH
+            fault = fault | ~F.length(value).between(1, high)
+        if c == "operator" and operator is not None:
+            fault = fault | (value != operator)
         if c == "new_project_name":
             fault = fault | ~valid_project_name(value)
         if c == "dbt_dag_schedule_interval":
@@ -61,5 +87,5 @@ def broken_rules(columns: list[str]) -> Column:
     return F.array_compact(F.array(*faults))
 
 
-def validate(requests: DataFrame) -> DataFrame:
-    return requests.withColumn("errors", broken_rules(requests.columns))
+def validate(requests: DataFrame, operator: str | None = None) -> DataFrame:
+    return requests.withColumn("errors", broken_rules(requests.columns, operator))

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from millrace.session import stored
 
 NOTHING = "No relations to clean."
 
@@ -12,11 +15,13 @@ def run_drop_plan(
 ) -> int:
     """Log every command and, unless it is a dry run, run it; returns how many were run.
 
-    Commands stream through the driver one partition at a time, as each is a statement of
-    its own. Schemas may hold relations of others, so they need their own consent.
+    The plan is stored before the first command runs, as drops change the catalog it comes
+    from. Commands then stream through the driver one partition at a time, each being a
+    statement of its own. Schemas may hold relations of others, so they need their own consent.
     """
     seen = done = 0
-    for row in plan.toLocalIterator():
+    fixed = stored(plan, "drop-plan").orderBy(F.col("command").desc())
+    for row in fixed.toLocalIterator():
         seen += 1
         log(row.command)
         is_schema = row.command.startswith("DROP SCHEMA")

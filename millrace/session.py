@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -16,17 +17,13 @@ RESULT_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# A join side is broadcast on its measured size only. Before it runs, the size of a side
-# that opens documents or parses JSON is guessed from its files, and the guess can be far off.
-JOIN_SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-}
+# A look-up side that measures at most this much is broadcast, an allowance per row included.
+LOOKUP_BYTES = 64 << 20
+BYTES_PER_ROW = 64
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    for key, value in (RESULT_SETTINGS | JOIN_SETTINGS).items():
+    for key, value in RESULT_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
@@ -55,3 +52,29 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def looked_up(df: DataFrame) -> DataFrame:
+    """The side of a join that is looked up in: broadcast if it measures small.
+
+    The other side then stays where it is; beyond the limit both are shuffled.
+    """
+    width = F.octet_length(F.to_json(F.struct(*df.columns))) + BYTES_PER_ROW
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(df) if size <= LOOKUP_BYTES else df
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder of any store that Spark writes to; none without it."""
+    place, store = _folder(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(place)] if store.exists(place) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place, store = _folder(spark, path)
+    store.delete(place, True)

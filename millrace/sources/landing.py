@@ -30,16 +30,6 @@ def typed_landing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table read in fewer tasks than there are cores, dealt out to all of them.
-
-    Parsing JSON costs far more than moving a small file once; a table of any size already
-    comes in more splits than cores and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def as_raw_landing(df: DataFrame, row_id: Column, emitted_at: Column, data: Column) -> DataFrame:
     """Any table in the shape of a raw landing table."""
     return df.select(

@@ -39,9 +39,8 @@ def _parser(extract: Callable, columns: list[str]) -> Callable:
                 try:
                     content = yaml.load(text or "", Loader=loader)
                 except yaml.YAMLError:
-                    continue
-                if isinstance(content, dict):
-                    rows.extend(extract(project, content))
+                    content = None
+                rows.extend(extract(project, content if isinstance(content, dict) else {}))
             yield pd.DataFrame(rows, columns=columns)
 
     return parse
@@ -61,6 +60,8 @@ def _flag_rows() -> Callable:
         return str(value)
 
     def extract(project: str, content: dict):
+        if not content:
+            yield project, 0, None, {}
         for position, (key, flags) in enumerate(content.items()):
             flags = flags if isinstance(flags, dict) else {}
             yield project, position, str(key), {str(k): text(v) for k, v in flags.items()}
@@ -78,7 +79,11 @@ def _package_rows() -> Callable:
 
 
 def project_configs(files: DataFrame) -> DataFrame:
-    """Every top-level entry of every flag file: project, position, key and flag map."""
+    """Every top-level entry of every flag file: project, position, key and flag map.
+
+    A file that is empty, not YAML or no mapping gives one row without a key and without flags,
+    so its project still shows, with all defaults.
+    """
     return files.select("project", "content").mapInPandas(
         _parser(_flag_rows(), ["project", "ord", "config_key", "vars"]),
         "project string, ord int, config_key string, vars map<string,string>",
@@ -92,8 +97,9 @@ def project_flags(configs: DataFrame) -> DataFrame:
 
 def project_profiles(files: DataFrame) -> DataFrame:
     """Every profile of every profile file, with its settings as text."""
-    return project_configs(files).select("project", F.col("config_key").alias("profile"),
-                                         F.col("vars").alias("settings"))
+    return project_configs(files).where("config_key IS NOT NULL").select(
+        "project", F.col("config_key").alias("profile"), F.col("vars").alias("settings")
+    )
 
 
 def project_packages(files: DataFrame) -> DataFrame:

@@ -233,7 +233,7 @@ def test_clean_up_is_a_dry_run_unless_told(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS clean_me")
     spark.sql("CREATE VIEW IF NOT EXISTS clean_me.a AS SELECT 1 AS x")
     nodes = documents.manifest_nodes(manifests(
-        spark, nodes={"m": NODES["m1"] | {"schema": "clean_me"}}))
+        spark, nodes={"m": NODES["m1"] | {"schema": "clean_me", "database": "spark_catalog"}}))
     found = listing(spark, [("spark_catalog", "clean_me", "a", "VIEW")])
     plan, said = relations.drop_plan(found, nodes, "spark"), []
     assert cleanup.run_drop_plan(plan, log=said.append) == 0
@@ -270,3 +270,36 @@ def test_samples_of_two_tables_still_join(spark):
     common = {r.k for r in sa.collect()} & set(range(2500, 5000))
     assert common == {r.k for r in sb.collect()} & set(range(2500, 5000))
     assert 700 < sa.count() < 1300
+
+
+def test_other_databases_and_reserved_words(spark):
+    nodes = documents.manifest_nodes(manifests(spark, nodes={
+        "m": NODES["m1"] | {"database": "db", "schema": "s", "name": "order", "alias": None}}))
+    found = listing(spark, [("db", "s", "order", "VIEW"), ("other", "s", "order", "VIEW")])
+    for dialect in ("redshift", "postgres", "fabric"):
+        plan = relations.drop_plan(found, nodes, dialect)
+        assert [r.command for r in plan.collect()] == [
+            'DROP VIEW db.s."order";', "DROP SCHEMA IF EXISTS db.s CASCADE;"]
+
+
+def test_types_without_items_count_zero(spark):
+    from millrace.operators import manifest
+
+    nodes = spark.sql("SELECT 'nodes' AS section, 'model' AS resource_type, 'own' AS package_name")
+    counts = {r.resource_type: r.n_items for r in manifest.counts_by_type(nodes).collect()}
+    assert counts == {"model": 1, "source": 0, "seed": 0, "snapshot": 0, "test": 0}
+
+
+def test_flat_schemas_take_rounds_of_their_depth(spark):
+    from millrace.operators import dictionary
+
+    flat = "{" + ", ".join(f'"o{i}": {{"type": "object", "properties": {{"a}}{i}": {{"type": "integer"}}}}}}' for i in range(300)) + "}"
+    deep = '{"x0": {"type": "integer"}}'
+    for i in range(1, 30):
+        deep = f'{{"x{i}": {{"type": "object", "properties": {deep}}}}}'
+    rows = spark.createDataFrame([(flat,), (deep,), ("{}",)], "p string").select(
+        dictionary._nesting(F.col("p")).alias("depth"), dictionary.flattened_properties(F.col("p")).alias("leaves")
+    ).collect()
+    assert [r.depth for r in rows] == [4, 60, 1]
+    assert [e.identifier for e in rows[0].leaves] == [f"o{i}.a}}{i}" for i in range(300)]
+    assert [e.identifier for e in rows[1].leaves] == [".".join(f"x{i}" for i in range(29, -1, -1))]

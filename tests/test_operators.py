@@ -143,7 +143,9 @@ def test_flag_files(spark):
 
 @pytest.mark.parametrize("text", ["", "just text", "- a\n- b\n", "a: [unclosed", None])
 def test_unreadable_flag_files_hold_nothing(spark, text):
-    assert parsed(spark, text).collect() == []
+    configs_ = parsed(spark, text)
+    assert [(r.project, r.config_key, r.vars) for r in configs_.collect()] == [("shop", None, {})]
+    assert files.project_flags(configs_).count() == 1
 
 
 def test_flag_files_in_folders(spark, tmp_path):
@@ -162,8 +164,44 @@ def test_config_changes(spark):
     renamed = configs.rename(df.where("config_key <> 'OTHER'"), "shop", "market").first()
     assert (renamed.project, renamed.config_key, renamed.vars["DAG_ID"], renamed.vars["DAG_OWNER"]) == (
         "market", "API_SECRETS_DBT_PRJ_MARKET", "api_operator_market", "me")
+    both = {r.config_key: r for r in configs.rename(df, "shop", "market").collect()}
+    assert set(both) == {"API_SECRETS_DBT_PRJ_MARKET", "OTHER"} and both["OTHER"].project == "market"
     with pytest.raises(Exception, match="no configuration key for project shop"):
-        configs.rename(df, "shop", "market").collect()
+        configs.rename(df.where("config_key = 'OTHER'"), "shop", "market").collect()
+
+
+def test_profiles_move_to_the_new_name(spark):
+    df = spark.sql("SELECT 'shop' AS project, map('shop', 'a', 'other', 'b') AS profiles")
+    row = configs.rename_profiles(df, F.lit("shop"), F.lit("market")).first()
+    assert (row.project, row.profiles) == ("market", {"market": "a", "other": "b"})
+
+
+def test_override_leaves_other_projects_as_they_are(spark):
+    df = spark.sql("SELECT p AS project, k AS config_key, map('X', CAST(NULL AS STRING)) AS vars "
+                   "FROM VALUES ('a', 'one'), ('a', 'two'), ('b', 'one') v(p, k)")
+    given = spark.sql("SELECT 'a' AS project, 'one' AS config_key, map('Y', 'y') AS vars")
+    got = {(r.project, r.config_key): r.vars for r in configs.override(df, given).collect()}
+    assert got == {("a", "one"): {"Y": "y"}, ("a", "two"): {"X": "None"}, ("b", "one"): {"X": None}}
+
+
+def test_metrics_of_text_columns_and_chosen_ones(spark):
+    from millrace.operators import quality
+
+    df = spark.sql("SELECT TIMESTAMP '2024-01-01' AS at, t, n FROM VALUES ('x', 1), ('7', 2) v(t, n)")
+    rows = quality.monitored_metrics(df, "at", {"t": ("min", "max"), "n": ("max",)}).collect()
+    assert {(r.column, r.metric): r.value for r in rows if r.column} == {
+        ("t", "min"): 7.0, ("t", "max"): None, ("n", "max"): 2.0}
+    with pytest.raises(ValueError, match="unknown metrics"):
+        quality.monitored_metrics(df, "at", {"t": ("median",)})
+
+
+def test_limits_by_operator(spark):
+    from millrace.operators import validation
+
+    df = spark.createDataFrame([("k8s", "p" * 69, ""), ("gke", "p" * 255, "s")], "operator string, dbt_k8s_pod_name string, snowflake_role string")
+    assert [r.errors for r in validation.validate(df, "k8s").collect()] == [
+        ["dbt_k8s_pod_name", "snowflake_role"], ["operator", "dbt_k8s_pod_name"]]
+    assert validation.validate(df, "gke").collect()[1].errors == []
 
 
 def test_override_replaces_whole_keys(spark):
@@ -195,7 +233,10 @@ def test_dates_fall_back_together(spark):
 
 def test_flag_defaults(spark):
     flags = spark.sql("SELECT 'p_x' AS project, map('DATA_QUALITY', 'TRUE') AS vars")
-    row = projects.project_info(flags, "acme", "example.com").first()
+    dated = spark.sql("SELECT 'p_x' AS project, 'data/p_x' AS repo_path, "
+                      "TIMESTAMP '2024-01-01' AS created_at, TIMESTAMP '2024-01-02' AS last_modified")
+    row = projects.project_info(flags, dated, "acme", "example.com").first()
+    assert (row.repo_path, row.last_modified.day) == ("data/p_x", 2)
     assert (row.owner, row.airflow_dag_name, row.dbt_docs_enabled) == ("Default", "dbt_p_x", "True")
     assert "/p-x/%23/alerts" in row.data_quality_url and "/p-x/%23!/overview" in row.dbt_docs_url
 

@@ -219,3 +219,48 @@ def test_one_name_is_one_column(spark):
     staged = stage(df, lines, "2024-01-01", key=["order_id"])
     assert staged.columns[:2] == ["order_id", "x"]
     assert values(staged, "order_id", "x", "unique_id") == [(2, 3, 2)]
+
+
+def test_rows_without_a_date_form_a_month(spark):
+    path = shared_folder(spark, "undated")
+    schema = "unique_id string, day date, v int"
+    day = datetime.date(2024, 1, 5)
+    first = spark.createDataFrame([("a", None, 1), ("b", day, 1), ("c", None, 1)], schema)
+    assert m.merge_into_months(first, path, "day") == [None, "2024-01"]
+    assert m.months_of(spark, path) == [None, "2024-01"]
+    second = spark.createDataFrame([("a", day, 2), ("b", None, 2), ("d", None, 2)], schema)
+    assert m.merge_into_months(second, path, "day") == [None, "2024-01"]
+    got = {(r.unique_id, r.day, r.v) for r in m.read_months(spark, path).collect()}
+    assert got == {("a", day, 2), ("b", None, 2), ("c", None, 1), ("d", None, 2)}
+    third = spark.createDataFrame([("a", None, 3)], schema)
+    assert m.merge_into_months(third, path, "day") == [None, "2024-01"]
+    assert {r.day for r in m.read_months(spark, path).collect()} == {None}
+
+
+def test_a_first_load_that_died_can_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "t")
+    (tmp_path / "t").mkdir()  # what a task that failed while writing leaves
+    (tmp_path / "t" / "_temporary").mkdir()
+    rows = spark.createDataFrame([("a", datetime.date(2024, 1, 5), 1)], "unique_id string, day date, v int")
+    assert m.merge_into_months(rows, path, "day", on_duplicate="trust", one_month=True) == ["2024-01"]
+    assert m.read_months(spark, path).count() == 1
+
+
+def test_a_publish_that_died_is_finished_by_another(spark):
+    path, staged = shared_folder(spark, "t"), shared_folder(spark, "s")
+    schema = "unique_id string, day date, v int"
+    m.merge_into_months(spark.createDataFrame([("a", datetime.date(2024, 1, 5), 1)], schema), path, "day")
+    m.write_months(spark.createDataFrame([("a", datetime.date(2024, 2, 5), 2)], schema), staged, "day")
+    (spark.read.parquet(f"{staged}/_month=2024-02").write.parquet(f"{path}/_month=2024-02"))  # half of it
+    m.publish_months(spark, staged, path, ["2024-01", "2024-02"])
+    assert [(r.unique_id, r.v) for r in m.read_months(spark, path).collect()] == [("a", 2)]
+
+
+def test_payloads_that_begin_alike_are_grouped_by_their_hash(spark):
+    df = spark.range(60).selectExpr(
+        f"CAST(id AS STRING) AS {RAW_ID}", f"TIMESTAMP '2024-01-01' + make_dt_interval(CAST(id AS INT)) AS {RAW_TIME}",
+        f"concat(repeat('x', 4000), id % 7) AS {RAW_DATA}")
+    newest = latest_payloads(df)
+    assert sorted(int(r[RAW_ID]) for r in newest.collect()) == list(range(53, 60))
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan and "RoundRobin" not in plan

@@ -92,7 +92,8 @@ def landed(spark, payloads):
 
 def test_values_of_every_kind(spark):
     got = {
-        r.ab_id: r.asDict() for r in typed_columns(landed(spark, PAYLOADS), COLUMNS, "2024-01-01").collect()
+        r.ab_id: r.asDict()
+        for r in typed_columns(landed(spark, PAYLOADS), COLUMNS, "2024-01-01", "null").collect()
     }
     pick = lambda i, *cs: tuple(None if got[i][c] is None else str(got[i][c]) for c in cs)
     # Objects and arrays are no scalars, strings that look like them are.
@@ -106,6 +107,18 @@ def test_values_of_every_kind(spark):
     assert pick("2", "t") == (None,) and pick("3", "t") == ("2024-01-02 03:04:05",)
     for i in "456":
         assert all(got[i][c.name] is None for c in COLUMNS)
+    assert typed_columns(landed(spark, PAYLOADS[:4]), COLUMNS, "2024-01-01").count() == 4
+    for broken in PAYLOADS[4:6]:
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            typed_columns(landed(spark, [broken]), COLUMNS, "2024-01-01").collect()
+
+
+def test_long_numbers_keep_their_digits(spark):
+    payload = '{"n": 12345678901234567.89, "o": {"z": 12345678901234567890123456.789}, "a": [12345678901234567.89, 1.50]}'
+    columns = [C("n", "n", "numeric"), C("z", "o.z", "numeric"), C("text", "n", "string"), C("path", "o", "string"), C("a", "a", "array")]
+    row = typed_columns(landed(spark, [payload]), columns, "2024-01-01").first()
+    assert (str(row.n), row.text, row.a) == ("12345678901234567.890000000", "12345678901234567.89", "12345678901234567.891.5")
+    assert str(row.z) == "12345678901234567890123456.789000000"
 
 
 @pytest.mark.parametrize("payload, column", [

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import dictionary, validation
+from millrace.operators import dictionary, relations, validation
 from millrace.operators.staging import landing_window, latest_payloads
 from millrace.sources import documents
 from workload import inputs
@@ -33,16 +33,10 @@ def newest_payloads(spark, sf_dir):
 
 
 @query("owned_resource_types", inputs.NODES_SQL + """
-    SELECT project, name, resource_type FROM nodes
-    WHERE resource_type IN ('model', 'seed', 'snapshot') AND package_name <> 're_data'""")
+    SELECT 'db' AS database, schema_name AS schema, relation FROM nodes
+    WHERE resource_type IN ('model', 'seed', 'snapshot')""")
 def owned_resource_types(spark, sf_dir):
-    from millrace.operators.manifest import MONITORING_PACKAGE
-    from millrace.operators.relations import RELATION_TYPES
-
-    nodes = documents.manifest_nodes(inputs.manifests(spark, sf_dir))
-    return nodes.where(
-        F.col("resource_type").isin(*RELATION_TYPES) & (F.col("package_name") != MONITORING_PACKAGE)
-    ).select("project", "name", "resource_type")
+    return relations.project_relations(documents.manifest_nodes(inputs.manifests(spark, sf_dir)))
 
 
 @query("connections_of_workspace", """
@@ -66,6 +60,9 @@ def connections_of_workspace(spark, sf_dir):
     SELECT c_custkey AS id, concat_ws(',',
       CASE WHEN NOT regexp_matches(name, '^[a-z0-9_]+$') THEN 'new_project_name' END,
       CASE WHEN schedule IN ('30 12 * * 1', 'often') THEN 'dbt_dag_schedule_interval' END,
+      CASE WHEN c_custkey % 7 = 0 THEN 'operator' END,
+      CASE WHEN c_custkey % 80 NOT BETWEEN 1 AND 68 THEN 'dbt_k8s_pod_name' END,
+      CASE WHEN c_custkey % 300 NOT BETWEEN 1 AND 255 THEN 'snowflake_db' END,
       CASE WHEN level <> 'PROD' THEN 'project_level' END,
       CASE WHEN c_custkey % 10 = 0 THEN 'branch_name' END) AS errors
     FROM requests""")
@@ -76,7 +73,10 @@ def request_validation(spark, sf_dir):
         c.c_custkey.alias("id"),
         F.translate("c_name", "C", "").alias("new_project_name"),
         F.get(schedules, c.c_nationkey % 5).alias("dbt_dag_schedule_interval"),
+        F.when(c.c_custkey % 7 == 0, F.lit("gke")).otherwise("k8s").alias("operator"),
+        F.repeat(F.lit("p"), (c.c_custkey % 80).cast("int")).alias("dbt_k8s_pod_name"),
+        F.repeat(F.lit("d"), (c.c_custkey % 300).cast("int")).alias("snowflake_db"),
         F.when(c.c_acctbal >= 0, F.lit("PROD")).otherwise(c.c_mktsegment).alias("project_level"),
         F.when(c.c_custkey % 10 > 0, F.lit("main")).alias("branch_name"),
     )
-    return validation.validate(requests).select("id", F.concat_ws(",", "errors").alias("errors"))
+    return validation.validate(requests, "k8s").select("id", F.concat_ws(",", "errors").alias("errors"))

@@ -9,20 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.names import NAME_RULES
 from millrace.functions.types import ColumnSpec as C
 from millrace.sources import documents
-from millrace.sources.landing import TYPED_TIME, as_raw_landing, spread
+from millrace.sources.landing import TYPED_TIME, as_raw_landing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows become JSON documents, read with all cores."""
-    return spread(table(spark, sf_dir, name))
-
-
 def text(*parts: str | Column) -> Column:
     """Pieces of text and columns as one text."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -34,7 +30,7 @@ EVENT_COLUMNS = [C("k", "k", "integer")]
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = wide_table(spark, sf_dir, "events")
+    df = table(spark, sf_dir, "events")
     return as_raw_landing(df, F.col("event_id"), F.col("ts"), F.col("props"))
 
 
@@ -75,7 +71,7 @@ def order_payload(df: DataFrame) -> Column:
 
 def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order landed on its day and once more, unchanged, on the next."""
-    df = wide_table(spark, sf_dir, "orders")
+    df = table(spark, sf_dir, "orders")
     copies = df.withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
     return as_raw_landing(
         copies,
@@ -96,7 +92,7 @@ CHANGED_ORDER_COLUMNS = [
 
 def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change data: every order as placed and, 40 days on, with its final status."""
-    df = wide_table(spark, sf_dir, "orders").withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
+    df = table(spark, sf_dir, "orders").withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
     at = F.col("o_orderdate") + F.make_dt_interval(F.col("n") * 40)
     payload = text(
         '{"orderKey": ', df.o_orderkey, ', "orderStatus": "',
@@ -122,7 +118,7 @@ LINE_COLUMNS = [
 
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as change data; keys repeat, each time with another ship date."""
-    df = wide_table(spark, sf_dir, "lineitem")
+    df = table(spark, sf_dir, "lineitem")
     payload = text(
         '{"orderKey": ', df.l_orderkey, ', "lineNumber": ', df.l_linenumber,
         ', "partKey": ', df.l_partkey, ', "suppKey": ', df.l_suppkey,
@@ -147,7 +143,7 @@ USER_COLUMNS = [
 
 def landed_user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as changes of their user: few keys, many rows each."""
-    df = wide_table(spark, sf_dir, "events")
+    df = table(spark, sf_dir, "events")
     payload = text(
         '{"userId": ', df.user_id, ', "eventType": "', df.event_type, '", "value": ', df.value,
         ', "_ab_cdc_cursor": ', df.event_id, ', "_ab_cdc_updated_at": "', df.ts, '"}',
@@ -162,7 +158,7 @@ DOCUMENT_COLUMNS = [
 
 def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole document texts as payloads; exact copies are copies of a payload."""
-    df = wide_table(spark, sf_dir, "documents")
+    df = table(spark, sf_dir, "documents")
     payload = F.to_json(F.struct("text", "lang", F.col("n_chars").alias("nChars")))
     return as_raw_landing(df, F.col("doc_id"), F.timestamp_seconds("doc_id"), payload)
 
@@ -176,7 +172,7 @@ TURN_COLUMNS = [
 
 
 def landed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = wide_table(spark, sf_dir, "conversations")
+    df = table(spark, sf_dir, "conversations")
     at = F.timestamp_seconds(F.col("turn") * 60)
     payload = F.to_json(F.struct(
         F.col("conv_id").alias("convId"), "turn", "role", "text",
@@ -209,7 +205,7 @@ def typed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def connection_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One exported connection per part: two streams, nested property schemas."""
-    p = wide_table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part")
     namespace_format = (
         F.when(F.col("p_size") % 3 == 0, F.lit('"namespaceFormat": "ns_${SOURCE_NAMESPACE}", '))
         .when(F.col("p_size") % 3 == 1, F.lit('"namespaceFormat": "landing", '))
@@ -265,11 +261,7 @@ CATALOG_SQL = """
 
 def sql_standard_name(value: str) -> str:
     """The name rules as SQL over an expression."""
-    rules = [
-        ("(.)([A-Z][a-z]+)", r"\1_\2"), (r"\s", "_"), ("_+", "_"), (r"\b_+", ""),
-        (r"\.", "_"), ("([a-z0-9])([A-Z])", r"\1_\2"),
-    ]
-    for pattern, replacement in rules:
+    for pattern, replacement in NAME_RULES:
         value = f"regexp_replace({value}, '{pattern}', '{replacement}', 'g')"
     return f"lower({value})"
 
@@ -336,7 +328,7 @@ def manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         members(F.col("p_size"), node).alias("nodes"),
         F.when(F.col("p_size") % 4 > 0, members(F.col("p_size") % 4, source)).alias("sources"),
     ))
-    p = wide_table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part")
     return p.select(text("prj_", p.p_partkey).alias("project"), document.alias("document"))
 
 
@@ -358,10 +350,11 @@ NODES_SQL = """
 
 
 def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalog's tables, one entry per order."""
+    """Tables of three databases, one of which the projects own; one entry per order."""
     o = table(spark, sf_dir, "orders")
     return o.select(
-        F.lit("db").alias("table_catalog"),
+        F.when(o.o_orderkey % 5 == 0, F.lit("user")).when(o.o_orderkey % 5 == 1, F.lit("db2"))
+        .otherwise("db").alias("table_catalog"),
         text("brand#", o.o_custkey % 30).alias("table_schema"),
         text(F.when(o.o_orderkey % 2 == 0, F.lit("n_")).otherwise("a_"), o.o_orderkey % 61).alias("table_name"),
         F.when(o.o_orderstatus == "O", F.lit("BASE TABLE"))
@@ -371,7 +364,8 @@ def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LISTING_SQL = """
     listing AS (
-      SELECT 'db' AS table_catalog, 'brand#' || (o_custkey % 30) AS table_schema,
+      SELECT CASE o_orderkey % 5 WHEN 0 THEN 'user' WHEN 1 THEN 'db2' ELSE 'db' END AS table_catalog,
+             'brand#' || (o_custkey % 30) AS table_schema,
              CASE WHEN o_orderkey % 2 = 0 THEN 'n_' ELSE 'a_' END || (o_orderkey % 61) AS table_name,
              CASE o_orderstatus WHEN 'O' THEN 'BASE TABLE' WHEN 'F' THEN 'VIEW' ELSE 'EXTERNAL' END
                AS table_type
@@ -380,44 +374,6 @@ LISTING_SQL = """
 
 # --- projects -----------------------------------------------------------------------------
 
-def flag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flag file per customer, with a second entry that is never in force."""
-    c = wide_table(spark, sf_dir, "customer")
-    project = text("prj_", c.c_custkey)
-    prefix = F.when(c.c_mktsegment == "BUILDING", F.lit("K8S_SECRETS")).otherwise("API_SECRETS")
-    owner = F.when(c.c_acctbal >= 0, text("  DAG_OWNER: '", c.c_mktsegment, "'\n")).otherwise("")
-    content = text(
-        prefix, "_DBT_PRJ_", F.upper(project), ":\n  PLATFORM: 'Airflow'\n", owner,
-        "  DAG_ID: 'api_operator_", project, "'\n  DAG_SCHEDULE_INTERVAL: '@daily'\n"
-        "  DAG_TAG:\n    - '", c.c_mktsegment, "'\n  DBT_PROJECT_NAME: '", project,
-        "'\n  DBT_PROJECT_DIRECTORY: '", project, "'\n  MANIFEST_NAME: '", project,
-        "_manifest'\n  DATA_QUALITY: ", F.when(c.c_nationkey % 2 == 0, F.lit("True")).otherwise("'false'"),
-        "\n  DBT_SEED: 'True'\n  AIRBYTE_CONNECTION_ID: 'c-", c.c_custkey,
-        "'\n  AIRBYTE_REPLICATION_FLAG: 'True'\nUNUSED:\n  DAG_OWNER: 'nobody'\n",
-    )
-    return c.select(project.alias("project"), content.alias("content"))
-
-
-def profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = wide_table(spark, sf_dir, "customer")
-    project = text("prj_", c.c_custkey)
-    content = text(
-        project, ":\n  target: dev\n  outputs:\n    dev:\n      type: bigquery\n"
-        "      dataset: set_", c.c_nationkey, "\n      threads: 35\n",
-    )
-    return c.select(project.alias("project"), content.alias("content"))
-
-
-def package_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = wide_table(spark, sf_dir, "customer")
-    content = text(
-        "packages:\n  - package: org/utils\n    version: 1.1.", c.c_nationkey,
-        '\n  - package: org/monitor\n    version: [">=0.10.0", "<0.11.0"]\n'
-        "  - package: org/number\n    version: 0.3\n  - git: https://example.com/x.git\n",
-    )
-    return c.select(text("prj_", c.c_custkey).alias("project"), content.alias("content"))
-
-
 def project_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flags of every customer's project, already as columns."""
     c = table(spark, sf_dir, "customer")

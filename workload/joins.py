@@ -35,8 +35,8 @@ def landing_format_chain(spark, sf_dir):
 
 
 @query("relations_in_catalog", inputs.NODES_SQL + "," + inputs.LISTING_SQL + """
-    SELECT * FROM listing WHERE (table_schema, table_name) IN (
-      SELECT (schema_name, relation) FROM nodes WHERE resource_type IN ('model', 'seed', 'snapshot'))""")
+    SELECT * FROM listing WHERE (table_catalog, table_schema, table_name) IN (
+      SELECT ('db', schema_name, relation) FROM nodes WHERE resource_type IN ('model', 'seed', 'snapshot'))""")
 def relations_in_catalog(spark, sf_dir):
     nodes = documents.manifest_nodes(inputs.manifests(spark, sf_dir))
     return relations.listed_relations(inputs.catalog_listing(spark, sf_dir), nodes)

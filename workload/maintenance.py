@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from millrace.operators import projects, relations
+from millrace.plans import cleanup
 from millrace.sources import documents
 from workload import inputs
+from workload.joins import DATES_SQL
 from workload.registered import query
 
 
 def _plan_sql(relation: str, schema: str) -> str:
     return inputs.NODES_SQL + "," + inputs.LISTING_SQL + f""",
     found AS (
-      SELECT * FROM listing WHERE (table_schema, table_name) IN (
-        SELECT (schema_name, relation) FROM nodes
+      SELECT * FROM listing WHERE (table_catalog, table_schema, table_name) IN (
+        SELECT ('db', schema_name, relation) FROM nodes
         WHERE resource_type IN ('model', 'seed', 'snapshot')))
     SELECT DISTINCT command FROM (
       SELECT 'DROP ' || CASE table_type WHEN 'BASE TABLE' THEN 'TABLE' WHEN 'VIEW' THEN 'VIEW' END
@@ -60,8 +64,20 @@ def drop_plan_fabric(spark, sf_dir):
     return _plan(spark, sf_dir, "fabric")
 
 
-@query("project_info", """
-    SELECT 'prj_' || c_custkey AS project,
+@query("clean_up_dry_run", _plan_sql(
+    "'`' || replace(table_catalog, '`', '``') || '`.`' || table_schema || '`.`' || table_name || '`'",
+    "'`' || table_catalog || '`.`' || table_schema || '`'"))
+def clean_up_dry_run(spark, sf_dir):
+    """What a dry run logs, one command a row; nothing is dropped."""
+    logged: list[str] = []
+    if cleanup.run_drop_plan(_plan(spark, sf_dir, "spark"), log=logged.append):
+        raise AssertionError("a dry run ran a command")
+    return spark.createDataFrame([(line,) for line in logged], "command string")
+
+
+@query("project_info", DATES_SQL + """
+    SELECT 'prj_' || c_custkey AS project, 'data/prj_' || c_custkey AS repo_path,
+           created_at, last_modified,
            CASE WHEN c_acctbal >= 0 THEN c_mktsegment ELSE 'Default' END AS owner,
            'c-' || c_custkey AS airbyte_id, CAST(NULL AS VARCHAR) AS airbyte_workspace,
            'api_operator_prj_' || c_custkey AS airflow_dag_name,
@@ -72,9 +88,11 @@ def drop_plan_fabric(spark, sf_dir):
              || c_custkey || '/%23/alerts' END AS data_quality_url,
            'https://acme.example.com/data-catalog/live/data-catalog.acme.example.com/prj-'
              || c_custkey || '/%23!/overview' AS dbt_docs_url
-    FROM customer""")
+    FROM customer JOIN list ON project = 'prj_' || c_custkey""")
 def project_info(spark, sf_dir):
-    return projects.project_info(inputs.project_vars(spark, sf_dir), "acme", "example.com")
+    folders = inputs.project_folders(spark, sf_dir).withColumn("repo_path", F.concat(F.lit("data/"), "project"))
+    dated = projects.with_dates(folders, projects.project_dates(inputs.commits(spark, sf_dir)))
+    return projects.project_info(inputs.project_vars(spark, sf_dir), dated, "acme", "example.com")
 
 
 @query("project_status", """

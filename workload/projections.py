@@ -8,6 +8,7 @@ from millrace.functions.json_values import nested_value, partition_date
 from millrace.functions.types import ColumnSpec
 from millrace.operators.staging import stage, typed_columns, typed_view
 from millrace.plans import raw_stream
+from millrace.sources.landing import as_raw_landing
 from workload import inputs
 from workload.registered import query
 
@@ -165,3 +166,38 @@ def payload_partition_date(spark, sf_dir):
         partition_date(payload, "day", "dd/MM/yyyy").alias("by_format"),
         partition_date(payload, "at.time").alias("by_cast"),
     )
+
+
+EXACT_COLUMNS = [
+    ColumnSpec("line_key", "lineKey", "string", is_key=True),
+    ColumnSpec("big", "big", "numeric"), ColumnSpec("big_text", "bigText", "string"),
+    ColumnSpec("inner_big", "inner.big", "numeric"), ColumnSpec("path_big", "path.big", "numeric"),
+    ColumnSpec("path", "path", "string"), ColumnSpec("members", "members", "array"),
+]
+
+
+@query("exact_numbers", """
+    WITH l AS (
+      SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_extendedprice AS line_key,
+             CAST(l_orderkey + 10000000000000000 AS VARCHAR) || '.' || CAST(l_partkey % 9 + 1 AS VARCHAR) AS few,
+             CAST(l_orderkey + 10000000000000000 AS VARCHAR) || CAST(l_partkey % 1000 + 1000 AS VARCHAR)
+               || '.' || CAST(l_suppkey % 1000 + 1000 AS VARCHAR) || '0001' AS many
+      FROM lineitem)
+    SELECT DISTINCT line_key, CAST(many AS DECIMAL(38,9)) AS big, few AS big_text,
+           CAST(few AS DECIMAL(38,9)) AS inner_big, CAST(many AS DECIMAL(38,9)) AS path_big,
+           CAST(NULL AS VARCHAR) AS path, few || many || '{"z":1,"n":2}' AS members
+    FROM l""")
+def exact_numbers(spark, sf_dir):
+    """Numbers of 18 to 29 digits, more than a double holds, in every place that is read."""
+    l = inputs.table(spark, sf_dir, "lineitem")  # noqa: E741
+    high = inputs.text(l.l_orderkey + 10_000_000_000_000_000)
+    few = inputs.text(high, ".", l.l_partkey % 9 + 1)
+    many = inputs.text(high, l.l_partkey % 1000 + 1000, ".", l.l_suppkey % 1000 + 1000, "0001")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    payload = inputs.text(
+        '{"lineKey": "', key, '", "big": ', many, ', "bigText": ', few, ', "inner": {"big": ', few,
+        '}, "path": {"big": ', many, '}, "members": [', few, ", ", many, ', {"z": 1, "n": 2}]}',
+    )
+    raw = as_raw_landing(l, key, F.lit("1998-12-01").cast("timestamp"), payload)
+    columns = [c.name for c in EXACT_COLUMNS]
+    return stage(raw, EXACT_COLUMNS, "1998-12-31", key=[]).select(*columns)

@@ -64,7 +64,8 @@ def single_types(spark, sf_dir):
     SELECT DISTINCT CASE table_type WHEN 'BASE TABLE' THEN 'TABLE' WHEN 'VIEW' THEN 'VIEW' END AS kind,
            '`' || table_catalog || '.' || table_schema || '.' || table_name || '`' AS bigquery,
            table_catalog || '.' || table_schema || '.' || table_name AS snowflake,
-           table_catalog || '."' || table_schema || '".' || table_name AS redshift
+           CASE table_catalog WHEN 'user' THEN '"user"' ELSE table_catalog END
+             || '."' || table_schema || '".' || table_name AS redshift
     FROM listing""")
 def relation_names(spark, sf_dir):
     parts = [F.col(c) for c in ("table_catalog", "table_schema", "table_name")]
@@ -77,7 +78,7 @@ def relation_names(spark, sf_dir):
 @query("dataset_names", """
     SELECT 'c-' || p_partkey AS "connectionId",
            CASE p_size % 3 WHEN 1 THEN 'landing' ELSE 'fallback' END AS raw_dataset,
-           CASE p_size % 3 WHEN 0 THEN 'ns_' || lower(p_type) WHEN 1 THEN 'landing' END
+           CASE p_size % 3 WHEN 0 THEN 'ns_' || lower(p_type) WHEN 1 THEN 'landing' ELSE 'fallback' END
              AS typed_dataset,
            CASE p_size % 3 WHEN 0 THEN 'ns_${SOURCE_NAMESPACE}' WHEN 1 THEN 'landing' ELSE 'fallback' END
              AS typed_dataset_without

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import registry as registry_ops
-from millrace.sources import documents, projects, resolver
-from millrace.sources.landing import landed_between
+from millrace.session import shared_folder
+from millrace.sources import documents, resolver
+from millrace.sources.landing import raw_landing, typed_landing
+from millrace.sources.registry import read_registry
 from workload import inputs
 from workload.registered import query
 
@@ -17,10 +19,11 @@ PROD_TARGET = resolver.Target("bigquery", "prod", "proj", "main")
 @query("raw_landing_scan", """
     SELECT CAST(event_id AS VARCHAR) AS _airbyte_ab_id, ts AS _airbyte_emitted_at,
            props AS _airbyte_data
-    FROM events WHERE ts >= DATE '2024-01-05' AND ts < DATE '2024-01-21'""")
+    FROM events""")
 def raw_landing_scan(spark, sf_dir):
-    raw = inputs.landed_events(spark, sf_dir)
-    return landed_between(raw, "_airbyte_emitted_at", "2024-01-05", "2024-01-20")
+    path = shared_folder(spark, "raw-landing")
+    inputs.landed_events(spark, sf_dir).write.parquet(path)
+    return raw_landing(spark, path)
 
 
 @query("typed_landing_scan", """
@@ -28,7 +31,9 @@ def raw_landing_scan(spark, sf_dir):
            o_orderdate AS _airbyte_extracted_at
     FROM orders""")
 def typed_landing_scan(spark, sf_dir):
-    return inputs.typed_orders(spark, sf_dir).drop("customer")
+    path = shared_folder(spark, "typed-landing")
+    inputs.typed_orders(spark, sf_dir).write.parquet(path)
+    return typed_landing(spark, path).drop("customer")
 
 
 @query("source_redirect", inputs.NODES_SQL + """
@@ -61,9 +66,23 @@ def repeatable_sample(spark, sf_dir):
     return resolver.repeatable_sample(inputs.table(spark, sf_dir, "orders"), ["o_orderkey"], 0.1)
 
 
-@query("random_sample")
+@query("random_sample", """
+    SELECT count(*) AS n_orders, true AS all_known, true AS none_twice, true AS share_fits FROM orders""")
 def random_sample(spark, sf_dir):
-    return resolver.random_sample(inputs.table(spark, sf_dir, "orders"), 0.1, seed=7)
+    """What holds for any sample: rows of the table, none twice, and about the share asked for."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    sample = resolver.random_sample(orders, 0.1, seed=7).select("o_orderkey")
+    times = sample.groupBy("o_orderkey").agg(F.count("*").alias("taken"))
+    marked = orders.select("o_orderkey", F.lit(1).alias("there")).join(times, "o_orderkey", "full")
+    taken = F.coalesce(F.sum("taken"), F.lit(0))
+    n = F.count("there")
+    # five standard deviations of a binomial share, and room for the smallest tables
+    room = 5 * F.sqrt(n * 0.09) + 5
+    return marked.agg(
+        n.alias("n_orders"), (n == F.count("*")).alias("all_known"),
+        (F.coalesce(F.max("taken"), F.lit(0)) <= 1).alias("none_twice"),
+        F.abs(taken - n * 0.1).between(0, room).alias("share_fits"),
+    )
 
 
 @query("ml_model_guard", inputs.NODES_SQL + """
@@ -115,47 +134,11 @@ def manifest_scan(spark, sf_dir):
     )
 
 
-@query("project_flags_scan", """
-    SELECT 'prj_' || c_custkey AS project,
-           CASE c_mktsegment WHEN 'BUILDING' THEN 'K8S' ELSE 'API' END || '_SECRETS_DBT_PRJ_PRJ_'
-             || c_custkey AS config_key,
-           CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS owner,
-           'api_operator_prj_' || c_custkey AS dag_id, '["' || c_mktsegment || '"]' AS dag_tag,
-           CASE WHEN c_nationkey % 2 = 0 THEN 'True' ELSE 'false' END AS data_quality
-    FROM customer""")
-def project_flags_scan(spark, sf_dir):
-    flags = projects.project_flags(projects.project_configs(inputs.flag_files(spark, sf_dir)))
-    return flags.select(
-        "project", "config_key", F.col("vars")["DAG_OWNER"].alias("owner"),
-        F.col("vars")["DAG_ID"].alias("dag_id"), F.col("vars")["DAG_TAG"].alias("dag_tag"),
-        F.col("vars")["DATA_QUALITY"].alias("data_quality"),
-    )
-
-
-@query("project_profiles_scan", """
-    SELECT 'prj_' || c_custkey AS project, 'prj_' || c_custkey AS profile, 'dev' AS target,
-           'set_' || c_nationkey AS dataset
-    FROM customer""")
-def project_profiles_scan(spark, sf_dir):
-    profiles = projects.project_profiles(inputs.profile_files(spark, sf_dir))
-    return profiles.select(
-        "project", "profile", F.col("settings")["target"].alias("target"),
-        F.get_json_object(F.col("settings")["outputs"], "$.dev.dataset").alias("dataset"),
-    )
-
-
-@query("project_packages_scan", """
-    SELECT 'prj_' || c_custkey AS project, package, version
-    FROM customer, LATERAL (VALUES
-      ('org/utils', '1.1.' || c_nationkey),
-      ('org/monitor', '[''>=0.10.0'', ''<0.11.0'']'), ('org/number', '0.3')) v(package, version)""")
-def project_packages_scan(spark, sf_dir):
-    return projects.project_packages(inputs.package_files(spark, sf_dir))
-
-
 @query("registry_scan", inputs.REGISTRY_SQL + " SELECT * FROM registry")
 def registry_scan(spark, sf_dir):
-    return inputs.registry(spark, sf_dir)
+    path = shared_folder(spark, "registry")
+    inputs.registry(spark, sf_dir).write.parquet(f"{path}/data_catalog_metadata")
+    return read_registry(spark, path, "data_catalog_metadata")
 
 
 @query("registry_by_id", inputs.REGISTRY_SQL + " SELECT * FROM registry WHERE id = 77")

@@ -76,7 +76,7 @@ def raw_source_tables(spark, sf_dir):
 @query("typed_source_tables", inputs.CATALOG_SQL + """
     SELECT DISTINCT "connectionId", stream, CASE WHEN s = 1 THEN lower(p_type) ELSE 'unknown' END AS namespace,
            CASE p_size % 3 WHEN 0 THEN 'ns_' || CASE WHEN s = 1 THEN lower(p_type) ELSE 'unknown' END
-                           WHEN 1 THEN 'landing' END AS source,
+                           WHEN 1 THEN 'landing' ELSE 'set_' || s_suppkey END AS source,
            'project-' || s_nationkey AS database,
            lower(replace(p_brand, '#', '_')) || '_' || stream AS name,
            lower(replace(p_brand, '#', '_')) || '_' || stream AS identifier,

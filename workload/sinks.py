@@ -81,18 +81,51 @@ def merge_latest_duplicate(spark, sf_dir):
 @query("month_partitions", """
     SELECT strftime(o_orderdate, '%Y-%m') AS _month, count(*) AS n_orders,
            min(o_orderdate) AS first_day, max(o_orderdate) AS last_day
-    FROM orders WHERE o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1997-01-01'
-    GROUP BY ALL""")
+    FROM orders GROUP BY ALL""")
 def month_partitions(spark, sf_dir):
     path = shared_folder(spark, "orders-by-month")
     merge.write_months(inputs.table(spark, sf_dir, "orders"), path, "o_orderdate")
-    year = merge.read_months(spark, path).where(F.col("_month").between("1996-01", "1996-12"))
-    return year.groupBy("_month").agg(
+    return merge.read_months(spark, path).groupBy("_month").agg(
         F.count("*").alias("n_orders"), F.min("o_orderdate").alias("first_day"),
         F.max("o_orderdate").alias("last_day"),
     )
 
 
+UNDATED = "CASE WHEN {key} % 5 = 0 THEN NULL ELSE {date} END"
+
+
+@query("merge_undated", f"""
+    WITH lines AS (
+      SELECT l_orderkey AS unique_id, {UNDATED.format(key="(l_orderkey + 1)", date="max(l_shipdate)")} AS day,
+             CAST(max(l_partkey) AS BIGINT) AS part_key
+      FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY l_orderkey),
+    merged AS (
+      SELECT o_orderkey AS unique_id, {UNDATED.format(key="o_orderkey", date="o_orderdate")} AS day,
+             CAST(NULL AS BIGINT) AS part_key
+      FROM orders WHERE o_orderkey NOT IN (SELECT unique_id FROM lines)
+      UNION ALL SELECT * FROM lines)
+    SELECT *, strftime(day, '%Y-%m') AS _month FROM merged""")
+def merge_undated(spark, sf_dir):
+    """Orders merged with those that have lines; on both sides some have no date."""
+    undated = lambda key, date: F.when(key % 5 != 0, date)
+    orders, lines = inputs.table(spark, sf_dir, "orders"), inputs.table(spark, sf_dir, "lineitem")
+    target = orders.select(
+        F.col("o_orderkey").alias("unique_id"), undated(orders.o_orderkey, orders.o_orderdate).alias("day"),
+        F.lit(None).cast("bigint").alias("part_key"),
+    )
+    newest = lines.where("l_orderkey % 3 = 0").groupBy("l_orderkey").agg(
+        F.max("l_shipdate").alias("shipped"), F.max("l_partkey").cast("bigint").alias("part_key")
+    )
+    source = newest.select(
+        F.col("l_orderkey").alias("unique_id"), undated(F.col("l_orderkey") + 1, F.col("shipped")).alias("day"),
+        "part_key",
+    )
+    path = shared_folder(spark, "undated-orders")
+    merge.merge_into_months(target, path, "day")
+    merge.merge_into_months(source, path, "day")
+    return merge.read_months(spark, path)
+
+
 @query("full_refresh_load", CHANGED_SQL + CHANGED_COLUMNS_SQL + """,
            strftime(execution_date, '%Y-%m') AS _month FROM target""")
 def full_refresh_load(spark, sf_dir):
@@ -114,22 +147,27 @@ def staging_view(spark, sf_dir):
 
 
 @query("schema_documents", inputs.CATALOG_SQL + f"""
-    SELECT "connectionId", stream, 'stg_' || {inputs.sql_standard_name("stream")} AS model,
-           count(*) + 4 AS n_columns,
-           count(*) FILTER (s = 1 AND ord < 2) AS n_keys
-    FROM leaves GROUP BY ALL""")
+    , own AS (
+      SELECT DISTINCT "connectionId", stream, 1 AS section, v.ord, v.name, v.identifier, v.data_type,
+             false AS is_key
+      FROM leaves, (VALUES (0, 'execution_date', 'execution_date', 'date'),
+        (1, 'ab_id', '_airbyte_ab_id', 'string'), (2, 'ab_emitted_at', '_airbyte_emitted_at', 'timestamp'),
+        (3, 'unique_id', 'unique_id', 'string')) v(ord, name, identifier, data_type))
+    SELECT *, 'stg_' || {inputs.sql_standard_name("stream")} AS model FROM (
+      SELECT "connectionId", stream, 0 AS section, ord, {inputs.sql_standard_name("identifier")} AS name,
+             identifier, kind AS data_type, s = 1 AND ord < 2 AS is_key
+      FROM leaves UNION ALL SELECT * FROM own)""")
 def schema_documents(spark, sf_dir):
     folder = shared_folder(spark, "schema-documents")
     documents = schema_docs.raw_documents(
         inputs.connections(spark, sf_dir), inputs.destinations(spark, sf_dir)
     )
     schema_docs.write_documents(documents, folder)
-    columns = spark.read.parquet(f"{folder}/model_columns")
     models = spark.read.parquet(f"{folder}/models")
-    counts = columns.groupBy("connectionId", "stream").agg(
-        F.count("*").alias("n_columns"), F.count(F.when(F.col("is_key"), 1)).alias("n_keys")
+    columns = spark.read.parquet(f"{folder}/model_columns").select(
+        "connectionId", "stream", "section", "ord", "name", "identifier", "data_type", "is_key"
     )
-    return models.join(counts, ["connectionId", "stream"])
+    return columns.join(models, ["connectionId", "stream"])
 
 
 RECORD = {
@@ -174,10 +212,11 @@ def registry_delete(spark, sf_dir):
     return registry_ops.delete(inputs.registry(spark, sf_dir), 12)
 
 
-def _shown(changed):
+def _shown(changed, *more):
     """Flags a change may touch, as columns."""
     value = F.col("vars")
     return changed.select(
+        *[value[flag].alias(flag.lower()) for flag in more],
         "project", "config_key", value["DAG_OWNER"].alias("owner"), value["DAG_ID"].alias("dag_id"),
         value["MANIFEST_NAME"].alias("manifest"), value["PROJECT_LEVEL"].alias("level"),
     )
@@ -187,13 +226,16 @@ def _shown(changed):
     SELECT 'prj_' || c_custkey AS project, 'API_SECRETS_DBT_PRJ_PRJ_' || c_custkey AS config_key,
            CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS owner,
            'api_operator_prj_' || c_custkey AS dag_id, 'prj_' || c_custkey || '_manifest' AS manifest,
-           c_mktsegment AS level
+           c_mktsegment AS level, CAST(NULL AS VARCHAR) AS note
     FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
     UNION ALL
-    SELECT 'prj_' || s_suppkey, 'API_SECRETS_DBT_PRJ_PRJ_' || s_suppkey, NULL, 'None', NULL, s_name
+    SELECT 'prj_' || s_suppkey, 'API_SECRETS_DBT_PRJ_PRJ_' || s_suppkey, NULL, 'None', NULL, s_name, NULL
     FROM supplier
     UNION ALL
-    SELECT 'prj_' || s_suppkey, 'EXTRA', NULL, 'None', NULL, s_name FROM supplier""")
+    SELECT 'prj_' || s_suppkey, 'EXTRA', NULL, 'None', NULL, s_name, NULL FROM supplier
+    UNION ALL
+    SELECT 'prj_' || c_custkey, 'OTHER', NULL, NULL, NULL, NULL,
+           CASE WHEN c_custkey IN (SELECT s_suppkey FROM supplier) THEN 'None' END FROM customer""")
 def config_override(spark, sf_dir):
     s = inputs.table(spark, sf_dir, "supplier")
     project = inputs.text("prj_", s.s_suppkey)
@@ -204,7 +246,11 @@ def config_override(spark, sf_dir):
             F.lit("DAG_ID"), F.lit(None).cast("string"), F.lit("PROJECT_LEVEL"), s.s_name
         ).alias("vars"),
     )
-    return _shown(configs.override(inputs.project_vars(spark, sf_dir), given))
+    c = inputs.table(spark, sf_dir, "customer")
+    empty = F.create_map(F.lit("NOTE"), F.lit(None).cast("string"))
+    other = c.select(inputs.text("prj_", c.c_custkey).alias("project"), F.lit("OTHER").alias("config_key"), empty.alias("vars"))
+    held = inputs.project_vars(spark, sf_dir).unionByName(other)
+    return _shown(configs.override(held, given), "NOTE")
 
 
 @query("profiles_replace", """
@@ -243,10 +289,31 @@ def owner_update(spark, sf_dir):
            CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS owner,
            'api_operator_shop_' || c_custkey AS dag_id,
            'shop_' || c_custkey || '_manifest' AS manifest, c_mktsegment AS level
+    FROM customer UNION ALL
+    SELECT 'shop_' || c_custkey, 'UNUSED', CASE WHEN c_acctbal >= 0 THEN c_mktsegment END,
+           'api_operator_prj_' || c_custkey, 'prj_' || c_custkey || '_manifest', c_mktsegment
     FROM customer""")
 def project_rename(spark, sf_dir):
+    """Each project has a second key, which does not belong to its name."""
     new = F.concat(F.lit("shop_"), F.substring_index("project", "_", -1))
-    return _shown(configs.rename(inputs.project_vars(spark, sf_dir), F.col("project"), new))
+    own = inputs.project_vars(spark, sf_dir)
+    both = own.unionByName(own.withColumn("config_key", F.lit("UNUSED")))
+    return _shown(configs.rename(both, F.col("project"), new))
+
+
+@query("profile_rename", """
+    SELECT 'shop_' || c_custkey AS project, p AS profile,
+           CASE p WHEN 'other' THEN c_name ELSE c_mktsegment END AS dataset
+    FROM customer, LATERAL (VALUES ('shop_' || c_custkey), ('other')) v(p)""")
+def profile_rename(spark, sf_dir):
+    c = inputs.table(spark, sf_dir, "customer")
+    old, new = inputs.text("prj_", c.c_custkey), inputs.text("shop_", c.c_custkey)
+    profiles = c.select(
+        old.alias("project"), new.alias("new_name"),
+        F.create_map(old, c.c_mktsegment, F.lit("other"), c.c_name).alias("profiles"),
+    )
+    renamed = configs.rename_profiles(profiles, F.col("project"), F.col("new_name"))
+    return renamed.select("project", F.explode("profiles").alias("profile", "dataset"))
 
 
 @query("project_file_rename", """
