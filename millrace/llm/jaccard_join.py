@@ -9,7 +9,7 @@ falls are alike in all sets, so a sketch has some more words than that, and as l
 than these are empty, linked sets agree in one that is not; empty words are left out then.
 
 How many words there are depends on the size, so sizes are cut into bands. A set takes part in the
-band of its own size, and in the next one if a set from there could still be similar.
+band of its own size, and in the next ones as long as a set from there could still be similar.
 
 Equal words only say which sets to look at. Pairs of sets with a word in common must keep the bound
 on a second sketch, of one size for all. Where many sets have a word, no pairs are made: they
@@ -81,13 +81,11 @@ def differing(total: int, percent: int) -> int:
 
 def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
     """(smallest size, words of a sketch, spare words) of each band that a set takes part in."""
-    low, high = 1, 1
-    while high < size:
+    low, high, found = 1, 1, []
+    while low * percent <= size * 100:
+        if high >= size:
+            found.append((low, high))
         low, high = high + 1, max(high + 1, int(high * BAND))
-    found = [(low, high)]
-    upper = (high + 1, max(high + 1, int(high * BAND)))
-    if size * 100 >= percent * upper[0]:
-        found.append(upper)
     return [(low, *_words_for(low, high, percent)) for low, high in found]
 
 
