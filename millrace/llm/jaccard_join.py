@@ -4,9 +4,9 @@ A text is the set of its shingles. For sets of sizes a and b, a Jaccard similari
 means that at most (a + b)(1 - t) / (1 + t) shingles lie in one set only. Each shingle
 flips one bit of a sketch, so shingles of both sets cancel out and two sketches differ in no more
 bits than that. A sketch has one 64-bit word more than shingles may differ, hence linked sets
-agree in a whole word: that word, with its place, is the join key. Words into which no shingle
-falls are alike in all sets, so a sketch has some more words than that, and as long as fewer
-than these are empty, linked sets agree in one that is not; empty words are left out then.
+agree in a whole word: that word, with its place, is the join key. Words into which one shingle
+falls, or none, say little, so a sketch has some more words than that, and as long as no more
+than these are so thin, linked sets agree in one that is not; thin words are left out then.
 
 How many words there are depends on the size, so sizes are cut into bands. A set takes part in the
 band of its own size, and in the next ones as long as a set from there could still be similar.
@@ -38,7 +38,7 @@ from millrace.llm.tokens import chain, mix, per_row, slices, text_column, words
 from millrace.session import stored
 
 #: Each band's sizes go up to about this many times its smallest.
-BAND = 1.6
+BAND = 1.3
 #: Sets that share a word are paired up to so many, and compared in blocks beyond.
 PAIRED = 16
 #: 64-bit words of the second sketch.
@@ -90,20 +90,24 @@ def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
 
 
 def _words_for(low: int, high: int, percent: int) -> tuple[int, int]:
-    """So many words that linked sets agree in one more than are spare."""
+    """So many words that linked sets agree in one more than are spare.
+
+    Spare are about as many as are thin in a set from the middle of the band.
+    """
     needed = differing(2 * high, percent) + 1
-    smallest = max(1.0, low * percent / 100)
-    spare = 1 + int(2 * needed * np.exp(-smallest / needed))
+    share = (low + high) / 2 / needed
+    thin = min(0.3, np.exp(-share) * (1 + share))
+    spare = 1 + int(1.2 * needed * thin / (1 - thin))
     return needed + spare, spare
 
 
-def sketch(shingles: np.ndarray, count: int, seed: int, with_filled: bool = False):
-    """``count`` words of 64 bits, one of which each shingle flips; and which of them it fell into."""
+def sketch(shingles: np.ndarray, count: int, seed: int, with_thick: bool = False):
+    """``count`` words of 64 bits, one of which each shingle flips; and which got two or more."""
     spread = mix(shingles + np.uint64(seed))
     place = ((spread >> np.uint64(6)) % np.uint64(count)).astype(np.int64)
     out = np.zeros(count, np.uint64)
     np.bitwise_xor.at(out, place, np.uint64(1) << (spread & np.uint64(63)))
-    return (out, np.bincount(place, minlength=count) > 0) if with_filled else out
+    return (out, np.bincount(place, minlength=count) > 1) if with_thick else out
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
@@ -138,9 +142,14 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
         entries.repartition(F.col("key")).dropDuplicates(["key", "one"])
         .withColumn("many", F.count(F.lit(1)).over(by_word)).where("many > 1")
         .withColumn("before", F.collect_list("one").over(before))
-        .withColumn("before", F.when(F.col("many") <= PAIRED, F.col("before")))
     )
-    shared = stored(shared, "shared-words")
+    pair = lambda a: F.struct(a.alias("a"), F.col("one").alias("b"), F.lit(0).alias("blocks"))
+    crowd = F.struct(
+        F.col("key").alias("a"), F.col("one").alias("b"), F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks")
+    )
+    met = stored(shared.select(F.explode(
+        F.when(F.col("many") <= PAIRED, F.transform("before", pair)).otherwise(F.array(crowd))
+    ).alias("x")).select("x.*"), "shared-words")
     facts = described.where("n > 0").select("one", "n", "plain").distinct()
     side = lambda name: facts.select(*[F.col(c).alias(d) for c, d in zip(facts.columns, (name, f"n_{name}", f"plain_{name}"))])
     apart = F.aggregate(
@@ -148,11 +157,9 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     )
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     near = (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)) & (small * 100 >= large * percent)
-    pairs = shared.select(F.explode("before").alias("a"), F.col("one").alias("b")).distinct()
+    pairs = met.where("blocks = 0").select("a", "b").distinct()
     few = pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b")
-    crowded = shared.where("before IS NULL").select(
-        "key", "one", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks")
-    )
+    crowded = met.where("blocks > 0").select(F.col("a").alias("key"), F.col("b").alias("one"), "blocks")
     many = _in_blocks(crowded.join(facts, "one"), "key", "one", ["n", "plain"], crowded.count() // BLOCK)
 
     def tie(frame: pd.DataFrame) -> pd.DataFrame:
@@ -205,10 +212,10 @@ def _entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     continue
                 known.add(two)
                 for low, count, spare in bands(len(shingles), percent):
-                    own, filled = sketch(shingles, count, low, True)
+                    own, thick = sketch(shingles, count, low, True)
                     place = np.arange(count, dtype=np.uint64) + np.uint64(low << 32)
-                    if count - filled.sum() <= spare:
-                        own, place = own[filled], place[filled]
+                    if count - thick.sum() <= spare:
+                        own, place = own[thick], place[thick]
                     keys.append(mix(own + mix(place)))
                     marks.append(np.full(len(own), one, np.int64))
                     held += count
