@@ -28,11 +28,11 @@ from millrace.session import stored
 SAMPLE_ROWS = 20_000
 SAMPLE_QUERIES = 400
 #: Vectors in a list on average, and lists at most.
-LIST_ROWS = 1024
+LIST_ROWS = 4096
 MOST_LISTS = 4096
 RECALL = 0.97
 #: Rows of a list, and queries, that meet in one task.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 8192
 CHUNK_QUERIES = 2048
 COLUMNS = 16
 #: In standard errors, how far a partial distance must be beyond the bound.
@@ -199,11 +199,15 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 20) -> DataFrame:
         turned = lengthened(stacked, longest) @ turn
         wanted = np.stack(asking["embedding"].to_numpy())
         wanted_turned = as_queries(wanted) @ turn
-        out = []
-        for i, query_id in enumerate(asking["query_id"].to_numpy()):
-            found, score = scan(stacked, turned, ids, wanted[i], wanted_turned[i], query_id, k)
-            out.append(pd.DataFrame({"query_id": np.full(len(found), query_id), "vec_id": found, "score": score}))
-        return pd.concat(out, ignore_index=True)
+        asking_ids = asking["query_id"].to_numpy()
+        found = [
+            scan(stacked, turned, ids, wanted[i], wanted_turned[i], query_id, k)
+            for i, query_id in enumerate(asking_ids)
+        ]
+        return pd.DataFrame({
+            "query_id": np.repeat(asking_ids, [len(x) for x, _ in found]),
+            "vec_id": np.concatenate([x for x, _ in found]), "score": np.concatenate([x for _, x in found]),
+        })
 
     keys = ["list", "block", "chunk"]
     found = pieces.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(best, "query_id long, vec_id long, score double")
