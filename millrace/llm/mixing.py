@@ -1,31 +1,40 @@
 """Sources interleaved at target weights, by Pfair scheduling.
 
 The rows of a source, in the order of their digests, form blocks. A source of weight w is owed
-w blocks a slot: its block k is released at floor(k / w) and due at ceil((k + 1) / w). Each
+w blocks a slot, w being its share among the sources that still have blocks: its block k is released
+at the slot in which its due passes k, and due at the end of the one in which it reaches k + 1. Each
 slot goes to the released block with the earliest deadline, which meets all deadlines, so after any
-number of slots each source is less than one block away from its due.
+number of slots each source is less than one block away from its due, whether or not others ended before.
 
-Weights are whole numbers of blocks in a period, and after a period every source has exactly its due,
-so the schedule of one period serves all of them, and a row finds its slot by arithmetic. When a
-source ends, the others go on at the same proportions in a new phase. The schedule
-of a phase depends on the weights and on one count per source; rows and blocks never pass the driver.
+Every source has a weight of its own, NULL and the empty name too, and dues are exact: weights are taken
+as the whole numbers whose ratios they are. Sources, counts and slots are tables. One task goes through
+the slots, one heap entry a source, and emits a source and a number a block; rows find their slot by
+a join, and neither rows nor blocks nor sources pass the driver.
+
+``mixed`` is for a few sources whose weights are given: it rounds them to whole numbers of blocks in a period,
+after which every source has exactly its rounded due, and needs no more than the schedule of one period.
 """
 
 from __future__ import annotations
 
 import heapq
-from math import ceil, log
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from functools import cmp_to_key
+from math import ceil, inf, log
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm.common import query, table
+from millrace.session import stored
 
-#: Blocks in a period: weights are multiples of 1 / PERIOD.
+#: Blocks in a period of ``mixed``: there, weights are multiples of 1 / PERIOD.
 PERIOD = 256
 BLOCK_ROWS = 4
-#: Sources with a weight of their own; the rows of all others are mixed as one more source.
+#: Sources that ``mixed`` gives a weight of their own; to it all others are one more source.
 NAMED_SOURCES = 63
 #: Rows of one source are numbered in parts of about this many.
 PART_ROWS = 20_000
@@ -162,20 +171,146 @@ def mixed(
     )
 
 
+def dues(blocks: list[int], weights: list[float]) -> Callable[[int, int], tuple[int, int]]:
+    """Of (source, k), the slots in which the due of the source reaches k blocks: whole ones until then, and rounded up.
+
+    Sources share the slots in proportion to their weights and, when one has all its blocks, the others
+    go on without it. Over v blocks a unit of weight, min(n, w * v) summed over the sources are dealt, the
+    least of the lines that hold between two ends. All numbers are exact.
+    """
+    if any(not 0 < w < inf for w in weights):
+        raise ValueError("weights are positive numbers")
+    ratios = [float(w).as_integer_ratio() for w in weights]
+    scale = max((below for _, below in ratios), default=1)
+    whole = [above * (scale // below) for above, below in ratios]
+    by_end = sorted(range(len(blocks)), key=cmp_to_key(lambda a, b: blocks[a] * whole[b] - blocks[b] * whole[a]))
+    ends: list[float] = []
+    lines: list[tuple[int, int]] = []
+    dealt, rate, last = 0, sum(whole), None
+    for s in by_end:
+        if last is None or blocks[s] * whole[last] != blocks[last] * whole[s]:
+            ends.append(blocks[s] / whole[s])
+            lines.append((dealt, rate))
+            last = s
+        dealt += blocks[s]
+        rate -= whole[s]
+
+    def reached(s: int, k: int) -> tuple[int, int]:
+        w = whole[s]
+        # division rounds in order, so the line is among those whose end is the same double, and the next
+        at = first = bisect_left(ends, k / w)
+        dealt, rate = lines[at]
+        least = dealt * w + k * rate
+        while ends[at] == ends[first] == k / w and at + 1 < len(ends):
+            at += 1
+            dealt, rate = lines[at]
+            least = min(least, dealt * w + k * rate)
+        return least // w, -(-least // w)
+
+    return reached
+
+
+def schedule(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int]]:
+    """(source, its block) of one slot after the other; of equal deadlines the smaller source comes first."""
+    reached = dues(blocks, weights)
+    released: list[tuple[int, int, int, int]] = []
+    later: dict[int, list[tuple[int, int, int, int]]] = {}
+    for s, n in enumerate(blocks):
+        if n:
+            after, deadline = reached(s, 1)
+            released.append((deadline, s, 0, after))
+    heapq.heapify(released)
+    for slot in range(sum(blocks)):
+        for job in later.pop(slot, ()):
+            heapq.heappush(released, job)
+        _, s, block, release = heapq.heappop(released)
+        yield s, block
+        if block + 1 < blocks[s]:
+            after, deadline = reached(s, block + 2)
+            job = deadline, s, block + 1, after
+            if release <= slot:
+                heapq.heappush(released, job)
+            else:
+                later.setdefault(release, []).append(job)
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(mix_name, block, slot) of all blocks, from the (mix_name, blocks, weight) of all sources."""
+    sources = sorted(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+    names = pa.array([name for name, _, _ in sources], pa.string())
+    of, block, start = [], [], 0
+
+    def out():
+        slots = pa.array(range(start, start + len(of)), pa.int64())
+        columns = [names.take(pa.array(of, pa.int64())), pa.array(block, pa.int64()), slots]
+        return pa.RecordBatch.from_arrays(columns, ["mix_name", "block", "slot"])
+
+    for s, k in schedule([n for _, n, _ in sources], [w for _, _, w in sources]):
+        of.append(s)
+        block.append(k)
+        if len(of) == 1 << 16:
+            yield out()
+            start += len(of)
+            of, block = [], []
+    if of:
+        yield out()
+
+
+def interleaved(
+    docs: DataFrame, source: str = "source", key: str = "doc_id", block_rows: int = BLOCK_ROWS,
+    weight: Callable[[Column], Column] = F.sqrt,
+) -> DataFrame:
+    """``docs`` with mix_source, block, slot and place; sorted by (slot, place) they are the mix.
+
+    All rows stay, and each source has the target weight that ``weight`` makes of its number of rows; NULL
+    is a source too. ``block`` numbers the blocks of a source, ``place`` the rows in a block, the last of
+    which may be short. Rows are taken in the order of their key's MD5, equal keys by a hash of the
+    whole row. Columns of these names in ``docs`` are replaced. An empty table stays empty.
+    """
+    columns = [c for c in docs.columns if c not in ("mix_source", "block", "slot", "place")]
+    own = F.col(source).cast("string")
+    # NULL equals nothing in a join: names carry a sign in front
+    labelled = docs.select(
+        *columns, own.alias("mix_source"), F.coalesce(F.concat(F.lit("="), own), F.lit("")).alias("mix_name"),
+        F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("_digest"),
+    )
+    sources = stored(
+        labelled.groupBy("mix_name").agg(F.count(F.lit(1)).alias("rows"))
+        .select("mix_name", "rows", F.ceil(F.col("rows") / block_rows).cast("long").alias("blocks"),
+                weight(F.col("rows")).cast("double").alias("weight")),
+        "sources",
+    )
+    most = sources.agg(F.max("rows")).first()[0] or 0
+    digits = max(1, ceil(log(most / PART_ROWS, 16))) if most > PART_ROWS else 1
+    labelled = labelled.withColumn("_part", F.substring("_digest", 1, digits))
+    before = Window.partitionBy("mix_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        labelled.groupBy("mix_name", "_part").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    )
+    order = Window.partitionBy("mix_name", "_part").orderBy("_digest", key, F.xxhash64(*columns))
+    slots = sources.select("mix_name", "blocks", "weight").coalesce(1).mapInArrow(_slots, "mix_name string, block long, slot long")
+    return (
+        labelled.withColumn("_nth", F.row_number().over(order))
+        .join(parts, ["mix_name", "_part"])
+        .withColumn("_index", F.col("_before") + F.col("_nth") - 1)
+        .withColumn("block", F.expr(f"_index DIV {block_rows}"))
+        .join(slots, ["mix_name", "block"])
+        .select(*columns, "mix_source", "block", "slot", F.expr(f"CAST(_index % {block_rows} AS INT)").alias("place"))
+    )
+
+
 def in_mix_order(docs: DataFrame, source: str = "source") -> DataFrame:
     """The same rows and columns, written out in the order of the mix."""
-    rows = source_rows(docs, source)
-    ordered = mixed(docs, tempered(rows), rows, source)
+    order = ["_mix.slot", "_mix.place"]
+    found = interleaved(docs.select(F.struct(*docs.columns).alias("_row"), F.col(source).alias("_source"), F.col("doc_id").alias("_key")), "_source", "_key")
     return (
-        ordered.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
-        .select(*docs.columns)
+        found.select("_row", F.struct("slot", "place").alias("_mix"))
+        .repartitionByRange(*order).sortWithinPartitions(*order).select("_row.*")
     )
 
 
 @query("op1_mixing")
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    rows = source_rows(docs, "source")
-    return mixed(docs, tempered(rows), rows).withColumn(
-        "position", F.col("slot") * BLOCK_ROWS + F.col("place")
-    )
+    return interleaved(docs).withColumn("position", F.col("slot") * BLOCK_ROWS + F.col("place"))
