@@ -7,9 +7,9 @@ slot goes to the released block with the earliest deadline, which meets all dead
 number of slots each source is less than one block away from its due, whether or not others ended before.
 
 Every source has a weight of its own, NULL and the empty name too, and dues are exact: weights are taken
-as the whole numbers whose ratios they are. Sources, counts and slots are tables. One task goes through
-the slots, one heap entry a source, and emits a source and a number a block; rows find their slot by
-a join, and neither rows nor blocks nor sources pass the driver.
+as the whole numbers whose ratios they are. The driver gets one count a source and goes through the
+slots, one heap entry a source; the slots go out as a table, a bounded piece at a time, and rows
+find theirs by a join. Rows never pass the driver.
 
 ``mixed`` is for a few sources whose weights are given: it rounds them to whole numbers of blocks in a period,
 after which every source has exactly its rounded due, and needs no more than the schedule of one period.
@@ -21,15 +21,17 @@ import heapq
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import cmp_to_key
+from itertools import islice
 from math import ceil, inf, log
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm.common import query, table
-from millrace.session import stored
+from millrace.session import shared_folder, stored
 
 #: Blocks in a period of ``mixed``: there, weights are multiples of 1 / PERIOD.
 PERIOD = 256
@@ -39,6 +41,9 @@ NAMED_SOURCES = 63
 #: Rows of one source are numbered in parts of about this many.
 PART_ROWS = 20_000
 REST = ""
+#: Blocks that the driver schedules before it writes them out.
+PIECE = 1 << 20
+SLOTS = "mix_name string, block long, slot long"
 
 
 def quotas(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -234,26 +239,23 @@ def schedule(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int
                 later.setdefault(release, []).append(job)
 
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(mix_name, block, slot) of all blocks, from the (mix_name, blocks, weight) of all sources."""
-    sources = sorted(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
-    names = pa.array([name for name, _, _ in sources], pa.string())
-    of, block, start = [], [], 0
+def slot_table(sources: DataFrame) -> DataFrame:
+    """(mix_name, block, slot) of all blocks, from the (mix_name, blocks, weight) of all sources.
 
-    def out():
-        slots = pa.array(range(start, start + len(of)), pa.int64())
-        columns = [names.take(pa.array(of, pa.int64())), pa.array(block, pa.int64()), slots]
-        return pa.RecordBatch.from_arrays(columns, ["mix_name", "block", "slot"])
-
-    for s, k in schedule([n for _, n, _ in sources], [w for _, _, w in sources]):
-        of.append(s)
-        block.append(k)
-        if len(of) == 1 << 16:
-            yield out()
-            start += len(of)
-            of, block = [], []
-    if of:
-        yield out()
+    The driver holds the sources and ``PIECE`` blocks at once, and writes them out.
+    """
+    spark, path = sources.sparkSession, shared_folder(sources.sparkSession, "slots")
+    known = sorted(tuple(r) for r in sources.select("mix_name", "blocks", "weight").collect())
+    names = pa.array([name for name, _, _ in known], pa.string())
+    jobs = schedule([n for _, n, _ in known], [w for _, _, w in known])
+    start = 0
+    while True:
+        piece = np.array(list(islice(jobs, PIECE)), np.int64).reshape(-1, 2)
+        columns = [names.take(pa.array(piece[:, 0])), pa.array(piece[:, 1]), pa.array(np.arange(start, start + len(piece)))]
+        spark.createDataFrame(pa.table(columns, ["mix_name", "block", "slot"]), SLOTS).write.mode("append").parquet(path)
+        start += len(piece)
+        if len(piece) < PIECE:
+            return spark.read.schema(SLOTS).parquet(path)
 
 
 def interleaved(
@@ -289,13 +291,12 @@ def interleaved(
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     )
     order = Window.partitionBy("mix_name", "_part").orderBy("_digest", key, F.xxhash64(*columns))
-    slots = sources.select("mix_name", "blocks", "weight").coalesce(1).mapInArrow(_slots, "mix_name string, block long, slot long")
     return (
         labelled.withColumn("_nth", F.row_number().over(order))
         .join(parts, ["mix_name", "_part"])
         .withColumn("_index", F.col("_before") + F.col("_nth") - 1)
         .withColumn("block", F.expr(f"_index DIV {block_rows}"))
-        .join(slots, ["mix_name", "block"])
+        .join(slot_table(sources), ["mix_name", "block"])
         .select(*columns, "mix_source", "block", "slot", F.expr(f"CAST(_index % {block_rows} AS INT)").alias("place"))
     )
 

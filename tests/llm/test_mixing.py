@@ -107,6 +107,7 @@ def plain_mix(rows):
 
 
 def test_rows_of_the_query_stand_where_a_plain_run_puts_them(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE", 100)
     monkeypatch.setattr(mixing, "PART_ROWS", 20)
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "source").collect()]
     got = sorted(mixing.op1_mixing(spark, SMALL).collect(), key=lambda r: r["position"])
