@@ -66,6 +66,9 @@ def test_sources_stay_within_a_block_of_unrounded_weights_however_long_the_input
     rows = [2_000_000 // 40] + [random.Random(i).randint(40_000, 298_000) // 40 for i in range(20)]
     blocks, weights = [-(-n // 4) for n in rows], [n ** 0.5 for n in rows]
     assert furthest_off(blocks, weights, [s for s, _ in mixing.schedule(blocks, weights)]) < 1 + 1e-6
+    # weights rounded to a period would drift by more than a block
+    shares = mixing.quotas({str(s): w for s, w in enumerate(weights)})
+    assert max(abs(shares[str(s)] / 256 - w / sum(weights)) for s, w in enumerate(weights)) * sum(blocks) / 2 > 1
     # and with weights far below one block in 256
     blocks, weights = [30_000, 40, 3], [1.0, 0.0013, 0.00011]
     assert furthest_off(blocks, weights, [s for s, _ in mixing.schedule(blocks, weights)]) < 1 + 1e-6
