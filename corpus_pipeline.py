@@ -34,8 +34,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same rows with the ids of their texts."""
-    return pieces.with_ids(docs, pieces.vocabulary())
+    """The same rows with the ids of their texts, in the order of the mix.
+
+    A table read again has no order, so it is found anew: the same rows have the same mix.
+    """
+    return pieces.with_ids(mixing.in_mix_order(docs), pieces.vocabulary())
 
 
 STAGES = [

@@ -9,6 +9,7 @@ from fractions import Fraction
 import numpy as np
 from edge import none, odd
 
+import corpus_pipeline
 from millrace.llm import mixing
 
 SMALL = "/root/testdata/sf0.01"
@@ -118,6 +119,19 @@ def test_rows_of_the_query_stand_where_a_plain_run_puts_them(spark, monkeypatch)
     assert all(r["position"] == 4 * r["slot"] + r["place"] for r in got)
 
 
+def test_the_pipeline_returns_its_rows_in_the_order_of_the_mix(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id % 3 = 0")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[3:])
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: docs)
+    # several files, which Spark reads largest first
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = [r["doc_id"] for r in corpus_pipeline.run(spark, SMALL).select("doc_id").collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == plain_mix([tuple(r) for r in docs.select("doc_id", "source").collect()])
+
+
 def test_columns_named_like_those_of_the_mix_come_through(spark):
     docs = odd(spark)
     assert sorted(map(str, mixing.in_mix_order(docs).collect())) == sorted(map(str, docs.collect()))
