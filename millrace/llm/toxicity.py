@@ -11,8 +11,9 @@ The margin is the sum of the differences of both log-likelihoods over the number
 sequences (and ``CALM`` more, for short texts); a sigmoid fitted on labelled texts that the models
 for that step had not seen makes it a probability.
 
-Sequences are counted as exact numbers in Spark. Tasks score with a table of ``BINS``
-differences, so the broadcast model has one size whatever the corpus.
+Sequences are exact numbers throughout, and each has its own difference. The differences are counted: up to
+``SENT`` of them are sent to the tasks as a sorted array, more are joined to the sequences of the texts.
+Both give the same margins, as differences are multiples of ``STEP`` whose sums have no rounding.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import query, table
+from millrace.llm.common import SALTS, query, table
 from millrace.llm.labelled import fold, probability, sampled, sigmoid_fit, with_label, with_margins
 from millrace.llm.tokens import KINDS, slices, text_column
 from millrace.session import stored
@@ -33,8 +34,11 @@ from millrace.session import stored
 ORDER = 5
 #: Neutral sequences that every text is taken to hold besides its own.
 CALM = 50
-#: A prime, so that sequences with like endings part.
-BINS = 4_194_301
+#: All sequences there can be: each is its own bin.
+BINS = 1 << 8 * ORDER
+#: So many differences, of 16 bytes, are sent to the tasks at most.
+SENT = 4_000_000
+STEP = 2.0 ** -24
 DISCOUNT = 0.75
 #: What is left of the shortest contexts goes to so many bytes alike.
 SYMBOLS = 64
@@ -177,41 +181,46 @@ def differences(counts: DataFrame) -> DataFrame:
             (F.log(own("t", "st") + F.col("rt") * F.col("p")) - F.log(own("o", "so") + F.col("ro") * F.col("p"))).alias("v"),
         )
     )
-    binned = lambda c: (F.col(c) % BINS).cast("int").alias("bin")
-    return (
-        known.select(F.lit(0).alias("kind"), binned("seq"), "v", "w")
-        .unionByName(contexts.select(
-            F.lit(1).alias("kind"), binned("ctx"), (F.log("rt") - F.log("ro")).alias("v"),
-            (F.col("st") + F.col("so")).alias("w"),
-        ))
-        .groupBy("kind", "bin").agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).cast("float").alias("value"))
+    stepped = lambda v: (F.rint(v / F.lit(STEP)) * F.lit(STEP)).alias("value")
+    return known.select(F.lit(0).alias("kind"), F.col("seq").alias("bin"), stepped(F.col("v"))).unionByName(
+        contexts.select(F.lit(1).alias("kind"), F.col("ctx").alias("bin"), stepped(F.log("rt") - F.log("ro")))
     )
 
 
-def model(counts: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """The differences as two arrays over the bins, NaN where nothing was seen.
+def model(counts: DataFrame) -> DataFrame | None:
+    """The differences, stored.
 
     None where one of the classes has no sequence: there is nothing to compare.
     """
-    found = differences(counts).toArrow()
-    kind = found.column("kind").to_numpy()
     both = counts.agg(F.sum("t"), F.sum("o")).first()
-    if not both[0] or not both[1]:
-        return None
-    arrays = []
-    for which in (0, 1):
-        values = np.full(BINS, np.nan, np.float32)
-        values[found.column("bin").to_numpy()[kind == which]] = found.column("value").to_numpy()[kind == which]
-        arrays.append(values)
-    return arrays[0], arrays[1]
+    return stored(differences(counts), "differences") if both[0] and both[1] else None
+
 
+def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of the wanted keys, NaN where there is none."""
+    if not len(keys):
+        return np.full(len(wanted), np.nan)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], np.nan)
 
-def with_difference(docs: DataFrame, arrays: tuple[np.ndarray, np.ndarray], name: str) -> DataFrame:
+
+def with_difference(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
     """``docs`` with the margin of each text, 0 for a blank one."""
+    return (_with_sent if found.count() <= SENT else _with_joined)(docs, found, name)
+
+
+def _with_sent(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    rows = found.toArrow()
+    kind, keys, values = (rows.column(c).to_numpy() for c in ("kind", "bin", "value"))
+    arrays = []
+    for which in (0, 1):
+        of = np.flatnonzero(kind == which)
+        of = of[np.argsort(keys[of], kind="stable")]
+        arrays += [keys[of], values[of]]
     shared = docs.sparkSession.sparkContext.broadcast(arrays)
 
     def scorer():
-        known, contexts = shared.value
+        known, known_values, contexts, context_values = shared.value
 
         def score(batch: pa.RecordBatch) -> np.ndarray:
             bounds, data = _lowered(batch)
@@ -220,9 +229,9 @@ def with_difference(docs: DataFrame, arrays: tuple[np.ndarray, np.ndarray], name
                 seq, row = sequences(bounds[low:high + 1], data)
                 once = _once(seq, row)
                 seq, row = once & _SEQUENCE, once >> 8 * ORDER
-                value = known[seq % BINS]
+                value = _looked_up(known, known_values, seq)
                 unseen = np.flatnonzero(np.isnan(value))
-                value[unseen] = np.nan_to_num(contexts[(seq[unseen] >> 8) % BINS])
+                value[unseen] = np.nan_to_num(_looked_up(contexts, context_values, seq[unseen] >> 8))
                 held = np.bincount(row, minlength=high - low)
                 out[low:high] = np.bincount(row, value, high - low) / (held + CALM)
             return out
@@ -232,6 +241,49 @@ def with_difference(docs: DataFrame, arrays: tuple[np.ndarray, np.ndarray], name
     return with_margins(docs, scorer, name)
 
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, seq) for each distinct sequence of each text, and one of -1 for each text."""
+    for batch in batches:
+        bounds, data = _lowered(batch)
+        digests = batch.column(batch.schema.get_field_index("digest"))
+        for low, high in slices(bounds, 1 << 20):
+            once = _once(*sequences(bounds[low:high + 1], data))
+            row = np.concatenate((np.arange(high - low), once >> 8 * ORDER)) + low
+            seq = np.concatenate((np.full(high - low, -1), once & _SEQUENCE))
+            for at in range(0, len(seq), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                yield pa.RecordBatch.from_arrays([digests.take(pa.array(row[part])), pa.array(seq[part])], ["digest", "seq"])
+
+
+def _with_joined(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """A margin depends on the text alone, so it is found for each digest of a text.
+
+    A sequence that most texts hold is looked up in ``SALTS`` parts.
+    """
+    columns = [c for c in docs.columns if c != name]
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    held = (
+        docs.select("text", digest.alias("digest")).mapInArrow(_held, "digest binary, seq long")
+        .withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)))
+    )
+    known = found.where("kind = 0").select(F.col("bin").alias("seq"), F.col("value").alias("known"))
+    contexts = found.where("kind = 1").select(F.col("bin").alias("ctx"), F.col("value").alias("context"))
+    lookup = (
+        held.where("seq >= 0").select("seq", "salt").distinct().join(known, "seq", "left")
+        .withColumn("ctx", F.shiftright("seq", 8)).join(contexts, "ctx", "left")
+        .select("seq", "salt", F.coalesce("known", "context", F.lit(0.0)).alias("value"))
+    )
+    texts = F.count_if(F.col("seq") < 0)
+    margins = (
+        held.join(lookup, ["seq", "salt"], "left").groupBy("digest")
+        .agg((F.coalesce(F.sum("value"), F.lit(0.0)) / texts / (F.count_if(F.col("seq") >= 0) / texts + CALM)).alias("_margin"))
+    )
+    return (
+        docs.select(*columns, digest.alias("_digest")).join(margins.withColumnRenamed("digest", "_digest"), "_digest")
+        .select(*columns, F.col("_margin").alias(name))
+    )
+
+
 def with_toxicity(docs: DataFrame, corpus: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
     """``docs`` with toxicity: 0 to 1, higher: label 1 likelier.
 
