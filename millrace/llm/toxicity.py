@@ -303,6 +303,8 @@ def with_toxicity(docs: DataFrame, corpus: DataFrame, labels: DataFrame, train:
             with_label(corpus.where(train & (fold("doc_id", 8) % 2 == 1)), labels, "toxic", "inner"), FIT_ROWS
         )
         fitted = with_difference(unseen.select("text", "label"), halves, "margin").select("margin", "label").toArrow()
+        # in one order, so that sums of the fit do not depend on that of the rows
+        fitted = fitted.sort_by([("margin", "ascending"), ("label", "ascending")])
         margin, label = fitted.column("margin").to_numpy(), fitted.column("label").to_numpy()
         if 0 < label.sum() < len(label):
             slope, offset = sigmoid_fit(margin, label)
