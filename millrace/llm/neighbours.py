@@ -162,12 +162,19 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 20) -> DataFrame:
         centers, _ = shared.value
         for batch in batches:
             points = batch.column(1).flatten().to_numpy().reshape(-1, size)
-            found = nearest_lists(as_queries(points), centers, probes).astype(np.int32)
-            offsets = np.arange(len(points) + 1, dtype=np.int32) * found.shape[1]
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))
+            found = nearest_lists(as_queries(points), centers, len(centers)).astype(np.int32)
+            # as many as were fitted, and on until they hold k vectors besides the query's own
+            within = np.cumsum(sizes[found], axis=1) - sizes[found] < k + 1
+            within[:, :probes] = True
+            offsets = np.concatenate(([0], np.cumsum(within.sum(axis=1)))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[within]))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["vec_id", "embedding", "lists"])
 
     rows = stored(known.select("vec_id", "embedding").mapInArrow(put, "vec_id long, embedding array<double>, list int"), "lists")
+    # one row for each of at most MOST_LISTS lists
+    sizes = np.zeros(len(centers), np.int64)
+    for r in rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[r["list"]] = r["n"]
     queries = stored(
         known.where(asked).select("vec_id", "embedding")
         .mapInArrow(ask, "vec_id long, embedding array<double>, lists array<int>")
