@@ -31,3 +31,11 @@ def run_drop_plan(
     if not seen:
         log(NOTHING)
     return done
+
+
+def dry_run_log(plan: DataFrame) -> DataFrame:
+    """What a dry run logs, one command a row in the order of the run; nothing goes through the driver."""
+    fixed = stored(plan, "drop-plan").select("command")
+    if fixed.isEmpty():
+        return plan.sparkSession.range(1).select(F.lit(NOTHING).alias("command"))
+    return fixed.orderBy(F.col("command").desc())
