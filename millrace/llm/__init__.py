@@ -11,7 +11,7 @@ from millrace.llm.common import ORACLES, QUERIES
 
 from millrace.llm import (  # noqa: E402,F401  each module registers its query
     mixing, toxicity, exact_dedup, warc, language, jaccard_join, neighbours, quality, sharding, pieces,
-    byte_pairs, fill_middle,
+    merkle, byte_pairs, fill_middle,
 )
 
 # Executors need no copy of this folder: what tasks run is sent along with them.
