@@ -20,8 +20,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice, repeat
 
+import numpy as np
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +35,7 @@ from millrace.llm.tokens import slices, text_column
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Arcs of the transducer, and ids of words of up to so many bytes, that one worker keeps at most.
-ARCS, REMEMBERED, SHORT = 400_000, 500_000, 48
+ARCS, REMEMBERED, SHORT = 700_000, 1_000_000, 48
 #: Ids that are decoded at once; texts of more characters are split into words one by one.
 WINDOW, LONG = 8192, 1 << 20
 NEVER = float("inf")
@@ -148,23 +151,27 @@ class Transducer:
 
     def _arc(self, state: int, byte: int) -> int:
         merges, places, end = self.merges, [], None
+        child, token_at, inner, pairs = merges.child, merges.token_at, merges.inner, merges.pairs
         for node, before, path in self.places[state]:
-            grown = merges.child.get(node << 8 | byte)
+            grown = child.get(node << 8 | byte)
             if grown is None:
                 continue
             if end is None:
-                token = merges.token_at.get(grown)
-                if token is not None and (before < 0 or merges.apart(before, token)):
-                    end = (0, token, (*path, token))
-            if grown in merges.inner:
+                token = token_at.get(grown)
+                if token is not None:
+                    apart = before < 0 or pairs.get(before << 32 | token)
+                    if apart or apart is None and merges.apart(before, token):
+                        end = (0, token, (*path, token))
+            if grown in inner:
                 places.append((grown, before, path))
         places.append(end)
         first = places[0][2]
         common = 0
-        while common < len(first) and all(
-            len(p) > common and p[common] == first[common] for _, _, p in places
-        ):
-            common += 1
+        if first:
+            for ids in zip(*[path for _, _, path in places]):
+                if ids.count(ids[0]) < len(ids):
+                    break
+                common += 1
         if common:
             places = [(node, before, path[common:]) for node, before, path in places]
             self.emitted[state << 8 | byte] = first[:common]
@@ -241,7 +248,7 @@ class Utf8Stream:
 
 
 class Codec(dict):
-    """Encodes and decodes with one vocabulary. As a dict: the ids of a word."""
+    """Encodes and decodes with one vocabulary. As a dict: the ids of a word as packed 32-bit numbers."""
 
     def __init__(self, found: dict):
         import regex
@@ -249,38 +256,40 @@ class Codec(dict):
         super().__init__()
         self.ranks, self.transducer = found["ranks"], Transducer(Merges(found["ranks"]))
         self.pattern = regex.compile(found["pattern"])
+        self.decimal = {rank: str(rank) for rank in self.ranks.values()}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         data = word.encode()
         known = self.ranks.get(data)
-        if known is not None:
-            ids = (known,)
-        else:
-            ids = tuple(i for part in self.transducer.stream(data) for i in part)
+        found = self.transducer.stream(data) if known is None else ((known,),)
+        ids = array("i", chain.from_iterable(found)).tobytes()
         if len(data) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = ids
         return ids
 
-    def encode(self, text: str | None) -> list[int]:
-        """The ids of a text; none for NULL and for an empty text."""
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text as packed 32-bit numbers; none for NULL and for an empty text."""
         if not text:
-            return []
+            return b""
         if len(text) > LONG:
             words: Iterable[str] = (m.group() for m in self.pattern.finditer(text))
         else:
             words = self.pattern.findall(text)
-        return [i for word in words for i in self[word]]
+        return b"".join(map(self.__getitem__, words))
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """The text of ids in parts; an id without a token has none."""
         ids, stream, found = iter(ids), Utf8Stream(), self.transducer.merges.spelled
         while True:
-            part = [found.get(i, b"") for _, i in zip(range(WINDOW), ids)]
+            part = list(islice(ids, WINDOW))
             if not part:
                 break
-            yield stream.feed(b"".join(part))
+            yield stream.feed(b"".join(map(found.get, part, repeat(b""))))
         yield stream.end()
 
 
@@ -314,8 +323,11 @@ def with_ids(docs: DataFrame, found: dict, name: str = "ids") -> DataFrame:
             bounds, _ = text_column(batch, "text")
             for low, high in slices(bounds):
                 part = batch.slice(low, high - low)
-                ids = [codec.encode(t) for t in part.column(part.schema.get_field_index("text")).to_pylist()]
-                column = pa.array(ids, pa.list_(pa.int32()))
+                ids = [codec.packed(t) for t in part.column(part.schema.get_field_index("text")).to_pylist()]
+                offsets = np.concatenate(([0], np.cumsum([len(i) // 4 for i in ids]))).astype(np.int32)
+                column = pa.ListArray.from_arrays(
+                    pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32))
+                )
                 yield pa.RecordBatch.from_arrays([*part.columns, column], [*columns, name])
 
     schema = ", ".join([*_fields(docs, columns), f"`{name}` array<int>"])
@@ -356,7 +368,7 @@ def digests(docs: DataFrame, found: dict) -> DataFrame:
                 for text in batch.column(1).slice(low, high - low).to_pylist():
                     ids = codec.encode(text)
                     counts.append(len(ids))
-                    of_ids.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                    of_ids.append(hashlib.sha256(" ".join(map(codec.decimal.__getitem__, ids)).encode()).hexdigest())
                     whole = hashlib.sha256()
                     for part in codec.decode(ids):
                         whole.update(part.encode())
