@@ -4,15 +4,17 @@ A text is the set of its shingles. For sets of sizes a and b, a Jaccard similari
 means that at most (a + b)(1 - t) / (1 + t) shingles lie in one set only. Each shingle
 flips one bit of a sketch, so shingles of both sets cancel out and two sketches differ in no more
 bits than that. A sketch has one 64-bit word more than shingles may differ, hence linked sets
-agree in a whole word: that word, with its place, is the join key. Words into which one shingle
-falls, or none, say little, so a sketch has some more words than that, and as long as no more
-than these are so thin, linked sets agree in one that is not; thin words are left out then.
+agree in a whole word: that word, with its place, is the join key. Words with one bit set, or none,
+say little, so a sketch has some more words than that, and as long as no more than these are so
+thin, linked sets agree in one that is not; thin words are left out then. Sketches of more than a few
+words get ``EXTRA`` words on top, so that linked sets agree in one more than that: sets which share a
+passage agree in a word now and then, hardly ever in several.
 
 How many words there are depends on the size, so sizes are cut into bands. A set takes part in the
 band of its own size, and in the next ones as long as a set from there could still be similar.
 
-Equal words only say which sets to look at. Pairs of sets with a word in common must keep the bound
-on a second sketch, of one size for all. Where many sets have a word, no pairs are made: they
+Equal words only say which sets to look at. Pairs of sets with words enough in common must keep the
+bound on a second sketch, of one size for all. Where many sets have a word, no pairs are made: they
 meet in blocks, and a block returns ties that connect what keeps the bound, at most one for
 each set. What the ties connect is compared in blocks again, now by the shingles themselves.
 Pairs that are connected already are not compared, and again only links that connect come out.
@@ -41,6 +43,8 @@ from millrace.session import stored
 BAND = 1.3
 #: Sets that share a word are paired up to so many, and compared in blocks beyond.
 PAIRED = 16
+#: Linked sets agree in so many words and one more, if their sketches may differ in at least so many.
+EXTRA, MANY_WORDS = 3, 16
 #: 64-bit words of the second sketch.
 PLAIN_WORDS = 16
 #: Texts of one block; two blocks are compared in one task.
@@ -79,8 +83,8 @@ def differing(total: int, percent: int) -> int:
     return total * (100 - percent) // (100 + percent)
 
 
-def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
-    """(smallest size, words of a sketch, spare words) of each band that a set takes part in."""
+def bands(size: int, percent: int) -> list[tuple[int, int, int, int]]:
+    """(smallest size, words of a sketch, spare, extra) of each band that a set takes part in."""
     low, high, found = 1, 1, []
     while low * percent <= size * 100:
         if high >= size:
@@ -89,8 +93,8 @@ def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
     return [(low, *_words_for(low, high, percent)) for low, high in found]
 
 
-def _words_for(low: int, high: int, percent: int) -> tuple[int, int]:
-    """So many words that linked sets agree in one more than are spare.
+def _words_for(low: int, high: int, percent: int) -> tuple[int, int, int]:
+    """(words, spare, extra): linked sets agree in one more word than are spare and extra.
 
     Spare are about as many as are thin in a set from the middle of the band.
     """
@@ -98,16 +102,30 @@ def _words_for(low: int, high: int, percent: int) -> tuple[int, int]:
     share = (low + high) / 2 / needed
     thin = min(0.3, np.exp(-share) * (1 + share))
     spare = 1 + int(1.2 * needed * thin / (1 - thin))
-    return needed + spare, spare
+    extra = EXTRA if needed >= MANY_WORDS else 0
+    return needed + spare + extra, spare, extra
 
 
-def sketch(shingles: np.ndarray, count: int, seed: int, with_thick: bool = False):
-    """``count`` words of 64 bits, one of which each shingle flips; and which got two or more."""
+def sketch(shingles: np.ndarray, count: int, seed: int) -> np.ndarray:
+    """``count`` words of 64 bits, one bit of which each shingle flips."""
     spread = mix(shingles + np.uint64(seed))
     place = ((spread >> np.uint64(6)) % np.uint64(count)).astype(np.int64)
     out = np.zeros(count, np.uint64)
     np.bitwise_xor.at(out, place, np.uint64(1) << (spread & np.uint64(63)))
-    return (out, np.bincount(place, minlength=count) > 1) if with_thick else out
+    return out
+
+
+def key_words(shingles: np.ndarray, low: int, count: int, spare: int, extra: int) -> np.ndarray:
+    """The words of a set's sketch in the band from ``low`` on, hashed with their places.
+
+    Thin words are left out if no more than the spare ones are thin; whether one is, both
+    sides see alike. The last bit says that one word in common is enough, as nothing is extra.
+    """
+    own, place = sketch(shingles, count, low), np.arange(count, dtype=np.uint64) + np.uint64(low << 32)
+    thick = np.bitwise_count(own) > 1
+    if count - thick.sum() <= spare:
+        own, place = own[thick], place[thick]
+    return mix(own + mix(place)) & ~np.uint64(1) | np.uint64(extra == 0)
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
@@ -137,19 +155,19 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     third of all sets are a small part of the rows each.
     """
     by_word = Window.partitionBy("key")
-    before = by_word.orderBy("one").rowsBetween(1 - PAIRED, -1)
+    in_order = by_word.orderBy("one")
     shared = (
         entries.repartition(F.col("key")).dropDuplicates(["key", "one"])
         .withColumn("many", F.count(F.lit(1)).over(by_word)).where("many > 1")
-        .withColumn("before", F.collect_list("one").over(before))
-    )
-    pair = lambda a: F.struct(a.alias("a"), F.col("one").alias("b"), F.lit(0).alias("blocks"))
-    crowd = F.struct(
-        F.col("key").alias("a"), F.col("one").alias("b"), F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks")
+        .withColumn("nth", F.row_number().over(in_order))
+        .withColumn("sets", F.collect_list("one").over(in_order.rowsBetween(1 - PAIRED, 0)))
     )
-    met = stored(shared.select(F.explode(
-        F.when(F.col("many") <= PAIRED, F.transform("before", pair)).otherwise(F.array(crowd))
-    ).alias("x")).select("x.*"), "shared-words")
+    # a word of few sets is one row with all of them, a crowded word a row for each
+    crowd = F.col("many") > PAIRED
+    met = stored(shared.where(crowd | (F.col("nth") == F.col("many"))).select(
+        "key", F.when(crowd, F.array("one")).otherwise(F.col("sets")).alias("sets"),
+        F.when(crowd, F.ceil(F.col("many") / BLOCK)).otherwise(0).cast("int").alias("blocks"),
+    ), "shared-words")
     facts = described.where("n > 0").select("one", "n", "plain").distinct()
     side = lambda name: facts.select(*[F.col(c).alias(d) for c, d in zip(facts.columns, (name, f"n_{name}", f"plain_{name}"))])
     apart = F.aggregate(
@@ -157,9 +175,13 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     )
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     near = (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)) & (small * 100 >= large * percent)
-    pairs = met.where("blocks = 0").select("a", "b").distinct()
+    # linked sets have more words in common than are extra, or one of a word that is enough, or a crowded one
+    paired = met.where("blocks = 0").select(
+        F.posexplode("sets").alias("nth", "a"), "sets", F.when(F.col("key") % 2 != 0, EXTRA + 1).otherwise(1).alias("weight"),
+    ).select("a", F.explode(F.expr(f"slice(sets, nth + 2, {PAIRED})")).alias("b"), "weight")
+    pairs = paired.groupBy("a", "b").agg(F.sum("weight").alias("weight")).where(f"weight > {EXTRA}")
     few = pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b")
-    crowded = met.where("blocks > 0").select(F.col("a").alias("key"), F.col("b").alias("one"), "blocks")
+    crowded = met.where("blocks > 0").select("key", F.col("sets")[0].alias("one"), "blocks")
     many = _in_blocks(crowded.join(facts, "one"), "key", "one", ["n", "plain"], crowded.count() // BLOCK)
 
     def tie(frame: pd.DataFrame) -> pd.DataFrame:
@@ -211,14 +233,11 @@ def _entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 if two in known:
                     continue
                 known.add(two)
-                for low, count, spare in bands(len(shingles), percent):
-                    own, thick = sketch(shingles, count, low, True)
-                    place = np.arange(count, dtype=np.uint64) + np.uint64(low << 32)
-                    if count - thick.sum() <= spare:
-                        own, place = own[thick], place[thick]
-                    keys.append(mix(own + mix(place)))
+                for band in bands(len(shingles), percent):
+                    own = key_words(shingles, *band)
+                    keys.append(own)
                     marks.append(np.full(len(own), one, np.int64))
-                    held += count
+                    held += len(own)
                 if held > 1 << 16:
                     yield _pairs(keys, marks)
                     keys, marks, held = [], [], 0
@@ -351,6 +370,27 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
 
 
-@query("op6_jaccard_join")
+@query("op6_jaccard_join", r"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
+               list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) END AS s
+        FROM texts
+    ), shingles AS (
+        SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+    ), links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b USING (x) WHERE a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+    ), reached AS (
+        SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+    )
+    SELECT doc_id, len(s) AS n_shingles,
+           least(doc_id, coalesce((SELECT min(b) FROM reached WHERE a = doc_id), doc_id)) AS component_id
+    FROM sets
+""")
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90)

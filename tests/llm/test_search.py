@@ -89,7 +89,23 @@ def test_linked_sizes_share_a_band_with_words_enough(percent):
         for large in range(small, small * 100 // percent + 1):
             shared = set(jaccard_join.bands(small, percent)) & set(jaccard_join.bands(large, percent))
             differ = jaccard_join.differing(small + large, percent)
-            assert any(count > differ + spare for _, count, spare in shared), (small, large)
+            assert any(count > differ + spare + extra for _, count, spare, extra in shared), (small, large)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_sets_have_words_enough_in_common(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(400):
+        a = rng.integers(0, 1 << 63, rng.integers(1, 400), dtype=np.uint64)
+        gone, new = rng.integers(0, len(a) // 4 + 1), rng.integers(0, len(a) // 4 + 1)
+        b = np.concatenate((a[gone:], rng.integers(0, 1 << 63, new, dtype=np.uint64)))
+        if 100 * (len(a) - gone) < percent * (len(a) + new):
+            continue
+        enough = []
+        for band in set(jaccard_join.bands(len(a), percent)) & set(jaccard_join.bands(len(b), percent)):
+            common = np.intersect1d(jaccard_join.key_words(a, *band), jaccard_join.key_words(b, *band))
+            enough.append(len(common) > band[3] and (band[3] > 0 or np.all(common & np.uint64(1))))
+        assert any(enough)
 
 
 def test_odd_rows(spark):
