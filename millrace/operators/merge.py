@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.months import MONTH, in_order, live, month_of, publish, read_months, write_version
 from millrace.operators.staging import latest_by
-from millrace.session import folder_names, remove_folder, shared_folder, stored
-
-MONTH = "_month"
-# Fixed value: Spark's folder for rows without a partition value.
-NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+from millrace.session import stored
 
 # Keys are broadcast up to this many bytes, an allowance per key included.
 BROADCAST_BYTES = 256 << 20
 BYTES_PER_KEY = 64
+# Up to so many keys are named in a scan's filter, so many in a list: longer lists are not
+# checked against Bloom filters.
+NAMED_KEYS, PUSHED_KEYS = 200, 10
 
 
 def require_distinct(source: DataFrame, key: str) -> None:
@@ -88,39 +87,6 @@ def _unmatched(target: DataFrame, source: DataFrame, key: str, few: bool) -> Dat
     return kept.unionByName(target.where(F.col(key).isNull()))
 
 
-def month_of(column: str) -> Column:
-    return F.date_format(F.col(column), "yyyy-MM")
-
-
-def write_months(df: DataFrame, path: str, field: str, gather: bool = True) -> None:
-    """A new table partitioned by month.
-
-    ``gather`` brings the rows of a month together first, so that tasks which hold all months
-    do not write a file for each; a month that holds a large part of the rows is still split.
-    Rows that lie in one month, or come month by month, need no such shuffle.
-    """
-    dated = df.withColumn(MONTH, month_of(field))
-    if gather:
-        dated = dated.hint("rebalance", MONTH)
-    dated.write.mode("errorifexists").partitionBy(MONTH).parquet(path)
-
-
-def read_months(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path).withColumn(
-        MONTH, F.col(MONTH).cast("string")
-    )
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
-
-
 def merge_into_months(
     source: DataFrame,
     path: str,
@@ -134,74 +100,53 @@ def merge_into_months(
 ) -> list[str | None]:
     """Merge a batch into a table partitioned by month; returns the months written.
 
-    Only months that receive rows or lose a matched one are rewritten. Their new content is
-    complete in the shared folder before the table changes, so a run that dies while
-    publishing is finished by calling ``publish_months`` with that folder again; one that dies
-    earlier, a first load too, is simply run again. Rows without a date form a month of their own.
-    ``one_month`` says that the batch lies within one month and need not be gathered.
+    Only months that receive rows or lose a matched one are written, each once, and the table
+    changes in one step: readers have it as it was or as it is. A run that died has changed
+    nothing and is simply run again. Rows without a date form a month of their own. To find the months
+    that lose rows, row groups that cannot hold a key of the batch are skipped. ``one_month``
+    says that the batch lies within one month and need not be gathered.
     """
     spark = source.sparkSession
-    exists = table_exists(spark, path)
+    before = live(spark, path)
     batch = stored(source.withColumn(MONTH, month_of(field)), "merge-batch")
     batch = distinct_source(batch, key, on_duplicate, order_by)
     if on_duplicate == "latest":
         batch = stored(batch, "merge-batch")
 
-    staged = shared_folder(spark, "merge-months")
-    if full_refresh or not exists:
-        write_months(batch.drop(MONTH), staged, field, gather=not one_month)
-        return _finish(spark, staged, path, months_of(spark, path))
+    if full_refresh or before is None:
+        rows = batch.drop(MONTH)
+        written = write_version(rows, path, field, key, gather=not one_month)
+        publish(spark, path, before, written, rows.schema)
+        return in_order(set(written) | set(before.months if before else ()))
 
     target = read_months(spark, path)
     few = _few_keys(batch, key)
-    touched = target.select(key, MONTH).join(_keys(batch, key, few), key, "left_semi")
-    months = _in_order(set(_months(touched)) | set(_months(batch)))
+    touched = target.where(_keys_of(batch, key)).select(key, MONTH).join(_keys(batch, key, few), key, "left_semi")
+    months = set(_months(touched)) | set(_months(batch))
     named = F.coalesce(F.col(MONTH).isin([m for m in months if m is not None]), F.lit(False))
     affected = target.where(named | F.col(MONTH).isNull() if None in months else named)
-    rewritten = _unmatched(affected, batch, key, few).unionByName(batch)
-    write_months(rewritten.drop(MONTH), staged, field)
-    return _finish(spark, staged, path, months)
-
+    rewritten = _unmatched(affected, batch, key, few).unionByName(batch).drop(MONTH)
+    written = write_version(rewritten, path, field, key)
+    kept = {m: v for m, v in before.months.items() if m not in months}
+    publish(spark, path, before, kept | written, rewritten.schema)
+    return in_order(months)
 
-def _finish(spark: SparkSession, staged: str, path: str, months: Sequence[str | None]) -> list[str | None]:
-    """Publish, and clear the staged copy once that has succeeded."""
-    published = publish_months(spark, staged, path, months)
-    remove_folder(spark, staged)
-    return published
 
+def _keys_of(batch: DataFrame, key: str) -> Column:
+    """What a target row must meet to have a key of the batch, as far as a scan can check it.
 
-def months_of(spark: SparkSession, path: str) -> list[str | None]:
-    """Months of a stored table, from the names of its folders."""
-    named = [n.removeprefix(f"{MONTH}=") for n in folder_names(spark, path) if n.startswith(f"{MONTH}=")]
-    return _in_order({None if n == NO_MONTH else n for n in named})
-
-
-def publish_months(
-    spark: SparkSession, staged: str, path: str, months: Sequence[str | None]
-) -> list[str | None]:
-    """Put staged months in place of the table's; safe to repeat.
-
-    A month of ``months`` that has no staged rows is emptied.
+    A few keys are named, in lists so short that they reach the files' Bloom filters; more are
+    bounded by the smallest and the largest.
     """
-    present = set(months_of(spark, staged))
-    if present:
-        (
-            read_months(spark, staged).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
-            .parquet(path)
-        )
-    emptied = _in_order(set(months) - present)
-    if emptied:
-        nothing = read_months(spark, path).drop(MONTH).limit(0)
-        for month in emptied:
-            nothing.write.mode("overwrite").parquet(f"{path}/{MONTH}={month or NO_MONTH}")
-    return _in_order(present | set(emptied))
-
-
-def _in_order(months: set) -> list:
-    """Months in order, the one of rows without a date first."""
-    return sorted(months, key=lambda m: (m is not None, m or ""))
+    keyed = batch.where(F.col(key).isNotNull())
+    low, high, n = keyed.agg(F.min(key), F.max(key), F.count("*")).first()
+    if n > NAMED_KEYS:
+        return F.col(key).between(low, high)
+    named = [row[0] for row in keyed.select(key).distinct().orderBy(key).collect()]
+    wanted = F.lit(False)
+    for i in range(0, len(named), PUSHED_KEYS):
+        wanted = wanted | F.col(key).isin(named[i:i + PUSHED_KEYS])
+    return wanted
 
 
 def _months(df: DataFrame) -> list[str]:

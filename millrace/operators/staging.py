@@ -72,13 +72,11 @@ def key_columns(dictionary: Sequence[ColumnSpec]) -> list[str]:
     return [c.name for c in declared or columns]
 
 
-def typed_columns(
-    raw: DataFrame, dictionary: Sequence[ColumnSpec], execution_date, on_error: str = "fail"
-) -> DataFrame:
-    """One typed column per dictionary line, from a single parse of each payload."""
-    columns = source_columns(dictionary)
+def _typed(
+    raw: DataFrame, columns: Sequence[ColumnSpec], on_error: str
+) -> tuple[DataFrame, list[Column]]:
+    """Parsed rows, and the typed values of ``columns`` to select from them."""
     parsed = ParsedJson(RAW_DATA, {c.identifier: c.data_type == "array" for c in columns})
-
     parts = {
         c.identifier: f"_parts{i}" for i, c in enumerate(columns) if c.data_type == "array"
     }
@@ -93,14 +91,44 @@ def typed_columns(
 
     rows = raw.withColumn("_parsed", parsed.column(on_error))
     rows = rows.withColumns({name: parsed.array_parts("_parsed", i) for i, name in parts.items()})
+    return rows, [value(c).alias(c.name) for c in columns]
+
+
+def typed_columns(
+    raw: DataFrame, dictionary: Sequence[ColumnSpec], execution_date, on_error: str = "fail",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """One typed column per dictionary line, from a single parse of each payload.
+
+    Columns of ``raw`` named in ``keep`` come behind them.
+    """
+    rows, values = _typed(raw, source_columns(dictionary), on_error)
     return rows.select(
-        *[value(c).alias(c.name) for c in columns],
+        *values,
         F.lit(str(execution_date)).cast("date").alias("execution_date"),
         F.col(RAW_ID).alias("ab_id"),
         F.col(RAW_TIME).cast("timestamp").alias("ab_emitted_at"),
+        *keep,
     )
 
 
+def newest_changes(
+    raw: DataFrame, dictionary: Sequence[ColumnSpec], key: Sequence[str], on_error: str = "fail"
+) -> DataFrame:
+    """The newest landing of each row key, still raw, with its key as ``unique_id``.
+
+    Only the key and the time of the change are typed to tell; equal times fall back to load
+    time and row id.
+    """
+    needed = [c for c in source_columns(dictionary) if c.name in key or c.name == CDC_ORDER]
+    rows, values = _typed(raw, needed, on_error)
+    landed = F.struct(RAW_DATA, RAW_TIME, RAW_ID).alias("_landed")
+    keyed = rows.select(*values, landed)
+    keyed = keyed.select(unique_id(keyed, key).alias(UNIQUE_ID), CDC_ORDER, "_landed")
+    order = [F.col(CDC_ORDER), F.col(f"_landed.{RAW_TIME}").cast("timestamp"), F.col(f"_landed.{RAW_ID}")]
+    return latest_by(keyed, [UNIQUE_ID], order).select("_landed.*", UNIQUE_ID)
+
+
 def stage(
     raw: DataFrame,
     dictionary: Sequence[ColumnSpec],
@@ -115,22 +143,16 @@ def stage(
 
     ``key`` overrides the dictionary's key; an empty one leaves the key column out.
     With change data, the newest change per key also is the newest copy of its payload, so
-    one shuffle by key does the work of both steps.
+    one shuffle by key does the work of both steps. Rows are typed in full once the newest are
+    known: of changes that a later one replaced, only key and time must be sound.
     """
     landed = landing_window(raw, execution_date, incremental, date_from)
     key = key_columns(dictionary) if key is None else list(key)
-    change_data = bool(key) and any(c.name == CDC_MARK for c in dictionary)
-    if not change_data:
-        landed = latest_payloads(landed)
-    staged = typed_columns(landed, dictionary, execution_date, on_error)
-    if not key:
-        return staged
-    staged = staged.withColumn(UNIQUE_ID, unique_id(staged, key))
-    if change_data:
-        staged = latest_by(
-            staged, [UNIQUE_ID], [F.col(CDC_ORDER), F.col("ab_emitted_at"), F.col("ab_id")]
-        )
-    return staged
+    if key and any(c.name == CDC_MARK for c in dictionary):
+        newest = newest_changes(landed, dictionary, key, on_error)
+        return typed_columns(newest, dictionary, execution_date, on_error, keep=[UNIQUE_ID])
+    staged = typed_columns(latest_payloads(landed), dictionary, execution_date, on_error)
+    return staged.withColumn(UNIQUE_ID, unique_id(staged, key)) if key else staged
 
 
 def typed_view(

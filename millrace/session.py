@@ -78,3 +78,24 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
 def remove_folder(spark: SparkSession, path: str) -> None:
     place, store = _folder(spark, path)
     store.delete(place, True)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there in full or not at all; one of that name must not be there yet."""
+    place, store = _folder(spark, path)
+    if store.exists(place):
+        raise ValueError(f"{path} was written by another run")
+    draft, _ = _folder(spark, f"{path.rpartition('/')[0]}/_draft-{uuid.uuid4().hex}")
+    stream = store.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not store.rename(draft, place):
+        raise ValueError(f"{path} could not be put in place")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place, store = _folder(spark, path)
+    stream = store.open(place)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.types import ColumnSpec as C
 from millrace.operators import merge as m
+from millrace.operators import months
 from millrace.operators.staging import latest_payloads, stage
 from millrace.plans.raw_stream import load_stream
-from millrace.session import shared_folder
+from millrace.session import folder_names, shared_folder
 from millrace.sources.landing import RAW_DATA, RAW_ID, RAW_TIME
 
 CDC = [
@@ -86,9 +87,9 @@ def test_day_by_day_equals_full_load(spark):
         load_stream(df.where(F.col(RAW_TIME) < end), CDC, d, path)
     full = stage(df, CDC, days[-1])
     columns = ("unique_id", "v", "ab_id")
-    assert values(m.read_months(spark, path), *columns) == values(full, *columns)
+    assert values(months.read_months(spark, path), *columns) == values(full, *columns)
     # Keys moved on with their last run's date; key 3 was last seen in January.
-    assert values(m.read_months(spark, path), "unique_id", "_month") == [
+    assert values(months.read_months(spark, path), "unique_id", "_month") == [
         (1, "2024-02"), (2, "2024-02"), (3, "2024-01"), (4, "2024-02")]
 
 
@@ -96,9 +97,9 @@ def test_merging_twice_changes_nothing(spark):
     df, path = raw(spark, CHANGES), shared_folder(spark, "t")
     load_stream(df, CDC, "2024-01-03", path, full_refresh=True)
     load_stream(df, CDC, "2024-02-06", path)
-    first = values(m.read_months(spark, path), "unique_id", "v", "execution_date")
+    first = values(months.read_months(spark, path), "unique_id", "v", "execution_date")
     load_stream(df, CDC, "2024-02-06", path)
-    assert values(m.read_months(spark, path), "unique_id", "v", "execution_date") == first
+    assert values(months.read_months(spark, path), "unique_id", "v", "execution_date") == first
 
 
 def table(spark, rows):
@@ -137,13 +138,13 @@ def test_only_touched_months_are_rewritten(spark):
     path = shared_folder(spark, "t")
     m.merge_into_months(table(spark, OLD), path)
     files = lambda month: set(
-        r[0] for r in spark.read.parquet(path).where(F.col("_month") == month)
-        .select("_metadata.file_path").distinct().collect()
+        r[0] for r in months.read_months(spark, path).where(F.col("_month") == month)
+        .select(F.input_file_name()).distinct().collect()
     )
     untouched = files("2024-02")
     assert m.merge_into_months(table(spark, NEW), path) == ["2024-01", "2024-03"]
     assert files("2024-02") == untouched
-    got = m.read_months(spark, path).select("unique_id", "v")
+    got = months.read_months(spark, path).select("unique_id", "v")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(MERGED, key=str)
 
 
@@ -151,24 +152,131 @@ def test_a_month_that_loses_all_rows_is_emptied(spark):
     path = shared_folder(spark, "t")
     m.merge_into_months(table(spark, [(1, "a", "2024-01-05"), (2, "b", "2024-02-05")]), path)
     m.merge_into_months(table(spark, [(1, "A", "2024-03-05")]), path)
-    assert values(m.read_months(spark, path), "unique_id", "v", "_month") == [
+    assert values(months.read_months(spark, path), "unique_id", "v", "_month") == [
         (1, "A", "2024-03"), (2, "b", "2024-02")]
 
 
-def test_publishing_again_is_harmless(spark):
-    path, staged = shared_folder(spark, "t"), shared_folder(spark, "s")
+def folders(spark, path):
+    return {n for n in folder_names(spark, path) if not n.startswith(".")}
+
+
+def test_readers_have_the_old_table_or_the_new_one(spark, monkeypatch):
+    """A table that was opened before a merge reads as it was, also after it; one change later it is gone."""
+    path = shared_folder(spark, "t")
     m.merge_into_months(table(spark, OLD), path)
-    m.write_months(table(spark, [(9, "z", "2024-01-09")]), staged, "execution_date", gather=False)
-    for _ in range(2):
-        m.publish_months(spark, staged, path, ["2024-01", "2024-02"])
-    assert values(m.read_months(spark, path), "unique_id") == [(9,)]
+    opened, seen = months.read_months(spark, path), []
+    publish = m.publish
+
+    def watched(*args):
+        seen.append(values(months.read_months(spark, path).na.fill(0), "unique_id", "v"))
+        publish(*args)
+        seen.append(values(months.read_months(spark, path).na.fill(0), "unique_id", "v"))
+
+    monkeypatch.setattr(m, "publish", watched)
+    m.merge_into_months(table(spark, NEW), path)
+    plain = lambda rows: sorted((k or 0, v) for k, v, *_ in rows)
+    assert seen == [plain(OLD), plain(MERGED)]
+    assert values(opened.na.fill(0), "unique_id", "v") == plain(OLD)
+
+
+def test_a_run_that_dies_leaves_the_old_table(spark, monkeypatch):
+    path = shared_folder(spark, "t")
+    m.merge_into_months(table(spark, OLD[:3]), path)
+
+    def dies(*args):
+        raise KeyboardInterrupt
+
+    for step in ("write_version", "publish"):
+        with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+            patched.setattr(m, step, dies)
+            m.merge_into_months(table(spark, NEW[:2]), path)
+        assert values(months.read_months(spark, path), "unique_id", "v") == [(1, "a"), (2, "b"), (3, "c")]
+    with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+        patched.setattr(months, "put_text", dies)
+        m.merge_into_months(table(spark, NEW[:2]), path)
+    assert values(months.read_months(spark, path), "unique_id", "v") == [(1, "a"), (2, "b"), (3, "c")]
+    assert len(months.remove_unpublished(spark, path)) == 2
+    assert m.merge_into_months(table(spark, NEW[:2]), path) == ["2024-01", "2024-03"]
+    assert values(months.read_months(spark, path), "unique_id", "v") == [(1, "a"), (2, "B"), (3, "c"), (4, "D")]
+
+
+def test_each_month_is_written_once_and_two_generations_stay(spark, monkeypatch):
+    path = shared_folder(spark, "t")
+    m.merge_into_months(table(spark, [(i, "x", f"2024-0{1 + i % 3}-01") for i in range(30)]), path)
+    for n in range(4):
+        m.merge_into_months(table(spark, [(0, f"y{n}", "2024-01-01")]), path)
+        names = folders(spark, path)
+        assert len([x for x in names if x.startswith("_live-")]) == 2
+        # the first version has the untouched months; two more are the live month's and the one before
+        assert len([x for x in names if x.startswith("_version=")]) <= 3
+        assert months.read_months(spark, path).count() == 30
+    first = months.live(spark, path).months["2024-02"]
+    assert folders(spark, f"{path}/_version={first}") & {"_month=2024-01", "_month=2024-02"} == {"_month=2024-02"}
+
+
+def test_two_writers_do_not_overwrite_each_other(spark):
+    path = shared_folder(spark, "t")
+    m.merge_into_months(table(spark, OLD[:3]), path)
+    before = months.live(spark, path)
+    m.merge_into_months(table(spark, NEW[:2]), path)
+    with pytest.raises(ValueError, match="another run"):
+        months.publish(spark, path, before, before.months, table(spark, OLD).schema)
+
+
+def test_a_table_that_loses_all_rows_keeps_its_columns(spark):
+    path = shared_folder(spark, "t")
+    months.write_months(table(spark, OLD), path, "execution_date")
+    with pytest.raises(ValueError, match="already"):
+        months.write_months(table(spark, OLD), path, "execution_date")
+    m.merge_into_months(table(spark, OLD).limit(0), path, full_refresh=True)
+    assert months.read_months(spark, path).columns == ["unique_id", "v", "execution_date", "_month"]
+    assert months.read_months(spark, path).count() == 0
+    assert m.merge_into_months(table(spark, NEW), path) == ["2024-03"]
+    with pytest.raises(ValueError, match="no table"):
+        months.read_months(spark, shared_folder(spark, "none"))
+
+
+def rows_scanned(df):
+    """Rows that the scan of a query that ran gave out, and what ran."""
+    rows = len(df.collect())
+    plan = df._jdf.queryExecution().executedPlan()
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    scan = plan.collectLeaves().head()
+    return rows, scan.metrics().apply("numOutputRows").value(), scan.toString()
+
+
+@pytest.mark.parametrize("hashed", [False, True])
+def test_a_merge_skips_row_groups_without_its_keys(spark, hashed):
+    path = shared_folder(spark, "t")
+    key = F.md5(F.col("id").cast("string")) if hashed else F.col("id")
+    rows = spark.range(0, 40_000, 1, 4).select(
+        key.alias("unique_id"), F.lit("x").alias("v"), F.lit("2024-01-05").cast("date").alias("execution_date")
+    )
+    spark.conf.set("parquet.block.size", 1 << 14)
+    try:
+        size = spark.sparkContext._jsc.hadoopConfiguration()
+        size.set("parquet.block.size", str(1 << 14))
+        m.merge_into_months(rows, path, on_duplicate="trust")
+    finally:
+        size.unset("parquet.block.size")
+        spark.conf.unset("parquet.block.size")
+    batch = rows.where(F.col("unique_id").isin([rows.first()[0]] + [r[0] for r in rows.where("rand(3) < 0.0003").collect()])
+                       if hashed else F.col("unique_id").between(20_000, 20_500))
+    found, read, text = rows_scanned(months.read_months(spark, path).where(m._keys_of(batch, "unique_id")).select("unique_id"))
+    assert found == batch.count() > 0
+    assert "unique_id" in text.split("PushedFilters")[1]
+    assert read < 20_000, read
+    m.merge_into_months(batch.withColumn("v", F.lit("y")), path)
+    assert months.read_months(spark, path).where("v = 'y'").count() == found
+    assert months.read_months(spark, path).count() == 40_000
 
 
 def test_full_refresh_drops_old_months(spark):
     path = shared_folder(spark, "t")
     m.merge_into_months(table(spark, OLD), path)
     m.merge_into_months(table(spark, NEW[:2]), path, full_refresh=True)
-    assert values(m.read_months(spark, path), "unique_id") == [(2,), (4,)]
+    assert values(months.read_months(spark, path), "unique_id") == [(2,), (4,)]
 
 
 def test_failed_check_leaves_the_table_alone(spark):
@@ -176,7 +284,7 @@ def test_failed_check_leaves_the_table_alone(spark):
     m.merge_into_months(table(spark, OLD[:3]), path)
     with pytest.raises(ValueError):
         m.merge_into_months(table(spark, NEW + NEW), path)
-    assert values(m.read_months(spark, path), "unique_id") == [(1,), (2,), (3,)]
+    assert values(months.read_months(spark, path), "unique_id") == [(1,), (2,), (3,)]
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
@@ -197,7 +305,7 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
 def test_months_prune(spark):
     path = shared_folder(spark, "t")
     m.merge_into_months(table(spark, OLD), path)
-    one = m.read_months(spark, path).where(F.col("_month") == "2024-02")
+    one = months.read_months(spark, path).where(F.col("_month") == "2024-02")
     text = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_month" in text and "_month#" in text
     assert one.count() == 1
@@ -227,14 +335,14 @@ def test_rows_without_a_date_form_a_month(spark):
     day = datetime.date(2024, 1, 5)
     first = spark.createDataFrame([("a", None, 1), ("b", day, 1), ("c", None, 1)], schema)
     assert m.merge_into_months(first, path, "day") == [None, "2024-01"]
-    assert m.months_of(spark, path) == [None, "2024-01"]
+    assert months.months_of(spark, path) == [None, "2024-01"]
     second = spark.createDataFrame([("a", day, 2), ("b", None, 2), ("d", None, 2)], schema)
     assert m.merge_into_months(second, path, "day") == [None, "2024-01"]
-    got = {(r.unique_id, r.day, r.v) for r in m.read_months(spark, path).collect()}
+    got = {(r.unique_id, r.day, r.v) for r in months.read_months(spark, path).collect()}
     assert got == {("a", day, 2), ("b", None, 2), ("c", None, 1), ("d", None, 2)}
     third = spark.createDataFrame([("a", None, 3)], schema)
     assert m.merge_into_months(third, path, "day") == [None, "2024-01"]
-    assert {r.day for r in m.read_months(spark, path).collect()} == {None}
+    assert {r.day for r in months.read_months(spark, path).collect()} == {None}
 
 
 def test_a_first_load_that_died_can_be_repeated(spark, tmp_path):
@@ -243,17 +351,7 @@ def test_a_first_load_that_died_can_be_repeated(spark, tmp_path):
     (tmp_path / "t" / "_temporary").mkdir()
     rows = spark.createDataFrame([("a", datetime.date(2024, 1, 5), 1)], "unique_id string, day date, v int")
     assert m.merge_into_months(rows, path, "day", on_duplicate="trust", one_month=True) == ["2024-01"]
-    assert m.read_months(spark, path).count() == 1
-
-
-def test_a_publish_that_died_is_finished_by_another(spark):
-    path, staged = shared_folder(spark, "t"), shared_folder(spark, "s")
-    schema = "unique_id string, day date, v int"
-    m.merge_into_months(spark.createDataFrame([("a", datetime.date(2024, 1, 5), 1)], schema), path, "day")
-    m.write_months(spark.createDataFrame([("a", datetime.date(2024, 2, 5), 2)], schema), staged, "day")
-    (spark.read.parquet(f"{staged}/_month=2024-02").write.parquet(f"{path}/_month=2024-02"))  # half of it
-    m.publish_months(spark, staged, path, ["2024-01", "2024-02"])
-    assert [(r.unique_id, r.v) for r in m.read_months(spark, path).collect()] == [("a", 2)]
+    assert months.read_months(spark, path).count() == 1
 
 
 def test_payloads_that_begin_alike_are_grouped_by_their_hash(spark):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import configs, merge, registry as registry_ops
+from millrace.operators import configs, merge, months, registry as registry_ops
 from millrace.operators.staging import stage, typed_view
 from millrace.plans import raw_stream, schema_docs
 from millrace.session import shared_folder, stored
@@ -50,7 +50,7 @@ def merge_into_months(spark, sf_dir):
     path = shared_folder(spark, "changed-orders")
     raw_stream.load_stream(raw, columns, FIRST, path, full_refresh=True)
     raw_stream.load_stream(raw, columns, SECOND, path)
-    return merge.read_months(spark, path)
+    return months.read_months(spark, path)
 
 
 @query("merge_latest_duplicate", """
@@ -84,8 +84,8 @@ def merge_latest_duplicate(spark, sf_dir):
     FROM orders GROUP BY ALL""")
 def month_partitions(spark, sf_dir):
     path = shared_folder(spark, "orders-by-month")
-    merge.write_months(inputs.table(spark, sf_dir, "orders"), path, "o_orderdate")
-    return merge.read_months(spark, path).groupBy("_month").agg(
+    months.write_months(inputs.table(spark, sf_dir, "orders"), path, "o_orderdate")
+    return months.read_months(spark, path).groupBy("_month").agg(
         F.count("*").alias("n_orders"), F.min("o_orderdate").alias("first_day"),
         F.max("o_orderdate").alias("last_day"),
     )
@@ -98,7 +98,7 @@ UNDATED = "CASE WHEN {key} % 5 = 0 THEN NULL ELSE {date} END"
     WITH lines AS (
       SELECT l_orderkey AS unique_id, {UNDATED.format(key="(l_orderkey + 1)", date="max(l_shipdate)")} AS day,
              CAST(max(l_partkey) AS BIGINT) AS part_key
-      FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY l_orderkey),
+      FROM lineitem GROUP BY l_orderkey),
     merged AS (
       SELECT o_orderkey AS unique_id, {UNDATED.format(key="o_orderkey", date="o_orderdate")} AS day,
              CAST(NULL AS BIGINT) AS part_key
@@ -113,7 +113,7 @@ def merge_undated(spark, sf_dir):
         F.col("o_orderkey").alias("unique_id"), undated(orders.o_orderkey, orders.o_orderdate).alias("day"),
         F.lit(None).cast("bigint").alias("part_key"),
     )
-    newest = lines.where("l_orderkey % 3 = 0").groupBy("l_orderkey").agg(
+    newest = lines.groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("shipped"), F.max("l_partkey").cast("bigint").alias("part_key")
     )
     source = newest.select(
@@ -123,7 +123,7 @@ def merge_undated(spark, sf_dir):
     path = shared_folder(spark, "undated-orders")
     merge.merge_into_months(target, path, "day")
     merge.merge_into_months(source, path, "day")
-    return merge.read_months(spark, path)
+    return months.read_months(spark, path)
 
 
 @query("full_refresh_load", CHANGED_SQL + CHANGED_COLUMNS_SQL + """,
@@ -133,7 +133,7 @@ def full_refresh_load(spark, sf_dir):
     path = shared_folder(spark, "changed-orders")
     raw_stream.load_stream(raw, columns, SECOND, path)
     raw_stream.load_stream(raw, columns, FIRST, path, full_refresh=True)
-    return merge.read_months(spark, path)
+    return months.read_months(spark, path)
 
 
 @query("staging_view", """
