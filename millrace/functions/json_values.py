@@ -62,14 +62,18 @@ class ParsedJson:
             F.try_parse_json(F.col(self.data)), json_path(identifier), "variant"
         )
 
-    def scalar(self, parsed: str, identifier: str) -> Column:
+    def text(self, parsed: str, identifier: str) -> Column:
+        """Text of whatever the leaf holds; NULL for a missing path and a JSON null."""
+        return F.try_variant_get(self._value(parsed, identifier), "$", "string")
+
+    def scalar(self, parsed: str, identifier: str, text: Column) -> Column:
         """Text of a scalar; NULL for a missing path, a JSON null, an object or an array.
 
-        Only text that opens like a container needs a second look, to tell a container from a
-        string that holds JSON.
+        ``text`` is a column that holds the leaf's text, so that it is made once. Only one that
+        opens like a container needs a second look, to tell a container from a string that
+        holds JSON.
         """
         value = self._value(parsed, identifier)
-        text = F.try_variant_get(value, "$", "string")
         return F.when(_is_container_text(text), F.when(_is_string(value), text)).otherwise(text)
 
     def _value(self, parsed: str, identifier: str) -> Column:

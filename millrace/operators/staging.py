@@ -75,7 +75,11 @@ def key_columns(dictionary: Sequence[ColumnSpec]) -> list[str]:
 def _typed(
     raw: DataFrame, columns: Sequence[ColumnSpec], on_error: str
 ) -> tuple[DataFrame, list[Column]]:
-    """Parsed rows, and the typed values of ``columns`` to select from them."""
+    """Parsed rows, and the typed values of ``columns`` to select from them.
+
+    A leaf's text, and the text of a time, are columns of steps of their own: what follows looks
+    at them several times, and the optimizer does not merge such steps.
+    """
     parsed = ParsedJson(RAW_DATA, {c.identifier: c.data_type == "array" for c in columns})
     parts = {
         c.identifier: f"_parts{i}" for i, c in enumerate(columns) if c.data_type == "array"
@@ -85,12 +89,20 @@ def _typed(
         if spec.data_type == "array":
             return parsed.array_text(F.col(parts[spec.identifier]), spec.identifier)
         spark_type = SPARK_TYPES.get(spec.data_type, "string")
-        return scalar_value(
-            parsed.scalar("_parsed", spec.identifier), spec.data_type, spark_type, on_error
-        )
+        return scalar_value(F.col(scalars[spec.identifier]), spec.data_type, spark_type, on_error)
 
+    scalars = {
+        c.identifier: f"_scalar{i}" for i, c in enumerate(columns) if c.data_type != "array"
+    }
+    texts = {name: f"_text{name}" for name in scalars.values()}
     rows = raw.withColumn("_parsed", parsed.column(on_error))
-    rows = rows.withColumns({name: parsed.array_parts("_parsed", i) for i, name in parts.items()})
+    rows = rows.withColumns(
+        {name: parsed.array_parts("_parsed", i) for i, name in parts.items()}
+        | {texts[name]: parsed.text("_parsed", i) for i, name in scalars.items()}
+    )
+    rows = rows.withColumns(
+        {name: parsed.scalar("_parsed", i, F.col(texts[name])) for i, name in scalars.items()}
+    )
     return rows, [value(c).alias(c.name) for c in columns]
 
 
