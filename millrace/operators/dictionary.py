@@ -1,8 +1,8 @@
 """Column dictionaries out of connector catalogs.
 
-Everything about one stream sits in one row of the catalog, so flattening needs no shuffle:
-the nested property schemas are opened inside the row until none is left, and one explode
-at the end yields the columns in document order.
+Everything about one stream sits in one row of the catalog: the nested property schemas are
+opened inside the row until none is left, and one explode at the end yields the columns in document
+order. An export lists all connections in one text, so streams are dealt out to all tasks first.
 """
 
 from __future__ import annotations
@@ -43,11 +43,12 @@ UNKNOWN_NAMESPACE = "unknown"
 
 
 def streams(connections: DataFrame) -> DataFrame:
-    """One row per stream of each connection."""
+    """One row per stream of each connection, spread over all tasks."""
+    tasks = connections.sparkSession.sparkContext.defaultParallelism
     return connections.select(
         "connectionId", "destinationId", "namespaceFormat", "prefix",
         F.explode("syncCatalog.streams").alias("s"),
-    ).select(
+    ).repartition(tasks).select(
         "connectionId", "destinationId", "namespaceFormat",
         F.coalesce("prefix", F.lit("")).alias("prefix"),
         F.col("s.stream.name").alias("stream"),
@@ -129,49 +130,58 @@ def _top_level(name: Column, schema: Column, kind: Column) -> Column:
     )
 
 
-def _opened(entry: Column) -> Column:
-    """An open entry's properties as entries below its path; a settled one as it is."""
-    children = F.transform(
+def _placed(entry: Column, place: Column) -> Column:
+    """An entry led by its place in the document: the positions of its ancestors and its own."""
+    return F.struct(place.alias("place"), entry.alias("entry"))
+
+
+def _children(placed: Column) -> Column:
+    """An open entry's properties as entries below its path."""
+    entry = placed["entry"]
+    return F.transform(
         _properties(entry["inner"]),
-        lambda p: _object_or_leaf(
-            F.concat(entry["identifier"], F.lit("."), p["name"]), p["schema"], p["kind"], "string"
+        lambda p, i: _placed(
+            _object_or_leaf(F.concat(entry["identifier"], F.lit("."), p["name"]), p["schema"], p["kind"], "string"),
+            F.concat(placed["place"], F.array(i)),
         ),
     )
-    return F.when(entry["inner"].isNull(), F.array(entry)).otherwise(children)
 
 
-def _nesting(text: Column) -> Column:
-    """How deep the objects of a JSON text lie in one another; braces in strings do not count."""
-    strings = r'"(?:[^"\\]++|\\.)*+"'
-    braces = F.split(F.regexp_replace(text, strings + "|[^{}]", ""), "")
-    return F.aggregate(
-        braces,
-        F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")),
-        lambda s, b: F.when(
-            b == "{", F.struct((s["at"] + 1).alias("at"), F.greatest(s["most"], s["at"] + 1).alias("most"))
-        ).when(b == "}", F.struct((s["at"] - 1).alias("at"), s["most"].alias("most"))).otherwise(s),
-        lambda s: s["most"],
-    )
+def _sorted_out(entries: Column, settled: Column | None = None) -> Column:
+    """Settled entries beside those still open; ``entries`` is looked at twice but made once."""
+    is_open = lambda e: e["entry"]["inner"].isNotNull()
+
+    def split(found: Column) -> Column:
+        done = F.filter(found, lambda e: ~is_open(e))
+        return F.struct(
+            (done if settled is None else F.concat(settled, done)).alias("settled"),
+            F.filter(found, is_open).alias("open"),
+        )
+
+    return F.transform(F.array(entries), split)[0]
 
 
 def flattened_properties(properties: Column) -> Column:
     """Leaves of a property schema, in document order, with dotted identifiers.
 
-    Each round opens one level, which is two levels of braces: the properties, and each one's
-    schema. So half the depth of the document in rounds always suffices.
+    Each round opens the entries that are open, and only those: what is settled is carried beside
+    them. A level of objects is two pairs of braces, so half as many rounds as the text has opening
+    ones always suffice; once nothing is open a round does nothing. Places restore the order.
     """
     top = F.flatten(
         F.transform(
             _properties(properties), lambda p: _top_level(p["name"], p["schema"], p["kind"])
         )
     )
+    braces = F.length(properties) - F.length(F.replace(properties, F.lit("{"), F.lit("")))
     return F.aggregate(
-        F.sequence(F.lit(0), (_nesting(properties) / 2).cast("int")),
-        top,
-        lambda entries, _: F.when(
-            F.exists(entries, lambda e: e["inner"].isNotNull()),
-            F.flatten(F.transform(entries, _opened)),
-        ).otherwise(entries),
+        F.sequence(F.lit(0), (braces / 2).cast("int")),
+        _sorted_out(F.transform(top, lambda e, i: _placed(e, F.array(i)))),
+        lambda state, _: F.when(
+            F.size(state["open"]) > 0,
+            _sorted_out(F.flatten(F.transform(state["open"], _children)), state["settled"]),
+        ).otherwise(state),
+        lambda state: F.transform(F.array_sort(state["settled"]), lambda e: e["entry"]),
     )
 
 
