@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.names import quote_ident
@@ -25,6 +27,40 @@ RESERVED = (
 DIALECTS = ("bigquery", "snowflake", "redshift", "postgres", "fabric", "spark")
 
 
+LISTING = ("table_catalog", "table_schema", "table_name", "table_type")
+# What the session's catalog calls its tables, and an information schema theirs.
+LISTED_TYPES = {"MANAGED": "BASE TABLE", "EXTERNAL": "EXTERNAL", "VIEW": "VIEW"}
+
+
+def catalog_listing(
+    spark: SparkSession, schemas: Sequence[str] | None = None, catalog: str = "spark_catalog"
+) -> DataFrame:
+    """The relations of a catalog's schemas, all of them unless named, as an information schema lists them.
+
+    What a session alone knows, such as a temporary view, is no relation of the catalog. The listing is
+    metadata, which only the driver can ask for: one row per relation, no data.
+    """
+    if schemas is None:
+        schemas = [r[0] for r in spark.sql(f"SHOW SCHEMAS IN `{catalog}`").collect()]
+    found = [
+        (catalog, schema, table.name, LISTED_TYPES.get(table.tableType, table.tableType))
+        for schema in schemas
+        for table in spark.catalog.listTables(f"`{catalog}`.`{schema}`")
+        if not table.isTemporary
+    ]
+    return spark.createDataFrame(found, ", ".join(f"{c} string" for c in LISTING))
+
+
+def exported_listing(export: DataFrame) -> DataFrame:
+    """A listing out of an exported information schema, whatever the case of its columns and types."""
+    names = {c.lower(): c for c in export.columns}
+    missing = [c for c in LISTING if c not in names]
+    if missing:
+        raise ValueError(f"the export has no {', '.join(missing)}")
+    listing = export.select(*[F.col(f"`{names[c]}`").alias(c) for c in LISTING])
+    return listing.withColumn("table_type", F.upper(F.trim("table_type")))
+
+
 def project_relations(nodes: DataFrame) -> DataFrame:
     """Relations a project owns: where each model, seed and snapshot lives."""
     return nodes.where(F.col("resource_type").isin(*RELATION_TYPES)).select(

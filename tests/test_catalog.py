@@ -298,8 +298,64 @@ def test_flat_schemas_take_rounds_of_their_depth(spark):
     for i in range(1, 30):
         deep = f'{{"x{i}": {{"type": "object", "properties": {deep}}}}}'
     rows = spark.createDataFrame([(flat,), (deep,), ("{}",)], "p string").select(
-        dictionary._nesting(F.col("p")).alias("depth"), dictionary.flattened_properties(F.col("p")).alias("leaves")
+        dictionary.flattened_properties(F.col("p")).alias("leaves")
     ).collect()
-    assert [r.depth for r in rows] == [4, 60, 1]
     assert [e.identifier for e in rows[0].leaves] == [f"o{i}.a}}{i}" for i in range(300)]
     assert [e.identifier for e in rows[1].leaves] == [".".join(f"x{i}" for i in range(29, -1, -1))]
+
+
+def test_leaves_of_all_depths_keep_the_order_of_the_document(spark):
+    from millrace.operators import dictionary
+
+    def schema(tree):
+        return "{" + ", ".join(
+            f'"{k}": ' + ('{"type": "integer"}' if v is None else f'{{"type": "object", "properties": {schema(v)}}}')
+            for k, v in tree.items()) + "}"
+
+    def leaves(tree, above=""):
+        return [x for k, v in tree.items() for x in ([above + k] if v is None else leaves(v, f"{above}{k}."))]
+
+    tree = {"z": {"y": None, "b": {"q": None, "a": None}, "c": None}, "m": None, "a": {"k": {"l": {"x": None}}, "j": None}, "b": None}
+    got = spark.createDataFrame([(schema(tree),)], "p string").select(dictionary.flattened_properties(F.col("p")).alias("e")).first().e
+    assert [e.identifier for e in got] == leaves(tree)
+
+
+def test_streams_of_one_export_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.operators import dictionary
+    from millrace.sources import documents
+
+    member = '{"connectionId": "c%d", "syncCatalog": {"streams": [{"stream": {"name": "s"}}]}}'
+    export = '{"connections": [' + ", ".join(member % i for i in range(400)) + "]}"
+    found = dictionary.streams(documents.connections(spark.createDataFrame([(export,)], "document string")))
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 400 and len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 100
+
+
+def test_listing_of_the_session_catalog(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS listing_of_tests")
+    spark.range(3).write.mode("overwrite").saveAsTable("listing_of_tests.t")
+    spark.sql("CREATE OR REPLACE VIEW listing_of_tests.v AS SELECT * FROM listing_of_tests.t")
+    spark.range(1).createOrReplaceTempView("only_of_this_session")
+    found = relations.catalog_listing(spark, ["listing_of_tests"])
+    assert sorted(map(tuple, found.collect())) == [
+        ("spark_catalog", "listing_of_tests", "t", "BASE TABLE"), ("spark_catalog", "listing_of_tests", "v", "VIEW")]
+    nodes = documents.manifest_nodes(manifests(spark, nodes={
+        "m": NODES["m1"] | {"database": "spark_catalog", "schema": "listing_of_tests", "name": "t", "alias": None}}))
+    assert [r.command for r in relations.drop_plan(found, nodes, "spark", schemas=False).collect()] == [
+        "DROP TABLE `spark_catalog`.`listing_of_tests`.`t`;"]
+    assert ("spark_catalog", "listing_of_tests", "t", "BASE TABLE") in map(tuple, relations.catalog_listing(spark).collect())
+    assert relations.catalog_listing(spark, []).count() == 0
+    spark.sql("DROP DATABASE listing_of_tests CASCADE")
+
+
+def test_listing_out_of_an_export(spark):
+    rows = [("DB", "S", "A", "base table "), ("DB", "S", "B", "VIEW"), ("DB", "S", "C", None)]
+    export = spark.createDataFrame(rows, "TABLE_CATALOG string, TABLE_SCHEMA string, Table_Name string, TABLE_TYPE string")
+    found = relations.exported_listing(export.withColumn("ROW_COUNT", F.lit(1)))
+    assert found.columns == list(relations.LISTING)
+    assert sorted(map(str, found.collect())) == sorted(map(str, relations.exported_listing(found).collect()))
+    assert {r.table_type for r in found.collect()} == {"BASE TABLE", "VIEW", None}
+    with pytest.raises(ValueError, match="table_type"):
+        relations.exported_listing(export.drop("TABLE_TYPE"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.operators import projects, relations
 from millrace.plans import cleanup
+from millrace.session import shared_folder, stored
 from millrace.sources import documents
 from workload import inputs
 from workload.joins import DATES_SQL
@@ -118,3 +122,46 @@ def project_owners(spark, sf_dir):
     FROM customer""")
 def orchestration_info(spark, sf_dir):
     return projects.orchestration(inputs.project_vars(spark, sf_dir))
+
+
+LISTED = ("region", "nation", "customer", "orders")
+
+
+@query("catalog_drop_plan", """
+    SELECT t.name AS table_name, t.kind AS table_type, n_rows, command FROM (VALUES
+        ('region', 'BASE TABLE', (SELECT count(*) FROM region), 'DROP TABLE `spark_catalog`.`listed`.`region`;'),
+        ('nation', 'BASE TABLE', (SELECT count(*) FROM nation), 'DROP TABLE `spark_catalog`.`listed`.`nation`;'),
+        ('customer', 'BASE TABLE', (SELECT count(*) FROM customer), 'DROP TABLE `spark_catalog`.`listed`.`customer`;'),
+        ('orders', 'BASE TABLE', (SELECT count(*) FROM orders), NULL),
+        ('open_orders', 'VIEW', (SELECT count(*) FROM orders WHERE o_orderstatus = 'O'),
+         'DROP VIEW `spark_catalog`.`listed`.`open_orders`;')) t(name, kind, n_rows, command)""")
+def catalog_drop_plan(spark, sf_dir):
+    """Given tables written to a schema of their own, listed by the catalog reader, and the plan for those that a
+    project owns; the schema goes at the end. It has a fresh name, shown as ``listed``."""
+    schema = f"listed_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{shared_folder(spark, 'listed')}'")
+    try:
+        for name in LISTED:
+            inputs.table(spark, sf_dir, name).write.saveAsTable(f"{schema}.{name}")
+        spark.sql(f"CREATE VIEW {schema}.open_orders AS SELECT * FROM {schema}.orders WHERE o_orderstatus = 'O'")
+        listing = relations.catalog_listing(spark, [schema])
+        owned = [("model", "spark_catalog", schema, n, None) for n in ("region", "nation")]
+        owned += [("seed", "spark_catalog", schema, "c", "customer"), ("snapshot", "spark_catalog", schema, "open_orders", ""),
+                  ("test", "spark_catalog", schema, "orders", None)]
+        nodes = spark.createDataFrame(owned, "resource_type string, database string, schema string, name string, alias string")
+        plan = relations.drop_plan(listing, nodes, "spark", schemas=False)
+        counts = [
+            spark.table(f"{schema}.{name}").agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"))
+            for name in (*LISTED, "open_orders")
+        ]
+        counted = functools.reduce(lambda a, b: a.unionByName(b), counts)
+        kind = F.when(F.col("table_type") == "VIEW", "VIEW").otherwise("TABLE")
+        own = F.concat(
+            F.lit("DROP "), kind, F.lit(" "), relations.qualified("spark", *[F.col(c) for c in relations.LISTING[:3]]), F.lit(";"),
+        )
+        found = listing.join(counted, "table_name").join(plan, plan["command"] == own, "left")
+        return stored(found.select(
+            "table_name", "table_type", "n_rows", F.replace("command", F.lit(schema), F.lit("listed")).alias("command"),
+        ), "catalog-plan")
+    finally:
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
