@@ -108,22 +108,24 @@ def _with_variants(
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, with all their columns, whatever these are called.
 
-    Of rows that share both doc_id and text, one stays, whatever their other columns hold.
+    Of rows that share both doc_id and text, the one whose text as written sorts last stays; what
+    their other columns hold decides only among texts that are written alike.
     """
     kept = (
         exact_groups(docs.select("doc_id", "text")).where("kept")
-        .select(F.col("doc_id").alias("_kept"), F.unhex("text_sha256").alias("_sha"))
+        .select(F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_sha"))
+    )
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
+        F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("sha"), F.coalesce("text", F.lit("")).alias("written"),
+    )
+    stay = rows.join(
+        kept, rows["id"].eqNullSafe(F.col("kept_id")) & (rows["sha"] == F.col("kept_sha")), "left_semi"
     )
-    marked = docs.withColumn("_sha", F.unhex(F.sha2(normalised(F.col("text")), 256)))
     return (
-        marked.join(
-            kept.withColumnRenamed("_sha", "_kept_sha"),
-            marked["doc_id"].eqNullSafe(F.col("_kept")) & (marked["_sha"] == F.col("_kept_sha")),
-            "left_semi",
-        )
-        .dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+        stay.groupBy("id", "sha").agg(F.max_by("row", F.struct("written", F.xxhash64("row"))).alias("row")).select("row.*")
     )
 
 

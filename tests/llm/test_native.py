@@ -197,3 +197,16 @@ def test_parts_of_a_source_do_not_change_the_order(spark, monkeypatch):
     whole = mixing.mixed(docs, mixing.tempered(rows), rows).collect()
     monkeypatch.setattr(mixing, "PART_ROWS", 10)
     assert sorted(whole) == sorted(mixing.mixed(docs, mixing.tempered(rows), rows).collect())
+
+
+def test_dropping_copies_bears_any_column_name_and_is_settled(spark):
+    rows = [(1, "Same", 1), (1, "same", 2), (1, "SAME", 3), (2, "other", 4), (None, "x", 5), (3, "other", 6)]
+    names = ["_sha", "_kept", "_kept_sha", "row", "id", "sha", "written", "kept_id"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    for name in names:
+        docs = docs.withColumn(name, F.col("n"))
+    for parts in (1, 5):
+        got = exact_dedup.drop_copies(docs.repartition(parts))
+        assert got.columns == docs.columns
+        assert sorted((r["text"], *(r[n] for n in names)) for r in got.collect()) == [
+            ("other", *[6] * 8), ("same", *[2] * 8), ("x", *[5] * 8)]
