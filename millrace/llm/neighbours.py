@@ -9,7 +9,9 @@ would exceed the worst of the query's best so far. What survives all columns is
 Lists come from a k-means fit on a documented sample; every vector is put into a list. How many
 lists a query probes is fitted on the sample as well: as many as find ``RECALL`` of the true
 neighbours there. Lists are cut into blocks of rows and queries into chunks, so a hot list is many
-tasks. Each task returns the best of its block for each query.
+tasks. Each task tests many queries at once, by products of matrices as long as many candidates are left, and
+returns the best of its block for each query. The nearest list of each query is scanned first, and what
+its best ``k`` there have set is the bound with which the query goes to the other lists.
 """
 
 from __future__ import annotations
@@ -34,7 +36,11 @@ RECALL = 0.97
 #: Rows of a list, and queries, that meet in one task.
 BLOCK_ROWS = 8192
 CHUNK_QUERIES = 2048
+#: Queries that are tested together, and columns.
+TOGETHER = 64
 COLUMNS = 16
+#: What one pair taken by itself costs, in pairs of a product of matrices.
+PAIR_COST = 16
 #: In standard errors, how far a partial distance must be beyond the bound.
 CERTAINTY = 2.1
 
@@ -91,34 +97,52 @@ def probes_for(sample: np.ndarray, centers: np.ndarray, longest: float, k: int)
     return int(np.quantile(needed, RECALL, method="higher")) + 1
 
 
+def apart(rows: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Squared distances of each query to each row, by one product of matrices."""
+    own = np.einsum("ij,ij->i", asked, asked)[:, None] + np.einsum("ij,ij->i", rows, rows)
+    return np.maximum(0, own - 2 * asked @ rows.T)
+
+
 def scan(
-    rows: np.ndarray, turned: np.ndarray, ids: np.ndarray, asked: np.ndarray,
-    asked_turned: np.ndarray, asked_id: int, k: int,
-) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores) of the best ``k`` rows for one query: largest score, then smallest id.
+    rows: np.ndarray, turned: np.ndarray, ids: np.ndarray, asked: np.ndarray, asked_turned: np.ndarray,
+    asked_ids: np.ndarray, bounds: np.ndarray, k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places of queries, ids, scores) of the best ``k`` rows for each query: largest score, then smallest id.
 
-    The first rows are scored in full and set the bound; the others face the tests.
+    ``bounds`` are squared distances beyond which nothing is wanted. The rows that are nearest in the first columns
+    are measured in full and lower them; what the tests leave is carried as pairs of a query and a row.
     """
+    size = turned.shape[1]
+    same = asked_ids[:, None] == ids
+    total = apart(turned[:, :COLUMNS], asked_turned[:, :COLUMNS])
     first = min(len(rows), 4 * k)
-    chosen = np.arange(first)
-    apart = ((turned[:first] - asked_turned) ** 2).sum(axis=1)
-    apart = apart[ids[:first] != asked_id]
-    if first < len(rows):
-        bound = np.partition(apart, k - 1)[k - 1] if len(apart) >= k else np.inf
-        size = turned.shape[1]
-        left = np.arange(first, len(rows))
-        total = np.zeros(len(left))
-        for low in range(0, size, COLUMNS):
-            high = min(low + COLUMNS, size)
-            total = total + ((turned[left, low:high] - asked_turned[low:high]) ** 2).sum(axis=1)
-            error = CERTAINTY * np.sqrt((1 / high) * (1 - high / size))
-            kept = total * (size / high) <= bound * (1 + error) ** 2 * (1 + 1e-9)
-            left, total = left[kept], total[kept]
-        chosen = np.concatenate((chosen, left))
-    chosen = chosen[ids[chosen] != asked_id]
-    score = (rows[chosen] * asked).sum(axis=1)
-    order = np.lexsort((ids[chosen], -score))[:k]
-    return ids[chosen][order], score[order]
+    if first >= k:
+        total[same] = np.inf
+        near = np.argpartition(total, first - 1, axis=1)[:, :first]
+        whole = ((turned[near] - asked_turned[:, None]) ** 2).sum(axis=2)
+        whole[np.take_along_axis(same, near, axis=1)] = np.inf
+        bounds = np.minimum(bounds, np.partition(whole, k - 1, axis=1)[:, k - 1])
+    rounding = 1e-12 * ((turned ** 2).sum(axis=1).max() + (asked_turned ** 2).sum(axis=1))
+
+    def limits(high: int) -> np.ndarray:
+        error = CERTAINTY * np.sqrt((1 / high) * (1 - high / size))
+        return (bounds * (1 + error) ** 2 * (1 + 1e-9) + rounding) * (high / size)
+
+    asking, left = np.nonzero((total <= limits(min(COLUMNS, size))[:, None]) & ~same)
+    total = total[asking, left]
+    for low in range(COLUMNS, size, COLUMNS):
+        high = min(low + COLUMNS, size)
+        if len(left) * PAIR_COST > same.size:
+            total = total + apart(turned[:, low:high], asked_turned[:, low:high])[asking, left]
+        else:
+            total = total + ((turned[left, low:high] - asked_turned[asking, low:high]) ** 2).sum(axis=1)
+        kept = total <= limits(high)[asking]
+        asking, left, total = asking[kept], left[kept], total[kept]
+    score = (rows[left] * asked[asking]).sum(axis=1)
+    order = np.lexsort((ids[left], -score, asking))
+    asking, left, score = asking[order], left[order], score[order]
+    best = np.arange(len(asking)) - np.searchsorted(asking, asking) < k
+    return asking[best], ids[left[best]], score[best]
 
 
 def nearest(vectors: DataFrame, asked: Column, k: int = 20) -> DataFrame:
@@ -178,49 +202,57 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 20) -> DataFrame:
     queries = stored(
         known.where(asked).select("vec_id", "embedding")
         .mapInArrow(ask, "vec_id long, embedding array<double>, lists array<int>")
-        .select(F.col("vec_id").alias("query_id"), "embedding", F.explode("lists").alias("list")),
+        .select(F.col("vec_id").alias("query_id"), "embedding", F.posexplode("lists").alias("turn", "list")),
         "queries",
     )
     # one row for each of at most MOST_LISTS lists
     blocks = rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    chunks = queries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK_QUERIES).cast("int").alias("chunks"))
-    plan = F.broadcast(blocks.join(chunks, "list"))
-    pieces = (
-        rows.join(plan, "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("list", "block", "chunk", "vec_id", "embedding")
-    )
-    asks = (
-        queries.join(plan, "list").withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("list", "block", "chunk", "query_id", "embedding")
-    )
 
     def best(candidates: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "vec_id", "score"]
+        columns = {"query_id": "int64", "vec_id": "int64", "score": "float64"}
         if not len(candidates) or not len(asking):
-            return pd.DataFrame({c: [] for c in columns}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+            return pd.DataFrame({c: [] for c in columns}).astype(columns)
         turn = shared.value[1]
         ids = candidates["vec_id"].to_numpy()
         stacked = np.stack(candidates["embedding"].to_numpy())
         turned = lengthened(stacked, longest) @ turn
         wanted = np.stack(asking["embedding"].to_numpy())
-        wanted_turned = as_queries(wanted) @ turn
         asking_ids = asking["query_id"].to_numpy()
-        found = [
-            scan(stacked, turned, ids, wanted[i], wanted_turned[i], query_id, k)
-            for i, query_id in enumerate(asking_ids)
-        ]
-        return pd.DataFrame({
-            "query_id": np.repeat(asking_ids, [len(x) for x, _ in found]),
-            "vec_id": np.concatenate([x for x, _ in found]), "score": np.concatenate([x for _, x in found]),
-        })
-
-    keys = ["list", "block", "chunk"]
-    found = pieces.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(best, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        # the distance at which the score is the worst of the best k so far
+        worst = asking["worst"].to_numpy(float)
+        bounds = np.where(np.isnan(worst), np.inf, longest ** 2 + np.einsum("ij,ij->i", wanted, wanted) - 2 * worst)
+        found = []
+        for low in range(0, len(wanted), TOGETHER):
+            part = slice(low, low + TOGETHER)
+            places, near, score = scan(
+                stacked, turned, ids, wanted[part], as_queries(wanted[part]) @ turn, asking_ids[part], bounds[part], k
+            )
+            found.append((asking_ids[part][places], near, score))
+        return pd.DataFrame({c: np.concatenate(part) for c, part in zip(columns, zip(*found))})
+
+    def scanned(queries: DataFrame) -> DataFrame:
+        """The best of each list that the queries probe; ``worst`` is the score that their k-th has already, or NULL."""
+        chunks = queries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK_QUERIES).cast("int").alias("chunks"))
+        plan = F.broadcast(blocks.join(chunks, "list"))
+        pieces = (
+            rows.join(plan, "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+            .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            .select("list", "block", "chunk", "vec_id", "embedding")
+        )
+        asks = (
+            queries.join(plan, "list").withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int"))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("list", "block", "chunk", "query_id", "embedding", "worst")
+        )
+        keys = ["list", "block", "chunk"]
+        return pieces.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(best, "query_id long, vec_id long, score double")
+
+    near = stored(scanned(queries.where("turn = 0").withColumn("worst", F.lit(None).cast("double"))), "nearest-list")
+    ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    worst = near.withColumn("rank", ranked).where(F.col("rank") == k).select("query_id", F.col("score").alias("worst"))
+    found = near.unionAll(scanned(queries.where("turn > 0").join(worst, "query_id", "left")))
     return (
-        found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        found.withColumn("rank", ranked).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
 
