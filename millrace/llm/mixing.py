@@ -10,9 +10,6 @@ Every source has a weight of its own, NULL and the empty name too, and dues are
 as the whole numbers whose ratios they are. The driver gets one count a source and goes through the
 slots, one heap entry a source; the slots go out as a table, a bounded piece at a time, and rows
 find theirs by a join. Rows never pass the driver.
-
-``mixed`` is for a few sources whose weights are given: it rounds them to whole numbers of blocks in a period,
-after which every source has exactly its rounded due, and needs no more than the schedule of one period.
 """
 
 from __future__ import annotations
@@ -26,156 +23,22 @@ from math import ceil, inf, log
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm.common import query, table
-from millrace.session import shared_folder, stored
+from millrace.session import looked_up, shared_folder, stored
 
-#: Blocks in a period of ``mixed``: there, weights are multiples of 1 / PERIOD.
-PERIOD = 256
 BLOCK_ROWS = 4
-#: Sources that ``mixed`` gives a weight of their own; to it all others are one more source.
-NAMED_SOURCES = 63
 #: Rows of one source are numbered in parts of about this many.
 PART_ROWS = 20_000
-REST = ""
 #: Blocks that the driver schedules before it writes them out.
 PIECE = 1 << 20
 SLOTS = "mix_name string, block long, slot long"
 
 
-def quotas(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Whole blocks in a period: largest remainders, at least one block for each source."""
-    total = sum(weights.values())
-    if not weights or min(weights.values()) <= 0 or len(weights) > period:
-        raise ValueError(f"from 1 to {period} positive weights are needed")
-    due = {s: w / total * period for s, w in weights.items()}
-    shares = {s: max(1, int(d)) for s, d in due.items()}
-    by_rest = sorted(shares, key=lambda s: (shares[s] - due[s], s))
-    while (over := sum(shares.values()) - period) != 0:
-        for s in by_rest if over < 0 else reversed(by_rest):
-            if sum(shares.values()) == period:
-                break
-            if over < 0 or shares[s] > 1:
-                shares[s] += 1 if over < 0 else -1
-    return shares
-
-
-def period_slots(shares: dict[str, int]) -> dict[str, list[int]]:
-    """The slots that each source's blocks get within one period."""
-    period = sum(shares.values())
-    jobs = sorted(
-        (k * period // q, -(-(k + 1) * period // q), s) for s, q in shares.items() for k in range(q)
-    )
-    slots: dict[str, list[int]] = {s: [] for s in shares}
-    released: list[tuple[int, str]] = []
-    at = 0
-    for slot in range(period):
-        while at < len(jobs) and jobs[at][0] <= slot:
-            heapq.heappush(released, jobs[at][1:])
-            at += 1
-        slots[heapq.heappop(released)[1]].append(slot)
-    return slots
-
-
-def phases(shares: dict[str, int], blocks: dict[str, int]) -> list[tuple]:
-    """(source, first block, blocks until, start slot, period, quota, slots), phase by phase."""
-    left = {s: n for s, n in blocks.items() if n > 0}
-    first, start, plan = dict.fromkeys(left, 0), 0, []
-    while left:
-        active = {s: shares[s] for s in left}
-        period, slots = sum(active.values()), period_slots(active)
-        length = 1 + min(
-            (n - 1) // active[s] * period + slots[s][(n - 1) % active[s]] for s, n in left.items()
-        )
-        for s in list(left):
-            given = length // period * active[s] + sum(x < length % period for x in slots[s])
-            if given:
-                plan.append((s, first[s], first[s] + given, start, period, active[s], slots[s]))
-            first[s] += given
-            left[s] -= given
-            if not left[s]:
-                del left[s]
-        start += length
-    return plan
-
-
-PLAN = (
-    "mix_source string, first long, until long, start long, period int, quota int, slots array<int>"
-)
-
-
-def source_rows(docs: DataFrame, source: str, named: int = NAMED_SOURCES) -> dict[str | None, int]:
-    """Rows of the largest sources, and of all others together under the key of the rest."""
-    counts = docs.groupBy(F.col(source).cast("string").alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    named_counts = counts.where("s IS NOT NULL AND s <> ''").orderBy(F.desc("n"), "s").limit(named)
-    rows = {r["s"]: r["n"] for r in named_counts.collect()}
-    rest = total - sum(rows.values())
-    return rows | ({REST: rest} if rest else {})
-
-
-def tempered(rows: dict[str, int], power: float = 0.5) -> dict[str, float]:
-    """Target weights between the natural shares (1) and equal shares (0)."""
-    return {s: n ** power for s, n in rows.items()}
-
-
-def mixed(
-    docs: DataFrame, weights: dict[str, float], rows: dict[str, int], source: str = "source",
-    key: str = "doc_id", block_rows: int = BLOCK_ROWS, period: int = PERIOD,
-) -> DataFrame:
-    """``docs`` with mix_source, block, slot and place; sorted by (slot, place) they are the mix.
-
-    All rows stay. ``weights`` are the targets, and under the empty name that of all rows whose
-    source has no weight or is NULL; ``rows`` counts the rows of each of these. ``block``
-    numbers the blocks of a source, ``place`` the rows in a block, the last of which may be short.
-    Rows are taken in the order of their key's MD5, equal keys by a hash of the whole row.
-    Columns of these names in ``docs`` are replaced. An empty table stays empty.
-    """
-    columns = [c for c in docs.columns if c not in ("mix_source", "block", "slot", "place")]
-    present = {s: n for s, n in rows.items() if n > 0}
-    if not present:
-        return docs.select(*columns).selectExpr(
-            "*", "'' AS mix_source", "0L AS block", "0L AS slot", "0 AS place"
-        )
-    shares = quotas({s: weights[s] for s in present}, period)
-    plan = phases(shares, {s: ceil(n / block_rows) for s, n in present.items()})
-    spark = docs.sparkSession
-    steps = (
-        spark.createDataFrame(plan, PLAN).groupBy("mix_source")
-        .agg(F.array_sort(F.collect_list(F.struct("until", "first", "start", "period", "quota", "slots"))).alias("_plan"))
-    )
-    digits = max(1, ceil(log(max(present.values()) / PART_ROWS, 16))) if max(present.values()) > PART_ROWS else 1
-    name = F.coalesce(F.col(source).cast("string"), F.lit(REST))
-    labelled = docs.select(*columns).select(
-        "*", F.when(name.isin([s for s in present if s != REST]), name).otherwise(REST).alias("mix_source"),
-        F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("_digest"),
-    ).withColumn("_part", F.substring("_digest", 1, digits))
-    before = Window.partitionBy("mix_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        labelled.groupBy("mix_source", "_part").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    )
-    order = Window.partitionBy("mix_source", "_part").orderBy("_digest", key, F.xxhash64(*columns))
-    numbered = (
-        labelled.withColumn("_nth", F.row_number().over(order))
-        .join(parts, ["mix_source", "_part"])
-        # at most NAMED_SOURCES + 1 rows, one entry of at most PERIOD numbers for each phase
-        .join(F.broadcast(steps), "mix_source")
-        .withColumn("_index", F.col("_before") + F.col("_nth") - 1)
-        .withColumn("block", F.expr(f"_index DIV {block_rows}"))
-        .withColumn("_step", F.expr("filter(_plan, p -> block < p.until)[0]"))
-    )
-    return numbered.select(
-        *columns, "mix_source", "block",
-        F.expr("_step.start + ((block - _step.first) DIV _step.quota) * _step.period"
-               " + _step.slots[CAST((block - _step.first) % _step.quota AS INT)]").alias("slot"),
-        F.expr(f"CAST(_index % {block_rows} AS INT)").alias("place"),
-    )
-
-
 def dues(blocks: list[int], weights: list[float]) -> Callable[[int, int], tuple[int, int]]:
     """Of (source, k), the slots in which the due of the source reaches k blocks: whole ones until then, and rounded up.
 
@@ -273,7 +136,7 @@ def interleaved(
     own = F.col(source).cast("string")
     # NULL equals nothing in a join: names carry a sign in front
     labelled = docs.select(
-        *columns, own.alias("mix_source"), F.coalesce(F.concat(F.lit("="), own), F.lit("")).alias("mix_name"),
+        F.struct(*columns).alias("_row"), F.col(key).alias("_key"), F.xxhash64(*columns).alias("_hash"), own.alias("mix_source"), F.coalesce(F.concat(F.lit("="), own), F.lit("")).alias("mix_name"),
         F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("_digest"),
     )
     sources = stored(
@@ -290,14 +153,14 @@ def interleaved(
         labelled.groupBy("mix_name", "_part").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     )
-    order = Window.partitionBy("mix_name", "_part").orderBy("_digest", key, F.xxhash64(*columns))
+    order = Window.partitionBy("mix_name", "_part").orderBy("_digest", "_key", "_hash")
     return (
         labelled.withColumn("_nth", F.row_number().over(order))
         .join(parts, ["mix_name", "_part"])
         .withColumn("_index", F.col("_before") + F.col("_nth") - 1)
         .withColumn("block", F.expr(f"_index DIV {block_rows}"))
         .join(slot_table(sources), ["mix_name", "block"])
-        .select(*columns, "mix_source", "block", "slot", F.expr(f"CAST(_index % {block_rows} AS INT)").alias("place"))
+        .select("_row.*", "mix_source", "block", "slot", F.expr(f"CAST(_index % {block_rows} AS INT)").alias("place"))
     )
 
 
@@ -311,6 +174,26 @@ def in_mix_order(docs: DataFrame, source: str = "source") -> DataFrame:
     )
 
 
+def with_written_place(docs: DataFrame, name: str = "position") -> DataFrame:
+    """``docs``, read from files, with each row's place in them: files by number, rows as they stand; 0 is the first.
+
+    A table read again comes in no order, but Spark numbers the files it writes, and rows know their file. Rows that
+    come from no file are numbered in the order of their partitions, with gaps. A column of that name is replaced.
+    """
+    row = F.struct(*[c for c in docs.columns if c != name]).alias("_row")
+    try:
+        origin = docs.metadataColumn("_metadata")
+        placed = docs.select(row, origin["file_name"].alias("_file"), origin["row_index"].alias("_index"))
+    except AnalysisException:
+        return docs.select(row, F.monotonically_increasing_id().alias("_index")).select("_row.*", F.col("_index").alias(name))
+    # one row a file
+    before = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+    )
+    return placed.join(looked_up(files), "_file").select("_row.*", (F.col("_before") + F.col("_index")).alias(name))
+
+
 @query("op1_mixing")
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")

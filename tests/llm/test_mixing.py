@@ -67,9 +67,6 @@ def test_sources_stay_within_a_block_of_unrounded_weights_however_long_the_input
     rows = [2_000_000 // 40] + [random.Random(i).randint(40_000, 298_000) // 40 for i in range(20)]
     blocks, weights = [-(-n // 4) for n in rows], [n ** 0.5 for n in rows]
     assert furthest_off(blocks, weights, [s for s, _ in mixing.schedule(blocks, weights)]) < 1 + 1e-6
-    # weights rounded to a period would drift by more than a block
-    shares = mixing.quotas({str(s): w for s, w in enumerate(weights)})
-    assert max(abs(shares[str(s)] / 256 - w / sum(weights)) for s, w in enumerate(weights)) * sum(blocks) / 2 > 1
     # and with weights far below one block in 256
     blocks, weights = [30_000, 40, 3], [1.0, 0.0013, 0.00011]
     assert furthest_off(blocks, weights, [s for s, _ in mixing.schedule(blocks, weights)]) < 1 + 1e-6
@@ -132,6 +129,18 @@ def test_the_pipeline_returns_its_rows_in_the_order_of_the_mix(spark, monkeypatc
     assert got == plain_mix([tuple(r) for r in docs.select("doc_id", "source").collect()])
 
 
+def test_the_last_stage_shows_the_order_that_the_mix_wrote(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id % 3 = 0")
+    want = plain_mix([tuple(r) for r in docs.select("doc_id", "source").collect()])
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: docs)
+    stages = corpus_pipeline.STAGES[3:]
+    for kept, mixed in ((stages, True), (stages[1:], False)):
+        monkeypatch.setattr(corpus_pipeline, "STAGES", kept)
+        rows = sorted(corpus_pipeline.run(spark, SMALL).select("position", "doc_id").collect())
+        assert ([r["doc_id"] for r in rows] == want) is mixed and len(rows) == len(want)
+        assert not mixed or [r["position"] for r in rows] == list(range(len(want)))
+
+
 def test_columns_named_like_those_of_the_mix_come_through(spark):
     docs = odd(spark)
     assert sorted(map(str, mixing.in_mix_order(docs).collect())) == sorted(map(str, docs.collect()))

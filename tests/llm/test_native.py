@@ -111,80 +111,9 @@ def test_written_shards_come_back(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == len(ODD)
 
 
-def earliest_deadline_first(shares, slots):
-    """The method, slot by slot, without a period."""
-    total, given, out = sum(shares.values()), collections.Counter(), []
-    for slot in range(slots):
-        ready = [s for s in shares if given[s] * total // shares[s] <= slot]
-        out.append(min(ready, key=lambda s: (-(-(given[s] + 1) * total // shares[s]), s)))
-        given[out[-1]] += 1
-    return out
-
-
-def test_periods_are_the_schedule_and_stay_within_a_block():
-    random.seed(5)
-    for _ in range(60):
-        shares = mixing.quotas({f"s{i}": random.choice([1, 2, 5, 30]) * random.random() + 0.01 for i in range(random.randint(1, 12))}, 64)
-        assert sum(shares.values()) == 64 and min(shares.values()) > 0
-        slots, order = mixing.period_slots(shares), [""] * 64
-        for s, own in slots.items():
-            for slot in own:
-                order[slot] = s
-        assert order * 2 == earliest_deadline_first(shares, 128)
-        given = collections.Counter()
-        for slot, s in enumerate(order, 1):
-            given[s] += 1
-            assert all(abs(given[x] - shares[x] * slot / 64) < 1 for x in shares)
-
-
-def test_phases_place_every_block_once_and_stay_within_a_block():
-    random.seed(6)
-    for _ in range(40):
-        names = [f"s{i}" for i in range(random.randint(1, 8))]
-        shares = mixing.quotas({s: random.random() + 0.05 for s in names}, 32)
-        blocks = {s: random.choice([0, 1, 3, 50, 170]) for s in names}
-        placed, starts = {}, set()
-        for s, first, until, start, period, quota, slots in mixing.phases(shares, blocks):
-            starts.add(start)
-            for k in range(until - first):
-                placed[start + k // quota * period + slots[k % quota]] = s
-        assert sorted(placed) == list(range(sum(blocks.values())))
-        assert collections.Counter(placed.values()) == +collections.Counter(blocks)
-        left, since, given = dict(blocks), 0, collections.Counter()
-        for slot in sorted(placed):
-            if slot in starts:
-                left = {s: n - given[s] for s, n in left.items()}
-                since, given = slot, collections.Counter()
-            given[placed[slot]] += 1
-            total = sum(shares[s] for s, n in left.items() if n > 0)
-            for s, n in left.items():
-                if n > 0:
-                    assert abs(given[s] - (slot + 1 - since) * shares[s] / total) < 1
-
-
-def test_rows_get_the_places_of_a_plain_run(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "source")
-    rows = mixing.source_rows(docs, "source", 5)
-    got = {r["doc_id"]: (r["mix_source"], r["block"], r["slot"], r["place"]) for r in mixing.mixed(docs, mixing.tempered(rows), rows, block_rows=3, period=32).collect()}
-    named = sorted(s for s in rows if s)
-    members = collections.defaultdict(list)
-    for r in docs.collect():
-        members[r["source"] if r["source"] in named else ""].append(r["doc_id"])
-    shares, want = mixing.quotas(mixing.tempered(rows), 32), {}
-    plan = mixing.phases(shares, {s: -(-len(m) // 3) for s, m in members.items()})
-    for s, ids in members.items():
-        ids.sort(key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))
-        for at, doc_id in enumerate(ids):
-            block = at // 3
-            _, first, _, start, period, quota, slots = next(p for p in plan if p[0] == s and p[1] <= block < p[2])
-            want[doc_id] = (s, block, start + (block - first) // quota * period + slots[(block - first) % quota], at % 3)
-    assert got == want
-
-
 def test_mix_of_odd_rows_keeps_them_and_of_nothing_is_nothing(spark):
     for docs, n in ((odd(spark), len(ODD)), (none(spark), 0)):
-        rows = mixing.source_rows(docs, "source")
-        got = mixing.mixed(docs, mixing.tempered(rows), rows)
+        got = mixing.interleaved(docs)
         assert got.count() == n
         assert got.select("slot", "place").distinct().count() == n
         ordered = mixing.in_mix_order(docs)
@@ -193,10 +122,19 @@ def test_mix_of_odd_rows_keeps_them_and_of_nothing_is_nothing(spark):
 
 def test_parts_of_a_source_do_not_change_the_order(spark, monkeypatch):
     docs = spark.range(3000).selectExpr("id AS doc_id", "'s' AS source")
-    rows = mixing.source_rows(docs, "source")
-    whole = mixing.mixed(docs, mixing.tempered(rows), rows).collect()
+    whole = mixing.interleaved(docs).collect()
     monkeypatch.setattr(mixing, "PART_ROWS", 10)
-    assert sorted(whole) == sorted(mixing.mixed(docs, mixing.tempered(rows), rows).collect())
+    assert sorted(whole) == sorted(mixing.interleaved(docs).collect())
+
+
+def test_the_mix_bears_any_column_name(spark):
+    names = ["mix_name", "_digest", "_part", "_nth", "_row", "_key", "_hash", "_index", "rows"]
+    docs = spark.createDataFrame([(i, f"s{i % 3}", str(i)) for i in range(40)], "doc_id long, source string, text string")
+    for name in names:
+        docs = docs.withColumn(name, F.col("doc_id"))
+    got = mixing.interleaved(docs)
+    assert got.columns == [*docs.columns, "mix_source", "block", "slot", "place"]
+    assert sorted(tuple(r)[0:1] + tuple(r)[3:12] for r in got.collect()) == [(i,) * 10 for i in range(40)]
 
 
 def test_dropping_copies_bears_any_column_name_and_is_settled(spark):

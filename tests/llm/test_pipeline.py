@@ -19,7 +19,7 @@ def test_every_stage_takes_effect(spark):
     first = jaccard_join.similar_groups(clean.join(alone, "doc_id"), 5, 80).where("doc_id = component_id")
     want = {r["doc_id"] for r in first.collect()}
     got = corpus_pipeline.run(spark, SMALL)
-    assert got.columns == [*docs.columns, "ids"]
+    assert got.columns == [*docs.columns, "position", "ids"]
     rows = got.collect()
     assert {r["doc_id"] for r in rows} == want and len(rows) == len(want) < docs.count()
     codec = pieces.Codec(pieces.vocabulary())
@@ -30,7 +30,7 @@ def test_every_stage_takes_effect(spark):
 def test_stages_keep_the_columns_and_bear_odd_rows(spark):
     for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
         kept = stage(spark, odd(spark), SMALL)
-        assert kept.columns == odd(spark).columns + ["ids"] * (number == 4)
+        assert kept.columns == odd(spark).columns + ["position", "ids"] * (number == 4)
         assert 0 < kept.count() <= len(ODD)
         assert stage(spark, none(spark), SMALL).count() == 0
 
