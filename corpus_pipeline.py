@@ -34,11 +34,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same rows with the ids of their texts, in the order of the mix.
+    """The same rows in the order in which they were written, with ``position`` in it and the ``ids`` of their texts.
 
-    A table read again has no order, so it is found anew: the same rows have the same mix.
+    Columns of these names are replaced.
     """
-    return pieces.with_ids(mixing.in_mix_order(docs), pieces.vocabulary())
+    placed = mixing.with_written_place(docs).repartitionByRange("position").sortWithinPartitions("position")
+    return pieces.with_ids(placed, pieces.vocabulary())
 
 
 STAGES = [
