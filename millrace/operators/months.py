@@ -82,10 +82,12 @@ def months_of(spark: SparkSession, path: str) -> list[str | None]:
 
 
 def write_version(
-    df: DataFrame, path: str, field: str, key: str | None = None, gather: bool = True
+    df: DataFrame, path: str, field: str | Column, key: str | None = None, gather: bool = True
 ) -> dict[str | None, str]:
     """Write rows as months of a version folder of their own; returns the version of each month.
 
+    ``field`` is the date column whose months they are, or an expression that names each row's part.
+
     ``gather`` brings the rows of a month together first, so that tasks which hold all months
     do not write a file for each; a month that holds a large part of the rows is still split.
     Rows that lie in one month, or come month by month, need no such shuffle. With a ``key``
@@ -93,7 +95,7 @@ def write_version(
     a scan for some keys skips row groups which cannot hold them.
     """
     spark, version = df.sparkSession, uuid.uuid4().hex
-    dated = df.withColumn(MONTH, month_of(field))
+    dated = df.withColumn(MONTH, month_of(field) if isinstance(field, str) else field)
     if gather:
         dated = dated.hint("rebalance", MONTH)
     if key is not None:
@@ -148,8 +150,8 @@ def write_months(df: DataFrame, path: str, field: str, gather: bool = True, key:
     publish(spark, path, None, write_version(df, path, field, key, gather), df.schema)
 
 
-def read_months(spark: SparkSession, path: str) -> DataFrame:
-    """The table as it is now, with its month as a column.
+def read_months(spark: SparkSession, path: str, only: str | None = None) -> DataFrame:
+    """The table as it is now, or the ``only`` month of it, with its month as a column.
 
     The columns come from the pointer, so no file is opened to plan; months are partitions.
     """
@@ -157,7 +159,8 @@ def read_months(spark: SparkSession, path: str) -> DataFrame:
     if now is None:
         raise ValueError(f"{path} is no table")
     schema = T.StructType.fromJson(json.loads(now.columns)).add(MONTH, T.StringType())
-    folders = [f"{path}/{VERSION}={now.months[m]}/{MONTH}={m or NO_MONTH}" for m in in_order(now.months)]
+    wanted = [m for m in in_order(now.months) if only is None or m == only]
+    folders = [f"{path}/{VERSION}={now.months[m]}/{MONTH}={m or NO_MONTH}" for m in wanted]
     if not folders:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).drop(VERSION)

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.months import MONTH, Live, live, publish, read_months, write_version
+
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
+# Parts of a stored history: open versions, and those that one run closed.
+OPEN, CLOSED = "open", "closed-"
 
 
 def first_snapshot(source: DataFrame, valid_from: Column) -> DataFrame:
@@ -71,3 +75,38 @@ def snapshot(
         .unionByName(current)
         .unionByName(first_snapshot(source.where(keyless), started))
     )
+
+
+def take_snapshot(
+    source: DataFrame, path: str, key: str, *, check: Sequence[str] = (), updated_at: str | None = None, at=None,
+) -> None:
+    """Bring the history stored at ``path`` up to date with ``source``, or begin it; the arguments are those of ``snapshot``.
+
+    Open versions lie in a part of their own: a run reads that part, not the history, and writes it anew. What it
+    closes is written once, as one more part that no later run reads. Rows without a key can never be closed by a
+    later one, so they lie with the closed. The new pointer names all parts: readers see the history before or
+    after the run, and a run that died has changed nothing.
+    """
+    if bool(check) == bool(updated_at):
+        raise ValueError("give either check columns or updated_at")
+    spark = source.sparkSession
+    before = live(spark, path)
+    if before is None:
+        now = first_snapshot(source, F.col(updated_at) if updated_at else F.lit(str(at)))
+    else:
+        now = snapshot(read_current(spark, path), source, key, check=check, updated_at=updated_at, at=at)
+    may_close = F.col(VALID_TO).isNull() & F.col(key).isNotNull()
+    before = before or Live()
+    part = F.when(may_close, OPEN).otherwise(f"{CLOSED}{before.number + 1:08}")
+    settled = {name: version for name, version in before.months.items() if name != OPEN}
+    publish(spark, path, before, settled | write_version(now, path, part, gather=False), now.schema)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of a stored history, open and closed."""
+    return read_months(spark, path).drop(MONTH)
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The open versions of rows with a key; no closed one is read."""
+    return read_months(spark, path, OPEN).drop(MONTH)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import session
 from millrace.functions.types import ColumnSpec
-from millrace.operators import configs, projects, quality, registry, snapshot, validation
+from millrace.operators import configs, months, projects, quality, registry, snapshot, validation
 from millrace.plans.registry import change_registry
 from millrace.sources import projects as files
 from millrace.sources.registry import read_registry
@@ -60,6 +60,40 @@ def history(spark, rows):
                      F.col("t").cast("timestamp").alias(snapshot.VALID_TO))
 
 
+def test_a_stored_history_is_that_of_the_runs_and_closed_parts_stay(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "history")
+    runs = [[(1, "a"), (2, None), (None, "k")], [(1, "b"), (2, None), (3, "n")], [(1, "b"), (3, "m"), (None, "k")], []]
+    whole, parts = None, []
+    for month, rows in enumerate(runs, 1):
+        source = spark.createDataFrame(rows, "id long, v string")
+        run = {"check": ["v"], "at": f"2024-{month:02}-01 00:00:00"}
+        if whole is None:
+            whole = snapshot.first_snapshot(source, F.lit(run["at"]))
+        else:
+            whole = snapshot.snapshot(whole, source, "id", **run)
+        snapshot.take_snapshot(source, path, "id", **run)
+        assert sorted(map(str, snapshot.read_history(spark, path).collect())) == sorted(map(str, whole.collect()))
+        parts.append(dict(months.live(spark, path).months))
+        keyed = whole.where("id IS NOT NULL AND dbt_valid_to IS NULL")
+        assert sorted(map(str, snapshot.read_current(spark, path).collect())) == sorted(map(str, keyed.collect()))
+    for earlier, later in zip(parts, parts[1:]):
+        assert earlier["open"] != later["open"]
+        assert earlier.items() - {("open", earlier["open"])} <= later.items()
+    assert sorted(parts[-1]) == ["closed-00000001", "closed-00000002", "closed-00000003", "open"]
+    assert "closed-" not in "".join(snapshot.read_current(spark, path).inputFiles())
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(snapshot, "publish", die)
+    before = sorted(map(str, snapshot.read_history(spark, path).collect()))
+    with pytest.raises(RuntimeError):
+        snapshot.take_snapshot(spark.createDataFrame([(1, "z")], "id long, v string"), path, "id", check=["v"], at="2024-06-01 00:00:00")
+    assert sorted(map(str, snapshot.read_history(spark, path).collect())) == before
+    with pytest.raises(ValueError):
+        snapshot.take_snapshot(source, path, "id")
+
+
 def test_snapshot_by_check(spark):
     old = history(spark, [(1, "a", "2024-01-01", "2024-01-02"), (1, "b", "2024-01-02", None),
                           (2, None, "2024-01-01", None), (3, "c", "2024-01-01", None)])

@@ -65,6 +65,27 @@ def snapshot_by_time(spark, sf_dir):
     return snapshot.snapshot(history, ended, "id", updated_at="at")
 
 
+# All orders on three days: as placed, as they ended, and once more after open ones were cancelled.
+@query("snapshot_stored", """
+    WITH days AS (SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'P' THEN 'P' ELSE 'N' END AS placed,
+                         o_orderstatus AS ended, CASE o_orderstatus WHEN 'O' THEN 'X' ELSE o_orderstatus END AS later
+                  FROM orders)
+    SELECT id, placed AS status, TIMESTAMP '2024-01-01' AS dbt_valid_from,
+           CASE WHEN ended <> placed THEN TIMESTAMP '2024-02-01' END AS dbt_valid_to FROM days
+    UNION ALL SELECT id, ended, TIMESTAMP '2024-02-01',
+           CASE WHEN later <> ended THEN TIMESTAMP '2024-03-01' END FROM days WHERE ended <> placed
+    UNION ALL SELECT id, later, TIMESTAMP '2024-03-01', NULL FROM days WHERE later <> ended""")
+def snapshot_stored(spark, sf_dir):
+    o = inputs.table(spark, sf_dir, "orders")
+    path = shared_folder(spark, "order-history")
+    placed = F.when(o.o_orderstatus == "P", "P").otherwise("N")
+    later = F.when(o.o_orderstatus == "O", "X").otherwise(o.o_orderstatus)
+    for day, status in (("2024-01-01", placed), ("2024-02-01", o.o_orderstatus), ("2024-03-01", later)):
+        rows = o.select(o.o_orderkey.alias("id"), status.alias("status"))
+        snapshot.take_snapshot(rows, path, "id", check=["status"], at=f"{day} 00:00:00")
+    return snapshot.read_history(spark, path)
+
+
 @query("monitored_metrics", """
     WITH daily AS (
       SELECT ts::DATE AS day, count(*) AS n, max(ts) AS latest, count(*) - count(value) AS nulls,
