@@ -93,7 +93,7 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _headers(lines: bytes) -> dict[str, str]:
     fields = (line.partition(b":") for line in lines.split(b"\r\n")[1:] if line)
-    return {k.strip().lower().decode(): v.strip().decode() for k, _, v in fields}
+    return {k.strip().lower().decode(errors="replace"): v.strip().decode(errors="replace") for k, _, v in fields}
 
 
 def _fail(reason: str):
@@ -117,33 +117,57 @@ def records(archive: bytes) -> Iterator[dict]:
             at += len(piece) - len(inflater.unused_data)
             if split < 0 and (split := held.find(b"\r\n\r\n")) >= 0:
                 fields = _headers(bytes(held[:split]))
+                if not fields.get("content-length", "").isdigit():
+                    _fail("a record does not say how long it is")
                 wanted = int(fields["content-length"])
         if wanted is None or len(held) != split + 4 + wanted + 4 or held[-4:] != b"\r\n\r\n":
             _fail("a record is not as long as it says")
         yield _checked(fields, bytes(held[split + 4:split + 4 + wanted]))
 
 
+def _sha1_in(field: str | None) -> str | None:
+    """The digest that a field names, if it is a SHA-1 in base 32; those of other kinds are not checked."""
+    kind, _, digest = (field or "").partition(":")
+    return digest if kind.lower() == "sha1" and len(digest) == 32 else None
+
+
 def _checked(fields: dict[str, str], block: bytes) -> dict:
-    kind = fields["warc-type"]
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    if sha1_base32(block) != fields["warc-block-digest"].removeprefix("sha1:"):
+    """A record, after the lengths and digests that it has were checked.
+
+    The payload of a response over HTTP is what follows its head, and of any other record the block. What was sent in
+    chunks, or cut off by who recorded it, has no length or digest to be held to.
+    """
+    kind = fields.get("warc-type")
+    if kind is None:
+        _fail("a record has no type")
+    digest = _sha1_in(fields.get("warc-payload-digest"))
+    if (own := _sha1_in(fields.get("warc-block-digest"))) and sha1_base32(block) != own:
         _fail("a block does not have its digest")
-    head, _, payload = block.partition(b"\r\n\r\n")
-    length = int(_headers(head)["content-length"])
-    if kind == "response" and (len(payload) != length or sha1_base32(payload) != digest):
+    payload, said = block, None
+    if kind in ("response", "revisit") and fields.get("content-type", "").lower().startswith("application/http"):
+        head, _, payload = block.partition(b"\r\n\r\n")
+        http = _headers(head)
+        said = int(http["content-length"]) if http.get("content-length", "").isdigit() else None
+        if "transfer-encoding" in http or "warc-truncated" in fields:
+            said = digest = None
+    whole = kind != "revisit"
+    if whole and (said not in (None, len(payload)) or digest and sha1_base32(payload) != digest):
         _fail("a payload does not have its digest")
     return {
-        "record_id": fields["warc-record-id"].strip("<>"), "record_type": kind,
+        "record_id": fields.get("warc-record-id", "").strip("<>") or None, "record_type": kind,
         "refers_to": fields.get("warc-refers-to", "").strip("<>") or None,
-        "target": fields.get("warc-target-uri"), "payload": payload if kind == "response" else None,
-        "payload_bytes": length, "payload_digest": digest,
+        "target": fields.get("warc-target-uri"), "payload": payload if whole else None,
+        "payload_bytes": len(payload) if whole else said,
+        "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha1:") or None,
     }
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """All records of the archives below ``path``; a damaged one is an error.
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, names: str = "part-*") -> DataFrame:
+    """All records of the archives below ``path``, of any type and writer; a damaged one is an error.
 
-    A NULL payload is that of a revisit, or of any record if ``payloads`` is off; digests are
+    ``names`` is a glob of their file names. Digests and lengths that a record has are checked, and what it does not
+    say is NULL; a revisit's payload_bytes are those its HTTP head names. An archive is held in memory while it is
+    read. A NULL payload is that of a revisit, or of any record if ``payloads`` is off; digests are
     checked all the same.
     """
     schema = pa.schema([
@@ -166,7 +190,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                         rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(path)
     return files.select("content").mapInArrow(read, READ_SCHEMA)
 
 

@@ -89,3 +89,42 @@ def test_no_pages(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write_archives(pages(spark).limit(0), path)
     assert warc.read_archives(spark, path).count() == 0
+
+
+def foreign(kind, block, *lines, content="application/http; msgtype=response"):
+    head = [f"WARC-Type: {kind}", f"Content-Type: {content}", f"Content-Length: {len(block)}", *lines]
+    return gzip.compress("\r\n".join(["WARC/1.0", *head]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\n"
+    chunks = b"4\r\ndata\r\n0\r\n\r\n"
+    members = [
+        foreign("warcinfo", b"software: x\r\n", "WARC-Record-ID: <urn:a>", content="application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n", content="application/http; msgtype=request"),
+        foreign("response", http + b"\r\nbody", "WARC-Target-URI: http://h/"),
+        foreign("response", http + b"Content-Length: 4\r\n\r\nbody", "WARC-Payload-Digest: sha256:00"),
+        foreign("response", http + b"Transfer-Encoding: chunked\r\n\r\n" + chunks, "WARC-Payload-Digest: sha1:" + warc.sha1_base32(b"data")),
+        foreign("response", http + b"Content-Length: 9\r\n\r\nbody", "WARC-Truncated: length"),
+        foreign("response", b"h. 300 IN A 1.2.3.4", content="text/dns"),
+        foreign("resource", b"\xff\r\n\r\n\x00", "WARC-Payload-Digest: sha1:" + warc.sha1_base32(b"\xff\r\n\r\n\x00"), content="image/x"),
+        foreign("revisit", http + b"\r\n", "WARC-Refers-To: <urn:b>"),
+        foreign("response", http + b"X-\xff: \xe9\r\n\r\nbody"),
+    ]
+    (tmp_path / "crawl-1.warc.gz").write_bytes(b"".join(members))
+    got = warc.read_archives(spark, str(tmp_path), names="*.warc.gz").collect()
+    assert [(r["record_type"], r["payload"] and bytes(r["payload"]), r["payload_bytes"]) for r in got] == [
+        ("warcinfo", b"software: x\r\n", 13), ("request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n", 27), ("response", b"body", 4),
+        ("response", b"body", 4), ("response", chunks, len(chunks)), ("response", b"body", 4),
+        ("response", b"h. 300 IN A 1.2.3.4", 19), ("resource", b"\xff\r\n\r\n\x00", 6), ("revisit", None, None), ("response", b"body", 4),
+    ]
+    assert [got[i]["record_id"] for i in (0, 1)] == ["urn:a", None] and got[8]["refers_to"] == "urn:b"
+    assert got[2]["payload_digest"] is None and got[3]["payload_digest"] == "sha256:00"
+    for bad, reason in (
+        (foreign("resource", b"x", "WARC-Payload-Digest: sha1:" + "A" * 32, content="a/b"), "payload"),
+        (foreign("response", http + b"Content-Length: 9\r\n\r\nbody"), "payload"),
+        (gzip.compress(b"WARC/1.0\r\nWARC-Type: x\r\n\r\n"), "how long"),
+        (gzip.compress(b"WARC/1.0\r\nContent-Length: 0\r\n\r\n\r\n\r\n"), "no type"),
+    ):
+        with pytest.raises(warc.BadRecord, match=reason):
+            list(warc.records(bad))
