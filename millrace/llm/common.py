@@ -32,6 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, longer by underscores as long as a column is called so in any letter case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def equal(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     """Equality of the columns in which NULL equals NULL."""
     matched = F.lit(True)

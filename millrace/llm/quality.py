@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import query, table
+from millrace.llm.common import query, table, unused
 from millrace.llm.labelled import fold, probability, sampled, sigmoid_fit, with_label, with_margins
 from millrace.llm.tokens import KINDS, chain, mix, slices, text_column, words
 from millrace.session import stored
@@ -208,8 +208,10 @@ def with_quality(
 
         return score
 
-    scored = with_margins(docs, scorer, "_margin")
-    return scored.withColumn("quality", probability(F.col("_margin"), slope, offset)).drop("_margin")
+    columns = [c for c in docs.columns if c != "quality"]
+    margin = unused(columns, "_margin")
+    scored = with_margins(docs.select(*columns), scorer, margin)
+    return scored.select(*columns, probability(F.col(margin), slope, offset).alias("quality"))
 
 
 def train_rows() -> Column:

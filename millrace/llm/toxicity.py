@@ -2,14 +2,12 @@
 
 A text is lower-cased, whatever is no letter becomes one blank, and each byte is predicted from
 the ``ORDER - 1`` before it, once by the model of toxic texts and once by that of ordinary ones. Both
-discount what they saw and hand the rest to the same shorter contexts, whose continuation counts
-come from the whole corpus, labelled or not: an expression that is rare in one class is then
-no evidence in itself. A text counts once for each distinct sequence, so that a word said a
-thousand times in one text weighs as much as if said once.
+discount what they saw and hand the rest to the same shorter contexts, one byte shorter at a time, whose
+continuation counts come from the whole corpus, labelled or not: an expression that is rare in one
+class is then no evidence in itself.
 
-The margin is the sum of the differences of both log-likelihoods over the number of distinct
-sequences (and ``CALM`` more, for short texts); a sigmoid fitted on labelled texts that the models
-for that step had not seen makes it a probability.
+The margin is the difference of both log-likelihoods over the number of bytes predicted; a sigmoid
+fitted on labelled texts that the models for that step had not seen makes it a probability.
 
 Sequences are exact numbers throughout, and each has its own difference. The differences are counted: up to
 ``SENT`` of them are sent to the tasks as a sorted array, more are joined to the sequences of the texts.
@@ -26,21 +24,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import SALTS, query, table
+from millrace.llm.common import SALTS, query, table, unused
 from millrace.llm.labelled import fold, probability, sampled, sigmoid_fit, with_label, with_margins
 from millrace.llm.tokens import KINDS, slices, text_column
 from millrace.session import stored
 
 ORDER = 5
-#: Neutral sequences that every text is taken to hold besides its own.
-CALM = 50
 #: All sequences there can be: each is its own bin.
 BINS = 1 << 8 * ORDER
 #: So many differences, of 16 bytes, are sent to the tasks at most.
 SENT = 4_000_000
 STEP = 2.0 ** -24
 DISCOUNT = 0.75
-#: What is left of the shortest contexts goes to so many bytes alike.
+#: What is left of single bytes' counts goes to so many bytes alike.
 SYMBOLS = 64
 #: About so many labelled texts the probability is fitted on (the models read all of them).
 FIT_ROWS = 8_000
@@ -82,10 +78,11 @@ def sequences(bounds: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndar
 _SEQUENCE = (1 << 8 * ORDER) - 1
 
 
-def _once(seq: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """Row and sequence as one number, each pair once, in order of the rows."""
-    keyed = np.sort((row << 8 * ORDER) | seq)
-    return keyed[np.concatenate(([True], keyed[1:] != keyed[:-1]))] if len(keyed) else keyed
+def _told(keyed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in order, and how often each is there."""
+    keyed = np.sort(keyed)
+    first = np.flatnonzero(np.concatenate(([True], keyed[1:] != keyed[:-1]))) if len(keyed) else keyed
+    return keyed[first], np.diff(np.append(first, len(keyed)))
 
 
 def _lowered(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +92,7 @@ def _lowered(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sequences with the number of texts that hold them: all, and by class and half the labelled ones."""
+    """Sequences with how often texts hold them: all, and by class and half the labelled ones."""
     names = ["seq", "n", "t0", "o0", "t1", "o1"]
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -113,7 +110,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seq, counts = held.pop()
             for at in range(0, len(seq), 1 << 16):
                 part = slice(at, at + (1 << 16))
-                columns = [pa.array(seq[part]), *(pa.array(np.ascontiguousarray(counts[part, k]).astype(np.int64)) for k in range(5))]
+                columns = [pa.array(seq[part]), *(pa.array(np.ascontiguousarray(counts[part, k])) for k in range(5))]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     for batch in batches:
@@ -123,12 +120,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seq, row = sequences(bounds[low:high + 1], data)
             if not len(seq):
                 continue
-            once = _once(seq, row)
-            keyed = np.sort((once & _SEQUENCE) * 8 + kind[low:high][once >> 8 * ORDER])
-            first = np.flatnonzero(np.concatenate(([True], keyed[1:] != keyed[:-1])))
-            number = np.diff(np.append(first, len(keyed)))
-            seq, part = keyed[first] >> 3, keyed[first] & 7
-            counts = np.zeros((len(seq), 5), np.int32)
+            keyed, number = _told(seq * 8 + kind[low:high][row])
+            seq, part = keyed >> 3, keyed & 7
+            counts = np.zeros((len(seq), 5), np.int64)
             counts[:, 0] = number
             marked = np.flatnonzero(part)
             counts[marked, part[marked]] = number[marked]
@@ -141,7 +135,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def counted(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
-    """seq, n, t0, o0, t1, o1: texts that hold it, of all, and of toxic and ordinary halves."""
+    """seq, n, t0, o0, t1, o1: how often it is there, in all, and in toxic and ordinary halves."""
     half = fold("doc_id", 8) % 2
     part = F.when(F.col("label").isNull() | ~train, 0).otherwise(half * 2 + F.when(F.col("label") == 1, 1).otherwise(2))
     rows = with_label(docs, labels, "toxic").select("text", part.cast("int").alias("part"))
@@ -151,6 +145,27 @@ def counted(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
     )
 
 
+def _shared(ends: DataFrame, size: int) -> DataFrame:
+    """(g, p): the shared model's probability of the last of each ``size`` bytes g after the others.
+
+    ``ends`` holds g once for each byte that was seen before it. What is discounted goes on to the
+    contexts one byte shorter, whose own counts are of the distinct g that end alike, and behind
+    single bytes to ``SYMBOLS`` alike.
+    """
+    d = F.lit(DISCOUNT)
+    continued = ends.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
+    context = F.shiftright("g", 8).alias("h")
+    totals = continued.groupBy(context).agg(F.sum("c").alias("s"), F.count(F.lit(1)).alias("k"))
+    joined = continued.select("g", "c", context).join(totals, "h")
+    if size == 1:
+        return joined.select("g", ((F.col("c") - d + d * F.col("k") / SYMBOLS) / F.col("s")).alias("p"))
+    end = F.col("g").bitwiseAND(F.lit((1 << 8 * (size - 1)) - 1))
+    lower = _shared(continued.select(end.alias("g")), size - 1).withColumnsRenamed({"g": "end", "p": "q"})
+    return joined.withColumn("end", end).join(lower, "end").select(
+        "g", ((F.col("c") - d + d * F.col("k") * F.col("q")) / F.col("s")).alias("p")
+    )
+
+
 def differences(counts: DataFrame) -> DataFrame:
     """(kind, bin, value): log-likelihood differences of sequences (0) and of contexts (1).
 
@@ -159,13 +174,7 @@ def differences(counts: DataFrame) -> DataFrame:
     """
     d = F.lit(DISCOUNT)
     shorter = F.col("seq").bitwiseAND(F.lit((1 << 8 * (ORDER - 1)) - 1)).alias("g")
-    continued = counts.select(shorter).groupBy("g").agg(F.count(F.lit(1)).alias("c"))
-    context = F.shiftright("g", 8).alias("h")
-    totals = continued.groupBy(context).agg(F.sum("c").alias("s"), F.count(F.lit(1)).alias("k"))
-    shared = (
-        continued.select("g", "c", context).join(totals, "h")
-        .select("g", ((F.col("c") - d + d * F.col("k") / SYMBOLS) / F.col("s")).alias("p"))
-    )
+    shared = _shared(counts.select(shorter), ORDER - 1)
     seen = counts.where("t + o > 0").select("seq", "t", "o", F.shiftright("seq", 8).alias("ctx"))
     contexts = seen.groupBy("ctx").agg(
         F.sum("t").alias("st"), F.sum("o").alias("so"),
@@ -227,13 +236,11 @@ def _with_sent(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
             out = np.zeros(len(batch))
             for low, high in slices(bounds, 1 << 20):
                 seq, row = sequences(bounds[low:high + 1], data)
-                once = _once(seq, row)
-                seq, row = once & _SEQUENCE, once >> 8 * ORDER
                 value = _looked_up(known, known_values, seq)
                 unseen = np.flatnonzero(np.isnan(value))
                 value[unseen] = np.nan_to_num(_looked_up(contexts, context_values, seq[unseen] >> 8))
                 held = np.bincount(row, minlength=high - low)
-                out[low:high] = np.bincount(row, value, high - low) / (held + CALM)
+                out[low:high] = np.bincount(row, value, high - low) / np.maximum(held, 1)
             return out
 
         return score
@@ -242,17 +249,21 @@ def _with_sent(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
 
 
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, seq) for each distinct sequence of each text, and one of -1 for each text."""
+    """(digest, seq, times) for each distinct sequence of each text, and one of -1 for each text."""
     for batch in batches:
         bounds, data = _lowered(batch)
         digests = batch.column(batch.schema.get_field_index("digest"))
         for low, high in slices(bounds, 1 << 20):
-            once = _once(*sequences(bounds[low:high + 1], data))
-            row = np.concatenate((np.arange(high - low), once >> 8 * ORDER)) + low
-            seq = np.concatenate((np.full(high - low, -1), once & _SEQUENCE))
+            seq, row = sequences(bounds[low:high + 1], data)
+            keyed, times = _told((row << 8 * ORDER) | seq)
+            row = np.concatenate((np.arange(high - low), keyed >> 8 * ORDER)) + low
+            seq = np.concatenate((np.full(high - low, -1), keyed & _SEQUENCE))
+            times = np.concatenate((np.zeros(high - low, np.int64), times))
             for at in range(0, len(seq), 1 << 16):
                 part = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays([digests.take(pa.array(row[part])), pa.array(seq[part])], ["digest", "seq"])
+                yield pa.RecordBatch.from_arrays(
+                    [digests.take(pa.array(row[part])), pa.array(seq[part]), pa.array(times[part])], ["digest", "seq", "times"]
+                )
 
 
 def _with_joined(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
@@ -263,7 +274,7 @@ def _with_joined(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
     columns = [c for c in docs.columns if c != name]
     digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
     held = (
-        docs.select("text", digest.alias("digest")).mapInArrow(_held, "digest binary, seq long")
+        docs.select("text", digest.alias("digest")).mapInArrow(_held, "digest binary, seq long, times long")
         .withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)))
     )
     known = found.where("kind = 0").select(F.col("bin").alias("seq"), F.col("value").alias("known"))
@@ -273,15 +284,11 @@ def _with_joined(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
         .withColumn("ctx", F.shiftright("seq", 8)).join(contexts, "ctx", "left")
         .select("seq", "salt", F.coalesce("known", "context", F.lit(0.0)).alias("value"))
     )
-    texts = F.count_if(F.col("seq") < 0)
-    margins = (
-        held.join(lookup, ["seq", "salt"], "left").groupBy("digest")
-        .agg((F.coalesce(F.sum("value"), F.lit(0.0)) / texts / (F.count_if(F.col("seq") >= 0) / texts + CALM)).alias("_margin"))
-    )
-    return (
-        docs.select(*columns, digest.alias("_digest")).join(margins.withColumnRenamed("digest", "_digest"), "_digest")
-        .select(*columns, F.col("_margin").alias(name))
+    own = unused(columns, "_digest")
+    margins = held.join(lookup, ["seq", "salt"], "left").groupBy(F.col("digest").alias(own)).agg(
+        (F.coalesce(F.sum(F.col("value") * F.col("times")), F.lit(0.0)) / F.greatest(F.sum("times"), F.lit(1))).alias(name)
     )
+    return docs.select(*columns, digest.alias(own)).join(margins, own).select(*columns, name)
 
 
 def with_toxicity(docs: DataFrame, corpus: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
@@ -308,8 +315,10 @@ def with_toxicity(docs: DataFrame, corpus: DataFrame, labels: DataFrame, train:
         margin, label = fitted.column("margin").to_numpy(), fitted.column("label").to_numpy()
         if 0 < label.sum() < len(label):
             slope, offset = sigmoid_fit(margin, label)
-    scored = with_difference(docs, whole, "_difference")
-    return scored.withColumn("toxicity", probability(F.col("_difference"), slope, offset)).drop("_difference")
+    columns = [c for c in docs.columns if c != "toxicity"]
+    margin = unused(columns, "_margin")
+    scored = with_difference(docs.select(*columns), whole, margin)
+    return scored.select(*columns, probability(F.col(margin), slope, offset).alias("toxicity"))
 
 
 def train_rows() -> Column:

@@ -149,21 +149,26 @@ def plain_differences(texts, marks):
         letters = [c if tokens.KINDS[c] == 1 else 32 for c in text.lower().encode()]
         joined = [c for i, c in enumerate(letters) if c != 32 or (i and letters[i - 1] != 32)]
         padded = [32] * (order - 1) + [c for i, c in enumerate(joined) if c != 32 or i]
-        held.append({bytes(padded[i - order + 1:i + 1]) for i in range(order - 1, len(padded))})
+        held.append([bytes(padded[i - order + 1:i + 1]) for i in range(order - 1, len(padded))])
     seen = collections.Counter(g for h in held for g in h)
     toxic = collections.Counter(g for h, m in zip(held, marks) if m == 1 for g in h)
     ordinary = collections.Counter(g for h, m in zip(held, marks) if m == 0 for g in h)
-    continued = collections.Counter(g[1:] for g in seen)
+    levels = {order: set(seen)}
+    for size in range(order - 1, 0, -1):
+        levels[size] = {g[1:] for g in levels[size + 1]}
     d = toxicity.DISCOUNT
 
     def shared(g):
-        within = {s: c for s, c in continued.items() if s[:-1] == g[1:-1]}
-        return (continued[g[1:]] - d + d * len(within) / toxicity.SYMBOLS) / sum(within.values())
+        if not g:
+            return 1 / toxicity.SYMBOLS
+        continued = collections.Counter(x[1:] for x in levels[len(g) + 1])
+        within = [c for s, c in continued.items() if s[:-1] == g[:-1]]
+        return (continued[g] - d + d * len(within) * shared(g[1:])) / sum(within)
 
     def likelihood(counts, g):
         own = [c for s, c in counts.items() if s[:-1] == g[:-1]]
         left = d * len(own) / sum(own) if own else 1.0
-        return (max(counts[g] - d, 0) / sum(own) if own else 0) + left * shared(g)
+        return (max(counts[g] - d, 0) / sum(own) if own else 0) + left * shared(g[1:])
 
     return {g: math.log(likelihood(toxic, g) / likelihood(ordinary, g)) for g in seen if toxic[g] + ordinary[g]}
 
@@ -193,6 +198,31 @@ def test_scores_of_odd_rows(spark, operator, column, name):
     assert operator(odd(spark), some.limit(0)).count() == len(ODD)
 
 
+def test_scores_of_rows_with_names_of_their_own(spark):
+    docs = odd(spark).withColumns({c: F.lit(9) for c in ("_margin", "_digest", "_Margin_")})
+    for scored, column in (
+        (toxicity.with_toxicity(docs, docs, labels(spark, "toxic"), F.lit(True)), "toxicity"),
+        (quality.with_quality(docs, labelled.with_label(docs, labels(spark, "quality"), "quality", "inner")), "quality"),
+    ):
+        assert scored.columns == [*docs.columns, column]
+        assert all(r["_margin"] == r["_digest"] == r["_Margin_"] == 9 for r in scored.collect())
+
+
+def test_margins_are_log_likelihoods_over_the_length(spark, monkeypatch):
+    texts = ["you fool", "you fool you fool you fool", "a pool", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = spark.createDataFrame(
+        [(0, int.from_bytes(b" fool", "big"), 2.0), (1, int.from_bytes(b"pool", "big") >> 8, 0.5),
+         (1, int.from_bytes(b"    ", "big"), -1.0)], "kind int, bin long, value double",
+    )
+    # the first byte of a text follows four blanks, of which nothing but the left-over mass is known
+    want = [1.0 / 8, 5.0 / 26, -1.0 / 6, 0, 0]
+    for sent in (100, 0):
+        monkeypatch.setattr(toxicity, "SENT", sent)
+        rows = toxicity.with_difference(docs, found, "margin").orderBy("doc_id").collect()
+        assert np.allclose([r["margin"] for r in rows], want), rows
+
+
 def test_without_toxic_keeps_the_columns(spark):
     kept = toxicity.without_toxic(odd(spark), labels(spark, "toxic").limit(0))
     assert kept.columns == odd(spark).columns and kept.count() == len(ODD)
