@@ -23,8 +23,6 @@ RANKS = 300
 UNKNOWN = "und"
 #: So many characters are turned into n-grams at once, or one text if it is longer.
 SLICE_CHARS = 1 << 20
-#: Learned values are few: a profile is RANKS pairs for each.
-MOST_LANGUAGES = 2_000
 
 
 def _letters(text: str) -> np.ndarray:
@@ -113,10 +111,7 @@ def profiles(labelled: DataFrame, ranks: int = RANKS) -> dict[str, np.ndarray]:
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ranks)
     rows = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "gram"))).alias("grams"))
-    found = rows.orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"over {MOST_LANGUAGES} languages: is lang the right column?")
-    return {r["lang"]: np.array([g["gram"] for g in r["grams"]], np.int64) for r in found}
+    return {r["lang"]: np.array([g["gram"] for g in r["grams"]], np.int64) for r in rows.toLocalIterator()}
 
 
 class Ranker:
@@ -124,13 +119,15 @@ class Ranker:
 
     def __init__(self, found: dict[str, np.ndarray], ranks: int = RANKS):
         self.languages, self.ranks = sorted(found), ranks
-        known = np.unique(np.concatenate([found[x] for x in self.languages])) if found else np.zeros(0, np.int64)
-        self.known = known
-        #: place[i, l]: rank of the i-th known n-gram in language l, ranks if it has none
-        self.place = np.full((len(known) + 1, len(self.languages)), ranks, np.int64)
-        for column, lang in enumerate(self.languages):
-            self.place[np.searchsorted(known, found[lang]), column] = np.arange(len(found[lang]))
-        self.absent = self.place == ranks
+        codes = [found[x] for x in self.languages]
+        sizes = [len(c) for c in codes]
+        gram = np.concatenate([*codes, np.zeros(0, np.int64)])
+        order = np.argsort(gram, kind="stable")
+        #: the i-th known n-gram has the entries from begins[i] to begins[i + 1]: a language and the rank there
+        self.known, first = np.unique(gram[order], return_index=True)
+        self.begins = np.append(first, len(gram))
+        self.language = np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.rank = np.concatenate([*map(np.arange, sizes), np.zeros(0, np.int64)])[order]
 
     def best(self, text: str | None) -> tuple[str, float]:
         """The nearest language, the first by name among equals, and 1 - distance / farthest."""
@@ -145,10 +142,12 @@ class Ranker:
         order = np.lexsort((codes, -counts))[: self.ranks]
         codes = codes[order]
         at = np.minimum(np.searchsorted(self.known, codes), len(self.known) - 1)
-        at = np.where(self.known[at] == codes, at, len(self.known))
-        out = np.abs(self.place[at] - np.arange(len(codes))[:, None])
-        out[self.absent[at]] = self.ranks
-        distance = out.sum(axis=0)
+        place = np.flatnonzero(self.known[at] == codes)
+        begin, size = self.begins[at[place]], self.begins[at[place] + 1] - self.begins[at[place]]
+        entry = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+        # every n-gram is farthest out of place, but for languages that have it
+        nearer = self.ranks - np.abs(self.rank[entry] - np.repeat(place, size))
+        distance = len(codes) * self.ranks - np.bincount(self.language[entry], nearer, len(self.languages))
         nearest = int(distance.argmin())
         return self.languages[nearest], 1 - float(distance[nearest]) / (len(codes) * self.ranks)
 
