@@ -80,14 +80,20 @@ def shard(
     ``shard`` is the prefix of bits, empty if all fits into one; behind a key's own 128 bits a
     dot and bits of the row's digest follow, behind those a number sign and the run of equal
     rows, depth counting the bits. NULL in a key column reads as an empty text. The
-    shards of an empty table are none. Columns of the four names are replaced; no other may begin with
-    an underscore.
+    shards of an empty table are none. Columns of the four names are replaced, any others pass through.
     """
-    columns = [c for c in docs.columns if c not in ("shard", "shard_depth", "shard_bytes", "shard_rows")]
-    sized = docs.select(*columns, size.alias("_bytes"))
+    own = [c for c in docs.columns if c not in ("shard", "shard_depth", "shard_bytes", "shard_rows")]
+    # the row travels as one column, so that its names meet none of those used here
+    columns = ["_row"]
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), size.alias("_bytes"))
+    parts = _split(sized, [f"_row.`{k}`" for k in key], columns, limit)
+    return parts.select("_row.*", "shard", "shard_depth", "shard_bytes", "shard_rows")
+
+
+def _split(sized: DataFrame, key: list[str], columns: list[str], limit: int) -> DataFrame:
     total = sized.agg(F.sum("_bytes")).first()[0] or 0
     depth = min(BITS, ceil(log2(max(1.0, total / limit))) + SPARE_BITS)
-    digests = [key_bits(key), digest_bits(F.md5(F.to_json(F.struct(*columns))))]
+    digests = [key_bits(key), digest_bits(F.md5(F.to_json("_row")))]
     rows = sized.select(
         "*", F.lit("").alias("_path"), F.lit(0).alias("_from"), F.lit(depth).alias("_to")
     )

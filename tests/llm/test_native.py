@@ -103,6 +103,10 @@ def test_shards_of_odd_rows_and_of_nothing(spark):
     got = sharding.shard(odd(spark), sharding.text_bytes(F.col("text")), ["doc_id"], 1000)
     assert got.count() == len(ODD)
     assert sharding.shard(none(spark), sharding.text_bytes(F.col("text")), ["doc_id"], 1000).count() == 0
+    named = odd(spark).withColumns({c: F.lit(9) for c in ("_row", "_path", "_cell", "_bytes", "a.b")})
+    same = sharding.shard(named, sharding.text_bytes(F.col("text")), ["doc_id"], 1000)
+    assert same.columns == [*(c for c in named.columns if c != "shard"), "shard", "shard_depth", "shard_bytes", "shard_rows"]
+    assert all(r["_row"] == r["_path"] == r["_cell"] == r["_bytes"] == r["a.b"] == 9 for r in same.collect())
 
 
 def test_written_shards_come_back(spark, tmp_path):
