@@ -41,6 +41,8 @@ SYMBOLS = 64
 #: About so many labelled texts the probability is fitted on (the models read all of them).
 FIT_ROWS = 8_000
 THRESHOLD = 0.7
+#: So many bytes of text are cut into sequences at once, or one text if it is longer.
+SLICE = 1 << 18
 #: Below so many held distinct sequences a task goes on adding up before it hands them over.
 HELD = 1 << 20
 
@@ -92,41 +94,33 @@ def _lowered(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sequences with how often texts hold them: all, and by class and half the labelled ones."""
-    names = ["seq", "n", "t0", "o0", "t1", "o1"]
+    """(seq, part, n): how often texts of each part of the corpus hold a sequence."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def fold_in():
-        seq = np.concatenate([x[0] for x in held])
-        counts = np.concatenate([x[1] for x in held])
-        order = np.argsort(seq, kind="stable")
-        seq, counts = seq[order], counts[order]
-        first = np.flatnonzero(np.concatenate(([True], seq[1:] != seq[:-1])))
-        held[:] = [(seq[first], np.add.reduceat(counts, first, axis=0))]
+        keyed = np.concatenate([x[0] for x in held])
+        order = np.argsort(keyed, kind="stable")
+        keyed, number = keyed[order], np.concatenate([x[1] for x in held])[order]
+        first = np.flatnonzero(np.concatenate(([True], keyed[1:] != keyed[:-1])))
+        held[:] = [(keyed[first], np.add.reduceat(number, first))]
 
     def out():
         if held:
             fold_in()
-            seq, counts = held.pop()
-            for at in range(0, len(seq), 1 << 16):
+            keyed, number = held.pop()
+            for at in range(0, len(keyed), 1 << 16):
                 part = slice(at, at + (1 << 16))
-                columns = [pa.array(seq[part]), *(pa.array(np.ascontiguousarray(counts[part, k])) for k in range(5))]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                columns = [pa.array(keyed[part] >> 3), pa.array((keyed[part] & 7).astype(np.int32)), pa.array(number[part])]
+                yield pa.RecordBatch.from_arrays(columns, ["seq", "part", "n"])
 
     for batch in batches:
         bounds, data = _lowered(batch)
         kind = batch.column(batch.schema.get_field_index("part")).to_numpy(zero_copy_only=False)
-        for low, high in slices(bounds, 1 << 20):
+        for low, high in slices(bounds, SLICE):
             seq, row = sequences(bounds[low:high + 1], data)
             if not len(seq):
                 continue
-            keyed, number = _told(seq * 8 + kind[low:high][row])
-            seq, part = keyed >> 3, keyed & 7
-            counts = np.zeros((len(seq), 5), np.int64)
-            counts[:, 0] = number
-            marked = np.flatnonzero(part)
-            counts[marked, part[marked]] = number[marked]
-            held.append((seq, counts))
+            held.append(_told(seq * 8 + kind[low:high][row]))
             if sum(len(x[0]) for x in held) > 2 * HELD:
                 fold_in()
                 if len(held[0][0]) > HELD:
@@ -140,8 +134,10 @@ def counted(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
     part = F.when(F.col("label").isNull() | ~train, 0).otherwise(half * 2 + F.when(F.col("label") == 1, 1).otherwise(2))
     rows = with_label(docs, labels, "toxic").select("text", part.cast("int").alias("part"))
     return (
-        rows.mapInArrow(_count, "seq long, n long, t0 long, o0 long, t1 long, o1 long")
-        .groupBy("seq").agg(*[F.sum(c).alias(c) for c in ("n", "t0", "o0", "t1", "o1")])
+        rows.mapInArrow(_count, "seq long, part int, n long").groupBy("seq").agg(
+            F.sum("n").alias("n"),
+            *[F.sum(F.when(F.col("part") == k, F.col("n")).otherwise(0)).alias(c) for k, c in enumerate(("t0", "o0", "t1", "o1"), 1)],
+        )
     )
 
 
@@ -234,7 +230,7 @@ def _with_sent(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
         def score(batch: pa.RecordBatch) -> np.ndarray:
             bounds, data = _lowered(batch)
             out = np.zeros(len(batch))
-            for low, high in slices(bounds, 1 << 20):
+            for low, high in slices(bounds, SLICE):
                 seq, row = sequences(bounds[low:high + 1], data)
                 value = _looked_up(known, known_values, seq)
                 unseen = np.flatnonzero(np.isnan(value))
@@ -253,7 +249,7 @@ def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bounds, data = _lowered(batch)
         digests = batch.column(batch.schema.get_field_index("digest"))
-        for low, high in slices(bounds, 1 << 20):
+        for low, high in slices(bounds, SLICE):
             seq, row = sequences(bounds[low:high + 1], data)
             keyed, times = _told((row << 8 * ORDER) | seq)
             row = np.concatenate((np.arange(high - low), keyed >> 8 * ORDER)) + low
