@@ -17,6 +17,14 @@ RESULT_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# Results do not depend on these: rows that are sorted in one task stay few enough for its share of
+# memory. Staging builds payloads and digests of many times the size of what the scan reads, and a
+# shuffle's rows are several times the compressed size that adaptive execution goes by.
+TASK_SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": 8 << 20,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20,
+}
+
 # A look-up side that measures at most this much is broadcast, an allowance per row included.
 LOOKUP_BYTES = 64 << 20
 BYTES_PER_ROW = 64
@@ -25,9 +33,17 @@ BYTES_PER_ROW = 64
 def pin_session(spark: SparkSession) -> SparkSession:
     for key, value in RESULT_SETTINGS.items():
         spark.conf.set(key, value)
+    for key, most in TASK_SETTINGS.items():
+        if _bytes(spark, key) > most:
+            spark.conf.set(key, str(most))
     return spark
 
 
+def _bytes(spark: SparkSession, key: str) -> int:
+    """A size setting of the session in bytes; a plain number is bytes."""
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for one run, below the folder the cluster names for checkpoints.
 

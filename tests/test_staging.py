@@ -10,7 +10,7 @@ from millrace.operators import merge as m
 from millrace.operators import months
 from millrace.operators.staging import latest_payloads, stage
 from millrace.plans.raw_stream import load_stream
-from millrace.session import folder_names, shared_folder
+from millrace.session import TASK_SETTINGS, folder_names, pin_session, shared_folder
 from millrace.sources.landing import RAW_DATA, RAW_ID, RAW_TIME
 
 CDC = [
@@ -362,3 +362,19 @@ def test_payloads_that_begin_alike_are_grouped_by_their_hash(spark):
     assert sorted(int(r[RAW_ID]) for r in newest.collect()) == list(range(53, 60))
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert "xxhash64" in plan and "RoundRobin" not in plan
+
+
+def test_pinned_sessions_keep_what_a_task_sorts_small(spark):
+    before = {key: spark.conf.get(key) for key in TASK_SETTINGS}
+    try:
+        for key in TASK_SETTINGS:
+            spark.conf.set(key, "128m")
+        pin_session(spark)
+        assert {key: spark.conf.get(key) for key in TASK_SETTINGS} == {k: str(v) for k, v in TASK_SETTINGS.items()}
+        for key in TASK_SETTINGS:
+            spark.conf.set(key, "64k")
+        pin_session(spark)
+        assert {spark.conf.get(key) for key in TASK_SETTINGS} == {"64k"}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
