@@ -130,15 +130,20 @@ def newest_changes(
     """The newest landing of each row key, still raw, with its key as ``unique_id``.
 
     Only the key and the time of the change are typed to tell; equal times fall back to load
-    time and row id.
+    time, row id and then the payload.
     """
     needed = [c for c in source_columns(dictionary) if c.name in key or c.name == CDC_ORDER]
     rows, values = _typed(raw, needed, on_error)
-    landed = F.struct(RAW_DATA, RAW_TIME, RAW_ID).alias("_landed")
+    landed = F.struct(RAW_ID, RAW_TIME, RAW_DATA).alias("_landed")
     keyed = rows.select(*values, landed)
     keyed = keyed.select(unique_id(keyed, key).alias(UNIQUE_ID), CDC_ORDER, "_landed")
-    order = [F.col(CDC_ORDER), F.col(f"_landed.{RAW_TIME}").cast("timestamp"), F.col(f"_landed.{RAW_ID}")]
-    return latest_by(keyed, [UNIQUE_ID], order).select("_landed.*", UNIQUE_ID)
+    # the row is its own order, so that each value crosses the shuffle once
+    at = F.col(f"_landed.{RAW_TIME}").cast("timestamp").alias("_at")
+    newest = F.max(F.struct(CDC_ORDER, at, "_landed")).alias("_newest")
+    return (
+        keyed.groupBy(F.xxhash64(UNIQUE_ID).alias("_hash"), UNIQUE_ID).agg(newest)
+        .select("_newest._landed.*", UNIQUE_ID)
+    )
 
 
 def stage(

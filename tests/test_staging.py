@@ -378,3 +378,12 @@ def test_pinned_sessions_keep_what_a_task_sorts_small(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("order", ["bca", "cab", "abc"])
+def test_changes_equal_in_all_but_the_payload_have_one_winner(spark, order):
+    rows = [change(1, 1, v, "2024-01-01 10:00:00") for v in order]
+    staged = stage(raw(spark, rows).coalesce(1), CDC, "2024-02-10")
+    assert values(staged, "v") == [("c",)]
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan  # which takes the order's columns along, beside the row's
