@@ -49,6 +49,8 @@ EXTRA, MANY_WORDS = 3, 16
 PLAIN_WORDS = 16
 #: Texts of one block; two blocks are compared in one task.
 BLOCK = 1024
+#: Crowded words are compared in so many queries at most, of so many rows at least: each one's shuffle can go before the next.
+CROWD_PARTS, CROWD_ROWS = 4, 500_000
 #: So many rows of two numbers are broadcast at most, more are shuffled.
 BROADCAST_ROWS = 2_000_000
 
@@ -168,7 +170,7 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
         "key", F.when(crowd, F.array("one")).otherwise(F.col("sets")).alias("sets"),
         F.when(crowd, F.ceil(F.col("many") / BLOCK)).otherwise(0).cast("int").alias("blocks"),
     ), "shared-words")
-    facts = described.where("n > 0").select("one", "n", "plain").distinct()
+    facts = stored(described.where("n > 0").select("one", "n", "plain").distinct(), "set-facts")
     side = lambda name: facts.select(*[F.col(c).alias(d) for c, d in zip(facts.columns, (name, f"n_{name}", f"plain_{name}"))])
     apart = F.aggregate(
         F.zip_with("plain_a", "plain_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
@@ -182,7 +184,8 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     pairs = paired.groupBy("a", "b").agg(F.sum("weight").alias("weight")).where(f"weight > {EXTRA}")
     few = pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b")
     crowded = met.where("blocks > 0").select("key", F.col("sets")[0].alias("one"), "blocks")
-    many = _in_blocks(crowded.join(facts, "one"), "key", "one", ["n", "plain"], crowded.count() // BLOCK)
+    rows = crowded.count()
+    parts = min(CROWD_PARTS, 1 + rows // CROWD_ROWS)
 
     def tie(frame: pd.DataFrame) -> pd.DataFrame:
         return _connected(
@@ -190,7 +193,13 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
             lambda part: (part["n"].to_numpy(), np.stack(part["plain"].to_numpy()).view(np.uint64), None), percent,
         )
 
-    return few.unionByName(many.applyInPandas(tie, "a long, b long"))
+    # one query after the other: what they shuffle, sketches above all, need not lie on disk together
+    ties = stored(few, "ties")
+    for part in range(parts):
+        own = crowded.where(F.pmod(F.xxhash64("key", F.lit("part")), F.lit(parts)) == part)
+        many = _in_blocks(own.join(facts, "one"), "key", "one", ["n", "plain"], rows // parts // BLOCK)
+        ties = ties.unionByName(stored(many.applyInPandas(tie, "a long, b long"), "ties"))
+    return ties
 
 
 def _in_blocks(rows: DataFrame, group: str, key: str, columns: list[str], buckets: int):

@@ -201,3 +201,21 @@ def test_vectors_that_take_no_part(spark):
     assert got == [(0, 1, 1, 2.0), (0, 2, 2, 2.0), (0, 3, 20, 1.0), (20, 1, 1, 2.0), (20, 2, 2, 2.0), (20, 3, 0, 1.0)]
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert neighbours.nearest(df.where("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_crowded_words_are_compared_in_queries_of_their_own(spark, monkeypatch):
+    """Near copies of one text, more than are paired up: the same groups in one query or several, each of which is written."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join(base[:58] + [f"x{i}", f"y{i}"]) for i in range(40)]
+    far = [" ".join(rng.choice("abcdefgh") * 3 + str(rng.random()) for _ in range(40)) for _ in range(10)]
+    docs = spark.createDataFrame(list(enumerate(near + far)), "doc_id long, text string")
+    groups = lambda: {r["doc_id"]: r["component_id"] for r in jaccard_join.similar_groups(docs, 3, 90).collect()}
+    whole = groups()
+    assert {whole[i] for i in range(40)} == {0} and all(whole[i] == i for i in range(40, 50))
+    written = []
+    keep = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, purpose: written.append(purpose) or keep(df, purpose))
+    monkeypatch.setattr(jaccard_join, "CROWD_ROWS", 1)
+    assert groups() == whole
+    assert written.count("ties") == 1 + jaccard_join.CROWD_PARTS
