@@ -20,13 +20,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Spark then removes a query's shuffle files when the query ends, not when the driver next collects garbage.
 REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Texts go to Python in batches of so many bytes: a task holds one of them there and one in Spark, several times over.
+BATCH_BYTES, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 
 def stage(function: Stage) -> Stage:
-    """A stage in a session that does not hoard shuffle files: stages shuffle texts several times over."""
+    """A stage in a session that does not hoard shuffle files, nor large batches: stages shuffle texts several times over."""
 
     @wraps(function)
     def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         spark.conf.set(REMOVE_SHUFFLES, "true")
+        spark.conf.set(BATCH_BYTES, str(BATCH))
         return function(spark, docs, sf_dir)
 
     return staged

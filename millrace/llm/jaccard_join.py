@@ -14,7 +14,8 @@ How many words there are depends on the size, so sizes are cut into bands. A set
 band of its own size, and in the next ones as long as a set from there could still be similar.
 
 Equal words only say which sets to look at. Pairs of sets with words enough in common must keep the
-bound on a second sketch, of one size for all. Where many sets have a word, no pairs are made: they
+bound on a second sketch. It grows with the set, in doublings, so that sets with nothing in common differ in more
+bits than the bound allows, however large they are; of two sketches the larger one is folded onto the smaller. Where many sets have a word, no pairs are made: they
 meet in blocks, and a block returns ties that connect what keeps the bound, at most one for
 each set. What the ties connect is compared in blocks again, now by the shingles themselves.
 Pairs that are connected already are not compared, and again only links that connect come out.
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -45,7 +46,7 @@ BAND = 1.3
 PAIRED = 16
 #: Linked sets agree in so many words and one more, if their sketches may differ in at least so many.
 EXTRA, MANY_WORDS = 3, 16
-#: 64-bit words of the second sketch.
+#: 64-bit words of the second sketch at least.
 PLAIN_WORDS = 16
 #: Texts of one block; two blocks are compared in one task.
 BLOCK = 1024
@@ -117,6 +118,29 @@ def sketch(shingles: np.ndarray, count: int, seed: int) -> np.ndarray:
     return out
 
 
+def plain_words(size: int, percent: int) -> int:
+    """Words of a set's second sketch: 5 bits for 2 shingles that the set and a larger one, linked to it, may differ in.
+
+    Half of the bits differ for sets with nothing in common, a quarter more than that.
+    """
+    count = PLAIN_WORDS
+    while 2 * 64 * count * percent < 5 * size * (100 - percent):
+        count *= 2
+    return count
+
+
+def fold(words_: np.ndarray, count: int) -> np.ndarray:
+    """The sketch of ``count`` words of the same set, from one of a multiple of that."""
+    return words_ if len(words_) == count else np.bitwise_xor.reduce(words_.reshape(-1, count))
+
+
+def _fold(words_: Column, count: Column) -> Column:
+    return F.when(F.size(words_) == count, words_).otherwise(F.transform(
+        F.sequence(F.lit(0), count - 1),
+        lambda i: F.aggregate(F.sequence(i, F.size(words_) - 1, count), F.lit(0).cast("long"), lambda t, k: t.bitwiseXOR(F.get(words_, k))),
+    ))
+
+
 def key_words(shingles: np.ndarray, low: int, count: int, spare: int, extra: int) -> np.ndarray:
     """The words of a set's sketch in the band from ``low`` on, hashed with their places.
 
@@ -130,15 +154,15 @@ def key_words(shingles: np.ndarray, low: int, count: int, spare: int, extra: int
     return mix(own + mix(place)) & ~np.uint64(1) | np.uint64(extra == 0)
 
 
-def _described(docs: DataFrame, width: int) -> DataFrame:
+def _described(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n, one, two, plain: size, marks and second sketch of each row's set."""
 
     def describe(batches):
         for batch in batches:
-            facts = [(len(s), *_marks(s), sketch(s, PLAIN_WORDS, 1)) for s in _sets(batch, width)]
+            facts = [(len(s), *_marks(s), sketch(s, plain_words(len(s), percent), 1)) for s in _sets(batch, width)]
             n, one, two, plain = zip(*facts) if facts else ((), (), (), ())
             flat = np.concatenate(plain).view(np.int64) if facts else np.zeros(0, np.int64)
-            ends = np.arange(len(facts) + 1, dtype=np.int32) * PLAIN_WORDS
+            ends = np.cumsum([0, *map(len, plain)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
@@ -172,11 +196,13 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     ), "shared-words")
     facts = stored(described.where("n > 0").select("one", "n", "plain").distinct(), "set-facts")
     side = lambda name: facts.select(*[F.col(c).alias(d) for c, d in zip(facts.columns, (name, f"n_{name}", f"plain_{name}"))])
+    count = F.least(F.size("plain_a"), F.size("plain_b"))
     apart = F.aggregate(
-        F.zip_with("plain_a", "plain_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
+        F.zip_with(_fold(F.col("plain_a"), count), _fold(F.col("plain_b"), count), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0), lambda t, x: t + x,
     )
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    near = (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)) & (small * 100 >= large * percent)
+    near = (small * 100 >= large * percent) & (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
     # linked sets have more words in common than are extra, or one of a word that is enough, or a crowded one
     paired = met.where("blocks = 0").select(
         F.posexplode("sets").alias("nth", "a"), "sets", F.when(F.col("key") % 2 != 0, EXTRA + 1).otherwise(1).alias("weight"),
@@ -190,7 +216,7 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     def tie(frame: pd.DataFrame) -> pd.DataFrame:
         return _connected(
             frame, "key", "one",
-            lambda part: (part["n"].to_numpy(), np.stack(part["plain"].to_numpy()).view(np.uint64), None), percent,
+            lambda part: (part["n"].to_numpy(), [p.view(np.uint64) for p in part["plain"]], None), percent,
         )
 
     # one query after the other: what they shuffle, sketches above all, need not lie on disk together
@@ -262,16 +288,20 @@ def _pairs(keys: list[np.ndarray], marks: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def connect(
-    size: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray] | None, side: np.ndarray,
+    size: np.ndarray, sketches: list[np.ndarray], sets: list[np.ndarray] | None, side: np.ndarray,
     crossed: bool, percent: int,
 ) -> list[tuple[int, int]]:
     """Pairs (i, j) that connect all sets which near pairs connect, as few as needed.
 
     Near are pairs whose sketches keep the bound and, if ``sets`` are given, that are similar.
-    With ``crossed`` only sets of different sides are compared.
+    With ``crossed`` only sets of different sides are compared. A larger set's sketch has as many words or a multiple.
     """
     order = np.argsort(size, kind="stable")
-    size, side, sketches = size[order], side[order], sketches[order]
+    size, side = size[order], side[order]
+    counts = np.array([len(sketches[i]) for i in order])
+    # for each number of words the sets with so many or more, in that many words
+    firsts = {count: int(np.searchsorted(counts, count)) for count in np.unique(counts)}
+    folded = {count: np.stack([fold(sketches[i], count) for i in order[first:]]) for count, first in firsts.items()}
     group, found = np.arange(len(size)), []
     ends = np.searchsorted(size * percent, size * 100, "right")
     for i in range(len(size)):
@@ -282,7 +312,8 @@ def connect(
         near = np.flatnonzero(open_) + i + 1
         if not len(near):
             continue
-        apart = np.bitwise_count(sketches[near] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        own, first = folded[counts[i]], firsts[counts[i]]
+        apart = np.bitwise_count(own[near - first] ^ own[i - first]).sum(axis=1, dtype=np.int64)
         for j in near[apart * (100 + percent) <= (size[near] + size[i]) * (100 - percent)]:
             if group[j] != group[i] and (sets is None or _similar(sets[order[i]], sets[order[j]], percent)):
                 found.append((int(order[i]), int(order[j])))
@@ -324,7 +355,7 @@ def _links(docs: DataFrame, chosen: DataFrame, width: int, percent: int) -> Data
         found = [np.frombuffer(b, np.uint64) for b in part["shingles"]]
         size = np.array([len(s) for s in found])
         words_ = differing(2 * int(size.max()), percent) // 16 + 4
-        return size, np.stack([sketch(s, words_, 0) for s in found]), found
+        return size, [sketch(s, words_, 0) for s in found], found
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         return _connected(frame, "component", "doc_id", described, percent)
@@ -341,7 +372,7 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     NULL texts and those without words hold nothing and are linked with nothing. Rows that share a
     doc_id count as one document. Other columns of ``docs`` are not looked at.
     """
-    described = stored(_described(docs, width), "shingle-sets")
+    described = stored(_described(docs, width, percent), "shingle-sets")
     real = described.where("n > 0 AND doc_id IS NOT NULL")
     tied = _ties(_entries(docs, width, percent), described, percent)
     candidates = components(tied)

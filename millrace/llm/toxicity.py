@@ -45,6 +45,8 @@ THRESHOLD = 0.7
 SLICE = 1 << 18
 #: Below so many held distinct sequences a task goes on adding up before it hands them over.
 HELD = 1 << 20
+#: Sequences are added up when they are twice as many as the distinct ones last time, and twice this number at least.
+FOLDED = 1 << 18
 
 
 def sequences(bounds: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,6 +115,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 columns = [pa.array(keyed[part] >> 3), pa.array((keyed[part] & 7).astype(np.int32)), pa.array(number[part])]
                 yield pa.RecordBatch.from_arrays(columns, ["seq", "part", "n"])
 
+    most = 2 * FOLDED
     for batch in batches:
         bounds, data = _lowered(batch)
         kind = batch.column(batch.schema.get_field_index("part")).to_numpy(zero_copy_only=False)
@@ -121,10 +124,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(seq):
                 continue
             held.append(_told(seq * 8 + kind[low:high][row]))
-            if sum(len(x[0]) for x in held) > 2 * HELD:
+            if sum(len(x[0]) for x in held) > most:
                 fold_in()
+                most = 2 * max(FOLDED, len(held[0][0]))
                 if len(held[0][0]) > HELD:
                     yield from out()
+                    most = 2 * FOLDED
     yield from out()
 
 

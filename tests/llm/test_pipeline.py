@@ -38,3 +38,17 @@ def test_stages_keep_the_columns_and_bear_odd_rows(spark):
 def test_all_operators_are_registered():
     names = entry.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "repeat('word ', 100000) AS text").coalesce(1)
+
+    @corpus_pipeline.stage
+    def measured(spark, docs, sf_dir):
+        return docs.mapInArrow(lambda batches: (b.select(["doc_id"]) for b in batches if b.nbytes < 2 * corpus_pipeline.BATCH), "doc_id long")
+
+    kept = spark.conf.get(corpus_pipeline.BATCH_BYTES, None)
+    spark.conf.unset(corpus_pipeline.BATCH_BYTES)
+    assert measured(spark, docs, SMALL).count() == 40
+    if kept is not None:
+        spark.conf.set(corpus_pipeline.BATCH_BYTES, kept)

@@ -219,3 +219,29 @@ def test_crowded_words_are_compared_in_queries_of_their_own(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "CROWD_ROWS", 1)
     assert groups() == whole
     assert written.count("ties") == 1 + jaccard_join.CROWD_PARTS
+
+
+def test_second_sketches_tell_large_sets_apart():
+    """Sets with nothing in common keep no bound, however large; linked ones do, their sketches of one size or two."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 64, n, np.uint64)) for n in (300, 1500, 1600, 3000, 3100, 12000, 12500)]
+    sets.append(np.concatenate([sets[2], np.unique(rng.integers(0, 1 << 64, 200, np.uint64))]))
+    sketches = [jaccard_join.sketch(s, jaccard_join.plain_words(len(s), 80), 1) for s in sets]
+    assert len(sketches[2]) < len(sketches[-1])
+    assert (jaccard_join.fold(sketches[-1], 16) == jaccard_join.sketch(sets[-1], 16, 1)).all()
+    found = jaccard_join.connect(np.array([len(s) for s in sets]), sketches, None, np.zeros(len(sets), int), False, 80)
+    assert found == [(2, 7)]
+
+
+@pytest.mark.parametrize("paired", [1, 16])
+def test_large_texts_with_a_passage_in_common_are_no_candidates(spark, monkeypatch, paired):
+    monkeypatch.setattr(jaccard_join, "PAIRED", paired)
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(1500)]
+    texts = [passage + [f"w{rng.random()}" for _ in range(2500)] for _ in range(4)]
+    texts += [passage, passage + [f"x{i}" for i in range(300)]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    described = jaccard_join._described(docs, 5, 80)
+    ties = jaccard_join._ties(jaccard_join._entries(docs, 5, 80), described, 80)
+    of = {r["one"]: r["doc_id"] for r in described.collect()}
+    assert {tuple(sorted((of[r["a"]], of[r["b"]]))) for r in ties.collect()} == {(4, 5)}

@@ -1,5 +1,9 @@
 """Differences of exact sequences, sent to the tasks or joined."""
 
+import random
+
+import numpy as np
+import pyarrow as pa
 from edge import labels, odd
 from pyspark.sql import functions as F
 
@@ -32,3 +36,20 @@ def test_joined_differences_give_the_scores_of_sent_ones(spark, monkeypatch):
         far = max(abs(a[2] - b[2]) for a, b in zip(*scored))
         assert scored[0] == scored[1], far
         assert len(scored[0]) == rows.count()
+
+
+def test_sequences_are_added_up_before_they_are_many(monkeypatch):
+    """Repeats of a few texts are held as little more than their distinct sequences, and counted in full."""
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(3000))
+    rows = pa.RecordBatch.from_arrays([pa.array([text] * 40), pa.array([1] * 40, pa.int32())], ["text", "part"])
+    largest = []
+    keep = np.concatenate
+    monkeypatch.setattr(toxicity, "SLICE", len(text))
+    monkeypatch.setattr(toxicity, "FOLDED", 1 << 10)
+    whole = pa.Table.from_batches(toxicity._count(iter([rows])))
+    monkeypatch.setattr(np, "concatenate", lambda x, *a, **k: largest.append(sum(map(len, x))) or keep(x, *a, **k))
+    again = pa.Table.from_batches(toxicity._count(iter([rows])))
+    assert whole.equals(again) and whole.column("n").to_pylist().count(40) > 0
+    distinct = len(whole)
+    assert max(largest) <= max(3 * distinct + (1 << 10), 2 * (len(text) + 4))
