@@ -113,17 +113,16 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Of rows that share both doc_id and text, the one whose text as written sorts last stays; what
     their other columns hold decides only among texts that are written alike.
     """
+    # a struct with NULL equals its like, so the join and the groups share one shuffle of the rows
     kept = (
         exact_groups(docs.select("doc_id", "text")).where("kept")
-        .select(F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_sha"))
+        .select(F.struct(F.col("doc_id").alias("id")).alias("id"), F.unhex("text_sha256").alias("sha"))
     )
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.struct(F.col("doc_id").alias("id")).alias("id"),
         F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("sha"), F.coalesce("text", F.lit("")).alias("written"),
     )
-    stay = rows.join(
-        kept, rows["id"].eqNullSafe(F.col("kept_id")) & (rows["sha"] == F.col("kept_sha")), "left_semi"
-    )
+    stay = rows.join(kept, ["id", "sha"], "left_semi")
     return (
         stay.groupBy("id", "sha").agg(F.max_by("row", F.struct("written", F.xxhash64("row"))).alias("row")).select("row.*")
     )

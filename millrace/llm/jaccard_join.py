@@ -47,7 +47,7 @@ PAIRED = 16
 #: Linked sets agree in so many words and one more, if their sketches may differ in at least so many.
 EXTRA, MANY_WORDS = 3, 16
 #: 64-bit words of the second sketch at least.
-PLAIN_WORDS = 16
+PLAIN_WORDS = 8
 #: Texts of one block; two blocks are compared in one task.
 BLOCK = 1024
 #: Crowded words are compared in so many queries at most, of so many rows at least: each one's shuffle can go before the next.

@@ -151,7 +151,14 @@ def interleaved(
     before = Window.partitionBy("mix_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
         labelled.groupBy("mix_name", "_part").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    )
+    # each part with the slots of its blocks, in order: rows meet their part, where they are, and need not move for their block
+    first, last = F.expr(f"_before DIV {block_rows}"), F.expr(f"(_before + _n - 1) DIV {block_rows}")
+    parts = (
+        parts.withColumn("_first", first).withColumn("block", F.explode(F.sequence(first, last)))
+        .join(slot_table(sources), ["mix_name", "block"])
+        .groupBy("mix_name", "_part", "_before", "_first").agg(F.sort_array(F.collect_list(F.struct("block", "slot"))).alias("_slots"))
     )
     order = Window.partitionBy("mix_name", "_part").orderBy("_digest", "_key", "_hash")
     return (
@@ -159,7 +166,7 @@ def interleaved(
         .join(parts, ["mix_name", "_part"])
         .withColumn("_index", F.col("_before") + F.col("_nth") - 1)
         .withColumn("block", F.expr(f"_index DIV {block_rows}"))
-        .join(slot_table(sources), ["mix_name", "block"])
+        .withColumn("slot", F.expr("_slots[CAST(block - _first AS INT)].slot"))
         .select("_row.*", "mix_source", "block", "slot", F.expr(f"CAST(_index % {block_rows} AS INT)").alias("place"))
     )
 

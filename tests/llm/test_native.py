@@ -152,3 +152,40 @@ def test_dropping_copies_bears_any_column_name_and_is_settled(spark):
         assert got.columns == docs.columns
         assert sorted((r["text"], *(r[n] for n in names)) for r in got.collect()) == [
             ("other", *[6] * 8), ("same", *[2] * 8), ("x", *[5] * 8)]
+
+
+def test_kept_rows_are_not_moved_again_for_their_group(spark):
+    """Rows are looked up and grouped by one key, NULL included, in one shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(None, "a", "x"), (None, "A", "y"), (1, "b", "z"), (1, "b", "z"), (2, "B", "z")], "doc_id long, text string, source string")
+        kept = exact_dedup.drop_copies(docs)
+        assert sorted(map(str, kept.collect())) == sorted(map(str, [docs.collect()[0], docs.collect()[4]]))
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        joined = kept._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi" in plan
+        before_join = joined[:joined.index("LeftSemi")]
+        assert "Exchange" not in before_join
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("part_rows", [3, 20_000])
+def test_rows_find_their_slots_with_their_part(spark, monkeypatch, part_rows):
+    """Blocks that lie across parts have one slot, and rows move for their part alone."""
+    monkeypatch.setattr(mixing, "PART_ROWS", part_rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.range(301).selectExpr("id AS doc_id", "IF(id % 3 = 0, NULL, concat('s', id % 7)) AS source")
+        mixed = mixing.interleaved(docs)
+        rows = mixed.collect()
+        assert sorted(r["doc_id"] for r in rows) == list(range(301))
+        assert len({(r["slot"], r["place"]) for r in rows}) == 301
+        slots = {(r["mix_source"], r["block"]): r["slot"] for r in rows}
+        assert sorted(slots.values()) == list(range(len(slots)))
+        assert all(slots[r["mix_source"], r["block"]] == r["slot"] for r in rows)
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        last_join = plan[plan.index("SortMergeJoin"):].splitlines()[0]
+        assert "_part#" in last_join and "block#" not in last_join
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
