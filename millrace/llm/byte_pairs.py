@@ -24,7 +24,6 @@ from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice, repeat
 
-import numpy as np
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +37,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 ARCS, REMEMBERED, SHORT = 700_000, 1_000_000, 48
 #: Ids that are decoded at once; texts of more characters are split into words one by one.
 WINDOW, LONG = 8192, 1 << 20
+#: So many first bytes of a word are read in one step once they are known.
+HEAD = 5
 NEVER = float("inf")
 
 
@@ -141,6 +142,7 @@ class Transducer:
         #: Of each arc: twice the state it leads to, and one more if ids are emitted.
         self.arcs: dict[int, int] = {}
         self.emitted: dict[int, tuple[int, ...]] = {}
+        self.heads: dict[bytes, tuple[int, list[int]]] = {}
         self._state(((0, -1, ()),))
 
     def _state(self, places: tuple) -> int:
@@ -168,10 +170,15 @@ class Transducer:
         first = places[0][2]
         common = 0
         if first:
-            for ids in zip(*[path for _, _, path in places]):
-                if ids.count(ids[0]) < len(ids):
+            head = first[0]
+            for _, _, path in places:
+                if not path or path[0] != head:
                     break
-                common += 1
+            else:
+                for ids in zip(*[path for _, _, path in places]):
+                    if ids.count(ids[0]) < len(ids):
+                        break
+                    common += 1
         if common:
             places = [(node, before, path[common:]) for node, before, path in places]
             self.emitted[state << 8 | byte] = first[:common]
@@ -196,6 +203,68 @@ class Transducer:
             state = to >> 1
         yield self.places[state][-1][2]
 
+    def ids(self, word: bytes) -> list[int]:
+        """The ids of a word that is there in full. Where the first bytes of words lead is remembered, too."""
+        head = self.heads.get(word[:HEAD])
+        if head is None:
+            state, out = self._read(0, word[:HEAD])
+            if len(self.heads) >= self.limit // HEAD:
+                self.heads.clear()
+            self.heads[word[:HEAD]] = state, out
+        else:
+            state, out = head
+        if len(word) > HEAD:
+            state, more = self._read(state, word[HEAD:])
+            out = out + more
+        return [*out, *self.places[state][-1][2]]
+
+    def _read(self, state: int, part: bytes) -> tuple[int, list[int]]:
+        """The state that bytes lead to, and the ids that are final by then."""
+        known, emitted, out = self.arcs.get, self.emitted, []
+        for byte in part:
+            arc = state << 8 | byte
+            to = known(arc)
+            if to is None:
+                if len(self.arcs) >= self.limit:
+                    here = self.places[state]
+                    self.forget()
+                    state, known, emitted = self._state(here), self.arcs.get, self.emitted
+                    arc = state << 8 | byte
+                to = self._arc(state, byte)
+            if to & 1:
+                out += emitted[arc]
+            state = to >> 1
+        return state, out
+
+
+class Joined:
+    """The bytes that stand for ids, gathered for many ids at once; an id that has none adds nothing."""
+
+    def __init__(self, shown: dict[int, bytes]):
+        self.known = np.array(sorted(shown), np.int64)
+        parts = [shown[i] for i in self.known.tolist()]
+        self.bytes = np.frombuffer(b"".join(parts), np.uint8)
+        self.lengths = np.array([*map(len, parts), 0], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def __call__(self, ids: np.ndarray) -> bytes:
+        at = self._places(ids)
+        lengths = self.lengths[at]
+        ends = np.cumsum(lengths)
+        if not len(ends) or not ends[-1]:
+            return b""
+        where = np.repeat(self.starts[at] - ends + lengths, lengths)
+        where += np.arange(len(where))
+        return self.bytes[where].tobytes()
+
+    def _places(self, ids: np.ndarray) -> np.ndarray:
+        """Where the ids are among the known ones, the end for those that are not."""
+        last = len(self.known) - 1
+        if last >= 0 and self.known[0] == 0 and self.known[last] == last and (not len(ids) or 0 <= ids.min() and ids.max() <= last):
+            return ids
+        at = np.searchsorted(self.known, ids)
+        return np.where(self.known[np.minimum(at, last)] == ids, at, last + 1) if last >= 0 else at
+
 
 #: Where a byte leads in UTF-8: from a state to a state, 0 between characters, or ERROR. Built from the ranges of
 #: well-formed sequences: a leading byte names how many follow and what the first of them may be.
@@ -247,8 +316,15 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
+def windows(ids: np.ndarray) -> Iterator[np.ndarray]:
+    return (ids[low:low + WINDOW] for low in range(0, len(ids), WINDOW))
+
+
 class Codec(dict):
-    """Encodes and decodes with one vocabulary. As a dict: the ids of a word as packed 32-bit numbers."""
+    """Encodes and decodes with one vocabulary. As a dict: the ids of a word as packed 32-bit numbers.
+
+    When half of what may be remembered is there, it becomes the old half: words that come again are taken from it.
+    """
 
     def __init__(self, found: dict):
         import regex
@@ -256,17 +332,24 @@ class Codec(dict):
         super().__init__()
         self.ranks, self.transducer = found["ranks"], Transducer(Merges(found["ranks"]))
         self.pattern = regex.compile(found["pattern"])
-        self.decimal = {rank: str(rank) for rank in self.ranks.values()}
+        self.old: dict[str, bytes] = {}
+        self.shown = Joined(self.transducer.merges.spelled)
+        self.decimal = Joined({rank: b"%d " % rank for rank in self.ranks.values()})
 
     def __missing__(self, word: str) -> bytes:
-        data = word.encode()
-        known = self.ranks.get(data)
-        found = self.transducer.stream(data) if known is None else ((known,),)
-        ids = array("i", chain.from_iterable(found)).tobytes()
-        if len(data) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = ids
+        ids = self.old.get(word)
+        if ids is None:
+            data = word.encode()
+            known = self.ranks.get(data)
+            if len(data) > SHORT:
+                found = self.transducer.stream(data) if known is None else ((known,),)
+                return array("i", chain.from_iterable(found)).tobytes()
+            ids = array("i", self.transducer.ids(data) if known is None else (known,)).tobytes()
+        if len(self) >= REMEMBERED // 2:
+            self.old = {}
+            self.old = self.copy()
+            self.clear()
+        self[word] = ids
         return ids
 
     def packed(self, text: str | None) -> bytes:
@@ -282,9 +365,21 @@ class Codec(dict):
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.packed(text), np.int32).tolist()
 
+    def listed(self, ids: np.ndarray) -> Iterator[bytes]:
+        """The ids in decimal, joined by a blank, in parts."""
+        before = b""
+        for part in windows(ids):
+            yield before + self.decimal(part)[:-1]
+            before = b" "
+
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """The text of ids in parts; an id without a token has none."""
-        ids, stream, found = iter(ids), Utf8Stream(), self.transducer.merges.spelled
+        stream, found = Utf8Stream(), self.transducer.merges.spelled
+        if isinstance(ids, np.ndarray):
+            yield from (stream.feed(self.shown(part)) for part in windows(ids))
+            yield stream.end()
+            return
+        ids = iter(ids)
         while True:
             part = list(islice(ids, WINDOW))
             if not part:
@@ -366,10 +461,12 @@ def digests(docs: DataFrame, found: dict) -> DataFrame:
             for low, high in slices(bounds):
                 counts, of_ids, of_texts = [], [], []
                 for text in batch.column(1).slice(low, high - low).to_pylist():
-                    ids = codec.encode(text)
+                    ids = np.frombuffer(codec.packed(text), np.int32)
                     counts.append(len(ids))
-                    of_ids.append(hashlib.sha256(" ".join(map(codec.decimal.__getitem__, ids)).encode()).hexdigest())
-                    whole = hashlib.sha256()
+                    listed, whole = hashlib.sha256(), hashlib.sha256()
+                    for part in codec.listed(ids):
+                        listed.update(part)
+                    of_ids.append(listed.hexdigest())
                     for part in codec.decode(ids):
                         whole.update(part.encode())
                     of_texts.append(whole.hexdigest())

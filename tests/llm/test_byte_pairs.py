@@ -175,3 +175,36 @@ def test_digests_are_those_of_the_library(spark, library):
 def test_digests_of_odd_rows(spark, found, library):
     got = byte_pairs.digests(odd(spark).withColumn("doc_id", F.col("doc_id").cast("int")), found).collect()
     assert sorted(r["n_tokens"] for r in got) == sorted(len(library.encode_ordinary(r[1] or "")) for r in ODD)
+
+
+def test_words_that_come_again_are_not_read_anew(found, codec, monkeypatch):
+    monkeypatch.setattr(byte_pairs, "REMEMBERED", 40)
+    small, read = byte_pairs.Codec(dict(found)), []
+    whole = small.transducer.ids
+    monkeypatch.setattr(small.transducer, "ids", lambda word: read.append(word) or whole(word))
+    for i in range(400):
+        assert small.encode(f" othernessing qzxw{i % 13}qqz{i}") == codec.encode(f" othernessing qzxw{i % 13}qqz{i}")
+        assert len(small) + len(small.old) <= 40
+    assert read.count(b" othernessing") <= 1
+
+
+def test_many_ids_at_once(codec, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(byte_pairs, "WINDOW", 7)
+    ids = np.array(codec.encode("Some words, é and 漢字😀. " * 9), np.int32)
+    assert b"".join(codec.listed(ids)).decode() == " ".join(map(str, ids.tolist())) and list(codec.listed(ids[:0])) == []
+    assert "".join(codec.decode(ids)) == "Some words, é and 漢字😀. " * 9
+    strange = np.array([*codec.encode("hi"), 10**9, -1], np.int64)
+    assert "".join(codec.decode(strange)) == "hi"
+    gaps = byte_pairs.Joined({3: b"abc", 9: b"", 50: b"z"})
+    assert gaps(np.array([50, 4, 3, 9, 51, -1, 50])) == b"zabcz" and gaps(np.array([], np.int64)) == b""
+
+
+def test_beginnings_of_words_are_forgotten_with_the_states(found, codec):
+    small = byte_pairs.Transducer(codec.transducer.merges, arcs=30)
+    random.seed(9)
+    for _ in range(500):
+        word = "".join(random.choices("aeinrstl", k=random.randint(1, 14))).encode()
+        assert small.ids(word) == ids_of(codec.transducer, word)
+        assert len(small.heads) <= 30 // byte_pairs.HEAD
