@@ -50,6 +50,8 @@ EXTRA, MANY_WORDS = 3, 16
 PLAIN_WORDS = 8
 #: Texts of one block; two blocks are compared in one task.
 BLOCK = 1024
+#: So many words of sketches are compared at once, or one set's with all others.
+AT_ONCE = 1 << 15
 #: Crowded words are compared in so many queries at most, of so many rows at least: each one's shuffle can go before the next.
 CROWD_PARTS, CROWD_ROWS = 4, 500_000
 #: So many rows of two numbers are broadcast at most, more are shuffled.
@@ -213,11 +215,12 @@ def _ties(entries: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     rows = crowded.count()
     parts = min(CROWD_PARTS, 1 + rows // CROWD_ROWS)
 
+    def sketched(frame: pd.DataFrame):
+        n, plain = frame["n"].to_numpy(), [p.view(np.uint64) for p in frame["plain"]]
+        return lambda part: (n[part], plain[part], None)
+
     def tie(frame: pd.DataFrame) -> pd.DataFrame:
-        return _connected(
-            frame, "key", "one",
-            lambda part: (part["n"].to_numpy(), [p.view(np.uint64) for p in part["plain"]], None), percent,
-        )
+        return _connected(frame, "key", "one", sketched, percent)
 
     # one query after the other: what they shuffle, sketches above all, need not lie on disk together
     ties = stored(few, "ties")
@@ -243,14 +246,17 @@ def _in_blocks(rows: DataFrame, group: str, key: str, columns: list[str], bucket
 
 
 def _connected(frame: pd.DataFrame, group: str, key: str, described, percent: int) -> pd.DataFrame:
-    """(a, b): what ``connect`` finds in each group of a task's rows."""
+    """(a, b): what ``connect`` finds in each group of a task's rows; ``described(frame)`` tells of a slice what it takes."""
     pairs = []
     crossed = frame["low"].iloc[0] != frame["high"].iloc[0]
-    for _, part in frame.groupby(group, sort=False):
-        if len(part) > 1:
-            ids = part[key].to_numpy()
-            found = connect(*described(part), part["side"].to_numpy(), crossed, percent)
-            pairs += [(ids[i], ids[j]) for i, j in found]
+    frame = frame.sort_values(group, kind="stable", ignore_index=True)
+    groups, ids, side = (frame[c].to_numpy() for c in (group, key, "side"))
+    of = described(frame)
+    begins = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1], [True])))
+    for part in map(slice, begins[:-1].tolist(), begins[1:].tolist()):
+        if part.stop - part.start > 1 and not (crossed and (side[part] == side[part.start]).all()):
+            own = ids[part]
+            pairs += [(own[i], own[j]) for i, j in connect(*of(part), side[part], crossed, percent)]
     return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
 
 
@@ -304,20 +310,30 @@ def connect(
     folded = {count: np.stack([fold(sketches[i], count) for i in order[first:]]) for count, first in firsts.items()}
     group, found = np.arange(len(size)), []
     ends = np.searchsorted(size * percent, size * 100, "right")
-    for i in range(len(size)):
-        span = slice(i + 1, ends[i])
-        open_ = group[span] != group[i]
-        if crossed:
-            open_ &= side[span] != side[i]
-        near = np.flatnonzero(open_) + i + 1
-        if not len(near):
-            continue
-        own, first = folded[counts[i]], firsts[counts[i]]
-        apart = np.bitwise_count(own[near - first] ^ own[i - first]).sum(axis=1, dtype=np.int64)
-        for j in near[apart * (100 + percent) <= (size[near] + size[i]) * (100 - percent)]:
-            if group[j] != group[i] and (sets is None or _similar(sets[order[i]], sets[order[j]], percent)):
-                found.append((int(order[i]), int(order[j])))
-                group[group == group[j]] = group[i]
+    limits = [*list(firsts.values())[1:], len(size)]
+    for (count, first), limit in zip(firsts.items(), limits):
+        low, own = first, folded[count]
+        while low < limit:
+            # rows that are compared at once
+            high = min(limit, low + max(1, AT_ONCE // (count * max(1, int(ends[low]) - low))))
+            row, other = np.arange(low, high), np.arange(low + 1, max(low + 1, int(ends[high - 1])))
+            open_ = (other > row[:, None]) & (other < ends[row, None]) & (group[other] != group[row, None])
+            if crossed:
+                open_ &= side[other] != side[row, None]
+            row, other, low = row[open_.any(axis=1)], other[open_.any(axis=0)], high
+            if not len(row):
+                continue
+            apart = np.bitwise_count(own[row - first][:, None] ^ own[other - first]).sum(axis=2, dtype=np.int64)
+            near = apart * (100 + percent) <= (size[other] + size[row, None]) * (100 - percent)
+            near &= (other > row[:, None]) & (other < ends[row, None])
+            if crossed:
+                near &= side[other] != side[row, None]
+            for at in np.flatnonzero(near.any(axis=1)).tolist():
+                i, met = int(row[at]), other[near[at]]
+                for j in met[group[met] != group[i]].tolist():
+                    if group[j] != group[i] and (sets is None or _similar(sets[order[i]], sets[order[j]], percent)):
+                        found.append((int(order[i]), int(order[j])))
+                        group[group == group[j]] = group[i]
     return found
 
 
@@ -351,11 +367,14 @@ def _links(docs: DataFrame, chosen: DataFrame, width: int, percent: int) -> Data
     rows = held.join(chosen.join(sizes, "component"), ["doc_id", "one", "two"]).dropDuplicates(["doc_id", "one", "two"])
     blocks = _in_blocks(rows, "component", "doc_id", ["shingles"], small // BLOCK)
 
-    def described(part: pd.DataFrame):
-        found = [np.frombuffer(b, np.uint64) for b in part["shingles"]]
-        size = np.array([len(s) for s in found])
-        words_ = differing(2 * int(size.max()), percent) // 16 + 4
-        return size, [sketch(s, words_, 0) for s in found], found
+    def described(frame: pd.DataFrame):
+        def of(part: slice):
+            found = [np.frombuffer(b, np.uint64) for b in frame["shingles"].iloc[part]]
+            size = np.array([len(s) for s in found])
+            words_ = differing(2 * int(size.max()), percent) // 16 + 4
+            return size, [sketch(s, words_, 0) for s in found], found
+
+        return of
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         return _connected(frame, "component", "doc_id", described, percent)

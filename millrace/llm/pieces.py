@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Words of up to so many characters are remembered, so many at once.
 SHORT, REMEMBERED = 32, 400_000
+#: The pass over so many first characters of a word is remembered.
+HEAD = 5
 NO_PIECE = -1
 _WORDS = re.compile(r" +[^ \n]*|\n[^ \n]*")
 
@@ -55,7 +58,10 @@ def vocabulary(path: str = MODEL) -> dict:
 
 
 class Codec(dict):
-    """Encodes and decodes with one vocabulary. As a dict: a word's ids as packed 32-bit numbers."""
+    """Encodes and decodes with one vocabulary. As a dict: a word's ids as packed 32-bit numbers.
+
+    When half of what may be remembered is there, it becomes the old half: words that come again are taken from it.
+    """
 
     def __init__(self, found: dict):
         super().__init__()
@@ -66,6 +72,9 @@ class Codec(dict):
         self.neighbours: dict[tuple, bool] = {}
         self.histories: dict[int, tuple] = {}
         self.standing = {t: i for t, i in self.pieces.items() if self._history(i)[1][-1] == t}
+        self.old: dict[str, bytes] = {}
+        self.heads: dict[str, tuple] = {}
+        self.inside = {t[i:i + 2] for t in self.pieces for i in range(len(t) - 1)}
         self.reach: dict[str, int] = {}
         for t in self.standing:
             self.reach[t[-1]] = max(self.reach.get(t[-1], 1), len(t))
@@ -135,11 +144,24 @@ class Codec(dict):
         """The ids of a text that is marked with blanks, in parts as soon as they are final."""
         # of the piece that ends k characters behind base: its length and its id
         sizes, ids = [0], [NO_PIECE]
-        base, standing, reach, longest = 0, self.standing.get, self.reach.get, self.longest
+        base, longest = 0, self.longest
+        for at in range(0, len(text), longest):
+            self._read(text, base, sizes, ids, at, min(at + longest, len(text)))
+            if len(ids) > 4 * longest:
+                met = self._meeting(sizes, longest)
+                if met:
+                    yield self._ids(text, base, sizes, ids, met)
+                    del sizes[:met], ids[:met]
+                    base += met
+        yield self._ids(text, base, sizes, ids, len(ids) - 1)
+
+    def _read(self, text: str, base: int, sizes: list[int], ids: list[int], low: int, high: int) -> None:
+        """The pass over some more characters."""
+        standing, reach = self.standing.get, self.reach.get
         known, may_follow = self.neighbours.get, self._may_follow
-        for i, character in enumerate(text, 1):
+        for i in range(low + 1, high + 1):
             k = i - base
-            for size in range(1, min(reach(character, 1), k) + 1):
+            for size in range(1, min(reach(text[i - 1], 1), k) + 1):
                 piece = standing(text[i - size:i])
                 if piece is None:
                     if size == 1:
@@ -154,13 +176,6 @@ class Codec(dict):
                     break
             sizes.append(size)
             ids.append(piece)
-            if k > 4 * longest and not k % longest:
-                met = self._meeting(sizes, longest)
-                if met:
-                    yield self._ids(text, base, sizes, ids, met)
-                    del sizes[:met], ids[:met]
-                    base += met
-        yield self._ids(text, base, sizes, ids, len(ids) - 1)
 
     @staticmethod
     def _meeting(sizes: list[int], longest: int) -> int:
@@ -184,16 +199,44 @@ class Codec(dict):
 
     def __missing__(self, word: str) -> bytes:
         """``word`` stands behind a blank, or at its beginning has the line end before it."""
-        marked = word.replace(" ", BLANK)
-        ids = self._packed(marked if word[:1] == "\n" else BLANK + marked)
-        if len(word) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = ids
+        ids = self.old.get(word)
+        if ids is None:
+            marked = word.replace(" ", BLANK)
+            ids = self._packed(marked if word[:1] == "\n" else BLANK + marked)
+            if len(word) > SHORT:
+                return ids
+        if len(self) >= REMEMBERED // 2:
+            self.old = {}
+            self.old = self.copy()
+            self.clear()
+        self[word] = ids
         return ids
 
     def _packed(self, marked: str) -> bytes:
-        return b"".join(np.array(part, np.int32).tobytes() for part in self.stream(marked))
+        if len(marked) > SHORT + 1:
+            return b"".join(np.array(part, np.int32).tobytes() for part in self.stream(marked))
+        # all paths meet before a last character, say a sign, that no piece holds behind the one before it
+        end = len(marked) - 1
+        if end > 1 and marked[end - 1:] not in self.inside:
+            return self._short(marked[:end]) + self._short(marked[end:])
+        return self._short(marked)
+
+    def _short(self, marked: str) -> bytes:
+        """As ``stream``, of a few characters. What the pass finds for the first ones is remembered, too."""
+        word = marked[1:] if marked[:1] == BLANK else marked
+        known = (self.get(word) or self.old.get(word)) if word is not marked else None
+        if known is not None:
+            return known
+        head = self.heads.get(marked[:HEAD])
+        if head is None:
+            head = [0], [NO_PIECE]
+            self._read(marked, 0, *head, 0, min(HEAD, len(marked)))
+            if len(self.heads) >= REMEMBERED // HEAD:
+                self.heads.clear()
+            self.heads[marked[:HEAD]] = head
+        sizes, ids = head[0][:], head[1][:]
+        self._read(marked, 0, sizes, ids, HEAD, len(marked))
+        return array("i", self._ids(marked, 0, sizes, ids, len(marked))).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids as packed 32-bit numbers; none for NULL and for an empty text."""

@@ -87,3 +87,24 @@ def test_odd_rows_go_there_and_back(spark):
     got = pieces.digests(odd(spark), found).collect()
     assert all(r["round_trip"] for r in got)
     assert pieces.with_ids(none(spark), found).count() == 0 and pieces.digests(none(spark), found).count() == 0
+
+
+def test_words_that_come_again_are_not_read_anew(codec, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    small, read = pieces.Codec(pieces.vocabulary()), []
+    packed = small._packed
+    monkeypatch.setattr(small, "_packed", lambda marked: read.append(marked) or packed(marked))
+    for i in range(400):
+        assert small.encode(f"othernessing word{i}") == codec.encode(f"othernessing word{i}")
+        assert len(small) + len(small.old) <= 50 and len(small.heads) <= 10
+    assert read.count(pieces.BLANK + "othernessing") == 1
+
+
+def test_a_sign_behind_a_known_word_is_read_alone(codec, monkeypatch):
+    small, read = pieces.Codec(pieces.vocabulary()), []
+    whole = small._read
+    monkeypatch.setattr(small, "_read", lambda *args: read.append(args[5] - args[4]) or whole(*args))
+    expected = codec.encode("otherwordly"), codec.encode("otherwordly,"), codec.encode("x otherwordly;\n;, ;.;")
+    read.clear()
+    assert (small.encode("otherwordly"), small.encode("otherwordly,"), small.encode("x otherwordly;\n;, ;.;")) == expected
+    assert sum(max(0, n) for n in read) < 2 * len(pieces.BLANK + "otherwordly")

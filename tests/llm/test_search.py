@@ -245,3 +245,29 @@ def test_large_texts_with_a_passage_in_common_are_no_candidates(spark, monkeypat
     ties = jaccard_join._ties(jaccard_join._entries(docs, 5, 80), described, 80)
     of = {r["one"]: r["doc_id"] for r in described.collect()}
     assert {tuple(sorted((of[r["a"]], of[r["b"]]))) for r in ties.collect()} == {(4, 5)}
+
+
+def test_sets_of_a_group_are_compared_at_once(monkeypatch):
+    """The same pairs as one by one, in few steps; also if few words at once are allowed."""
+    random, calls = np.random.default_rng(8), []
+    bits = np.bitwise_count
+    monkeypatch.setattr(jaccard_join.np, "bitwise_count", lambda x: calls.append(x.size) or bits(x))
+    bases = [np.unique(random.integers(0, 1 << 62, 150 * k, dtype=np.uint64)) for k in range(1, 9)]
+    sets = [b[random.random(len(b)) > random.choice([0, 0.03, 0.1])] for b in bases for _ in range(8)]
+    size, side = np.array([len(s) for s in sets]), random.integers(0, 2, len(sets))
+    sketches = [jaccard_join.sketch(s, jaccard_join.plain_words(len(s), 80), 1) for s in sets]
+    for crossed in (False, True):
+        calls.clear()
+        found = jaccard_join.connect(size, sketches, sets, side, crossed, 80)
+        assert len(calls) < len(sets) // 2
+        monkeypatch.setattr(jaccard_join, "AT_ONCE", 1)
+        assert jaccard_join.connect(size, sketches, sets, side, crossed, 80) == found
+        monkeypatch.setattr(jaccard_join, "AT_ONCE", 1 << 15)
+        group = list(range(len(sets)))
+        for i, j in found:
+            assert jaccard_join._similar(sets[i], sets[j], 80) and group[i] != group[j] and (not crossed or side[i] != side[j])
+            group = [group[j] if g == group[i] else g for g in group]
+        for i in range(len(sets)):
+            for j in range(i):
+                if jaccard_join._similar(sets[i], sets[j], 80) and (not crossed or side[i] != side[j]):
+                    assert group[i] == group[j]
