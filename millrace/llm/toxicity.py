@@ -167,15 +167,26 @@ def _shared(ends: DataFrame, size: int) -> DataFrame:
     )
 
 
-def differences(counts: DataFrame) -> DataFrame:
+def _shorter() -> Column:
+    return F.col("seq").bitwiseAND(F.lit((1 << 8 * (ORDER - 1)) - 1)).alias("g")
+
+
+def shared_model(counts: DataFrame) -> DataFrame:
+    """(g, p): the shared model's probabilities of what the sequences of the whole corpus end in, stored."""
+    return stored(_shared(counts.select(_shorter()), ORDER - 1), "shared-model")
+
+
+def differences(counts: DataFrame, shared: DataFrame | None = None) -> DataFrame:
     """(kind, bin, value): log-likelihood differences of sequences (0) and of contexts (1).
 
     ``counts`` holds seq, n (whole corpus), t and o (classes). A sequence that neither class has
-    costs each class its context's left-over mass: that is the context's value.
+    costs each class its context's left-over mass: that is the context's value. ``shared`` is the
+    ``shared_model`` of the same sequences, if it is there already.
     """
     d = F.lit(DISCOUNT)
-    shorter = F.col("seq").bitwiseAND(F.lit((1 << 8 * (ORDER - 1)) - 1)).alias("g")
-    shared = _shared(counts.select(shorter), ORDER - 1)
+    shorter = _shorter()
+    if shared is None:
+        shared = _shared(counts.select(shorter), ORDER - 1)
     seen = counts.where("t + o > 0").select("seq", "t", "o", F.shiftright("seq", 8).alias("ctx"))
     contexts = seen.groupBy("ctx").agg(
         F.sum("t").alias("st"), F.sum("o").alias("so"),
@@ -197,13 +208,13 @@ def differences(counts: DataFrame) -> DataFrame:
     )
 
 
-def model(counts: DataFrame) -> DataFrame | None:
+def model(counts: DataFrame, shared: DataFrame | None = None) -> DataFrame | None:
     """The differences, stored.
 
     None where one of the classes has no sequence: there is nothing to compare.
     """
     both = counts.agg(F.sum("t"), F.sum("o")).first()
-    return stored(differences(counts), "differences") if both[0] and both[1] else None
+    return stored(differences(counts, shared), "differences") if both[0] and both[1] else None
 
 
 def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -301,8 +312,10 @@ def with_toxicity(docs: DataFrame, corpus: DataFrame, labels: DataFrame, train:
     label of either class every score is 0. A column of that name is replaced.
     """
     counts = stored(counted(corpus, labels, train), "sequences")
-    halves = model(counts.selectExpr("seq", "n", "t0 AS t", "o0 AS o"))
-    whole = model(counts.selectExpr("seq", "n", "t0 + t1 AS t", "o0 + o1 AS o"))
+    # both models end alike, and that is found once
+    shared = shared_model(counts)
+    halves = model(counts.selectExpr("seq", "n", "t0 AS t", "o0 AS o"), shared)
+    whole = model(counts.selectExpr("seq", "n", "t0 + t1 AS t", "o0 + o1 AS o"), shared)
     if whole is None:
         return docs.withColumn("toxicity", F.lit(0.0))
     slope, offset = 1.0, 0.0

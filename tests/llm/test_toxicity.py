@@ -53,3 +53,13 @@ def test_sequences_are_added_up_before_they_are_many(monkeypatch):
     assert whole.equals(again) and whole.column("n").to_pylist().count(40) > 0
     distinct = len(whole)
     assert max(largest) <= max(3 * distinct + (1 << 10), 2 * (len(text) + 4))
+
+
+def test_what_both_models_end_in_is_found_once(spark, monkeypatch):
+    whole, found = toxicity._shared, []
+    monkeypatch.setattr(toxicity, "_shared", lambda ends, size: found.append(size) or whole(ends, size))
+    got = toxicity.with_toxicity(odd(spark), odd(spark), labels(spark, "toxic"), F.lit(True))
+    assert got.count() == odd(spark).count() and found.count(toxicity.ORDER - 1) == 1
+    counts = spark.createDataFrame([(s, 1 + s % 3, s % 2, s % 3) for s in range(0, 90_000, 77)], "seq long, n long, t long, o long")
+    rows = lambda shared: sorted(map(tuple, toxicity.differences(counts, shared).collect()))
+    assert rows(toxicity.shared_model(counts)) == rows(None)
