@@ -2,11 +2,14 @@
 
 A text is the set of its shingles. For sets of sizes a and b, a Jaccard similarity of at least t
 means that at most (a + b)(1 - t) / (1 + t) shingles lie in one set only. Each shingle
-flips one bit of a sketch, so shingles of both sets cancel out and two sketches differ in no more
-bits than that. A sketch has one 64-bit word more than shingles may differ, hence linked sets
-agree in a whole word: that word, with its place, is the join key. Words with one bit set, or none,
-say little, so a sketch has some more words than that, and as long as no more than these are so
-thin, linked sets agree in one that is not; thin words are left out then. Sketches of more than a few
+flips bits of one word of a sketch, so shingles of both sets cancel out and two sketches differ in no more
+words than that. A sketch has one 64-bit word more than shingles may differ, hence linked sets
+agree in a whole word: that word, with its place, is the join key. A shingle flips the bits of its own 64-bit
+code there. If it flipped one bit, words of two or three shingles would be equal by chance, the more often the more sets
+there are: pairs that have nothing in common would grow with the square of the sets. Words of one shingle, or none,
+say little, so a sketch has some more words than that, and each set leaves out its thinnest ones, as many
+as linked sets can spare. Of words that agree both leave out the same first, as their order is that of
+shingles in them and of their bits. Sketches of more than a few
 words get ``EXTRA`` words on top, so that linked sets agree in one more than that: sets which share a
 passage agree in a word now and then, hardly ever in several.
 
@@ -14,7 +17,7 @@ How many words there are depends on the size, so sizes are cut into bands. A set
 band of its own size, and in the next ones as long as a set from there could still be similar.
 
 Equal words only say which sets to look at. Pairs of sets with words enough in common must keep the
-bound on a second sketch. It grows with the set, in doublings, so that sets with nothing in common differ in more
+bound on a second sketch, in which a shingle flips one bit. It grows with the set, in doublings, so that sets with nothing in common differ in more
 bits than the bound allows, however large they are; of two sketches the larger one is folded onto the smaller. Where many sets have a word, no pairs are made: they
 meet in blocks, and a block returns ties that connect what keeps the bound, at most one for
 each set. What the ties connect is compared in blocks again, now by the shingles themselves.
@@ -41,11 +44,13 @@ from millrace.llm.tokens import chain, mix, per_row, slices, text_column, words
 from millrace.session import stored
 
 #: Each band's sizes go up to about this many times its smallest.
-BAND = 1.3
+BAND = 1.6
 #: Sets that share a word are paired up to so many, and compared in blocks beyond.
 PAIRED = 16
 #: Linked sets agree in so many words and one more, if their sketches may differ in at least so many.
 EXTRA, MANY_WORDS = 3, 16
+#: Bytes of texts whose sets are worked on at once.
+SETS_BYTES = 1 << 20
 #: 64-bit words of the second sketch at least.
 PLAIN_WORDS = 8
 #: Texts of one block; two blocks are compared in one task.
@@ -64,23 +69,73 @@ def shingle_sets(bounds: np.ndarray, data: np.ndarray, width: int) -> Iterator[n
     A text of fewer words than ``width`` is one shingle, one without words none.
     """
     found = words(bounds, data)
-    begins = per_row(found.row, len(bounds) - 1)
+    begins = per_row(found.row, len(bounds) - 1).tolist()
+    chained = chain(found.hash, width)
     for low, high in zip(begins[:-1], begins[1:]):
-        own = found.hash[low:high]
-        yield np.unique(chain(own, min(width, len(own)))) if len(own) else own
-
-
-def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
+        if high - low >= width:
+            own = np.sort(chained[low:high - width + 1])
+            yield own[np.concatenate(([True], own[1:] != own[:-1]))]
+        else:
+            yield chain(found.hash[low:high], high - low) if high > low else found.hash[:0]
+
+
+class Sets:
+    """Sets of shingles, one behind the other: set i is ``flat[begins[i]:begins[i + 1]]``."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], np.int64)
+        self.begins = np.concatenate(([0], np.cumsum(self.size)))
+        self.flat = np.concatenate([np.zeros(0, np.uint64), *sets])
+
+    def marks(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits that stand for each set."""
+        spread = mix(self.flat ^ np.uint64(0x632BE59BD9B4E019))
+        one, two = np.zeros((2, len(self.size)), np.uint64)
+        real = np.flatnonzero(self.size)
+        if len(real):
+            one[real] = np.bitwise_xor.reduceat(spread, self.begins[real])
+            two[real] = np.add.reduceat(mix(spread), self.begins[real])
+        return one.view(np.int64), two.view(np.int64)
+
+    def dealt(self, of: np.ndarray, seed: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shingles of the sets ``of``, spread, and their places: each of these sets has ``count`` of its own."""
+        size = self.size[of]
+        ends = np.cumsum(size)
+        at = np.repeat(self.begins[of] - ends + size, size) + np.arange(size.sum())
+        spread = mix(self.flat[at] + np.repeat(seed.astype(np.uint64), size))
+        own = ((spread >> np.uint64(6)) % np.repeat(count.astype(np.uint64), size)).astype(np.int64)
+        return spread, own + np.repeat(np.cumsum(count) - count, size)
+
+    def sketches(self, count: np.ndarray, seed: int) -> np.ndarray:
+        """``count`` words of 64 bits for each set, one behind the other; each shingle flips one bit."""
+        spread, place = self.dealt(np.arange(len(count)), np.full(len(count), seed), count)
+        out = np.zeros(count.sum(), np.uint64)
+        np.bitwise_xor.at(out, place, np.uint64(1) << (spread & np.uint64(63)))
+        return out
+
+    def key_words(self, of: np.ndarray, low: np.ndarray, count: np.ndarray, least: np.ndarray, extra: np.ndarray) -> np.ndarray:
+        """``least`` words of the sketch of each of the sets ``of``, hashed with their places; the thinnest are left out.
+
+        Words are in order by their shingles and bits, so of words in which two sets agree both leave out the
+        same first. The last bit says that one word in common is enough, as nothing is extra.
+        """
+        spread, place = self.dealt(of, low, count)
+        out, sketch_of = np.zeros(count.sum(), np.uint64), np.repeat(np.arange(len(of)), count)
+        np.bitwise_xor.at(out, place, mix(spread))
+        shingles = np.bincount(place, minlength=len(out))
+        first = np.cumsum(count) - count
+        name = np.arange(len(out)) - first[sketch_of] + (low << 32)[sketch_of]
+        order = np.lexsort((out, shingles, sketch_of))
+        stay = order[np.arange(len(out)) >= (first + count - least)[sketch_of]]
+        enough = (extra == 0).astype(np.uint64)[sketch_of[stay]]
+        return mix(out[stay] + mix(name[stay].astype(np.uint64))) & ~np.uint64(1) | enough
+
+
+def _sets(batch: pa.RecordBatch, width: int) -> Iterator[list[np.ndarray]]:
+    """The sets of some rows at once, in order."""
     bounds, data = text_column(batch, "text")
-    for low, high in slices(bounds):
-        yield from shingle_sets(bounds[low:high + 1], data, width)
-
-
-def _marks(shingles: np.ndarray) -> tuple[int, int]:
-    """128 bits that stand for the set."""
-    spread = mix(shingles ^ np.uint64(0x632BE59BD9B4E019))
-    one = np.bitwise_xor.reduce(spread) if len(spread) else np.uint64(0)
-    return int(one.astype(np.int64)), int(mix(spread).sum(dtype=np.uint64).astype(np.int64))
+    for low, high in slices(bounds, SETS_BYTES):
+        yield list(shingle_sets(bounds[low:high + 1], data, width))
 
 
 def differing(total: int, percent: int) -> int:
@@ -90,23 +145,39 @@ def differing(total: int, percent: int) -> int:
 
 def bands(size: int, percent: int) -> list[tuple[int, int, int, int]]:
     """(smallest size, words of a sketch, spare, extra) of each band that a set takes part in."""
-    low, high, found = 1, 1, []
+    low, found = 1, []
     while low * percent <= size * 100:
-        if high >= size:
-            found.append((low, high))
-        low, high = high + 1, max(high + 1, int(high * BAND))
-    return [(low, *_words_for(low, high, percent)) for low, high in found]
+        if _largest(low) >= size:
+            found.append(low)
+        low = _largest(low) + 1
+    return [(low, *_words_for(low, _largest(low), percent)) for low in found]
+
+
+def _largest(low: int) -> int:
+    """The largest size of the band from ``low`` on."""
+    return max(low, int((low - 1) * BAND))
+
+
+def _entered(size: int, percent: int) -> list[tuple[int, int, int, int]]:
+    """(smallest size, words of a sketch, words entered, extra) of each band that a set takes part in.
+
+    In a band a set meets sets up to the band's largest, and not more than so many shingles differ.
+    """
+    return [
+        (low, count, differing(size + min(_largest(low), size * 100 // percent), percent) + 1 + extra, extra)
+        for low, count, _, extra in bands(size, percent)
+    ]
 
 
 def _words_for(low: int, high: int, percent: int) -> tuple[int, int, int]:
     """(words, spare, extra): linked sets agree in one more word than are spare and extra.
 
-    Spare are about as many as are thin in a set from the middle of the band.
+    Spare are about as many as have one shingle or none in a set from the middle of the band.
     """
     needed = differing(2 * high, percent) + 1
     share = (low + high) / 2 / needed
     thin = min(0.3, np.exp(-share) * (1 + share))
-    spare = 1 + int(1.2 * needed * thin / (1 - thin))
+    spare = 2 + int(1.2 * needed * thin / (1 - thin))
     extra = EXTRA if needed >= MANY_WORDS else 0
     return needed + spare + extra, spare, extra
 
@@ -144,16 +215,9 @@ def _fold(words_: Column, count: Column) -> Column:
 
 
 def key_words(shingles: np.ndarray, low: int, count: int, spare: int, extra: int) -> np.ndarray:
-    """The words of a set's sketch in the band from ``low`` on, hashed with their places.
-
-    Thin words are left out if no more than the spare ones are thin; whether one is, both
-    sides see alike. The last bit says that one word in common is enough, as nothing is extra.
-    """
-    own, place = sketch(shingles, count, low), np.arange(count, dtype=np.uint64) + np.uint64(low << 32)
-    thick = np.bitwise_count(own) > 1
-    if count - thick.sum() <= spare:
-        own, place = own[thick], place[thick]
-    return mix(own + mix(place)) & ~np.uint64(1) | np.uint64(extra == 0)
+    """The words of one set's sketch in the band from ``low`` on that are not spare, hashed with their places."""
+    facts = (np.array([x]) for x in (low, count, count - spare, extra))
+    return Sets([shingles]).key_words(np.zeros(1, np.int64), *facts)
 
 
 def _described(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -161,15 +225,16 @@ def _described(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def describe(batches):
         for batch in batches:
-            facts = [(len(s), *_marks(s), sketch(s, plain_words(len(s), percent), 1)) for s in _sets(batch, width)]
-            n, one, two, plain = zip(*facts) if facts else ((), (), (), ())
-            flat = np.concatenate(plain).view(np.int64) if facts else np.zeros(0, np.int64)
-            ends = np.cumsum([0, *map(len, plain)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["doc_id", "n", "one", "two", "plain"],
-            )
+            done = 0
+            for found in map(Sets, _sets(batch, width)):
+                count = np.array([plain_words(n, percent) for n in found.size.tolist()], np.int64)
+                ends = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
+                plain = pa.ListArray.from_arrays(pa.array(ends), pa.array(found.sketches(count, 1).view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(done, len(count)), pa.array(found.size), *map(pa.array, found.marks()), plain],
+                    ["doc_id", "n", "one", "two", "plain"],
+                )
+                done += len(count)
 
     return docs.select("doc_id", "text").mapInArrow(
         describe, "doc_id long, n long, one long, two long, plain array<long>"
@@ -265,34 +330,27 @@ def _entries(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def enter(batches):
         known: set[int] = set()  # copies within a task are entered once
+        bands_of: dict[int, list] = {}
         for batch in batches:
-            keys, marks, held = [], [], 0
-            for shingles in _sets(batch, width):
-                if not len(shingles):
-                    continue
-                one, two = _marks(shingles)
-                if two in known:
-                    continue
-                known.add(two)
-                for band in bands(len(shingles), percent):
-                    own = key_words(shingles, *band)
-                    keys.append(own)
-                    marks.append(np.full(len(own), one, np.int64))
-                    held += len(own)
-                if held > 1 << 16:
-                    yield _pairs(keys, marks)
-                    keys, marks, held = [], [], 0
-            yield _pairs(keys, marks)
+            for found in map(Sets, _sets(batch, width)):
+                one, two = found.marks()
+                taken = []
+                for i, (size, mark) in enumerate(zip(found.size.tolist(), two.tolist())):
+                    if size and mark not in known:
+                        known.add(mark)
+                        if size not in bands_of:
+                            bands_of[size] = _entered(size, percent)
+                        taken += [(i, *band) for band in bands_of[size]]
+                if taken:
+                    of, low, count, least, extra = np.array(taken).T
+                    key = found.key_words(of, low, count, least, extra)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key.view(np.int64)), pa.array(np.repeat(one[of], least))], ["key", "one"]
+                    )
 
     return docs.select("text").mapInArrow(enter, "key long, one long")
 
 
-def _pairs(keys: list[np.ndarray], marks: list[np.ndarray]) -> pa.RecordBatch:
-    key = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-    one = np.concatenate(marks) if marks else np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(one)], ["key", "one"])
-
-
 def connect(
     size: np.ndarray, sketches: list[np.ndarray], sets: list[np.ndarray] | None, side: np.ndarray,
     crossed: bool, percent: int,
@@ -355,13 +413,14 @@ def _links(docs: DataFrame, chosen: DataFrame, width: int, percent: int) -> Data
 
     def sets(batches):
         for batch in batches:
-            found = list(_sets(batch, width))
-            marks = [_marks(s) for s in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([m[0] for m in marks], pa.int64()),
-                 pa.array([m[1] for m in marks], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())],
-                ["doc_id", "one", "two", "shingles"],
-            )
+            done = 0
+            for found in _sets(batch, width):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(done, len(found)), *map(pa.array, Sets(found).marks()),
+                     pa.array([s.tobytes() for s in found], pa.binary())],
+                    ["doc_id", "one", "two", "shingles"],
+                )
+                done += len(found)
 
     held = texts.mapInArrow(sets, "doc_id long, one long, two long, shingles binary")
     rows = held.join(chosen.join(sizes, "component"), ["doc_id", "one", "two"]).dropDuplicates(["doc_id", "one", "two"])

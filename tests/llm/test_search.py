@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge import ODD, none, odd
 from pyspark.sql import functions as F
@@ -233,6 +234,53 @@ def test_second_sketches_tell_large_sets_apart():
     assert found == [(2, 7)]
 
 
+def test_words_are_equal_by_shingles_in_common_only():
+    """Sets with nothing in common agree in no word but an empty one, however many there are, and hardly any set enters an empty one."""
+    rng = np.random.default_rng(6)
+    for size in (1, 30, 90):
+        held = jaccard_join.Sets([np.unique(rng.integers(0, 1 << 63, size, np.uint64)) for _ in range(6000)])
+        for band in jaccard_join._entered(size, 80):
+            columns = np.repeat([band], 6000, axis=0).T
+            keys = held.key_words(np.arange(6000), *columns)
+            often = np.unique(keys, return_counts=True)[1]
+            assert len(keys) == 6000 * band[2] and often[often > 1].sum() < 6000 / 200
+
+
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80), (2, 60)])
+def test_entered_words_are_enough_for_linked_sets_of_all_sizes(width, percent):
+    """A set enters fewer words than its sketch has; linked ones have more than are extra in common in a band."""
+    rng = np.random.default_rng(width)
+    for _ in range(400):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400), dtype=np.uint64))
+        shared = rng.integers(-(-len(a) * percent // 100), len(a) + 1)
+        new = rng.integers(0, (100 * shared - percent * len(a)) // percent + 1)
+        b = np.unique(np.concatenate((a[:shared], rng.integers(0, 1 << 63, new, dtype=np.uint64))))
+        enough = []
+        for x in jaccard_join._entered(len(a), percent):
+            for y in jaccard_join._entered(len(b), percent):
+                if x[:2] == y[:2]:
+                    keys = [jaccard_join.Sets([s]).key_words(np.zeros(1, int), *np.array([band]).T) for s, band in ((a, x), (b, y))]
+                    enough.append(len(np.intersect1d(*keys)) > x[3])
+        assert any(enough)
+
+
+def test_sets_worked_on_at_once_are_those_worked_on_alone(monkeypatch):
+    """Marks, second sketches and words of sets, empty ones among them, and of rows in slices of any size."""
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, np.uint64)) for n in (0, 3, 40, 0, 0, 200, 1, 0)]
+    held = jaccard_join.Sets(sets)
+    alone = [jaccard_join.Sets([s]) for s in sets]
+    assert [list(m) for m in held.marks()] == [[int(s.marks()[i][0]) for s in alone] for i in (0, 1)]
+    count = np.array([8, 8, 16, 8, 8, 32, 8, 8])
+    assert (held.sketches(count, 1) == np.concatenate([jaccard_join.sketch(s, n, 1) for s, n in zip(sets, count)])).all()
+    texts = ["", "a b c d e f", None, "a A", "x", " ".join(str(i % 50) for i in range(300)), "a b c d e f"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    whole = [s.tolist() for part in jaccard_join._sets(batch, 3) for s in part]
+    assert list(map(len, whole)) == [len(shingles(t, 3)) for t in texts] and whole[1] == whole[6] == sorted(whole[1])
+    monkeypatch.setattr(jaccard_join, "SETS_BYTES", 1)
+    assert [s.tolist() for part in jaccard_join._sets(batch, 3) for s in part] == whole
+
+
 @pytest.mark.parametrize("paired", [1, 16])
 def test_large_texts_with_a_passage_in_common_are_no_candidates(spark, monkeypatch, paired):
     monkeypatch.setattr(jaccard_join, "PAIRED", paired)
